@@ -171,3 +171,61 @@ def gate_failures(checks: DataFrame) -> None:
     ]
     if failed:
         raise GateFailed(f"Data tests failed: {', '.join(failed)}")
+
+
+def product_data_tests(
+    stg_events: DataFrame,
+    stg_users: DataFrame,
+    stg_assignments: DataFrame,
+    fct_funnel: DataFrame,
+    fct_cohort_retention: DataFrame,
+    fct_ab_tests: DataFrame,
+    fct_feature_engagement: DataFrame,
+    funnel_steps: Sequence[str] | None = None,
+) -> DataFrame:
+    """The product's 25 generic data tests (15 not_null, 2 unique, 6 accepted_values,
+    2 relationships) as one relation of (model, column_name, test, failures)."""
+    from tidemark import constants as K
+
+    steps = list(funnel_steps) if funnel_steps else list(K.DEFAULT_FUNNEL_STEPS)
+    parts = [
+        column_checks(
+            stg_events, "stg_raw_events", not_null=["event_id", "user_id", "event_name"],
+            accepted_values={"event_name": K.EVENT_NAMES},
+        ),
+        unique_check(stg_events, "stg_raw_events", "event_id"),
+        relationship_check(stg_events, "stg_raw_events", "user_id", stg_users, "user_id"),
+        column_checks(
+            stg_users, "stg_dim_users", not_null=["user_id"],
+            accepted_values={"plan": K.PLANS, "channel": K.CHANNELS},
+        ),
+        unique_check(stg_users, "stg_dim_users", "user_id"),
+        column_checks(
+            stg_assignments, "stg_ab_test_assignments", not_null=["user_id"],
+            accepted_values={"variant": K.VARIANTS},
+        ),
+        relationship_check(stg_assignments, "stg_ab_test_assignments", "user_id", stg_users, "user_id"),
+        column_checks(fct_funnel, "fct_funnel", not_null=["user_id"], accepted_values={"stage": steps}),
+        column_checks(
+            fct_cohort_retention, "fct_cohort_retention", not_null=["cohort_week", "period_number", "retained_users"]
+        ),
+        column_checks(
+            fct_ab_tests, "fct_ab_tests", not_null=["experiment_id", "user_id"], accepted_values={"variant": K.VARIANTS}
+        ),
+        column_checks(
+            fct_feature_engagement, "fct_feature_engagement",
+            not_null=["user_id", "week_start", "feature_event", "usage_count"],
+        ),
+    ]
+    return reduce(DataFrame.unionAll, parts)
+
+
+def singular_tests(stg_events: DataFrame, fct_ab_tests: DataFrame, fct_funnel: DataFrame) -> DataFrame:
+    """Q5-Q7: the three duplicate-grain tests as one relation of offending keys."""
+    return duplicate_grain_report(
+        {
+            "no_duplicate_event_ids": (stg_events, ["event_id"]),
+            "no_duplicate_assignment_grain": (fct_ab_tests, ["experiment_id", "user_id"]),
+            "no_duplicate_funnel_grain": (fct_funnel, ["user_id", "stage"]),
+        }
+    )
