@@ -66,10 +66,17 @@ def unique_check(df: DataFrame, model: str, column: str) -> DataFrame:
 def relationship_check(
     child: DataFrame, model: str, column: str, parent: DataFrame, parent_column: str
 ) -> DataFrame:
-    """Child rows whose non-NULL key has no parent row (left anti join)."""
+    """Child rows whose non-NULL key has no parent row (left anti join).
+
+    Child keys are pre-aggregated to (key, rows) first: partial aggregation collapses a hot
+    key map-side, so the anti join shuffles one row per distinct key, never the raw rows.
+    """
     keys = parent.select(F.col(parent_column).alias(column)).distinct()
-    orphans = child.filter(F.col(column).isNotNull()).select(column).join(keys, column, "left_anti")
-    return orphans.agg(F.count(F.lit(1)).alias("failures")).select(
+    child_keys = (
+        child.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_rows"))
+    )
+    orphans = child_keys.join(keys, column, "left_anti")
+    return orphans.agg(F.coalesce(F.sum("_rows"), F.lit(0)).cast("long").alias("failures")).select(
         F.lit(model).alias("model"),
         F.lit(column).alias("column_name"),
         F.lit("relationships").alias("test"),
