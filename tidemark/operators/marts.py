@@ -61,9 +61,15 @@ def user_conversion(
     conversion_events: Sequence[str] = K.CONVERSION_EVENTS,
     payment_event: str = K.PAYMENT_EVENT,
 ) -> DataFrame:
-    """Per-user conversion flag (any conversion event) and payment revenue (A4, A5)."""
+    """Per-user conversion flag (any conversion event) and payment revenue (A4, A5).
+
+    Only conversion and payment rows can change either value, so the rest are filtered out
+    before the shuffle (the predicate reaches the Parquet scan); users without such rows get
+    0 / 0 from the caller's left join, exactly as when every event is aggregated.
+    """
     name = F.col("event_name")
-    return events.groupBy("user_id").agg(
+    relevant = events.filter(name.isin(*conversion_events, payment_event))
+    return relevant.groupBy("user_id").agg(
         F.max(F.when(name.isin(*conversion_events), 1).otherwise(0)).alias("converted"),
         F.sum(F.when(name == payment_event, F.col("revenue")).otherwise(F.lit(0))).alias("revenue"),
     )

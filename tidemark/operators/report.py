@@ -61,8 +61,9 @@ def daily_metrics(
     )
     drop = biggest_dropoff(events, funnel_steps)
     spark = events.sparkSession
-    drop_step = drop.select("step").scalar()
-    drop_value = drop.select("dropoff").scalar()
+    # one scalar subquery (NULL when there is no drop-off row) feeds both report lines
+    drop_row = drop.select(F.struct("step", "dropoff").alias("d")).scalar()
+    drop_step, drop_value = drop_row.getField("step"), drop_row.getField("dropoff")
     dropoff_rows = spark.range(1).select(
         F.inline(
             F.array(
