@@ -118,7 +118,7 @@ def fit_churn_model(
         regParam=1.0 / n_train,
         elasticNetParam=0.0,
         standardization=False,
-        tol=1e-8,
+        tol=1e-6,
     )
     model = lr.fit(train)
     scored = model.transform(test).withColumn("score", vector_to_array("probability")[1])

@@ -92,51 +92,50 @@ def evaluate_experiments(
     """
     by = () if pooled else ("experiment_id",)
     stats = arm_statistics(outcomes, by, control, treatment, revenue_col)
-    if pooled:
-        stats = stats.select(F.lit("all").alias("experiment_id"), "*")
     if strict:
         empty = stats.filter((F.col("n_control") == 0) | (F.col("n_treatment") == 0)).limit(1).collect()
         if empty:
             raise EmptyArmError("Control and treatment arrays must be non-empty.")
 
-    z_crit = normal_quantile(1 - alpha / 2)
-    z_power = normal_quantile(K.POWER)
+    # All statistics are column expressions over the one-row-per-experiment aggregate;
+    # shared subexpressions are evaluated once by Catalyst.
+    z_crit = F.lit(normal_quantile(1 - alpha / 2))
+    z_power = F.lit(normal_quantile(K.POWER))
     n_c, n_t = F.col("n_control"), F.col("n_treatment")
-    c_rate = _div(F.col("control_converted"), n_c)
-    t_rate = _div(F.col("treatment_converted"), n_t)
-    pooled_rate = _div(F.col("control_converted") + F.col("treatment_converted"), n_c + n_t)
+    c_conv, t_conv = F.col("control_converted"), F.col("treatment_converted")
+    c_rate, t_rate = _div(c_conv, n_c), _div(t_conv, n_t)
+    pooled_rate = _div(c_conv + t_conv, n_c + n_t)
     inv_n = _div(F.lit(1.0), n_c) + _div(F.lit(1.0), n_t)
-    pq = F.col("_pooled") * (F.lit(1.0) - F.col("_pooled"))
-
-    base = stats.select(
-        "*",
+    pq = pooled_rate * (F.lit(1.0) - pooled_rate)
+    se = F.sqrt(pq * inv_n)
+    uplift = t_rate - c_rate
+    exp_id = F.lit("all").alias("experiment_id") if pooled else F.col("experiment_id")
+    cols = [
+        exp_id,
+        n_c,
+        n_t,
+        c_conv,
+        t_conv,
         c_rate.alias("control_rate"),
         t_rate.alias("treatment_rate"),
-        pooled_rate.alias("_pooled"),
-        inv_n.alias("_inv_n"),
-    )
-    se = F.sqrt(pq * F.col("_inv_n"))
-    with_se = base.select(
-        "*",
-        (F.col("treatment_rate") - F.col("control_rate")).alias("uplift"),
-        se.alias("_se"),
-        F.sqrt(F.lit(2.0) * pq * F.col("_inv_n")).alias("_se2"),
-    )
-    z = F.when(F.col("_se") > 0, (F.col("control_rate") - F.col("treatment_rate")) / F.col("_se"))
-    tested = with_se.select("*", z.alias("z_stat")).withColumn("p_value", normal_two_sided_p(F.col("z_stat")))
+        uplift.alias("uplift"),
+        F.when(se > 0, (c_rate - t_rate) / se).alias("z_stat"),
+        (uplift - z_crit * se).alias("ci_low"),
+        (uplift + z_crit * se).alias("ci_high"),
+        ((z_crit + z_power) * F.sqrt(F.lit(2.0) * pq * inv_n)).alias("mde"),
+    ]
+    if revenue_col is not None:
+        cols += _welch_columns()
+    tested = stats.select(*cols).withColumn("p_value", normal_two_sided_p(F.col("z_stat")))
+    if revenue_col is not None:
+        tested = tested.withColumn(
+            "revenue_p_value", student_t_two_sided_p(F.col("revenue_t_stat"), F.col("revenue_df"))
+        )
     significant = F.coalesce(F.col("p_value") < F.lit(alpha), F.lit(False))
-    uplift = F.col("uplift")
-    result = tested.select(
-        "*",
-        significant.alias("significant"),
-        (uplift - F.lit(z_crit) * F.col("_se")).alias("ci_low"),
-        (uplift + F.lit(z_crit) * F.col("_se")).alias("ci_high"),
-        (F.lit(z_crit + z_power) * F.col("_se2")).alias("mde"),
-    ).withColumn(
-        "recommendation",
-        F.when(F.col("significant") & (uplift > 0), F.lit(K.RECOMMEND_SHIP))
-        .when(F.col("significant") & (uplift < 0), F.lit(K.RECOMMEND_STOP))
-        .otherwise(F.lit(K.RECOMMEND_CONTINUE)),
+    recommendation = (
+        F.when(significant & (F.col("uplift") > 0), F.lit(K.RECOMMEND_SHIP))
+        .when(significant & (F.col("uplift") < 0), F.lit(K.RECOMMEND_STOP))
+        .otherwise(F.lit(K.RECOMMEND_CONTINUE))
     )
     out_cols = [
         "experiment_id",
@@ -149,21 +148,20 @@ def evaluate_experiments(
         "uplift",
         "z_stat",
         "p_value",
-        "significant",
+        significant.alias("significant"),
         "ci_low",
         "ci_high",
         F.struct(F.col("ci_low").alias("low"), F.col("ci_high").alias("high")).alias("confidence_interval"),
         "mde",
-        "recommendation",
+        recommendation.alias("recommendation"),
     ]
     if revenue_col is not None:
-        result = _with_welch(result)
         out_cols += ["revenue_t_stat", "revenue_df", "revenue_p_value"]
-    return result.select(*out_cols)
+    return tested.select(*out_cols)
 
 
-def _with_welch(stats: DataFrame) -> DataFrame:
-    """Welch's unequal-variance t-test (control vs treatment) from per-arm moments."""
+def _welch_columns() -> list[Column]:
+    """Welch's unequal-variance t statistic and degrees of freedom (control vs treatment)."""
     n1, n2 = F.col("control_revenue_n").cast("double"), F.col("treatment_revenue_n").cast("double")
     q1 = _div(F.col("control_revenue_var"), n1)
     q2 = _div(F.col("treatment_revenue_var"), n2)
@@ -173,9 +171,7 @@ def _with_welch(stats: DataFrame) -> DataFrame:
         se2 > 0,
         se2 * se2 / (_div(q1 * q1, n1 - F.lit(1.0)) + _div(q2 * q2, n2 - F.lit(1.0))),
     )
-    return stats.withColumn("revenue_t_stat", t).withColumn("revenue_df", dof).withColumn(
-        "revenue_p_value", student_t_two_sided_p(F.col("revenue_t_stat"), F.col("revenue_df"))
-    )
+    return [t.alias("revenue_t_stat"), dof.alias("revenue_df")]
 
 
 def variant_comparison(outcomes: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -37,29 +37,42 @@ def edge(df: DataFrame, scale: int = 9, scales: dict[str, int] | None = None) ->
 # ---- the two adapter worlds -------------------------------------------------------------
 
 
-def product_world(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    raw_events = A.product_events(spark, d)
-    raw_users = A.event_users(spark, d)
-    raw_assignments = A.parity_assignments(raw_users)
-    return {
-        "raw_events": raw_events,
-        "events": staging.stage_events(raw_events),
-        "raw_users": raw_users,
-        "users": staging.stage_users(raw_users),
-        "raw_assignments": raw_assignments,
-        "assignments": staging.stage_assignments(raw_assignments),
-    }
+class _World(dict):
+    """A dict of adapter views whose entries are built on first access (lazy, per query)."""
 
+    def __init__(self, builders):
+        super().__init__()
+        self._builders = builders
 
-def order_world(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    raw_users = A.order_users(spark, d)
-    all_events = staging.stage_events(A.order_events(spark, d))
-    return {
-        "all_events": all_events,
-        "events": A.experiment_window(all_events),
-        "users": staging.stage_users(raw_users),
-        "assignments": staging.stage_assignments(A.parity_assignments(raw_users)),
-    }
+    def __missing__(self, key):
+        value = self._builders[key](self)
+        self[key] = value
+        return value
+
+
+def product_world(spark: SparkSession, d: str) -> _World:
+    return _World(
+        {
+            "raw_events": lambda w: A.product_events(spark, d),
+            "events": lambda w: staging.stage_events(w["raw_events"]),
+            "raw_users": lambda w: A.event_users(spark, d),
+            "users": lambda w: staging.stage_users(w["raw_users"]),
+            "raw_assignments": lambda w: A.parity_assignments(w["raw_users"]),
+            "assignments": lambda w: staging.stage_assignments(w["raw_assignments"]),
+        }
+    )
+
+
+def order_world(spark: SparkSession, d: str) -> _World:
+    return _World(
+        {
+            "raw_users": lambda w: A.order_users(spark, d),
+            "all_events": lambda w: staging.stage_events(A.order_events(spark, d)),
+            "events": lambda w: A.experiment_window(w["all_events"]),
+            "users": lambda w: staging.stage_users(w["raw_users"]),
+            "assignments": lambda w: staging.stage_assignments(A.parity_assignments(w["raw_users"])),
+        }
+    )
 
 
 def _slice(spark: SparkSession, d: str) -> DataFrame:

@@ -34,8 +34,27 @@ ORDER_EXPERIMENT_END = "1997-01-01 00:00:00"
 PRODUCT_CONVERSION_EVENTS = ("purchase",)
 
 
+_HANDLES: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The driver's table ``name`` as a DataFrame handle, resolved once per session.
+
+    Like a catalog table: the file listing and Parquet schema are resolved on first use and
+    the handle is reused by later queries (every query still scans the files).
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    hit = _HANDLES.get(key)
+    if hit is None or hit[0] is not spark:
+        hit = (spark, spark.read.parquet(path))
+        _HANDLES[key] = hit
+    return hit[1]
+
+
+def clear_handles() -> None:
+    """Forget resolved table handles (e.g. after the files were replaced)."""
+    _HANDLES.clear()
 
 
 def _ts(text: str):
