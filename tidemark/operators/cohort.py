@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark import constants as K
 from tidemark.functions.time import period_start, periods_between, utc_column
+from tidemark.session import ensure_checkpoint_dir
 
 RETENTION_COLUMNS = ("cohort_period", "period_number", "retained", "users", "retention_rate")
 
@@ -98,6 +99,12 @@ def heatmap(retention_table: DataFrame, periods: Sequence[int] | None = None) ->
         "period_number",
         "retention_rate",
     )
+    if periods is None:
+        # Finding the pivot values is a job of its own; checkpoint the small aggregate
+        # (cohorts x periods) to the shared checkpoint folder first so that job and the
+        # pivot read it instead of re-running the event scan behind it.
+        ensure_checkpoint_dir(base.sparkSession)
+        base = base.checkpoint(eager=True)
     grouped = base.groupBy("cohort_period")
     pivoted = (
         grouped.pivot("period_number", list(periods)) if periods is not None else grouped.pivot("period_number")

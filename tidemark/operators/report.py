@@ -16,7 +16,7 @@ from tidemark import constants as K
 from tidemark.functions import fmt
 from tidemark.operators.cohort import heatmap, retention
 from tidemark.operators.experiment import conversion_flags, evaluate_experiments, variant_comparison
-from tidemark.operators.funnel import biggest_dropoff, funnel, funnel_with_index
+from tidemark.operators.funnel import funnel, funnel_with_index
 
 NO_DROPOFF_TEXT = "Not enough data for drop-off analysis"
 
@@ -59,12 +59,17 @@ def daily_metrics(
             )
         )
     )
-    drop = biggest_dropoff(events, funnel_steps)
-    spark = events.sparkSession
-    # one scalar subquery (NULL when there is no drop-off row) feeds both report lines
-    drop_row = drop.select(F.struct("step", "dropoff").alias("d")).scalar()
-    drop_step, drop_value = drop_row.getField("step"), drop_row.getField("dropoff")
-    dropoff_rows = spark.range(1).select(
+    # The funnel is computed once; the step lines and the biggest drop-off both read it,
+    # so the plan holds one copy of its shuffle (identical subtrees are reused).
+    fw = funnel_with_index(events, funnel_steps)
+    worst = fw.filter(F.col("step_index") > 0).agg(
+        F.max_by(
+            F.struct("step", "dropoff_from_previous"),
+            F.struct("dropoff_from_previous", -F.col("step_index")),  # ties -> earlier step
+        ).alias("b")
+    )
+    drop_step, drop_value = F.col("b.step"), F.col("b.dropoff_from_previous")
+    dropoff_rows = worst.select(
         F.inline(
             F.array(
                 _row(
@@ -78,7 +83,7 @@ def daily_metrics(
             )
         )
     )
-    steps = funnel_with_index(events, funnel_steps).select(
+    steps = fw.select(
         F.inline(
             F.array(
                 F.struct(
