@@ -69,9 +69,9 @@ def run(
     """Run the whole daily build from a CSV snapshot folder into ``warehouse_root``."""
     wh = warehouse_root.rstrip("/")
     raw_text = io.read_csv_snapshot(spark, source_root, strict)
-    snapshot_id = contracts.publish_snapshot(spark, raw_text, f"{wh}/raw", snapshot_id)
+    loaded: dict[str, int] = {}
+    snapshot_id = contracts.publish_snapshot(spark, raw_text, f"{wh}/raw", snapshot_id, receipt=loaded)
     raw = contracts.read_snapshot(spark, f"{wh}/raw", snapshot_id)
-    loaded = {name: spark.read.parquet(contracts.snapshot_path(f"{wh}/raw", snapshot_id, name)).count() for name in raw}
     models = build_models(raw, as_of)
 
     mart_frames = {name: models[name] for name in MART_NAMES}

@@ -121,19 +121,25 @@ def publish_snapshot(
     snapshot_id: str | None = None,
     gate: Callable[[dict[str, DataFrame]], None] | None = None,
     validate: bool = True,
+    receipt: dict[str, int] | None = None,
 ) -> str:
     """Validate every frame, write them all, run the gate, then commit.
 
     Nothing is written when a contract fails; nothing becomes visible when a write or the
-    gate fails. Returns the committed snapshot id.
+    gate fails. Returns the committed snapshot id; ``receipt`` (S11), when given, receives
+    the rows written per table, counted during the write itself.
     """
+    from tidemark.sources.io import write_table
+
     snapshot_id = snapshot_id or new_snapshot_id()
     if validate:
         for name, df in frames.items():
             if name in CONTRACTS:
                 validate_frame(df, name)
     for name, df in frames.items():
-        df.write.mode("overwrite").parquet(snapshot_path(root, snapshot_id, name))
+        rows = write_table(df, snapshot_path(root, snapshot_id, name), mode="overwrite")
+        if receipt is not None:
+            receipt[name] = rows
     stored = {name: spark.read.parquet(snapshot_path(root, snapshot_id, name)) for name in frames}
     if gate is not None:
         gate(stored)
