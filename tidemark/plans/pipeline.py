@@ -35,9 +35,14 @@ def build_models(
     raw: dict[str, DataFrame],
     as_of: str | datetime | None = K.DEFAULT_AS_OF,
     funnel_steps=K.DEFAULT_FUNNEL_STEPS,
+    staged_events: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """Staging -> intermediate -> marts as lazy DataFrames (views are expanded by Catalyst)."""
-    ev = staging.stage_events(raw["raw_events"])
+    """Staging -> intermediate -> marts as lazy DataFrames (views are expanded by Catalyst).
+
+    ``staged_events`` is a stored copy of the staged events (see :func:`run`); without it
+    the staging view is expanded into every model.
+    """
+    ev = staged_events if staged_events is not None else staging.stage_events(raw["raw_events"])
     users = staging.stage_users(raw["dim_users"])
     asg = staging.stage_assignments(raw["ab_test_assignments"])
     steps = intermediate.user_funnel_steps(ev, funnel_steps)
@@ -72,7 +77,11 @@ def run(
     loaded: dict[str, int] = {}
     snapshot_id = contracts.publish_snapshot(spark, raw_text, f"{wh}/raw", snapshot_id, receipt=loaded)
     raw = contracts.read_snapshot(spark, f"{wh}/raw", snapshot_id)
-    models = build_models(raw, as_of)
+    # Five models read the staged events: store them once, partitioned by event date, so
+    # each model scans Parquet with date pruning instead of re-parsing the raw snapshot.
+    staged_path = f"{wh}/staged/{snapshot_id}/stg_raw_events"
+    io.write_table(staging.stage_events(raw["raw_events"]), staged_path, mode="overwrite", partition_by=["event_date"])
+    models = build_models(raw, as_of, staged_events=spark.read.parquet(staged_path))
 
     mart_frames = {name: models[name] for name in MART_NAMES}
     mart_frames["int_user_activity"] = models["int_user_activity"]
