@@ -90,3 +90,32 @@ def test_non_empty(models):
     rows = {r["model"]: r["passed"] for r in quality.non_empty(
         {"fct_funnel": models["fct_funnel"], "fct_feature_engagement": models["fct_feature_engagement"]}).collect()}
     assert rows == {"fct_funnel": True, "fct_feature_engagement": False}
+
+
+def test_user_without_events_fails_funnel_row_check(spark, sample_raw, models):
+    from tidemark.operators import staging
+
+    extra = spark.createDataFrame(
+        [("user_c", "2026-01-03T00:00:00+00:00", "team", "direct", "DE")], sample_raw["dim_users"].schema
+    )
+    raw_users = sample_raw["dim_users"].unionAll(extra)
+    tables = {
+        "raw_events": sample_raw["raw_events"],
+        "dim_users": raw_users,
+        "stg_dim_users": staging.stage_users(raw_users),
+        "ab_test_assignments": sample_raw["ab_test_assignments"],
+        **{k: v for k, v in models.items() if k in quality.RECONCILIATION_TABLES and k != "stg_dim_users"},
+    }
+    checks = {r["check"]: (r["expected"], r["actual"], r["passed"]) for r in quality.reconciliation(tables).collect()}
+    assert checks["funnel_has_five_rows_per_user"] == (15, 10, False)
+    assert checks["staging_user_count_matches_source"] == (3, 3, True)
+
+
+def test_render_markdown(spark, sample):
+    from tidemark.operators.report import daily_metrics, render_markdown
+
+    text = render_markdown(daily_metrics(sample["users"], sample["events"], sample["assignments"]))
+    assert text.startswith("# Daily SaaS Metrics Report")
+    assert "- biggest_dropoff_step: **first_project_created**" in text
+    assert "- biggest_dropoff: **100.0%**" in text
+    assert "- users: **2**" in text
