@@ -17,6 +17,7 @@ from tidemark.functions import fmt
 from tidemark.operators.cohort import heatmap, retention
 from tidemark.operators.experiment import conversion_flags, evaluate_experiments, variant_comparison
 from tidemark.operators.funnel import funnel, funnel_with_index
+from tidemark.session import ensure_checkpoint_dir
 
 NO_DROPOFF_TEXT = "Not enough data for drop-off analysis"
 
@@ -59,9 +60,12 @@ def daily_metrics(
             )
         )
     )
-    # The funnel is computed once; the step lines and the biggest drop-off both read it,
-    # so the plan holds one copy of its shuffle (identical subtrees are reused).
-    fw = funnel_with_index(events, funnel_steps)
+    # The funnel (one row per step) is computed once and checkpointed to the shared
+    # checkpoint folder; the step lines and the biggest drop-off both read that copy, so the
+    # step events are scanned once (column pruning makes the two branches differ, which
+    # defeats exchange reuse otherwise).
+    ensure_checkpoint_dir(events.sparkSession)
+    fw = funnel_with_index(events, funnel_steps).checkpoint(eager=True)
     worst = fw.filter(F.col("step_index") > 0).agg(
         F.max_by(
             F.struct("step", "dropoff_from_previous"),
