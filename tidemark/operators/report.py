@@ -17,7 +17,6 @@ from tidemark.functions import fmt
 from tidemark.operators.cohort import heatmap, retention
 from tidemark.operators.experiment import conversion_flags, evaluate_experiments, variant_comparison
 from tidemark.operators.funnel import funnel, funnel_with_index
-from tidemark.session import ensure_checkpoint_dir
 
 NO_DROPOFF_TEXT = "Not enough data for drop-off analysis"
 
@@ -60,59 +59,45 @@ def daily_metrics(
             )
         )
     )
-    # The funnel (one row per step) is computed once and checkpointed to the shared
-    # checkpoint folder; the step lines and the biggest drop-off both read that copy, so the
-    # step events are scanned once (column pruning makes the two branches differ, which
-    # defeats exchange reuse otherwise).
-    ensure_checkpoint_dir(events.sparkSession)
-    fw = funnel_with_index(events, funnel_steps).checkpoint(eager=True)
-    worst = fw.filter(F.col("step_index") > 0).agg(
+    # The funnel has one row per requested step. It is folded into ONE row (the step list,
+    # bounded by the argument, and the worst step), and every funnel line is generated from
+    # that row, so the step events are scanned once and nothing runs eagerly.
+    fw = funnel_with_index(events, funnel_steps)
+    after_first = F.col("step_index") > 0
+    summary = fw.agg(
+        F.collect_list(
+            F.struct("step_index", "step", "users", "conversion_from_previous", "dropoff_from_previous")
+        ).alias("steps"),
         F.max_by(
             F.struct("step", "dropoff_from_previous"),
-            F.struct("dropoff_from_previous", -F.col("step_index")),  # ties -> earlier step
-        ).alias("b")
+            F.when(after_first, F.struct("dropoff_from_previous", -F.col("step_index"))),  # ties -> earlier
+        ).alias("worst"),
     )
-    drop_step, drop_value = F.col("b.step"), F.col("b.dropoff_from_previous")
-    dropoff_rows = worst.select(
-        F.inline(
-            F.array(
-                _row(
-                    10,
-                    "funnel",
-                    F.lit("biggest_dropoff_step"),
-                    F.lit(None),
-                    F.coalesce(drop_step, F.lit(NO_DROPOFF_TEXT)),
-                ),
-                _row(11, "funnel", F.lit("biggest_dropoff"), drop_value, fmt.percent(drop_value, 1)),
-            )
-        )
+    drop_step, drop_value = F.col("worst.step"), F.col("worst.dropoff_from_previous")
+    dropoff_lines = F.array(
+        _row(10, "funnel", F.lit("biggest_dropoff_step"), F.lit(None), F.coalesce(drop_step, F.lit(NO_DROPOFF_TEXT))),
+        _row(11, "funnel", F.lit("biggest_dropoff"), drop_value, fmt.percent(drop_value, 1)),
     )
-    steps = fw.select(
-        F.inline(
-            F.array(
-                F.struct(
-                    (F.lit(100) + F.col("step_index") * 3).alias("line"),
-                    F.lit("funnel").alias("section"),
-                    F.concat(F.col("step"), F.lit(":users")).alias("metric"),
-                    F.col("users").cast("double").alias("value"),
-                    fmt.thousands(F.col("users")).alias("display"),
-                ),
-                F.struct(
-                    (F.lit(101) + F.col("step_index") * 3).alias("line"),
-                    F.lit("funnel").alias("section"),
-                    F.concat(F.col("step"), F.lit(":conversion_from_previous")).alias("metric"),
-                    F.col("conversion_from_previous").alias("value"),
-                    fmt.percent(F.col("conversion_from_previous"), 1).alias("display"),
-                ),
-                F.struct(
-                    (F.lit(102) + F.col("step_index") * 3).alias("line"),
-                    F.lit("funnel").alias("section"),
-                    F.concat(F.col("step"), F.lit(":dropoff_from_previous")).alias("metric"),
-                    F.col("dropoff_from_previous").alias("value"),
-                    fmt.percent(F.col("dropoff_from_previous"), 1).alias("display"),
-                ),
+
+    def step_lines(r: Column) -> Column:
+        def line(offset: int, suffix: str, value: Column, display: Column) -> Column:
+            return F.struct(
+                (F.lit(100 + offset) + r["step_index"] * 3).alias("line"),
+                F.lit("funnel").alias("section"),
+                F.concat(r["step"], F.lit(suffix)).alias("metric"),
+                value.cast("double").alias("value"),
+                display.alias("display"),
             )
+
+        conv, drop_ = r["conversion_from_previous"], r["dropoff_from_previous"]
+        return F.array(
+            line(0, ":users", r["users"], fmt.thousands(r["users"])),
+            line(1, ":conversion_from_previous", conv, fmt.percent(conv, 1)),
+            line(2, ":dropoff_from_previous", drop_, fmt.percent(drop_, 1)),
         )
+
+    funnel_rows = summary.select(
+        F.inline(F.concat(dropoff_lines, F.flatten(F.transform("steps", step_lines))))
     )
     ab = evaluate_experiments(
         conversion_flags(assignments, events, conversion_events), alpha=alpha, pooled=True, revenue_col=None
@@ -132,7 +117,7 @@ def daily_metrics(
             )
         )
     )
-    return reduce(DataFrame.unionAll, [top, dropoff_rows, steps, ab_rows])
+    return reduce(DataFrame.unionAll, [top, funnel_rows, ab_rows])
 
 
 def render_markdown(report: DataFrame, title: str = "Daily SaaS Metrics Report") -> str:
