@@ -48,3 +48,16 @@ def test_pipeline_end_to_end(spark, scratch_dir):
     assert metrics["recommendation"]["display"].startswith("No significant effect")
     for name in ("funnel", "retention_heatmap", "variant_comparison"):
         assert spark.read.parquet(f"{wh}/reports/20260726T000000Z/{name}").count() > 0
+
+
+def test_verify_warehouse_after_build(spark, scratch_dir):
+    src = write_snapshot(os.path.join(scratch_dir, "src"), USERS_CSV, RICH_EVENTS, ASSIGN_CSV)
+    wh = os.path.join(scratch_dir, "wh")
+    pipeline.run(spark, src, wh, snapshot_id="20260726T000000Z")
+    out = pipeline.verify_warehouse(spark, wh)
+    assert out["counts"]["raw_events"] == 10 and out["counts"]["fct_funnel"] == 10
+    assert set(out["checks"]) == {
+        "staging_event_count_matches_source", "staging_user_count_matches_source", "assignment_mart_matches_source",
+        "funnel_has_five_rows_per_user", "cohort_mart_is_not_empty", "engagement_mart_is_not_empty",
+    }
+    assert all(out["checks"].values())

@@ -127,3 +127,71 @@ def run(
         df.write.mode("overwrite").parquet(f"{wh}/reports/{snapshot_id}/{name}")
     result.report_rows = [r.asDict() for r in spark.read.parquet(f"{wh}/reports/{snapshot_id}/daily_metrics").orderBy("line").collect()]
     return result
+
+
+def verify_warehouse(spark: SparkSession, warehouse_root: str, snapshot_id: str | None = None) -> dict:
+    """Q9/Q10 on a stored warehouse: the nine counts and six checks, as ``{"counts", "checks"}``.
+
+    Raises :class:`quality.GateFailed` naming the failed checks. Reads the committed raw and
+    mart snapshots (the newest ones unless ``snapshot_id`` is given); collects 15 small rows.
+    """
+    wh = warehouse_root.rstrip("/")
+    snapshot_id = snapshot_id or contracts.current_snapshot(spark, f"{wh}/marts")
+    if snapshot_id is None:
+        raise FileNotFoundError(f"no committed marts under {wh}")
+    raw = contracts.read_snapshot(spark, f"{wh}/raw", snapshot_id)
+    tables = {
+        "raw_events": raw["raw_events"],
+        "stg_raw_events": spark.read.parquet(f"{wh}/staged/{snapshot_id}/stg_raw_events"),
+        "dim_users": raw["dim_users"],
+        "stg_dim_users": staging.stage_users(raw["dim_users"]),
+        "ab_test_assignments": raw["ab_test_assignments"],
+        **{n: contracts.read_source(spark, f"{wh}/marts", n, snapshot_id) for n in MART_NAMES},
+    }
+    counts = {r["model"]: r["row_count"] for r in quality.row_counts(tables).collect()}
+    checks_df = quality.reconciliation(tables)
+    checks = {r["check"]: r["passed"] for r in checks_df.collect()}
+    result = {"counts": counts, "checks": checks}
+    failed = [name for name, ok in checks.items() if not ok]
+    if failed:
+        raise quality.GateFailed(f"Warehouse verification failed: {', '.join(failed)}")
+    return result
+
+
+def main(argv: list[str] | None = None) -> int:
+    """``spark-submit tidemark/plans/pipeline.py build|verify ...``: prints one JSON document."""
+    import argparse
+    import json
+
+    from tidemark.operators.report import render_markdown
+    from tidemark.session import build_session
+
+    parser = argparse.ArgumentParser(prog="tidemark-pipeline")
+    sub = parser.add_subparsers(dest="command", required=True)
+    build = sub.add_parser("build", help="load, validate, publish, build, check and report")
+    build.add_argument("source", help="folder with dim_users.csv, raw_events.csv, ab_test_assignments.csv")
+    build.add_argument("warehouse", help="warehouse root (shared storage)")
+    build.add_argument("--as-of", default=K.DEFAULT_AS_OF)
+    build.add_argument("--snapshot-id")
+    verify = sub.add_parser("verify", help="reconcile source and mart counts of a stored warehouse")
+    verify.add_argument("warehouse")
+    verify.add_argument("--snapshot-id")
+    args = parser.parse_args(argv)
+
+    spark = build_session()
+    try:
+        if args.command == "build":
+            res = run(spark, args.source, args.warehouse, args.as_of, args.snapshot_id)
+            report = spark.read.parquet(f"{args.warehouse.rstrip('/')}/reports/{res.snapshot_id}/daily_metrics")
+            print(json.dumps({"snapshot_id": res.snapshot_id, "loaded": res.loaded, "checks": res.checks}, default=str))
+            print(render_markdown(report))
+        else:
+            print(json.dumps(verify_warehouse(spark, args.warehouse, args.snapshot_id), indent=2, sort_keys=True))
+    except (quality.GateFailed, contracts.ContractError) as exc:
+        print(str(exc))
+        return 1
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())
