@@ -42,7 +42,6 @@ def build_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     apply_runtime_conf(spark)
-    ensure_checkpoint_dir(spark)
     return spark
 
 
