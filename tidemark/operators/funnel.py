@@ -30,6 +30,11 @@ def _step_relation(events: DataFrame, steps: list[str]) -> DataFrame:
 
 
 def funnel_with_index(events: DataFrame, steps: Sequence[str] | None = None) -> DataFrame:
+    """N1 with the step position kept: step_index, step, users, conversion and drop-off.
+
+    A step no user did counts 0; the step after a 0 (and the first step) gets conversion
+    1.0 and drop-off 0.0 (F14).
+    """
     steps = resolve_steps(steps)
     # Distinct users per step: planned as a partial aggregate on (event_name, user_id) and
     # a final count per step, so no single task sees every user of a popular step.
