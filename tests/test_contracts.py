@@ -117,3 +117,12 @@ def test_write_table_receipt_and_export(spark, scratch_dir, sample):
     assert spark.table("stg_raw_events_test").count() == view.count() == 6
     stored = io.materialize(sample["events"], "fct_test", "marts", os.path.join(scratch_dir, "marts"))
     assert stored.count() == 6
+
+
+def test_unfinished_commit_marker_is_ignored(spark, scratch_dir):
+    wh = os.path.join(scratch_dir, "wh")
+    good = io.read_csv_snapshot(spark, write_snapshot(os.path.join(scratch_dir, "good")))
+    first = contracts.publish_snapshot(spark, good, wh, "20260101T000000Z")
+    # a commit job that died midway leaves its folder behind without _SUCCESS
+    os.makedirs(os.path.join(wh, "_commits", "20260105T000000Z", "_temporary"))
+    assert contracts.current_snapshot(spark, wh) == first

@@ -99,14 +99,25 @@ def snapshot_path(root: str, snapshot_id: str, table: str | None = None) -> str:
 
 
 def committed_snapshots(spark: SparkSession, root: str) -> list[str]:
-    """Committed snapshot ids, oldest first (a listing of the marker folder)."""
+    """Committed snapshot ids, oldest first (a listing of the marker folder).
+
+    A marker counts only when its write job committed (``_SUCCESS`` present): the folder
+    itself appears as soon as the marker job starts, so a commit that died midway is ignored.
+    """
     from tidemark.sources.io import hadoop_path
 
     fs, p = hadoop_path(spark, _commit_dir(root))
     if not fs.exists(p):
         return []
-    names = [s.getPath().getName() for s in fs.listStatus(p)]
-    return sorted(n for n in names if not n.startswith((".", "_")))
+    jvm = spark.sparkContext._jvm
+    ids = []
+    for status in fs.listStatus(p):
+        name = status.getPath().getName()
+        if name.startswith((".", "_")):
+            continue
+        if fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
+            ids.append(name)
+    return sorted(ids)
 
 
 def current_snapshot(spark: SparkSession, root: str) -> str | None:
