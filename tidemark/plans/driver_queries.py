@@ -155,6 +155,14 @@ def q_fct_feature_engagement(spark, d):
     return edge(marts.fct_feature_engagement(product_world(spark, d)["events"], A.FEATURE_PREFIX))
 
 
+LIKE_PREFIX = "c_"
+
+
+def q_fct_feature_engagement_like(spark, d):
+    """The SQL form, where ``_`` in the prefix matches any one character."""
+    return edge(marts.fct_feature_engagement(product_world(spark, d)["events"], LIKE_PREFIX, feature_match="like"))
+
+
 # ---- funnel and retention analytics -------------------------------------------------------------
 
 CUSTOM_STEPS = ("click", "view", "error", "purchase")
@@ -416,6 +424,7 @@ QUERIES: dict[str, QueryFn] = {
     "fct_cohort_weekly": q_fct_cohort_weekly,
     "fct_ab_tests": q_fct_ab_tests,
     "fct_feature_engagement": q_fct_feature_engagement,
+    "fct_feature_engagement_like": q_fct_feature_engagement_like,
     "funnel": q_funnel,
     "funnel_custom_steps": q_funnel_custom_steps,
     "funnel_zero_step": q_funnel_zero_step,

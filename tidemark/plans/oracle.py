@@ -329,6 +329,9 @@ def oracle_sql() -> dict[str, str]:
         "fct_ab_tests": _with(ORDER_WORLD) + """SELECT experiment_id, user_id, variant, converted,
             round(CAST(revenue AS DOUBLE), 9) AS revenue, assigned_ts FROM ab""",
         "fct_feature_engagement": _with(*PRODUCT_MARTS) + "SELECT * FROM fct_eng",
+        "fct_feature_engagement_like": _with(SE) + f"""SELECT user_id, CAST(date_trunc('week', event_ts) AS DATE) AS week_start,
+            event_name AS feature_event, count(*) AS usage_count FROM se
+            WHERE event_name LIKE '{Q.LIKE_PREFIX}%' GROUP BY 1, 2, 3""",
         "funnel": _funnel(A.FUNNEL_STEPS),
         "funnel_custom_steps": _funnel(Q.CUSTOM_STEPS),
         "funnel_zero_step": _funnel(Q.ZERO_STEPS),
