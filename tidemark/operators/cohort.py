@@ -46,12 +46,14 @@ def retention(
     users: DataFrame,
     period: str = "weekly",
     session_event: str | Sequence[str] | None = K.SESSION_EVENT,
+    sort: bool = True,
 ) -> DataFrame:
     """Retained users and retention rate per cohort and period since signup.
 
     ``period`` is ``"weekly"`` (Monday weeks) or ``"monthly"``. Timestamps are parsed
     leniently: unparseable values become NULL and those rows are dropped. Sessions are
     reduced to distinct (user, active period) pairs before the join with users.
+    ``sort=False`` skips the final ordering (O1) for consumers that re-aggregate.
     """
     valid_users = _valid_users(users, period)
     ts = utc_column(events, "event_ts", strict=False)
@@ -74,17 +76,14 @@ def retention(
         .agg(F.countDistinct("user_id").alias("retained"))
     )
     sizes = valid_users.groupBy("cohort_period").agg(F.countDistinct("user_id").alias("users"))
-    return (
-        retained.join(sizes, "cohort_period", "left")
-        .select(
-            "cohort_period",
-            "period_number",
-            "retained",
-            "users",
-            (F.col("retained") / F.col("users")).alias("retention_rate"),
-        )
-        .orderBy("cohort_period", "period_number")
+    result = retained.join(sizes, "cohort_period", "left").select(
+        "cohort_period",
+        "period_number",
+        "retained",
+        "users",
+        (F.col("retained") / F.col("users")).alias("retention_rate"),
     )
+    return result.orderBy("cohort_period", "period_number") if sort else result
 
 
 def heatmap(retention_table: DataFrame, periods: Sequence[int] | None = None) -> DataFrame:

@@ -142,6 +142,6 @@ def chart_tables(
     """The data behind the funnel bars, the retention heatmap and the variant bars."""
     return {
         "funnel": funnel(events, funnel_steps),
-        "retention_heatmap": heatmap(retention(events, users, "weekly")),
+        "retention_heatmap": heatmap(retention(events, users, "weekly", sort=False)),
         "variant_comparison": variant_comparison(conversion_flags(assignments, events, conversion_events)),
     }

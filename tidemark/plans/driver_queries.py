@@ -201,7 +201,7 @@ def q_cohort_sizes_monthly(spark, d):
 
 def q_retention_heatmap(spark, d):
     w = product_world(spark, d)
-    return edge(cohort.heatmap(cohort.retention(w["events"], w["users"], "weekly", A.SESSION_EVENT)))
+    return edge(cohort.heatmap(cohort.retention(w["events"], w["users"], "weekly", A.SESSION_EVENT, sort=False)))
 
 
 def q_behavior_table(spark, d):
