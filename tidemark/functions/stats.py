@@ -8,12 +8,18 @@ aggregated rows (one row per experiment), never over event rows.
 from __future__ import annotations
 
 import math
+import sys
 from statistics import NormalDist
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
+# The UDFs below travel with the task (pickled by value), so Python workers need no copy
+# of this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _STD_NORMAL = NormalDist()
 
 
