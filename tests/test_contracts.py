@@ -126,3 +126,14 @@ def test_unfinished_commit_marker_is_ignored(spark, scratch_dir):
     # a commit job that died midway leaves its folder behind without _SUCCESS
     os.makedirs(os.path.join(wh, "_commits", "20260105T000000Z", "_temporary"))
     assert contracts.current_snapshot(spark, wh) == first
+
+
+def test_model_metadata_and_descriptions(spark, sample):
+    from tidemark.sources.metadata import describe, model_metadata
+
+    meta = {r["model"]: r for r in model_metadata(spark).collect()}
+    assert len(meta) == 9 and meta["fct_funnel"]["layer"] == "marts" and meta["stg_raw_events"]["materialized"] == "view"
+    assert "daily_metrics_report" in meta["fct_ab_tests"]["consumers"]
+    described = describe(sample["events"], {"event_id": "one row per event identifier"})
+    assert described.schema["event_id"].metadata == {"comment": "one row per event identifier"}
+    assert described.columns == sample["events"].columns
