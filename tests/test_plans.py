@@ -29,8 +29,14 @@ def test_no_python_on_event_rows(spark, name):
     assert "ArrowEvalPython" not in p and "BatchEvalPython" not in p
 
 
+@pytest.mark.parametrize("name", ["ab_pvalue", "ab_decision", "ab_pooled", "daily_metrics"])
+def test_normal_tail_is_jvm_side(spark, name):
+    p = plan(QUERIES[name](spark, SMOKE_DIR))
+    assert "ArrowEvalPython" not in p and "BatchEvalPython" not in p
+
+
 def test_statistics_udf_runs_after_the_aggregation(spark):
-    p = plan(QUERIES["ab_pvalue"](spark, SMOKE_DIR))
+    p = plan(QUERIES["ab_revenue_welch"](spark, SMOKE_DIR))
     lines = p.splitlines()
     udf_line = next(i for i, line in enumerate(lines) if "ArrowEvalPython" in line)
     agg_line = next(i for i, line in enumerate(lines) if "HashAggregate" in line)
