@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import constants as K
 from tidemark.functions.stats import normal_quantile, normal_two_sided_p, student_t_two_sided_p
@@ -58,11 +59,15 @@ def arm_statistics(
     if revenue_col is not None:
         rev = F.col(revenue_col).cast("double")
         rev = F.when(~F.isnan(rev), rev)  # NaN omitted, like NULL
+        # A decimal revenue is averaged as an exact decimal sum (no rounding drift over
+        # billions of rows); the variance uses Spark's numerically stable moment aggregate.
+        exact = isinstance(outcomes.schema[revenue_col].dataType, T.DecimalType)
+        mean_src = F.col(revenue_col) if exact else rev
         for arm, cond in (("control", is_c), ("treatment", is_t)):
             arm_rev = F.when(cond, rev)
             aggs += [
                 F.count(arm_rev).alias(f"{arm}_revenue_n"),
-                F.avg(arm_rev).alias(f"{arm}_revenue_mean"),
+                F.avg(F.when(cond, mean_src)).cast("double").alias(f"{arm}_revenue_mean"),
                 F.var_samp(arm_rev).alias(f"{arm}_revenue_var"),
             ]
     grouped = outcomes.groupBy(*by) if by else outcomes.groupBy()
