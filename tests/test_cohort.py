@@ -75,3 +75,11 @@ def test_offset_converted_to_utc(spark):
 def test_unknown_period_rejected(sample):
     with pytest.raises(ValueError):
         retention(sample["events"], sample["users"], "daily")
+
+
+def test_empty_retention_and_heatmap(spark):
+    ev = spark.createDataFrame([], "user_id string, event_name string, event_ts string")
+    users = spark.createDataFrame([("a", "2026-01-01T00:00:00Z")], "user_id string, signup_ts string")
+    assert retention(ev, users).count() == 0
+    hm = heatmap(retention(ev, users))
+    assert hm.columns == ["cohort_period"] and hm.count() == 0
