@@ -2,9 +2,9 @@
 
 Usage: python tools/skew_check.py <scratch_dir> [copies] [query ...]
 
-Builds ONE enlarged copy of the driver's sf0.1 tables in ``scratch_dir/data`` (events
-replicated ``copies`` times with fresh event ids; every third copy is re-assigned to a single
-hot user, so that user holds a third of all events), runs the event-heavy registered queries
+Builds ONE enlarged copy of the driver's sf0.1 tables in ``scratch_dir/data``: events, orders
+and lineitems replicated ``copies`` times with fresh keys, every third copy re-assigned to one
+hot user / customer / order key, so each holds a third of its table. It then runs the event-heavy registered queries
 with Spark's event log written to ``scratch_dir/eventlog``, and prints, per query, the wall
 time and the worst stage's max/median task time. A plan that gathered the hot user's rows in
 one task would show a large max/median ratio on a stage that reads all events.
@@ -30,9 +30,11 @@ from tidemark.session import build_session  # noqa: E402
 
 SOURCE = "/root/testdata/sf0.1"
 HOT_USER = 7
+HOT_ORDER = 11
 DEFAULT_QUERIES = [
     "int_user_activity", "int_funnel_steps", "fct_funnel", "fct_cohort_weekly", "fct_feature_engagement",
     "funnel", "retention_weekly", "behavior_table", "dq_relationships", "dq_unique", "topline", "daily_metrics",
+    "fct_ab_tests", "ab_rates", "ab_revenue_welch", "retention_monthly", "contract_duplicate_keys",
 ]
 
 
@@ -40,9 +42,23 @@ def build_copy(spark, data_dir: Path, copies: int) -> None:
     if (data_dir / "_READY").exists():
         return
     data_dir.mkdir(parents=True, exist_ok=True)
+    enlarged = ("events.parquet", "orders.parquet", "lineitem.parquet")
     for f in glob.glob(f"{SOURCE}/*.parquet"):
-        if not f.endswith("/events.parquet"):
+        if not f.endswith(enlarged):
             shutil.copy(f, data_dir)
+    reps = F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))
+    hot = F.col("k") % 3 == 0
+    orders = spark.read.parquet(f"{SOURCE}/orders.parquet").withColumn("k", reps)
+    orders.select(
+        (F.col("o_orderkey") * copies + F.col("k")).alias("o_orderkey"),
+        F.when(hot, F.lit(HOT_USER).cast("bigint")).otherwise(F.col("o_custkey")).alias("o_custkey"),
+        "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority",
+    ).repartition(64).write.mode("overwrite").parquet(str(data_dir / "orders.parquet"))
+    items = spark.read.parquet(f"{SOURCE}/lineitem.parquet").withColumn("k", reps)
+    items.select(
+        F.when(hot, F.lit(HOT_ORDER).cast("bigint")).otherwise(F.col("l_orderkey") * copies + F.col("k")).alias("l_orderkey"),
+        *[c for c in items.columns if c not in ("l_orderkey", "k")],
+    ).repartition(64).write.mode("overwrite").parquet(str(data_dir / "lineitem.parquet"))
     ev = spark.read.parquet(f"{SOURCE}/events.parquet")
     big = ev.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
     big = big.select(
