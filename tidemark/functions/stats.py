@@ -20,9 +20,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
-# The UDFs below travel with the task (pickled by value), so Python workers need no copy
-# of this package on their path.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+# The UDF below travels with the task (pickled by value), so Python workers need no copy
+# of this package on their path. Without that hook, ship the package with --py-files.
+try:
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+except AttributeError:  # pragma: no cover - older cloudpickle
+    pass
 
 _STD_NORMAL = NormalDist()
 
