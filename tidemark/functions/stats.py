@@ -1,31 +1,20 @@
 """Statistics helpers.
 
-Test statistics are built from per-arm sufficient statistics with JVM expressions. The normal
-tail is a JVM expression too (Spark SQL has no ``erf``: a series and a continued fraction
-written with built-in higher-order functions). Only the Student-t tail, which needs the
-incomplete beta function, runs in Python, as an Arrow-batched pandas UDF over the aggregated
-rows (one row per experiment), never over event rows.
+Test statistics are built from per-arm sufficient statistics, and both distribution tails
+are JVM expressions too: Spark SQL has no ``erf`` or incomplete beta function, so the normal
+tail (a series and a continued fraction) and the Student-t tail (Stirling ``lgamma`` and the
+incomplete-beta continued fraction) are written with built-in higher-order functions. They
+run over the aggregated rows (one per experiment). The plain-Python versions below are the
+reference the tests compare against.
 """
 
 from __future__ import annotations
 
 import math
-import sys
 from statistics import NormalDist
 
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import DoubleType
-
-# The UDF below travels with the task (pickled by value), so Python workers need no copy
-# of this package on their path. Without that hook, ship the package with --py-files.
-try:
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
-except AttributeError:  # pragma: no cover - older cloudpickle
-    pass
 
 _STD_NORMAL = NormalDist()
 
@@ -144,11 +133,99 @@ def normal_two_sided_p(z: Column) -> Column:
     return erfc_column(F.abs(z) / F.lit(math.sqrt(2.0)))
 
 
-@pandas_udf(DoubleType())
-def student_t_two_sided_p(t: pd.Series, df: pd.Series) -> pd.Series:
-    """two-sided Student-t tail via the regularized incomplete beta function."""
-    out = [
-        _student_t_two_sided(None if pd.isna(a) else float(a), None if pd.isna(b) else float(b))
-        for a, b in zip(t, df)
-    ]
-    return pd.Series(out, dtype="float64")
+def _guard(v: Column) -> Column:
+    return F.when(F.abs(v) < F.lit(1e-300), F.lit(1e-300)).otherwise(v)
+
+
+CF_ITERATIONS = 200
+
+
+def _betacf_column(a: Column, b: Column, x: Column) -> Column:
+    """The incomplete-beta continued fraction (modified Lentz) as a JVM expression.
+
+    Runs a fixed number of steps and freezes once a step changes the value by less than
+    1e-16; below ``LARGE_DF`` it needs at most a few dozen steps.
+    """
+    qab, qap, qam = a + b, a + F.lit(1.0), a - F.lit(1.0)
+    d0 = F.lit(1.0) / _guard(F.lit(1.0) - qab * x / qap)
+    init = F.struct(F.lit(1.0).alias("c"), d0.alias("d"), d0.alias("h"), F.lit(False).alias("done"))
+
+    def step(acc: Column, i: Column) -> Column:
+        m = i.cast("double")
+        m2 = m * F.lit(2.0)
+        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
+        d1 = F.lit(1.0) / _guard(F.lit(1.0) + aa * acc["d"])
+        c1 = _guard(F.lit(1.0) + aa / acc["c"])
+        aa2 = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
+        d2 = F.lit(1.0) / _guard(F.lit(1.0) + aa2 * d1)
+        c2 = _guard(F.lit(1.0) + aa2 / c1)
+        delta = d2 * c2
+        new = F.struct(
+            c2.alias("c"),
+            d2.alias("d"),
+            (acc["h"] * d1 * c1 * delta).alias("h"),
+            (F.abs(delta - F.lit(1.0)) < F.lit(1e-16)).alias("done"),
+        )
+        return F.when(acc["done"], acc).otherwise(new)
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(CF_ITERATIONS)), init, step)["h"]
+
+
+def _lgamma_column(z: Column) -> Column:
+    """ln Gamma(z), z > 0: shift to z + k >= 20, then Stirling's series (error < 1e-16)."""
+    k = F.greatest(F.lit(0.0), F.lit(20.0) - F.floor(z))
+    shift = F.aggregate(
+        F.sequence(F.lit(0), F.lit(19)),
+        F.lit(0.0),
+        lambda acc, i: acc + F.when(i < k, F.log(z + i)).otherwise(F.lit(0.0)),
+    )
+    w = z + k
+    series = (
+        F.lit(1.0) / (F.lit(12.0) * w)
+        - F.lit(1.0) / (F.lit(360.0) * F.pow(w, 3))
+        + F.lit(1.0) / (F.lit(1260.0) * F.pow(w, 5))
+        - F.lit(1.0) / (F.lit(1680.0) * F.pow(w, 7))
+        + F.lit(1.0) / (F.lit(1188.0) * F.pow(w, 9))
+    )
+    return (w - F.lit(0.5)) * F.log(w) - w + F.lit(0.5 * math.log(2.0 * math.pi)) + series - shift
+
+
+def _log_beta_half_column(a: Column) -> Column:
+    """ln B(a, 1/2); the asymptotic series for large a, as in :func:`_log_beta`."""
+    log_ratio = (
+        F.lit(0.5) * F.log(a)
+        - F.lit(1.0) / (F.lit(8.0) * a)
+        + F.lit(1.0) / (F.lit(192.0) * F.pow(a, 3))
+        - F.lit(1.0) / (F.lit(640.0) * F.pow(a, 5))
+    )
+    exact = _lgamma_column(a) - _lgamma_column(a + F.lit(0.5))
+    return F.lit(math.lgamma(0.5)) + F.when(a >= F.lit(100.0), -log_ratio).otherwise(exact)
+
+
+def student_t_two_sided_p(t: Column, df: Column) -> Column:
+    """two-sided Student-t tail ``P(|T_df| > |t|)`` as a JVM expression.
+
+    The regularized incomplete beta ``I_x(df/2, 1/2)`` with ``x = df/(df+t^2)`` (its exact
+    complement is passed, as in :func:`regularized_incomplete_beta`), or the first-order
+    expansion around the normal tail above ``LARGE_DF``. NULL/NaN input or df <= 0 gives NULL.
+    """
+    t2 = t * t
+    x = df / (df + t2)
+    y = t2 / (df + t2)
+    a, b = df / F.lit(2.0), F.lit(0.5)
+    log_x = F.when(y < F.lit(0.5), F.log1p(-y)).otherwise(F.log(x))
+    log_y = F.when(x < F.lit(0.5), F.log1p(-x)).otherwise(F.log(y))
+    front = F.exp(a * log_x + b * log_y - _log_beta_half_column(a))
+    direct = front * _betacf_column(a, b, x) / a
+    mirrored = F.lit(1.0) - front * _betacf_column(b, a, y) / b
+    beta_tail = F.when(x < (a + F.lit(1.0)) / (a + b + F.lit(2.0)), direct).otherwise(mirrored)
+    at = F.abs(t)
+    phi = F.exp(F.lit(-0.5) * at * at) / F.lit(math.sqrt(2.0 * math.pi))
+    expansion = erfc_column(at / F.lit(math.sqrt(2.0))) + F.lit(2.0) * phi * (F.pow(at, 3) + at) / (F.lit(4.0) * df)
+    invalid = t.isNull() | df.isNull() | F.isnan(t) | F.isnan(df) | (df <= F.lit(0.0))
+    return (
+        F.when(invalid, F.lit(None).cast("double"))
+        .when(t == F.lit(0.0), F.lit(1.0))
+        .when(df >= F.lit(LARGE_DF), expansion)
+        .otherwise(beta_tail)
+    )
