@@ -67,7 +67,7 @@ def main(argv) -> None:
         f"Generated by `tools/plan_report.py` on `{sf_dir}` (Spark {spark.version}, AQE on). Counts are taken from the",
         "final adaptive plan after one execution, subqueries included. `single-partition` exchanges are the final step",
         "of global aggregates (one partial row per map task) or the funnel's step-relation window (one row per step);",
-        "`python` nodes appear only above the per-experiment aggregate. Queries over users scan `customer`, `nation`",
+        "`python` nodes: none (both statistics tails are JVM expressions). Queries over users scan `customer`, `nation`",
         "and `region` as well: the adapter derives users from them (small dimension sides, broadcast after the planner's",
         "size check). A query whose anti join or filter is empty at runtime can show 0 scans: AQE replaced the empty",
         "branch after the scan stage ran.",
