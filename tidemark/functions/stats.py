@@ -13,7 +13,7 @@ from __future__ import annotations
 import math
 from statistics import NormalDist
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _STD_NORMAL = NormalDist()
@@ -128,104 +128,113 @@ def erfc_column(x: Column) -> Column:
     return F.when(x < F.lit(2.0), F.lit(1.0) - erf_small).otherwise(erfc_large)
 
 
-def normal_two_sided_p(z: Column) -> Column:
-    """two-sided normal tail ``erfc(|z|/sqrt 2)``; NULL z gives NULL."""
+def erfc_sql(x: str) -> str:
+    """:func:`erfc_column` as SQL text (one parse instead of one JVM call per operation)."""
+    x = f"({x})"
+    term = f"_e.term * 2.0D * {x} * {x} / (2 * _n + 1)"
+    series = (
+        f"aggregate(sequence(1, {ERF_SERIES_TERMS}), named_struct('term', {x}, 'total', {x}),"
+        f" (_e, _n) -> named_struct('term', {term}, 'total', _e.total + {term})).total"
+    )
+    fraction = f"aggregate(sequence({ERFC_FRACTION_TERMS}, 1, -1), {x}, (_f, _k) -> {x} + (_k / 2.0D) / _f)"
+    return (
+        f"CASE WHEN {x} < 2.0D THEN 1.0D - {2.0 / math.sqrt(math.pi)!r}D * exp(-{x} * {x}) * {series}"
+        f" ELSE exp(-{x} * {x}) / {math.sqrt(math.pi)!r}D / {fraction} END"
+    )
+
+
+def normal_two_sided_p(z: Column | str) -> Column:
+    """two-sided normal tail ``erfc(|z|/sqrt 2)``; NULL z gives NULL.
+
+    ``z`` is a column name (built from SQL text, cheapest) or a Column expression.
+    """
+    if isinstance(z, str):
+        return F.expr(erfc_sql(f"abs(`{z}`) / {math.sqrt(2.0)!r}D"))
     return erfc_column(F.abs(z) / F.lit(math.sqrt(2.0)))
 
 
-def _guard(v: Column) -> Column:
-    return F.when(F.abs(v) < F.lit(1e-300), F.lit(1e-300)).otherwise(v)
+CF_HALF_STEPS = 400  # 200 continued-fraction terms, two half-steps each
 
+_LGAMMA_SQL = (
+    # ln Gamma(z), z > 0: shift to w = z + k >= 20, then Stirling's series (error < 1e-16)
+    "(({w} - 0.5D) * ln({w}) - {w} + {half_log_2pi}D + 1.0D / (12.0D * {w}) - 1.0D / (360.0D * pow({w}, 3))"
+    " + 1.0D / (1260.0D * pow({w}, 5)) - 1.0D / (1680.0D * pow({w}, 7)) + 1.0D / (1188.0D * pow({w}, 9))"
+    " - aggregate(sequence(0, 19), 0.0D, (_lg, _j) -> _lg + IF(_j < {k}, ln({z} + _j), 0.0D)))"
+)
 
-CF_ITERATIONS = 200
 
+def _lgamma_sql(z: str) -> str:
+    k = f"greatest(0.0D, 20.0D - floor({z}))"
+    return _LGAMMA_SQL.format(w=f"({z} + {k})", k=k, z=z, half_log_2pi=repr(0.5 * math.log(2.0 * math.pi)))
 
-def _betacf_column(a: Column, b: Column, x: Column) -> Column:
-    """The incomplete-beta continued fraction (modified Lentz) as a JVM expression.
 
-    Runs a fixed number of steps and freezes once a step changes the value by less than
-    1e-16; below ``LARGE_DF`` it needs at most a few dozen steps.
-    """
-    qab, qap, qam = a + b, a + F.lit(1.0), a - F.lit(1.0)
-    d0 = F.lit(1.0) / _guard(F.lit(1.0) - qab * x / qap)
-    init = F.struct(F.lit(1.0).alias("c"), d0.alias("d"), d0.alias("h"), F.lit(False).alias("done"))
+def with_student_t_two_sided_p(df: DataFrame, t: str, dof: str, out: str) -> DataFrame:
+    """add ``out`` = two-sided Student-t tail ``P(|T_dof| > |t|)``, JVM-side.
 
-    def step(acc: Column, i: Column) -> Column:
-        m = i.cast("double")
-        m2 = m * F.lit(2.0)
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d1 = F.lit(1.0) / _guard(F.lit(1.0) + aa * acc["d"])
-        c1 = _guard(F.lit(1.0) + aa / acc["c"])
-        aa2 = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d2 = F.lit(1.0) / _guard(F.lit(1.0) + aa2 * d1)
-        c2 = _guard(F.lit(1.0) + aa2 / c1)
-        delta = d2 * c2
-        new = F.struct(
-            c2.alias("c"),
-            d2.alias("d"),
-            (acc["h"] * d1 * c1 * delta).alias("h"),
-            (F.abs(delta - F.lit(1.0)) < F.lit(1e-16)).alias("done"),
-        )
-        return F.when(acc["done"], acc).otherwise(new)
-
-    return F.aggregate(F.sequence(F.lit(1), F.lit(CF_ITERATIONS)), init, step)["h"]
-
-
-def _lgamma_column(z: Column) -> Column:
-    """ln Gamma(z), z > 0: shift to z + k >= 20, then Stirling's series (error < 1e-16)."""
-    k = F.greatest(F.lit(0.0), F.lit(20.0) - F.floor(z))
-    shift = F.aggregate(
-        F.sequence(F.lit(0), F.lit(19)),
-        F.lit(0.0),
-        lambda acc, i: acc + F.when(i < k, F.log(z + i)).otherwise(F.lit(0.0)),
+    The regularized incomplete beta ``I_x(dof/2, 1/2)`` at ``x = dof/(dof+t^2)`` (its exact
+    complement is used, as in :func:`regularized_incomplete_beta`) by the modified-Lentz
+    continued fraction, written as SQL higher-order functions and staged over a few
+    projections of the one-row-per-experiment table; above ``LARGE_DF`` the first-order
+    expansion around the normal tail. NULL/NaN input or ``dof <= 0`` gives NULL.
+    """
+    a, x, y = "_tt_a", "_tt_x", "_tt_y"
+    # intermediate math runs on sanitized inputs (ANSI arithmetic raises on a zero divisor);
+    # the final CASE returns NULL for the invalid rows from the original columns
+    sdof = f"IF({dof} IS NULL OR isnan({dof}) OR {dof} <= 0, 1.0D, {dof})"
+    st = f"IF({t} IS NULL OR isnan({t}), 0.0D, {t})"
+    staged = df.selectExpr(
+        "*",
+        f"{sdof} / 2.0D AS _tt_a",
+        f"{sdof} / ({sdof} + {st} * {st}) AS _tt_x",
+        f"{st} * {st} / ({sdof} + {st} * {st}) AS _tt_y",
+    ).selectExpr(
+        "*",
+        f"NOT ({x} < ({a} + 1.0D) / ({a} + 2.5D)) AS _tt_mirror",
+        f"{a} * IF({y} < 0.5D, log1p(-{y}), ln({x})) + 0.5D * IF({x} < 0.5D, log1p(-{x}), ln({y}))"
+        f" - (IF({a} >= 100.0D,"
+        f" {math.lgamma(0.5)!r}D - (0.5D * ln({a}) - 1.0D / (8.0D * {a}) + 1.0D / (192.0D * pow({a}, 3))"
+        f" - 1.0D / (640.0D * pow({a}, 5))),"
+        f" {_lgamma_sql(a)} + {math.lgamma(0.5)!r}D - {_lgamma_sql(f'({a} + 0.5D)')})) AS _tt_log_front",
+    ).selectExpr(
+        "*",
+        "IF(_tt_mirror, 0.5D, _tt_a) AS _tt_pa",
+        "IF(_tt_mirror, _tt_a, 0.5D) AS _tt_pb",
+        "IF(_tt_mirror, _tt_y, _tt_x) AS _tt_px",
     )
-    w = z + k
-    series = (
-        F.lit(1.0) / (F.lit(12.0) * w)
-        - F.lit(1.0) / (F.lit(360.0) * F.pow(w, 3))
-        + F.lit(1.0) / (F.lit(1260.0) * F.pow(w, 5))
-        - F.lit(1.0) / (F.lit(1680.0) * F.pow(w, 7))
-        + F.lit(1.0) / (F.lit(1188.0) * F.pow(w, 9))
+    guard = "IF(abs({v}) < 1e-300D, 1e-300D, {v})"
+    # half-step i: m = (i + 1) div 2; odd i uses the even-term coefficient, even i the odd one
+    m = "((_i + 1) div 2)"
+    aa = (
+        f"IF(_i % 2 = 1,"
+        f" {m} * (_tt_pb - {m}) * _tt_px / ((_tt_pa - 1.0D + 2.0D * {m}) * (_tt_pa + 2.0D * {m})),"
+        f" -(_tt_pa + {m}) * (_tt_pa + _tt_pb + {m}) * _tt_px / ((_tt_pa + 2.0D * {m}) * (_tt_pa + 1.0D + 2.0D * {m})))"
     )
-    return (w - F.lit(0.5)) * F.log(w) - w + F.lit(0.5 * math.log(2.0 * math.pi)) + series - shift
-
-
-def _log_beta_half_column(a: Column) -> Column:
-    """ln B(a, 1/2); the asymptotic series for large a, as in :func:`_log_beta`."""
-    log_ratio = (
-        F.lit(0.5) * F.log(a)
-        - F.lit(1.0) / (F.lit(8.0) * a)
-        + F.lit(1.0) / (F.lit(192.0) * F.pow(a, 3))
-        - F.lit(1.0) / (F.lit(640.0) * F.pow(a, 5))
+    d_new = "(1.0D / " + guard.format(v=f"(1.0D + {aa} * _s.d)") + ")"
+    c_new = guard.format(v=f"(1.0D + {aa} / _s.c)")
+    d0 = "(1.0D / " + guard.format(v="(1.0D - (_tt_pa + _tt_pb) * _tt_px / (_tt_pa + 1.0D))") + ")"
+    cf = (
+        f"aggregate(sequence(1, {CF_HALF_STEPS}),"
+        f" named_struct('c', 1.0D, 'd', {d0}, 'h', {d0}, 'done', false),"
+        f" (_s, _i) -> IF(_s.done, _s, named_struct('c', {c_new}, 'd', {d_new},"
+        f" 'h', _s.h * {d_new} * {c_new},"
+        f" 'done', _i % 2 = 0 AND abs({d_new} * {c_new} - 1.0D) < 1e-16D))).h"
+    )
+    expansion_t = f"abs({t})"
+    tail = (
+        f"CASE WHEN {t} IS NULL OR {dof} IS NULL OR isnan({t}) OR isnan({dof}) OR {dof} <= 0 THEN CAST(NULL AS DOUBLE)"
+        f" WHEN {t} = 0 THEN 1.0D"
+        f" WHEN {dof} >= {LARGE_DF!r}D THEN _tt_erfc + 2.0D * exp(-0.5D * {expansion_t} * {expansion_t})"
+        f" / {math.sqrt(2.0 * math.pi)!r}D * (pow({expansion_t}, 3) + {expansion_t}) / (4.0D * {dof})"
+        f" WHEN _tt_mirror THEN 1.0D - exp(_tt_log_front) * _tt_cf / _tt_pa"
+        f" ELSE exp(_tt_log_front) * _tt_cf / _tt_pa END"
+    )
+    with_cf = staged.selectExpr("*", f"{cf} AS _tt_cf", f"{erfc_sql(f'abs({t}) / {math.sqrt(2.0)!r}D')} AS _tt_erfc")
+    return with_cf.selectExpr("*", f"{tail} AS `{out}`").drop(
+        "_tt_a", "_tt_x", "_tt_y", "_tt_mirror", "_tt_log_front", "_tt_pa", "_tt_pb", "_tt_px", "_tt_cf", "_tt_erfc"
     )
-    exact = _lgamma_column(a) - _lgamma_column(a + F.lit(0.5))
-    return F.lit(math.lgamma(0.5)) + F.when(a >= F.lit(100.0), -log_ratio).otherwise(exact)
-
 
-def student_t_two_sided_p(t: Column, df: Column) -> Column:
-    """two-sided Student-t tail ``P(|T_df| > |t|)`` as a JVM expression.
 
-    The regularized incomplete beta ``I_x(df/2, 1/2)`` with ``x = df/(df+t^2)`` (its exact
-    complement is passed, as in :func:`regularized_incomplete_beta`), or the first-order
-    expansion around the normal tail above ``LARGE_DF``. NULL/NaN input or df <= 0 gives NULL.
-    """
-    t2 = t * t
-    x = df / (df + t2)
-    y = t2 / (df + t2)
-    a, b = df / F.lit(2.0), F.lit(0.5)
-    log_x = F.when(y < F.lit(0.5), F.log1p(-y)).otherwise(F.log(x))
-    log_y = F.when(x < F.lit(0.5), F.log1p(-x)).otherwise(F.log(y))
-    front = F.exp(a * log_x + b * log_y - _log_beta_half_column(a))
-    direct = front * _betacf_column(a, b, x) / a
-    mirrored = F.lit(1.0) - front * _betacf_column(b, a, y) / b
-    beta_tail = F.when(x < (a + F.lit(1.0)) / (a + b + F.lit(2.0)), direct).otherwise(mirrored)
-    at = F.abs(t)
-    phi = F.exp(F.lit(-0.5) * at * at) / F.lit(math.sqrt(2.0 * math.pi))
-    expansion = erfc_column(at / F.lit(math.sqrt(2.0))) + F.lit(2.0) * phi * (F.pow(at, 3) + at) / (F.lit(4.0) * df)
-    invalid = t.isNull() | df.isNull() | F.isnan(t) | F.isnan(df) | (df <= F.lit(0.0))
-    return (
-        F.when(invalid, F.lit(None).cast("double"))
-        .when(t == F.lit(0.0), F.lit(1.0))
-        .when(df >= F.lit(LARGE_DF), expansion)
-        .otherwise(beta_tail)
-    )
+def student_t_two_sided_p_table(spark, rows):
+    """Helper for tests: (t, dof) rows -> list of p-values (the JVM implementation)."""
+    frame = spark.createDataFrame(rows, "t double, dof double")
+    return [r["p"] for r in with_student_t_two_sided_p(frame, "t", "dof", "p").select("p").collect()]

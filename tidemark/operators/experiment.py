@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import constants as K
-from tidemark.functions.stats import normal_quantile, normal_two_sided_p, student_t_two_sided_p
+from tidemark.functions.stats import normal_quantile, normal_two_sided_p, with_student_t_two_sided_p
 
 
 class EmptyArmError(ValueError):
@@ -131,11 +131,9 @@ def evaluate_experiments(
     ]
     if revenue_col is not None:
         cols += _welch_columns()
-    tested = stats.select(*cols).withColumn("p_value", normal_two_sided_p(F.col("z_stat")))
+    tested = stats.select(*cols).withColumn("p_value", normal_two_sided_p("z_stat"))
     if revenue_col is not None:
-        tested = tested.withColumn(
-            "revenue_p_value", student_t_two_sided_p(F.col("revenue_t_stat"), F.col("revenue_df"))
-        )
+        tested = with_student_t_two_sided_p(tested, "revenue_t_stat", "revenue_df", "revenue_p_value")
     significant = F.coalesce(F.col("p_value") < F.lit(alpha), F.lit(False))
     recommendation = (
         F.when(significant & (F.col("uplift") > 0), F.lit(K.RECOMMEND_SHIP))

@@ -84,8 +84,9 @@ def _fct_ab(spark: SparkSession, d: str) -> DataFrame:
     return marts.fct_ab_tests(w["assignments"], w["events"], A.ORDER_CONVERSION_EVENTS, A.ORDER_PAYMENT_EVENT)
 
 
-def _evaluated(spark: SparkSession, d: str) -> DataFrame:
-    return experiment.evaluate_experiments(_fct_ab(spark, d))
+def _evaluated(spark: SparkSession, d: str, revenue: bool = False) -> DataFrame:
+    # the revenue (Welch) test is only built for the query that reports it
+    return experiment.evaluate_experiments(_fct_ab(spark, d), revenue_col="revenue" if revenue else None)
 
 
 def _product_marts(spark: SparkSession, d: str) -> _World:
@@ -243,7 +244,7 @@ def q_ab_decision(spark, d):
 
 def q_ab_revenue_welch(spark, d):
     return edge(
-        _evaluated(spark, d).select("experiment_id", "revenue_t_stat", "revenue_df", "revenue_p_value"),
+        _evaluated(spark, d, revenue=True).select("experiment_id", "revenue_t_stat", "revenue_df", "revenue_p_value"),
         scales={"revenue_df": 6},
     )
 
