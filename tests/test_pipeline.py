@@ -61,3 +61,15 @@ def test_verify_warehouse_after_build(spark, scratch_dir):
         "funnel_has_five_rows_per_user", "cohort_mart_is_not_empty", "engagement_mart_is_not_empty",
     }
     assert all(out["checks"].values())
+
+
+def test_command_line_build_verify_and_contract_failure(spark, scratch_dir, capsys):
+    src = write_snapshot(os.path.join(scratch_dir, "src"), USERS_CSV, RICH_EVENTS, ASSIGN_CSV)
+    wh = os.path.join(scratch_dir, "wh")
+    assert pipeline.main(["build", src, wh, "--snapshot-id", "20260726T000000Z"]) == 0
+    assert pipeline.main(["verify", wh]) == 0
+    assert '"funnel_has_five_rows_per_user": true' in capsys.readouterr().out
+    bad = write_snapshot(os.path.join(scratch_dir, "bad"), USERS_CSV + USERS_CSV.splitlines()[1] + "\n", RICH_EVENTS, ASSIGN_CSV)
+    assert pipeline.main(["build", bad, wh, "--snapshot-id", "20260727T000000Z"]) == 1
+    assert "duplicate key" in capsys.readouterr().out
+    assert contracts.current_snapshot(spark, f"{wh}/raw") == "20260726T000000Z"
