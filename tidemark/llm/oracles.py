@@ -18,6 +18,24 @@ SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone)
 FROM judged GROUP BY r
 """
 
+OP8 = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), {_UPPER}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+items AS (SELECT item_id,
+    regexp_extract_all(translate(coalesce(text, ''), {_UPPER}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+wins AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS g
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS i FROM items WHERE len(w) > 0)),
+spots AS (SELECT r, n, i, array_to_string(w[i : i + n - 1], ' ') AS g
+  FROM (SELECT r, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM docs, (SELECT DISTINCT n FROM wins) WHERE len(w) >= n)),
+hits AS (SELECT r, item_id, i, n FROM spots JOIN wins USING (n, g)),
+words AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hits) GROUP BY r),
+named AS (SELECT r, count(DISTINCT item_id) AS n_items,
+    string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM hits GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN words USING (r) LEFT JOIN named USING (r)
+"""
+
 _STOPS = ", ".join(f"'{w}'" for w in dict.fromkeys(STOP_WORDS))
 
 OP10 = f"""
@@ -44,4 +62,4 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM m
 """
 
-ORACLES: dict[str, str] = {"op7_line_dedup": OP7, "op10_quality_rules": OP10}
+ORACLES: dict[str, str] = {"op7_line_dedup": OP7, "op8_decontamination": OP8, "op10_quality_rules": OP10}
