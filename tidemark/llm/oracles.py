@@ -7,6 +7,20 @@ from tidemark.llm.quality_rules import STOP_WORDS
 _BLANK = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _UPPER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
+OP3 = f"""
+WITH u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS host FROM u),
+p AS (SELECT page_id, translate(host, {_UPPER}) AS host,
+    regexp_extract(substr(rest, length(host) + 1), '^[^?#]*') AS path FROM h),
+rules(rh, rp, v) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+    ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+fits AS (SELECT page_id, host, path, max(length(rh || rp)) AS n FROM p JOIN rules
+    ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY ALL)
+SELECT p.page_id, p.host, p.path, rh || rp AS rule, coalesce(v, 'allow') AS verdict
+FROM p LEFT JOIN fits USING (page_id, host, path)
+LEFT JOIN rules ON length(rh || rp) = n AND (p.host = rh OR ends_with(p.host, '.' || rh)) AND starts_with(p.path, rp)
+"""
+
 OP7 = f"""
 WITH docs AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 lines AS (SELECT r, doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS p FROM docs),
@@ -62,4 +76,4 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM m
 """
 
-ORACLES: dict[str, str] = {"op7_line_dedup": OP7, "op8_decontamination": OP8, "op10_quality_rules": OP10}
+ORACLES: dict[str, str] = {"op3_url_filter": OP3, "op7_line_dedup": OP7, "op8_decontamination": OP8, "op10_quality_rules": OP10}

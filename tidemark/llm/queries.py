@@ -11,24 +11,52 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, langid, line_dedup, packing, quality_rules, simhash
+from tidemark.llm import decontaminate, html_text, langid, line_dedup, packing, pii, quality_rules, simhash, url_rules, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html_text.extract(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     out = packing.pack(_table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer, with_tokens=False)
     return out.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+# host, path, verdict
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    out = url_rules.judge(_table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+    return out.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = langid.identify(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     return out.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.archive_and_index(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return index.select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured", "index_range", "index_place"
+    )
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -52,6 +80,11 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.find(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.withColumn("base_sha256", F.sha2(F.col("base_spans").cast("binary"), 256)).drop("base_spans")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules.apply_rules(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select(
@@ -60,10 +93,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_packing": op2_packing,
+    "op3_url_filter": op3_url_filter,
     "op4_language_id": op4_language_id,
+    "op5_warc": op5_warc,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_line_dedup": op7_line_dedup,
     "op8_decontamination": op8_decontamination,
+    "op9_pii": op9_pii,
     "op10_quality_rules": op10_quality_rules,
 }
