@@ -40,4 +40,4 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     out = E.entry(spark)
     assert out.columns == ["step", "users", "conversion_from_previous", "dropoff_from_previous"]
-    assert out.count() == 4
+    assert out.count() == 5

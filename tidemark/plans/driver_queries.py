@@ -57,7 +57,7 @@ def product_world(spark: SparkSession, d: str) -> _World:
             "events": lambda w: staging.stage_events(w["raw_events"]),
             "raw_users": lambda w: A.event_users(spark, d),
             "users": lambda w: staging.stage_users(w["raw_users"]),
-            "raw_assignments": lambda w: A.parity_assignments(w["raw_users"]),
+            "raw_assignments": lambda w: A.split_assignments(w["raw_users"]),
             "assignments": lambda w: staging.stage_assignments(w["raw_assignments"]),
         }
     )
@@ -67,16 +67,16 @@ def order_world(spark: SparkSession, d: str) -> _World:
     return _World(
         {
             "raw_users": lambda w: A.order_users(spark, d),
-            "all_events": lambda w: staging.stage_events(A.order_events(spark, d)),
-            "events": lambda w: A.experiment_window(w["all_events"]),
+            "raw_events": lambda w: A.order_events(spark, d),
+            "events": lambda w: staging.stage_events(w["raw_events"]),
             "users": lambda w: staging.stage_users(w["raw_users"]),
-            "assignments": lambda w: staging.stage_assignments(A.parity_assignments(w["raw_users"])),
+            "assignments": lambda w: staging.stage_assignments(A.split_assignments(w["raw_users"])),
         }
     )
 
 
-def _slice(spark: SparkSession, d: str) -> DataFrame:
-    return A.funnel_slice(product_world(spark, d)["events"])
+def _orders(spark: SparkSession, d: str) -> DataFrame:
+    return order_world(spark, d)["events"]
 
 
 def _fct_ab(spark: SparkSession, d: str) -> DataFrame:
@@ -135,12 +135,12 @@ def q_int_user_activity(spark, d):
 
 
 def q_int_funnel_steps(spark, d):
-    return edge(intermediate.user_funnel_steps(_slice(spark, d), A.FUNNEL_STEPS))
+    return edge(intermediate.user_funnel_steps(_orders(spark, d), A.ORDER_FUNNEL_STEPS))
 
 
 def q_fct_funnel(spark, d):
-    steps = intermediate.user_funnel_steps(_slice(spark, d), A.FUNNEL_STEPS)
-    return edge(marts.fct_funnel(steps, A.FUNNEL_STEPS))
+    steps = intermediate.user_funnel_steps(_orders(spark, d), A.ORDER_FUNNEL_STEPS)
+    return edge(marts.fct_funnel(steps, A.ORDER_FUNNEL_STEPS))
 
 
 def q_fct_cohort_weekly(spark, d):
@@ -166,24 +166,24 @@ def q_fct_feature_engagement_like(spark, d):
 
 # ---- funnel and retention analytics -------------------------------------------------------------
 
-CUSTOM_STEPS = ("click", "view", "error", "purchase")
-ZERO_STEPS = ("signup", "view", "checkout", "click", "purchase")
+CUSTOM_STEPS = ("3-MEDIUM", "1-URGENT", "5-LOW")
+ZERO_STEPS = ("5-LOW", "4-NOT SPECIFIED", "CANCELLED", "2-HIGH", "1-URGENT")
 
 
 def q_funnel(spark, d):
-    return edge(funnel.funnel(_slice(spark, d), A.FUNNEL_STEPS))
+    return edge(funnel.funnel(_orders(spark, d), A.ORDER_FUNNEL_STEPS))
 
 
 def q_funnel_custom_steps(spark, d):
-    return edge(funnel.funnel(_slice(spark, d), CUSTOM_STEPS))
+    return edge(funnel.funnel(_orders(spark, d), CUSTOM_STEPS))
 
 
 def q_funnel_zero_step(spark, d):
-    return edge(funnel.funnel(_slice(spark, d), ZERO_STEPS))
+    return edge(funnel.funnel(_orders(spark, d), ZERO_STEPS))
 
 
 def q_biggest_dropoff(spark, d):
-    return edge(funnel.biggest_dropoff(_slice(spark, d), A.FUNNEL_STEPS))
+    return edge(funnel.biggest_dropoff(_orders(spark, d), A.ORDER_FUNNEL_STEPS))
 
 
 def q_retention_weekly(spark, d):
@@ -193,7 +193,7 @@ def q_retention_weekly(spark, d):
 
 def q_retention_monthly(spark, d):
     w = order_world(spark, d)
-    return edge(cohort.retention(w["all_events"], w["users"], "monthly", None))
+    return edge(cohort.retention(w["events"], w["users"], "monthly", None))
 
 
 def q_cohort_sizes_monthly(spark, d):
@@ -249,6 +249,17 @@ def q_ab_revenue_welch(spark, d):
     )
 
 
+def q_ab_results(spark, d):
+    """Every column of the per-experiment result, the interval struct flattened; one experiment has an empty arm."""
+    r = _evaluated(spark, d, revenue=True)
+    flat = r.select(
+        *[c for c in r.columns if c != "confidence_interval"],
+        F.col("confidence_interval.low").alias("interval_low"),
+        F.col("confidence_interval.high").alias("interval_high"),
+    )
+    return edge(flat, scales={"revenue_df": 6})
+
+
 def q_ab_variant_comparison(spark, d):
     return edge(experiment.variant_comparison(_fct_ab(spark, d)))
 
@@ -381,14 +392,10 @@ def q_topline(spark, d):
 
 
 def q_daily_metrics(spark, d):
-    w = product_world(spark, d)
+    w = order_world(spark, d)
     return edge(
         report.daily_metrics(
-            w["users"],
-            A.funnel_slice(w["events"]),
-            w["assignments"],
-            A.FUNNEL_STEPS,
-            A.PRODUCT_CONVERSION_EVENTS,
+            w["users"], w["events"], w["assignments"], A.ORDER_FUNNEL_STEPS, A.ORDER_CONVERSION_EVENTS
         )
     )
 
@@ -440,6 +447,7 @@ QUERIES: dict[str, QueryFn] = {
     "ab_pvalue": q_ab_pvalue,
     "ab_decision": q_ab_decision,
     "ab_revenue_welch": q_ab_revenue_welch,
+    "ab_results": q_ab_results,
     "ab_variant_comparison": q_ab_variant_comparison,
     "ab_pooled": q_ab_pooled,
     "dq_not_null": q_dq_not_null,

@@ -32,9 +32,6 @@ SE = f"""se AS (
          CAST(coalesce(value, 0) AS DECIMAL(20,6)) AS revenue, props AS properties
   FROM events)"""
 
-SLICE = f"""sl AS (SELECT * FROM se WHERE event_ts < {_ts(A.FUNNEL_SLICE_END)})"""
-
-
 def _users(first_sql: str) -> str:
     return f"""(SELECT c.c_custkey AS user_id, f.signup_ts, CAST(f.signup_ts AS DATE) AS signup_date,
           c.c_mktsegment AS plan, r.r_name AS channel, n.n_name AS country
@@ -48,16 +45,19 @@ EU = "eu AS " + _users(f"SELECT user_id AS uid, min(ts) AS signup_ts FROM events
 OU = "ou AS " + _users("SELECT o_custkey AS uid, min(o_orderdate) AS signup_ts FROM orders GROUP BY 1")
 
 
-def _parity(users: str, name: str) -> str:
-    return f"""{name} AS (SELECT '{A.EXPERIMENT_ID}' AS experiment_id, user_id,
-       CASE WHEN user_id % 2 = 0 THEN 'control' ELSE 'treatment' END AS variant, signup_ts AS assigned_ts FROM {users})"""
+def _assigned(users: str, name: str) -> str:
+    parity, thirds, one_arm = A.EXPERIMENTS
+    split = lambda n: f"CASE WHEN user_id % {n} = 0 THEN 'control' ELSE 'treatment' END"
+    return f"""{name} AS (
+  SELECT '{parity}' AS experiment_id, user_id, {split(2)} AS variant, signup_ts AS assigned_ts FROM {users}
+  UNION ALL SELECT '{thirds}', user_id, {split(3)}, signup_ts FROM {users}
+  UNION ALL SELECT '{one_arm}', user_id, 'control', signup_ts FROM {users} WHERE user_id % 5 = 0)"""
 
 
-OE_ALL = """oe_all AS (
+OE = """oe AS (
   SELECT o_orderkey AS event_id, o_custkey AS user_id, o_orderpriority AS event_name, o_orderdate AS event_ts,
          CAST(coalesce(o_totalprice, 0) AS DECIMAL(20,6)) AS revenue
   FROM orders)"""
-OE = f"oe AS (SELECT * FROM oe_all WHERE event_ts < {_ts(A.ORDER_EXPERIMENT_END)})"
 
 AB = f"""ab AS (
   SELECT a.experiment_id, a.user_id, a.variant, coalesce(c.converted, 0) AS converted,
@@ -68,7 +68,7 @@ AB = f"""ab AS (
            sum(CASE WHEN event_name = '{A.ORDER_PAYMENT_EVENT}' THEN revenue ELSE 0 END) AS revenue
     FROM oe GROUP BY 1) c USING (user_id))"""
 
-ORDER_WORLD = ",\n".join([OU, _parity("ou", "oasg"), OE_ALL, OE, AB])
+ORDER_WORLD = ",\n".join([OU, _assigned("ou", "oasg"), OE, AB])
 
 # experiment statistics from per-arm sufficient statistics
 STATS = f"""st AS (
@@ -87,7 +87,7 @@ STATS = f"""st AS (
 d0 AS (
   SELECT *, control_converted / n_control AS control_rate, treatment_converted / n_treatment AS treatment_rate,
          (control_converted + treatment_converted) / (n_control + n_treatment) AS pooled,
-         CAST(1 AS DOUBLE) / n_control + CAST(1 AS DOUBLE) / n_treatment AS inv_n
+         CAST(1 AS DOUBLE) / nullif(n_control, 0) + CAST(1 AS DOUBLE) / nullif(n_treatment, 0) AS inv_n
   FROM st),
 d AS (
   SELECT *, treatment_rate - control_rate AS uplift,
@@ -130,16 +130,15 @@ def _with(*ctes: str) -> str:
 PRODUCT = (SE, EU)
 
 
-def _funnel_sql(steps, source="sl") -> str:
+def _funnel_sql(steps) -> str:
     values = ", ".join(f"({i}, '{s}')" for i, s in enumerate(steps))
     return _with(
-        SE,
-        SLICE,
+        OE,
         f"steps(step_index, step) AS (VALUES {values})",
-        f"""counts AS (SELECT event_name AS step, count(DISTINCT user_id) AS users FROM {source}
+        f"""counts AS (SELECT event_name AS step, count(DISTINCT user_id) AS users FROM oe
                 WHERE event_name IN {_in(steps)} GROUP BY 1)""",
         """j AS (SELECT s.step_index, s.step, coalesce(c.users, 0) AS users
-           FROM steps s LEFT JOIN counts c USING (step) WHERE EXISTS (SELECT 1 FROM sl))""",
+           FROM steps s LEFT JOIN counts c USING (step) WHERE EXISTS (SELECT 1 FROM oe))""",
         """l AS (SELECT *, lag(users) OVER (ORDER BY step_index) AS prev FROM j)""",
         """f AS (SELECT step_index, step, users,
                 CASE WHEN prev IS NULL OR prev = 0 THEN CAST(1 AS DOUBLE) ELSE users / prev END AS conversion_from_previous,
@@ -175,7 +174,7 @@ def _retention_ctes(users: str, events: str, session_pred: str, period: str) ->
 
 
 WEEKLY_RET = _retention_ctes("eu", "se", f"event_name = '{A.SESSION_EVENT}'", "weekly")
-MONTHLY_RET = _retention_ctes("ou", "oe_all", "true", "monthly")
+MONTHLY_RET = _retention_ctes("ou", "oe", "true", "monthly")
 
 HEATMAP_PERIODS = range(0, 5)
 
@@ -209,26 +208,30 @@ def _rel(table, col, parent, pcol):
             f"(SELECT 1 FROM {parent} p WHERE p.{pcol} = c.{col})")
 
 
-FUNNEL_STEP_COLS = ", ".join(
-    f"min(CASE WHEN event_name = '{s}' THEN event_ts END) AS \"{s}_ts\"" for s in A.FUNNEL_STEPS
-)
-FS_SE = f"fs AS (SELECT user_id, {FUNNEL_STEP_COLS} FROM se GROUP BY 1)"
-FS_SL = f"fs AS (SELECT user_id, {FUNNEL_STEP_COLS} FROM sl GROUP BY 1)"
 
 
-def _fct_funnel_from_fs() -> str:
+def _first_times(steps, source: str) -> str:
+    cols = ", ".join(f"min(CASE WHEN event_name = '{s}' THEN event_ts END) AS \"{s}_ts\"" for s in steps)
+    return f"fs AS (SELECT user_id, {cols} FROM {source} GROUP BY 1)"
+
+
+FS_SE = _first_times(A.FUNNEL_STEPS, "se")
+FS_OE = _first_times(A.ORDER_FUNNEL_STEPS, "oe")
+
+
+def _fct_funnel_from_fs(steps) -> str:
     return "\nUNION ALL\n".join(
         f"SELECT user_id, '{s}' AS stage, \"{s}_ts\" AS converted_at, \"{s}_ts\" IS NULL AS dropped FROM fs"
-        for s in A.FUNNEL_STEPS
+        for s in steps
     )
 
 
 PRODUCT_MARTS = [
     SE,
     EU,
-    _parity("eu", "pasg"),
+    _assigned("eu", "pasg"),
     FS_SE,
-    f"fct_funnel AS ({_fct_funnel_from_fs()})",
+    f"fct_funnel AS ({_fct_funnel_from_fs(A.FUNNEL_STEPS)})",
     f"""fct_cohort AS (
       SELECT cohort_week, CAST(date_diff('day', cohort_week, active_week) // 7 AS INTEGER) AS period_number,
              count(DISTINCT user_id) AS retained_users
@@ -243,19 +246,18 @@ PRODUCT_MARTS = [
 
 
 def _daily_metrics_sql() -> str:
-    steps = A.FUNNEL_STEPS
+    steps = A.ORDER_FUNNEL_STEPS
     values = ", ".join(f"({i}, '{s}')" for i, s in enumerate(steps))
     pct = lambda x, n: f"printf('%.{n}f', ({x}) * 100) || '%'"
     return _with(
-        SE,
-        SLICE,
-        EU,
-        _parity("eu", "pasg"),
+        OU,
+        _assigned("ou", "oasg"),
+        OE,
         f"steps(step_index, step) AS (VALUES {values})",
-        f"""counts AS (SELECT event_name AS step, count(DISTINCT user_id) AS users FROM sl
+        f"""counts AS (SELECT event_name AS step, count(DISTINCT user_id) AS users FROM oe
                 WHERE event_name IN {_in(steps)} GROUP BY 1)""",
         """j AS (SELECT s.step_index, s.step, coalesce(c.users, 0) AS users
-           FROM steps s LEFT JOIN counts c USING (step) WHERE EXISTS (SELECT 1 FROM sl))""",
+           FROM steps s LEFT JOIN counts c USING (step) WHERE EXISTS (SELECT 1 FROM oe))""",
         """l AS (SELECT *, lag(users) OVER (ORDER BY step_index) AS prev FROM j)""",
         """f AS (SELECT step_index, step, users,
                 CASE WHEN prev IS NULL OR prev = 0 THEN CAST(1 AS DOUBLE) ELSE users / prev END AS conv,
@@ -263,16 +265,16 @@ def _daily_metrics_sql() -> str:
            FROM l)""",
         """bd AS (SELECT step, drop FROM f WHERE step_index > 0 ORDER BY drop DESC, step_index ASC LIMIT 1)""",
         f"""ab AS (SELECT a.experiment_id, a.user_id, a.variant,
-                 CASE WHEN EXISTS (SELECT 1 FROM sl e WHERE e.user_id = a.user_id
-                                   AND e.event_name IN {_in(A.PRODUCT_CONVERSION_EVENTS)}) THEN 1 ELSE 0 END AS converted,
+                 CASE WHEN EXISTS (SELECT 1 FROM oe e WHERE e.user_id = a.user_id
+                                   AND e.event_name IN {_in(A.ORDER_CONVERSION_EVENTS)}) THEN 1 ELSE 0 END AS converted,
                  CAST(NULL AS DOUBLE) AS revenue
-           FROM pasg a)""",
+           FROM oasg a)""",
         STATS.replace("GROUP BY 1)", "GROUP BY ALL)").replace(
             "SELECT experiment_id,\n         count(*) FILTER (WHERE variant = 'control') AS n_control",
             "SELECT 'all' AS experiment_id,\n         count(*) FILTER (WHERE variant = 'control') AS n_control",
         ),
-        f"""tl AS (SELECT (SELECT count(DISTINCT user_id) FROM eu) AS users, (SELECT count(*) FROM sl) AS events,
-                  (SELECT count(DISTINCT experiment_id) FROM pasg) AS experiments)""",
+        f"""tl AS (SELECT (SELECT count(DISTINCT user_id) FROM ou) AS users, (SELECT count(*) FROM oe) AS events,
+                  (SELECT count(DISTINCT experiment_id) FROM oasg) AS experiments)""",
     ) + f"""
 SELECT 1 AS line, 'topline' AS section, 'users' AS metric, CAST(users AS DOUBLE) AS value, format('{{:,}}', users) AS display FROM tl
 UNION ALL SELECT 2, 'topline', 'events', CAST(events AS DOUBLE), format('{{:,}}', events) FROM tl
@@ -301,7 +303,7 @@ def oracle_sql() -> dict[str, str]:
         f"coalesce(round(avg(CASE WHEN period_number = {k} THEN retention_rate END), 9), 0.0) AS \"{k}\""
         for k in HEATMAP_PERIODS
     )
-    slice_steps = _with(SE, SLICE, FS_SL)
+    order_steps = _with(OE, FS_OE)
     rec_counts = _with(*PRODUCT_MARTS) + """, c AS (
   SELECT (SELECT count(*) FROM events) AS raw_events, (SELECT count(*) FROM se) AS stg_raw_events,
          (SELECT count(*) FROM eu) AS dim_users, (SELECT count(*) FROM eu) AS stg_dim_users,
@@ -314,7 +316,7 @@ def oracle_sql() -> dict[str, str]:
         "stg_events": _with(SE) + """SELECT event_id, user_id, event_name, event_ts, event_date, session_id,
             experiment_id, variant, round(CAST(revenue AS DOUBLE), 9) AS revenue, properties FROM se""",
         "stg_users": _with(EU) + "SELECT user_id, signup_ts, signup_date, plan, channel, country FROM eu",
-        "stg_assignments": _with(EU, _parity("eu", "pasg")) + "SELECT experiment_id, user_id, variant, assigned_ts FROM pasg",
+        "stg_assignments": _with(EU, _assigned("eu", "pasg")) + "SELECT experiment_id, user_id, variant, assigned_ts FROM pasg",
         "int_user_activity": _with(SE) + f"""SELECT user_id,
             count(*) FILTER (WHERE event_name = '{A.SESSION_EVENT}') AS session_count,
             count(*) FILTER (WHERE starts_with(event_name, '{A.FEATURE_PREFIX}')) AS feature_events,
@@ -323,8 +325,8 @@ def oracle_sql() -> dict[str, str]:
             max(CASE WHEN event_name = '{A.CHURN_EVENT}' THEN 1 ELSE 0 END) AS churned_flag,
             CAST(date_part('day', {_ts(A.AS_OF)} - max(event_ts)) AS BIGINT) AS days_since_active
           FROM se GROUP BY user_id""",
-        "int_funnel_steps": slice_steps + "SELECT * FROM fs",
-        "fct_funnel": slice_steps + _fct_funnel_from_fs(),
+        "int_funnel_steps": order_steps + "SELECT * FROM fs",
+        "fct_funnel": order_steps + _fct_funnel_from_fs(A.ORDER_FUNNEL_STEPS),
         "fct_cohort_weekly": _with(*PRODUCT_MARTS) + "SELECT * FROM fct_cohort",
         "fct_ab_tests": _with(ORDER_WORLD) + """SELECT experiment_id, user_id, variant, converted,
             round(CAST(revenue AS DOUBLE), 9) AS revenue, assigned_ts FROM ab""",
@@ -332,15 +334,15 @@ def oracle_sql() -> dict[str, str]:
         "fct_feature_engagement_like": _with(SE) + f"""SELECT user_id, CAST(date_trunc('week', event_ts) AS DATE) AS week_start,
             event_name AS feature_event, count(*) AS usage_count FROM se
             WHERE event_name LIKE '{Q.LIKE_PREFIX}%' GROUP BY 1, 2, 3""",
-        "funnel": _funnel(A.FUNNEL_STEPS),
+        "funnel": _funnel(A.ORDER_FUNNEL_STEPS),
         "funnel_custom_steps": _funnel(Q.CUSTOM_STEPS),
         "funnel_zero_step": _funnel(Q.ZERO_STEPS),
-        "biggest_dropoff": _funnel_sql(A.FUNNEL_STEPS) + """SELECT step, round(dropoff_from_previous, 9) AS dropoff,
+        "biggest_dropoff": _funnel_sql(A.ORDER_FUNNEL_STEPS) + """SELECT step, round(dropoff_from_previous, 9) AS dropoff,
             round(conversion_from_previous, 9) AS conversion FROM f WHERE step_index > 0
             ORDER BY dropoff_from_previous DESC, step_index ASC LIMIT 1""",
         "retention_weekly": _with(SE, EU, *WEEKLY_RET) + """SELECT cohort_period, period_number, retained, users,
             round(retention_rate, 9) AS retention_rate FROM ret""",
-        "retention_monthly": _with(OU, OE_ALL, *MONTHLY_RET) + """SELECT cohort_period, period_number, retained, users,
+        "retention_monthly": _with(OU, OE, *MONTHLY_RET) + """SELECT cohort_period, period_number, retained, users,
             round(retention_rate, 9) AS retention_rate FROM ret""",
         "cohort_sizes_monthly": _with(OU) + """SELECT CAST(date_trunc('month', signup_ts) AS DATE) AS cohort_period,
             count(DISTINCT user_id) AS users FROM ou WHERE user_id IS NOT NULL AND signup_ts IS NOT NULL GROUP BY 1""",
@@ -366,12 +368,22 @@ def oracle_sql() -> dict[str, str]:
         "ab_revenue_welch": _with(ORDER_WORLD, STATS, WELCH) + """SELECT w0.experiment_id, round(w0.t, 9) AS revenue_t_stat,
             round(w0.nu, 6) AS revenue_df, round(w1.p, 9) AS revenue_p_value
           FROM w0 LEFT JOIN w1 USING (experiment_id)""",
+        "ab_results": _with(ORDER_WORLD, STATS, WELCH) + f"""SELECT experiment_id, n_control, n_treatment, control_converted,
+            treatment_converted, round(control_rate, 9) AS control_rate, round(treatment_rate, 9) AS treatment_rate,
+            round(uplift, 9) AS uplift, round(z_stat, 9) AS z_stat, round(p_value, 9) AS p_value, significant,
+            round(uplift - {Z_CRIT} * se, 9) AS ci_low, round(uplift + {Z_CRIT} * se, 9) AS ci_high,
+            round(uplift - {Z_CRIT} * se, 9) AS interval_low, round(uplift + {Z_CRIT} * se, 9) AS interval_high,
+            round(({Z_CRIT} + {Z_POWER}) * se2, 9) AS mde,
+            CASE WHEN significant AND uplift > 0 THEN 'Ship treatment: statistically significant uplift detected.'
+                 WHEN significant AND uplift < 0 THEN 'Do not ship: treatment significantly underperforms control.'
+                 ELSE 'No significant effect: continue test or increase sample size.' END AS recommendation,
+            round(w0.t, 9) AS revenue_t_stat, round(w0.nu, 6) AS revenue_df, round(w1.p, 9) AS revenue_p_value
+          FROM ev LEFT JOIN w0 USING (experiment_id) LEFT JOIN w1 USING (experiment_id)""",
         "ab_variant_comparison": _with(ORDER_WORLD) + """SELECT variant, round(avg(converted), 9) AS conversion_rate
             FROM ab GROUP BY 1""",
         "ab_pooled": _with(
             OU,
-            _parity("ou", "oasg"),
-            OE_ALL,
+            _assigned("ou", "oasg"),
             OE,
             f"""ab AS (SELECT a.experiment_id, a.user_id, a.variant,
                  CASE WHEN EXISTS (SELECT 1 FROM oe e WHERE e.user_id = a.user_id
@@ -413,12 +425,12 @@ def oracle_sql() -> dict[str, str]:
                 _rel("customer", "c_nationkey", "nation", "n_nationkey"),
             ]
         ),
-        "dq_duplicate_grain": _with(*PRODUCT_MARTS, OU, _parity("ou", "oasg")) + """
+        "dq_duplicate_grain": _with(*PRODUCT_MARTS, OU, _assigned("ou", "oasg")) + """
 SELECT 'no_duplicate_event_ids' AS "check", CAST(event_id AS VARCHAR) AS key, count(*) AS records FROM se GROUP BY event_id HAVING count(*) > 1
 UNION ALL SELECT 'no_duplicate_assignment_grain', experiment_id || '|' || CAST(user_id AS VARCHAR), count(*) FROM oasg GROUP BY experiment_id, user_id HAVING count(*) > 1
 UNION ALL SELECT 'no_duplicate_funnel_grain', CAST(user_id AS VARCHAR) || '|' || stage, count(*) FROM fct_funnel GROUP BY user_id, stage HAVING count(*) > 1
 UNION ALL SELECT 'lineitem_grain', CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR), count(*) FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
-        "dq_non_empty": _with(*PRODUCT_MARTS, OU, _parity("ou", "oasg")) + """
+        "dq_non_empty": _with(*PRODUCT_MARTS, OU, _assigned("ou", "oasg")) + """
 SELECT 'fct_funnel' AS model, count(*) AS row_count, count(*) > 0 AS passed FROM fct_funnel
 UNION ALL SELECT 'fct_cohort_retention', count(*), count(*) > 0 FROM fct_cohort
 UNION ALL SELECT 'fct_ab_tests', count(*), count(*) > 0 FROM oasg""",
@@ -431,7 +443,7 @@ UNION ALL SELECT 'cohort_mart_is_not_empty', 'at_least', 1, fct_cohort_retention
 UNION ALL SELECT 'engagement_mart_is_not_empty', 'at_least', 1, fct_feature_engagement, fct_feature_engagement >= 1 FROM c""",
         "contract_duplicate_keys": """SELECT l_orderkey, l_linenumber, count(*) AS records FROM lineitem
             GROUP BY 1, 2 HAVING count(*) > 1""",
-        "topline": _with(SE, EU, _parity("eu", "pasg")) + """SELECT (SELECT count(DISTINCT user_id) FROM eu) AS users,
+        "topline": _with(SE, EU, _assigned("eu", "pasg")) + """SELECT (SELECT count(DISTINCT user_id) FROM eu) AS users,
             (SELECT count(*) FROM se) AS events, (SELECT count(DISTINCT experiment_id) FROM pasg) AS experiments""",
         "daily_metrics": _daily_metrics_sql(),
         "churn_features": _with(SE) + f"""SELECT user_id, CAST(session_count AS DOUBLE) AS session_count,

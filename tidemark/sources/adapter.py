@@ -6,7 +6,9 @@ columns onto the product's raw schema. Two "worlds" are used:
 * product events: ``events`` rows become product events; users are customers with their
   first ``signup`` event; assignments split users by id parity.
 * order events: ``orders`` rows become events named by order priority; users are customers
-  with their first order; the same parity split defines the experiment.
+  with their first order. The funnel runs over priorities (not every customer has each one).
+
+Three experiments split the users by id: ``parity`` and ``thirds`` have both arms, ``one_arm`` has control users only.
 
 Every view is a lazy DataFrame over the parquet scan, so filters and column pruning reach it.
 """
@@ -17,44 +19,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # --- fixed values: adapter parameters for the driver's tables ---
-FUNNEL_SLICE_END = "2024-01-03 00:00:00"
 CHURN_SINCE = "2024-01-30 00:00:00"
 FUNNEL_STEPS = ("signup", "view", "click", "purchase")
 SESSION_EVENT = "view"
 PAYMENT_EVENT = "purchase"
 FEATURE_PREFIX = "cl"
 CHURN_EVENT = "churned"
-AS_OF = "2024-02-01 00:00:00"
+AS_OF = "2024-01-30 12:00:00"  # inside the data: some users were active after it
 SIGNUP_EVENT = "signup"
-EXPERIMENT_ID = "parity"
+EXPERIMENTS = ("parity", "thirds", "one_arm")
 ORDER_PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
-ORDER_CONVERSION_EVENTS = ("1-URGENT", "2-HIGH")
+ORDER_FUNNEL_STEPS = ("5-LOW", "4-NOT SPECIFIED", "3-MEDIUM", "2-HIGH", "1-URGENT")
+ORDER_CONVERSION_EVENTS = ("1-URGENT",)
 ORDER_PAYMENT_EVENT = "1-URGENT"
-ORDER_EXPERIMENT_END = "1997-01-01 00:00:00"
 PRODUCT_CONVERSION_EVENTS = ("purchase",)
 
 
-_HANDLES: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The driver's table ``name`` as a DataFrame handle, resolved once per session.
-
-    Like a catalog table: the file listing and Parquet schema are resolved on first use and
-    the handle is reused by later queries (every query still scans the files).
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    hit = _HANDLES.get(key)
-    if hit is None or hit[0] is not spark:
-        hit = (spark, spark.read.parquet(path))
-        _HANDLES[key] = hit
-    return hit[1]
-
-
-def clear_handles() -> None:
-    """Forget resolved table handles (e.g. after the files were replaced)."""
-    _HANDLES.clear()
+    """The driver's table ``name``; the files are listed anew at every call."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _ts(text: str):
@@ -80,11 +63,6 @@ def product_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def funnel_slice(events: DataFrame) -> DataFrame:
-    """The first two days: the full month is degenerate (every user does every event type)."""
-    return events.filter(F.col("event_ts") < _ts(FUNNEL_SLICE_END))
-
-
 def _with_geography(spark: SparkSession, sf_dir: str, first: DataFrame) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation")
@@ -130,10 +108,6 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def experiment_window(order_events_df: DataFrame) -> DataFrame:
-    return order_events_df.filter(F.col("event_ts") < _ts(ORDER_EXPERIMENT_END))
-
-
 def order_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users of the order world: customers with their first order (customers without orders dropped)."""
     first = (
@@ -144,11 +118,20 @@ def order_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_geography(spark, sf_dir, first)
 
 
-def parity_assignments(users: DataFrame) -> DataFrame:
-    """One experiment: even user ids are control, odd ones treatment, assigned at signup."""
-    return users.select(
-        F.lit(EXPERIMENT_ID).alias("experiment_id"),
-        "user_id",
-        F.when(F.col("user_id") % 2 == 0, F.lit("control")).otherwise(F.lit("treatment")).alias("variant"),
-        F.col("signup_ts").alias("assigned_ts"),
+def split_assignments(users: DataFrame) -> DataFrame:
+    """The three experiments, assigned at signup: one row per experiment and user, from one scan of the users."""
+    parity, thirds, one_arm = EXPERIMENTS
+    uid = F.col("user_id")
+
+    def assigned(experiment: str, variant):
+        return F.struct(F.lit(experiment).alias("experiment_id"), variant.alias("variant"))
+
+    rows = F.array(
+        assigned(parity, F.when(uid % 2 == 0, F.lit("control")).otherwise(F.lit("treatment"))),
+        assigned(thirds, F.when(uid % 3 == 0, F.lit("control")).otherwise(F.lit("treatment"))),
+        F.when(uid % 5 == 0, assigned(one_arm, F.lit("control"))),
+    )
+    present = F.filter(rows, lambda r: r.isNotNull())
+    return users.select("user_id", F.col("signup_ts").alias("assigned_ts"), F.inline(present)).select(
+        "experiment_id", "user_id", "variant", "assigned_ts"
     )
