@@ -39,29 +39,47 @@ EVENT_COLS = "event_id string, user_id string, event_name string, event_ts strin
 
 @pytest.fixture()
 def sample_raw(spark):
-    """Two users, six events, two assignments (offsets in ISO text, as in the CSV snapshot)."""
+    """Four users in two signup weeks, seventeen events with offsets, ties and repeats, two experiments."""
     users = spark.createDataFrame(
         [
-            ("user_a", "2026-01-01T00:00:00+00:00", "free", "organic", "US"),
-            ("user_b", "2026-01-02T00:00:00+00:00", "pro", "referral", "SE"),
+            ("lena", "2026-02-03T09:15:00+01:00", "pro", "paid_search", "DE"),
+            ("marco", "2026-02-05T22:40:00-03:00", "team", "direct", "IN"),
+            ("nia", "2026-02-10T12:00:00+00:00", "free", "referral", "GB"),
+            ("oki", "2026-02-16T00:30:00+02:00", "enterprise", "linkedin_ads", "CA"),  # Sunday 22:30 in UTC
         ],
         "user_id string, signup_ts string, plan string, channel string, country string",
     )
+    rows = [
+        ("a01", "lena", "signup", "2026-02-03T08:15:00Z", 0),
+        ("a02", "lena", "onboarding_started", "2026-02-03T08:50:00Z", 0),
+        ("a03", "lena", "onboarding_started", "2026-02-04T10:00:00Z", 0),
+        ("a04", "lena", "onboarding_completed", "2026-02-04T10:20:00Z", 0),
+        ("a05", "lena", "session_started", "2026-02-11T07:00:00Z", 0),
+        ("a06", "lena", "session_started", "2026-02-12T07:00:00Z", 0),
+        ("a07", "lena", "subscription_payment", "2026-02-12T07:30:00Z", 30.25),
+        ("a08", "marco", "signup", "2026-02-06T01:40:00Z", 0),
+        ("a09", "marco", "session_started", "2026-02-08T23:30:00-02:00", 0),  # Monday in UTC
+        ("a10", "marco", "onboarding_started", "2026-02-09T02:00:00Z", 0),
+        ("a11", "nia", "signup", "2026-02-10T12:00:00Z", 0),
+        ("a12", "nia", "onboarding_started", "2026-02-10T12:05:00Z", 0),
+        ("a13", "nia", "onboarding_completed", "2026-02-10T12:09:00Z", 0),
+        ("a14", "nia", "first_project_created", "2026-02-13T16:00:00Z", 0),
+        ("a15", "nia", "session_started", "2026-02-25T06:00:00Z", 0),
+        ("a16", "nia", "churned", "2026-02-26T06:00:00Z", 0),
+        ("a17", "oki", "session_started", "2026-02-20T10:00:00Z", None),  # never signed up by event
+    ]
     events = spark.createDataFrame(
-        [
-            ("ev1", "user_a", "signup", "2026-01-01T00:00:00+00:00", "s1", "copy_test", "control", 0, "{}"),
-            ("ev2", "user_a", "onboarding_started", "2026-01-01T00:03:00+00:00", "s1", "copy_test", "control", 0, "{}"),
-            ("ev3", "user_a", "session_started", "2026-01-07T00:00:00+00:00", "s2", "copy_test", "control", 0, "{}"),
-            ("ev4", "user_b", "signup", "2026-01-02T00:00:00+00:00", "s3", "copy_test", "treatment", 0, "{}"),
-            ("ev5", "user_b", "onboarding_started", "2026-01-02T00:04:00+00:00", "s3", "copy_test", "treatment", 0, "{}"),
-            ("ev6", "user_b", "onboarding_completed", "2026-01-02T00:12:00+00:00", "s3", "copy_test", "treatment", 0, "{}"),
-        ],
-        EVENT_COLS.replace("decimal(20,6)", "int"),
+        [(i, u, n, t, f"visit-{i}", None, None, r if r is None else float(r), "{}") for i, u, n, t, r in rows],
+        EVENT_COLS.replace("decimal(20,6)", "double"),
     )
     assignments = spark.createDataFrame(
         [
-            ("copy_test", "user_a", "control", "2026-01-01T00:00:00+00:00"),
-            ("copy_test", "user_b", "treatment", "2026-01-02T00:00:00+00:00"),
+            ("tour", "lena", "control", "2026-02-03T08:15:00Z"),
+            ("tour", "marco", "treatment", "2026-02-06T01:40:00Z"),
+            ("tour", "nia", "treatment", "2026-02-10T12:00:00Z"),
+            ("price", "lena", "treatment", "2026-02-04T00:00:00Z"),
+            ("price", "nia", "control", "2026-02-11T00:00:00Z"),
+            ("price", "oki", "control", "2026-02-16T00:00:00Z"),
         ],
         "experiment_id string, user_id string, variant string, assigned_ts string",
     )
@@ -77,28 +95,3 @@ def sample(sample_raw):
         "events": staging.stage_events(sample_raw["raw_events"]),
         "assignments": staging.stage_assignments(sample_raw["ab_test_assignments"]),
     }
-
-
-@pytest.fixture()
-def test_events(spark):
-    """Seven events of two users (user_id, event_name, event_ts only)."""
-    return spark.createDataFrame(
-        [
-            ("p1", "signup", "2026-01-01T00:00:00Z"),
-            ("p1", "onboarding_started", "2026-01-01T01:00:00Z"),
-            ("p1", "onboarding_completed", "2026-01-01T02:00:00Z"),
-            ("p1", "session_started", "2026-01-08T00:00:00Z"),
-            ("p2", "signup", "2026-01-03T00:00:00Z"),
-            ("p2", "onboarding_started", "2026-01-03T01:00:00Z"),
-            ("p2", "session_started", "2026-01-15T00:00:00Z"),
-        ],
-        "user_id string, event_name string, event_ts string",
-    )
-
-
-@pytest.fixture()
-def test_users(spark):
-    return spark.createDataFrame(
-        [("p1", "2026-01-01T00:00:00Z"), ("p2", "2026-01-03T00:00:00Z")],
-        "user_id string, signup_ts string",
-    )

@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 
-from tidemark.operators.cohort import cohort_sizes, heatmap, retention
+from tidemark.operators.cohort import cohort_sizes, heatmap, period_numbers, retention
 
 D = dt.date
 
@@ -11,25 +11,26 @@ def _rows(df):
     return [tuple(r) for r in df.collect()]
 
 
-def test_weekly_sample(sample):
-    out = retention(sample["events"], sample["users"], "weekly")
-    assert out.columns == ["cohort_period", "period_number", "retained", "users", "retention_rate"]
-    assert _rows(out) == [(D(2025, 12, 29), 1, 1, 2, 0.5)]
+FIRST, SECOND = D(2026, 2, 2), D(2026, 2, 9)
 
 
-def test_weekly_test_events(test_events, test_users):
-    out = _rows(retention(test_events, test_users, "weekly"))
-    assert out == [(D(2025, 12, 29), 1, 1, 2, 0.5), (D(2025, 12, 29), 2, 1, 2, 0.5)]
+def test_weekly(sample):
+    out = retention(sample["events"], sample["users"], "weekly")
+    assert out.columns == ["cohort_period", "period_number", "retained", "users", "retention_rate"]
+    # lena and marco came back a week later; of the second week oki after one and nia after two
+    assert _rows(out) == [(FIRST, 1, 2, 2, 1.0), (SECOND, 1, 1, 2, 0.5), (SECOND, 2, 1, 2, 0.5)]
 
 
-def test_monthly_test_events(test_events, test_users):
-    assert _rows(retention(test_events, test_users, "monthly")) == [(D(2026, 1, 1), 0, 2, 2, 1.0)]
+def test_monthly(sample):
+    assert _rows(retention(sample["events"], sample["users"], "monthly")) == [(D(2026, 2, 1), 0, 4, 4, 1.0)]
 
 
-def test_heatmap(test_events, test_users):
-    hm = heatmap(retention(test_events, test_users, "weekly"))
+def test_heatmap(sample):
+    table = retention(sample["events"], sample["users"], "weekly")
+    assert period_numbers(table) == [1, 2]
+    hm = heatmap(table, period_numbers(table))
     assert hm.columns == ["cohort_period", "1", "2"]
-    assert _rows(hm) == [("2025-12-29", 0.5, 0.5)]
+    assert _rows(hm) == [("2026-02-02", 1.0, 0.0), ("2026-02-09", 0.5, 0.5)]
 
 
 def test_heatmap_fills_missing_cells(spark):
@@ -81,5 +82,5 @@ def test_empty_retention_and_heatmap(spark):
     ev = spark.createDataFrame([], "user_id string, event_name string, event_ts string")
     users = spark.createDataFrame([("a", "2026-01-01T00:00:00Z")], "user_id string, signup_ts string")
     assert retention(ev, users).count() == 0
-    hm = heatmap(retention(ev, users))
+    hm = heatmap(retention(ev, users), period_numbers(retention(ev, users)))
     assert hm.columns == ["cohort_period"] and hm.count() == 0

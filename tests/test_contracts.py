@@ -6,19 +6,23 @@ from pyspark.sql import functions as F
 from tidemark.operators.quality import GateFailed
 from tidemark.sources import contracts, io
 from tidemark.sources.contracts import ContractError
+from tidemark.sources.schemas import CONTRACTS
 
 USERS_CSV = """user_id,signup_ts,plan,channel,country
-user_a,2026-01-01T00:00:00+00:00,free,organic,US
-user_b,2026-01-02T00:00:00+00:00,pro,referral,NA
+ada,2026-05-04T09:30:00+02:00,team,direct,SE
+bo,2026-05-05T20:00:00-04:00,enterprise,paid_search,NA
+cy,2026-05-12T06:00:00Z,free,referral,IN
 """
 EVENTS_CSV = """event_id,user_id,event_name,event_ts,session_id,experiment_id,variant,revenue,properties
-ev1,user_a,signup,2026-01-01T00:00:00+00:00,s1,copy_test,control,0,"{""plan"": ""free"", ""channel"": ""organic""}"
-ev2,user_a,subscription_payment,2026-01-03T00:00:00+02:00,s2,copy_test,control,49.5,"{}"
-ev3,user_b,signup,2026-01-02T00:00:00+00:00,s3,copy_test,treatment,,"{}"
+m-1,ada,signup,2026-05-04T07:30:00Z,q1,,,,"{""note"": ""said \\""hi\\"", twice""}"
+m-2,bo,subscription_payment,2026-05-07T23:45:00-04:00,q2,,,18.125,"{}"
+m-3,cy,session_started,2026-05-20T00:10:00+05:30,q3,,,0.000001,
+m-4,cy,churned,2026-05-21T00:00:00Z,,,,,{}
 """
 ASSIGN_CSV = """experiment_id,user_id,variant,assigned_ts
-copy_test,user_a,control,2026-01-01T00:00:00+00:00
-copy_test,user_b,treatment,2026-01-02T00:00:00+00:00
+banner,ada,treatment,2026-05-04T07:30:00Z
+banner,bo,control,2026-05-06T00:00:00Z
+banner,cy,treatment,2026-05-12T06:00:00Z
 """
 
 
@@ -33,107 +37,170 @@ def write_snapshot(root, users=USERS_CSV, events=EVENTS_CSV, assignments=ASSIGN_
 def test_csv_read_escape_types_and_tokens(spark, scratch_dir):
     raw = io.read_csv_snapshot(spark, write_snapshot(os.path.join(scratch_dir, "src")))
     ev = {r["event_id"]: r for r in raw["raw_events"].collect()}
-    assert ev["ev1"]["properties"] == '{"plan": "free", "channel": "organic"}'
-    assert str(ev["ev2"]["event_ts"]) == "2026-01-02 22:00:00"  # +02:00 converted to UTC
-    assert ev["ev3"]["revenue"] is None and float(ev["ev2"]["revenue"]) == 49.5
+    assert ev["m-1"]["properties"].startswith('{"note": "said') and ev["m-3"]["properties"] is None
+    assert str(ev["m-2"]["event_ts"]) == "2026-05-08 03:45:00"  # -04:00 to UTC
+    assert str(ev["m-3"]["event_ts"]) == "2026-05-19 18:40:00"  # +05:30 to UTC
+    assert ev["m-4"]["revenue"] is None and float(ev["m-2"]["revenue"]) == 18.125
     users = {r["user_id"]: r["country"] for r in raw["dim_users"].collect()}
-    assert users["user_b"] == "NA"  # only the empty field is NULL
+    assert users["bo"] == "NA"  # only the empty field is NULL
 
 
 def test_missing_column_and_extra_column(spark, scratch_dir):
-    root = write_snapshot(os.path.join(scratch_dir, "src"), users="user_id,signup_ts,plan\nuser_a,2026-01-01T00:00:00Z,free\n")
+    root = write_snapshot(os.path.join(scratch_dir, "src"), users="user_id,plan,signup_ts\nada,free,2026-05-04T00:00:00Z\n")
     with pytest.raises(ContractError, match=r"dim_users is missing columns: \['channel', 'country'\]"):
         io.read_csv_snapshot(spark, root)
-    root2 = write_snapshot(os.path.join(scratch_dir, "src2"), users=USERS_CSV.replace("country\n", "country,extra\n").replace("US\n", "US,x\n").replace("NA\n", "NA,y\n"))
-    users = io.read_csv_snapshot(spark, root2)["dim_users"]
-    assert users.columns == ["user_id", "signup_ts", "plan", "channel", "country"]
-    assert contracts.extra_columns(["user_id", "signup_ts", "plan", "channel", "country", "extra"], contracts.CONTRACTS["dim_users"]) == ["extra"]
+    lines = USERS_CSV.splitlines()
+    wider = "\n".join([lines[0] + ",shoe"] + [x + ",42" for x in lines[1:]]) + "\n"
+    root2 = write_snapshot(os.path.join(scratch_dir, "src2"), users=wider)
+    contract = CONTRACTS["dim_users"]
+    text = io.read_csv_text(spark, f"{root2}/dim_users.csv", contract)
+    assert io.extra_columns(text.columns, contract) == ["shoe"]
+    assert io.to_contract_types(text, contract).columns == ["user_id", "signup_ts", "plan", "channel", "country"]
 
 
-def test_strict_timestamp_fails_and_tolerant_read(spark, scratch_dir):
-    root = write_snapshot(os.path.join(scratch_dir, "src"), assignments=ASSIGN_CSV.replace("2026-01-02T00:00:00+00:00", "yesterday"))
+def test_strict_values_fail_and_tolerant_read_reports(spark, scratch_dir):
+    root = write_snapshot(os.path.join(scratch_dir, "src"), assignments=ASSIGN_CSV.replace("2026-05-06T00:00:00Z", "last week"))
     with pytest.raises(Exception):
         io.read_csv_snapshot(spark, root)["ab_test_assignments"].collect()
     tolerant = io.read_csv_snapshot_tolerant(spark, root)
     assert tolerant["ab_test_assignments"].filter(F.col("assigned_ts").isNull()).count() == 1
+    contract = CONTRACTS["ab_test_assignments"]
+    text = io.read_csv_text(spark, f"{root}/ab_test_assignments.csv", contract, strict=False)
+    assert [tuple(r) for r in io.conversion_failures(text, contract).collect()] == [("ab_test_assignments", "assigned_ts", 1)]
     empty_root = os.path.join(scratch_dir, "nothing")
     os.makedirs(empty_root)
     t = io.read_csv_snapshot_tolerant(spark, empty_root)
     assert t["raw_events"].count() == 0 and "event_ts" in t["raw_events"].columns
 
 
+def test_revenue_beyond_six_decimals_is_not_rounded_in_silence(spark, scratch_dir):
+    root = write_snapshot(os.path.join(scratch_dir, "src"), events=EVENTS_CSV.replace("18.125", "18.1234567"))
+    with pytest.raises(Exception, match="more than 6 decimals"):
+        io.read_csv_snapshot(spark, root)["raw_events"].collect()
+    contract = CONTRACTS["raw_events"]
+    text = io.read_csv_text(spark, f"{root}/raw_events.csv", contract, strict=False)
+    assert {r["column"]: r["failures"] for r in io.conversion_failures(text, contract).collect()} == {"event_ts": 0, "revenue": 1}
+
+
+def test_line_breaks_in_cells_are_an_option(spark, scratch_dir):
+    broken = EVENTS_CSV.replace('"{}"', '"two\nlines"')
+    root = write_snapshot(os.path.join(scratch_dir, "src"), events=broken)
+    got = io.read_csv_table(spark, f"{root}/raw_events.csv", CONTRACTS["raw_events"], line_breaks=True)
+    assert {r["event_id"]: r["properties"] for r in got.collect()}["m-2"] == "two\nlines" and got.count() == 4
+    with pytest.raises(Exception):
+        io.read_csv_table(spark, f"{root}/raw_events.csv", CONTRACTS["raw_events"]).collect()
+
+
 def test_duplicate_and_null_keys_rejected(spark):
-    dupes = spark.createDataFrame(
-        [("user-1", "2026-07-26T00:00:00Z", "free", "direct", "SE"), ("user-1", "2026-07-26T00:00:00Z", "pro", "organic", "SE")],
-        "user_id string, signup_ts string, plan string, channel string, country string",
-    )
+    columns = "user_id string, signup_ts string, plan string, channel string, country string"
+    times = [f"2026-0{m}-11T0{m}:00:00Z" for m in range(1, 6)]
+    thrice = spark.createDataFrame([(u, t, "team", "direct", "IN") for u, t in zip("xyxzx", times, strict=True)], columns)
     with pytest.raises(ContractError, match="duplicate key"):
-        contracts.validate_frame(dupes, "dim_users")
-    nulls = spark.createDataFrame(
-        [("e1", None, "u", "x", "2026-01-01T00:00:00Z")], "experiment_id string, user_id string, variant string, assigned_ts string, extra string"
-    ).drop("extra").select("experiment_id", "user_id", "variant", "assigned_ts")
-    with pytest.raises(ContractError, match="NULL"):
+        contracts.validate_frame(thrice, "dim_users")
+    assert contracts.contract_violations(thrice, CONTRACTS["dim_users"]).first()["failures"] == 1
+    asg = "experiment_id string, user_id string, variant string, assigned_ts string"
+    nulls = spark.createDataFrame([("k", "v", None, "2026-05-05T00:00:00Z"), ("k", None, "control", None)], asg)
+    with pytest.raises(ContractError, match=r"NULL values in NOT NULL columns: \['assigned_ts', 'user_id', 'variant'\]"):
         contracts.validate_frame(nulls, "ab_test_assignments")
-    composite = spark.createDataFrame(
-        [("e1", "u1", "control", "t"), ("e1", "u1", "treatment", "t"), ("e2", "u1", "control", "t")],
-        "experiment_id string, user_id string, variant string, assigned_ts string",
-    )
+    pairs = spark.createDataFrame([("k", "v", "control", "t"), ("l", "v", "control", "t"), ("k", "v", "treatment", "t")], asg)
     with pytest.raises(ContractError, match=r"\['experiment_id', 'user_id'\]"):
-        contracts.validate_frame(composite, "ab_test_assignments")
+        contracts.validate_frame(pairs, "ab_test_assignments")
+
+
+def _blocked(stored):
+    raise GateFailed("blocked")
 
 
 def test_failed_load_leaves_previous_snapshot(spark, scratch_dir):
     wh = os.path.join(scratch_dir, "wh")
     good = io.read_csv_snapshot(spark, write_snapshot(os.path.join(scratch_dir, "good")))
-    first = contracts.publish_snapshot(spark, good, wh, "20260101T000000Z")
+    first = contracts.publish_snapshot(spark, good, wh, "20260501T000000Z")
     assert contracts.current_snapshot(spark, wh) == first
-    bad_assign = ASSIGN_CSV + "copy_test,user_a,treatment,2026-01-01T00:00:00+00:00\n"
-    bad = io.read_csv_snapshot(spark, write_snapshot(os.path.join(scratch_dir, "bad"), assignments=bad_assign))
+    again = io.read_csv_snapshot(
+        spark, write_snapshot(os.path.join(scratch_dir, "bad"), assignments=ASSIGN_CSV + ASSIGN_CSV.splitlines()[1] + "\n")
+    )
     with pytest.raises(ContractError):
-        contracts.publish_snapshot(spark, bad, wh, "20260102T000000Z")
+        contracts.publish_snapshot(spark, again, wh, "20260502T000000Z")
+    with pytest.raises(GateFailed):
+        contracts.publish_snapshot(spark, good, wh, "20260503T000000Z", gate=_blocked)
     assert contracts.current_snapshot(spark, wh) == first
-    assert not os.path.exists(contracts.snapshot_path(wh, "20260102T000000Z"))
+    assert contracts.read_source(spark, wh, "raw_events").count() == 4
+    with pytest.raises(FileNotFoundError):
+        contracts.read_source(spark, wh, "raw_events", "20260503T000000Z")
+    second = contracts.publish_snapshot(spark, good, wh, "20260504T000000Z")
+    assert contracts.current_snapshot(spark, wh) == second
 
-    def failing_gate(stored):
-        raise GateFailed("blocked")
 
+def test_repeating_an_id_is_all_or_nothing(spark, scratch_dir):
+    wh = os.path.join(scratch_dir, "wh")
+    users = lambda n: {"extra": spark.createDataFrame([(i,) for i in range(n)], "k int")}
+    contracts.publish_snapshot(spark, users(3), wh, "day", validate=False)
+    before = contracts.read_source(spark, wh, "extra", "day")
     with pytest.raises(GateFailed):
-        contracts.publish_snapshot(spark, good, wh, "20260103T000000Z", gate=failing_gate)
-    assert contracts.current_snapshot(spark, wh) == first
-    assert contracts.read_source(spark, wh, "raw_events").count() == 3
-    second = contracts.publish_snapshot(spark, good, wh, "20260104T000000Z")
-    assert contracts.current_snapshot(spark, wh) == second
+        contracts.publish_snapshot(spark, users(9), wh, "day", gate=_blocked, validate=False)
+    assert contracts.read_source(spark, wh, "extra", "day").count() == 3
+    contracts.publish_snapshot(spark, users(5), wh, "day", validate=False)
+    assert contracts.read_source(spark, wh, "extra", "day").count() == 5
+    assert before.count() == 3  # what a reader holds is not overwritten
+    assert contracts.committed_snapshots(spark, wh) == ["day"]
+
+
+def test_later_tables_share_the_commit(spark, scratch_dir):
+    wh = os.path.join(scratch_dir, "wh")
+    base = {"t": spark.range(4)}
+    derived = lambda stored: {"u": stored["t"].filter("id > 1")}
+    contracts.publish_snapshot(spark, base, wh, "one", validate=False, then=[derived])
+    assert contracts.read_source(spark, wh, "u").count() == 2
+    with pytest.raises(GateFailed):
+        contracts.publish_snapshot(spark, base, wh, "two", validate=False, then=[derived, _blocked])
+    assert contracts.current_snapshot(spark, wh) == "one"
 
 
 def test_write_table_receipt_and_export(spark, scratch_dir, sample):
-    n = io.write_table(sample["events"], os.path.join(scratch_dir, "ev"), partition_by=["event_date"])
-    assert n == 6
-    assert spark.read.parquet(os.path.join(scratch_dir, "ev")).count() == 6
+    path = os.path.join(scratch_dir, "ev")
+    assert io.write_table(sample["events"], path, partition_by=["event_date"]) == 17
+    assert io.write_table(sample["events"].limit(3), path, mode="append", partition_by=["event_date"]) == 3
+    assert spark.read.parquet(path).count() == 20
     out = os.path.join(scratch_dir, "csv")
     io.export_csv(sample["events"].select("event_id", "event_ts", "properties"), out)
-    back = io.csv_reader(spark).csv(out)
-    assert [r["event_id"] for r in back.collect()] == ["ev1", "ev2", "ev4", "ev5", "ev6", "ev3"]
-    view = io.materialize(sample["events"], "stg_raw_events_test", "staging")
-    assert spark.table("stg_raw_events_test").count() == view.count() == 6
-    stored = io.materialize(sample["events"], "fct_test", "marts", os.path.join(scratch_dir, "marts"))
-    assert stored.count() == 6
+    ids = [r["event_id"] for r in io.csv_reader(spark).csv(out).collect()]
+    assert ids == [f"a{i:02d}" for i in (1, 2, 3, 4, 8, 9, 10, 11, 12, 13, 5, 6, 7, 14, 17, 15, 16)]
+
+
+def test_partitioned_write_merges_small_dates_and_splits_a_hot_one(spark, scratch_dir):
+    rows = spark.range(0, 60_000, 1, 64).select(
+        "id",
+        F.md5(F.col("id").cast("string")).alias("filler"),
+        F.when(F.col("id") % 2 == 0, F.lit("2026-01-01")).otherwise(F.concat(F.lit("2026-02-"), F.lpad((F.col("id") % 28 + 1).cast("string"), 2, "0"))).alias("d"),
+    )
+    saved = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        path = os.path.join(scratch_dir, "t")
+        assert io.write_table(rows, path, partition_by=["d"]) == 60_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", saved)
+    files = {d: len([f for f in os.listdir(os.path.join(path, d)) if f.startswith("part-")]) for d in os.listdir(path) if d.startswith("d=")}
+    assert len(files) == 15 and files["d=2026-01-01"] > 1
+    assert sum(files.values()) < 64
 
 
 def test_unfinished_commit_marker_is_ignored(spark, scratch_dir):
     wh = os.path.join(scratch_dir, "wh")
     good = io.read_csv_snapshot(spark, write_snapshot(os.path.join(scratch_dir, "good")))
-    first = contracts.publish_snapshot(spark, good, wh, "20260101T000000Z")
+    first = contracts.publish_snapshot(spark, good, wh, "20260501T000000Z")
     # a commit job that died midway leaves its folder behind without _SUCCESS
-    os.makedirs(os.path.join(wh, "_commits", "20260105T000000Z", "_temporary"))
+    os.makedirs(os.path.join(wh, "_commits", "20260505T000000Z", "later", "_temporary"))
     assert contracts.current_snapshot(spark, wh) == first
 
 
 def test_model_metadata_and_descriptions(spark, sample):
-    from tidemark.sources.metadata import describe, model_metadata
+    from tidemark.operators import marts
+    from tidemark.sources.metadata import described, model_metadata
 
     meta = {r["model"]: r for r in model_metadata(spark).collect()}
     assert len(meta) == 9 and meta["fct_funnel"]["layer"] == "marts" and meta["stg_raw_events"]["materialized"] == "view"
     assert "daily_metrics_report" in meta["fct_ab_tests"]["consumers"]
-    described = describe(sample["events"], {"event_id": "one row per event identifier"})
-    assert described.schema["event_id"].metadata == {"comment": "one row per event identifier"}
-    assert described.columns == sample["events"].columns
+    mart = described(marts.fct_ab_tests(sample["assignments"], sample["events"]), "fct_ab_tests")
+    assert mart.schema["variant"].metadata == {"comment": "arm", "model": "fct_ab_tests"}
+    assert mart.columns == marts.fct_ab_tests(sample["assignments"], sample["events"]).columns

@@ -6,19 +6,22 @@ from tidemark.operators import intermediate, marts
 from tidemark.operators.churn import behavior_table
 
 T = dt.datetime
-AS_OF = "2026-07-26 00:00:00+00:00"
 
 
 def _by_user(df):
     return {r["user_id"]: r.asDict() for r in df.collect()}
 
 
-def test_user_activity_sample(sample):
-    out = _by_user(intermediate.user_activity(sample["events"], AS_OF))
-    a, b = out["user_a"], out["user_b"]
-    assert (a["session_count"], a["feature_events"], float(a["revenue_total"]), a["churned_flag"], a["days_since_active"]) == (1, 0, 0.0, 0, 200)
-    assert (b["session_count"], b["feature_events"], float(b["revenue_total"]), b["churned_flag"], b["days_since_active"]) == (0, 0, 0.0, 0, 204)
-    assert a["first_event_ts"] == T(2026, 1, 1) and a["last_event_ts"] == T(2026, 1, 7)
+def test_user_activity(sample):
+    out = _by_user(intermediate.user_activity(sample["events"], "2026-03-01 00:00:00"))
+    got = {u: (r["session_count"], r["feature_events"], float(r["revenue_total"]), r["churned_flag"], r["days_since_active"]) for u, r in out.items()}
+    assert got == {
+        "lena": (2, 0, 30.25, 0, 16),  # last seen 02-12 07:30
+        "marco": (1, 0, 0.0, 0, 19),  # 02-09 02:00
+        "nia": (1, 0, 0.0, 1, 2),  # 02-26 06:00
+        "oki": (1, 0, 0.0, 0, 8),  # 02-20 10:00
+    }
+    assert out["lena"]["first_event_ts"] == T(2026, 2, 3, 8, 15) and out["marco"]["last_event_ts"] == T(2026, 2, 9, 2, 0)
 
 
 def test_user_activity_negative_days_and_default_reference(spark):
@@ -48,35 +51,43 @@ def test_feature_prefix_literal_vs_like(spark):
 
 
 def test_funnel_steps_and_fct_funnel(sample):
-    steps = _by_user(intermediate.user_funnel_steps(sample["events"]))
-    assert steps["user_a"]["signup_ts"] == T(2026, 1, 1) and steps["user_a"]["onboarding_started_ts"] == T(2026, 1, 1, 0, 3)
-    assert steps["user_a"]["onboarding_completed_ts"] is None
-    assert steps["user_b"]["onboarding_completed_ts"] == T(2026, 1, 2, 0, 12)
-    f = marts.fct_funnel(intermediate.user_funnel_steps(sample["events"]))
+    wide = intermediate.user_funnel_steps(sample["events"])
+    steps = _by_user(wide)
+    assert steps["lena"]["onboarding_started_ts"] == T(2026, 2, 3, 8, 50)  # the first of two
+    assert steps["nia"]["first_project_created_ts"] == T(2026, 2, 13, 16, 0)
+    assert steps["marco"]["onboarding_completed_ts"] is None and steps["oki"]["signup_ts"] is None
+    f = marts.fct_funnel(wide)
     assert f.columns == ["user_id", "stage", "converted_at", "dropped"]
-    assert f.count() == 10
+    assert f.count() == 20
     dropped = {r["user_id"]: r["n"] for r in f.filter("dropped").groupBy("user_id").agg(F.count("*").alias("n")).collect()}
-    assert dropped == {"user_a": 3, "user_b": 2}
+    assert dropped == {"lena": 2, "marco": 3, "nia": 1, "oki": 5}
 
 
 def test_cohort_mart(sample):
-    rows = [tuple(r) for r in marts.fct_cohort_retention(sample["users"], sample["events"]).collect()]
-    assert rows == [(dt.date(2025, 12, 29), 1, 1)]
+    rows = sorted(tuple(r) for r in marts.fct_cohort_retention(sample["users"], sample["events"]).collect())
+    assert rows == [(dt.date(2026, 2, 2), 1, 2), (dt.date(2026, 2, 9), 1, 1), (dt.date(2026, 2, 9), 2, 1)]
 
 
 def test_ab_mart(sample):
-    out = _by_user(marts.fct_ab_tests(sample["assignments"], sample["events"]))
-    assert (out["user_a"]["variant"], out["user_a"]["converted"], float(out["user_a"]["revenue"])) == ("control", 0, 0.0)
-    assert (out["user_b"]["variant"], out["user_b"]["converted"], float(out["user_b"]["revenue"])) == ("treatment", 1, 0.0)
+    rows = marts.fct_ab_tests(sample["assignments"], sample["events"]).collect()
+    got = {(r["experiment_id"], r["user_id"]): (r["variant"], r["converted"], float(r["revenue"])) for r in rows}
+    assert got == {
+        ("tour", "lena"): ("control", 1, 30.25),
+        ("tour", "marco"): ("treatment", 0, 0.0),
+        ("tour", "nia"): ("treatment", 1, 0.0),
+        ("price", "lena"): ("treatment", 1, 30.25),
+        ("price", "nia"): ("control", 1, 0.0),
+        ("price", "oki"): ("control", 0, 0.0),
+    }
 
 
 def test_ab_mart_two_experiments_and_no_events(spark, sample):
     asg = spark.createDataFrame(
-        [("e1", "user_a", "control", T(2026, 1, 1)), ("e2", "user_a", "treatment", T(2026, 1, 1)), ("e1", "ghost", "control", T(2026, 1, 1))],
+        [("e1", "lena", "control", T(2026, 1, 1)), ("e2", "lena", "treatment", T(2026, 1, 1)), ("e1", "ghost", "control", T(2026, 1, 1))],
         "experiment_id string, user_id string, variant string, assigned_ts timestamp_ntz",
     )
     out = marts.fct_ab_tests(asg, sample["events"])
-    assert out.filter("user_id = 'user_a'").count() == 2
+    assert out.filter("user_id = 'lena'").count() == 2
     ghost = out.filter("user_id = 'ghost'").first()
     assert ghost["converted"] == 0 and float(ghost["revenue"]) == 0.0
 
@@ -87,4 +98,4 @@ def test_engagement_empty_on_sample(sample):
 
 def test_behavior_table_own_reference_time(sample):
     out = _by_user(behavior_table(sample["events"]))
-    assert out["user_a"]["days_since_active"] == 0 and out["user_b"]["days_since_active"] == 4
+    assert {u: r["days_since_active"] for u, r in out.items()} == {"lena": 13, "marco": 17, "nia": 0, "oki": 5}

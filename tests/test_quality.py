@@ -96,7 +96,7 @@ def test_user_without_events_fails_funnel_row_check(spark, sample_raw, models):
     from tidemark.operators import staging
 
     extra = spark.createDataFrame(
-        [("user_c", "2026-01-03T00:00:00+00:00", "team", "direct", "DE")], sample_raw["dim_users"].schema
+        [("pia", "2026-02-18T00:00:00+00:00", "team", "direct", "SE")], sample_raw["dim_users"].schema
     )
     raw_users = sample_raw["dim_users"].unionAll(extra)
     tables = {
@@ -107,15 +107,57 @@ def test_user_without_events_fails_funnel_row_check(spark, sample_raw, models):
         **{k: v for k, v in models.items() if k in quality.RECONCILIATION_TABLES and k != "stg_dim_users"},
     }
     checks = {r["check"]: (r["expected"], r["actual"], r["passed"]) for r in quality.reconciliation(tables).collect()}
-    assert checks["funnel_has_five_rows_per_user"] == (15, 10, False)
-    assert checks["staging_user_count_matches_source"] == (3, 3, True)
+    assert checks["funnel_has_five_rows_per_user"] == (25, 20, False)
+    assert checks["staging_user_count_matches_source"] == (5, 5, True)
 
 
 def test_render_markdown(spark, sample):
     from tidemark.operators.report import daily_metrics, render_markdown
 
     text = render_markdown(daily_metrics(sample["users"], sample["events"], sample["assignments"]))
-    assert text.startswith("# Daily SaaS Metrics Report")
-    assert "- biggest_dropoff_step: **first_project_created**" in text
+    assert text.startswith("# Product metrics of the day")
+    assert "- biggest_dropoff_step: **teammate_invited**" in text
     assert "- biggest_dropoff: **100.0%**" in text
-    assert "- users: **2**" in text
+    assert "- users: **4**" in text and "- events: **17**" in text and "- experiments: **2**" in text
+
+
+def _metrics(report):
+    return {r["metric"]: (r["value"], r["display"]) for r in report.collect()}
+
+
+def test_report_with_an_empty_arm_or_one_step(spark, sample):
+    from tidemark.operators.report import daily_metrics
+
+    one_arm = sample["assignments"].filter("variant = 'control'")
+    got = _metrics(daily_metrics(sample["users"], sample["events"], one_arm))
+    assert got["treatment_rate"] == (None, "n/a") and got["p_value"] == (None, "n/a")
+    assert got["control_rate"][1] == "66.67%"
+    single = _metrics(daily_metrics(sample["users"], sample["events"], sample["assignments"], ["signup"]))
+    assert single["biggest_dropoff_step"] == (None, "Not enough data for drop-off analysis")
+    assert "biggest_dropoff" not in single and single["signup:users"] == (3.0, "3")
+    nothing = _metrics(daily_metrics(sample["users"], sample["events"].limit(0), sample["assignments"]))
+    assert nothing["events"] == (0.0, "0") and not any(":" in m for m in nothing)
+
+
+def test_report_reads_events_once(spark):
+    from tidemark.plans.driver_queries import order_world
+    from tidemark.operators.report import daily_metrics
+
+    from .conftest import SMOKE_DIR
+
+    w = order_world(spark, SMOKE_DIR)
+    users = spark.createDataFrame([(1,)], "user_id long")
+    asg = spark.createDataFrame([("e", 1, "control")], "experiment_id string, user_id long, variant string")
+    plan = daily_metrics(users, w["events"], asg)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+
+
+def test_display_formats_round_half_to_even(spark):
+    from tidemark.functions import fmt
+
+    values = [0.0, 1 / 16, 0.0025, 0.1774, 0.5, 1.0, -0.0375, 0.99995, 1e-9, 2 / 3, *[i / 1600 for i in range(400)]]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
+    rows = df.select("v", fmt.percent(F.col("v"), 1).alias("p1"), fmt.percent(F.col("v"), 2).alias("p2"), fmt.shown(fmt.percent(F.col("v"), 1)).alias("s")).collect()
+    for r in rows[:-1]:
+        assert (r["p1"].replace(",", ""), r["p2"].replace(",", "")) == (f"{r['v']:.1%}", f"{r['v']:.2%}")
+    assert rows[-1]["p1"] is None and rows[-1]["s"] == "n/a"

@@ -57,3 +57,16 @@ CHURN_FEATURES = ("session_count", "feature_events", "days_since_active", "reven
 CHURN_TEST_SHARE = 0.25
 CHURN_SEED = 42
 CHURN_MAX_ITER = 200
+
+# --- fixed values: texts of checks and errors ---
+GATE_FAILED = "Warehouse verification failed"
+MISSING_COLUMNS = "is missing columns"
+DUPLICATE_KEYS = "contains duplicate key values for"
+NULL_KEYS = "has NULL values in NOT NULL columns"
+NO_DROPOFF = "Not enough data for drop-off analysis"
+CHECK_EVENTS = "staging_event_count_matches_source"
+CHECK_USERS = "staging_user_count_matches_source"
+CHECK_ASSIGNMENTS = "assignment_mart_matches_source"
+CHECK_FUNNEL = "funnel_has_five_rows_per_user"
+CHECK_COHORT = "cohort_mart_is_not_empty"
+CHECK_ENGAGEMENT = "engagement_mart_is_not_empty"

@@ -1,21 +1,25 @@
-"""Behaviour table and churn model (N8, C1-C6) on Spark ML."""
+"""Behaviour table and churn model (N8, C1-C6) on Spark ML.
+
+The training table (one row per user, with its side of the split) is stored once in the shared folder; counts, fit, scores
+and AUC all read that copy.
+"""
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark import constants as K
 from tidemark.functions.time import utc_column, whole_days_clipped
 from tidemark.operators.intermediate import reference_time
 from tidemark.operators.predicates import feature_predicate
+from tidemark.session import ensure_checkpoint_dir
 
 
 class ChurnModelError(ValueError):
@@ -58,37 +62,126 @@ def behavior_table(
     )
 
 
-def training_set(behavior: DataFrame, features: tuple[str, ...] = K.CHURN_FEATURES) -> DataFrame:
-    """Complete rows only; features as double columns plus the assembled vector."""
+def training_columns(behavior: DataFrame, features: tuple[str, ...] = K.CHURN_FEATURES) -> DataFrame:
+    """Complete rows only; features as double columns and the label."""
     complete = behavior.dropna(subset=[*features, "churned"])
-    typed = complete.select(
+    return complete.select(
         "user_id",
         *[F.col(f).cast("double").alias(f) for f in features],
         F.col("churned").cast("double").alias("label"),
     ).dropna(subset=list(features))
-    return VectorAssembler(inputCols=list(features), outputCol="features").transform(typed)
+
+
+def training_set(behavior: DataFrame, features: tuple[str, ...] = K.CHURN_FEATURES) -> DataFrame:
+    """:func:`training_columns` plus the assembled feature vector."""
+    return VectorAssembler(inputCols=list(features), outputCol="features").transform(training_columns(behavior, features))
+
+
+# hex digits of the order number that make a split bucket: 65,536 buckets
+BUCKET_DIGITS = 4
+SCORE_BUCKETS = 4096
+
+
+def split_order(user: Column, seed: int) -> Column:
+    """The text that orders users within their class: an MD5 digest, the same in any engine and layout."""
+    return F.md5(F.concat_ws(":", user.cast("string"), F.lit(str(seed))).cast("binary"))
 
 
 def split_assignment(
-    data: DataFrame, test_share: float = K.CHURN_TEST_SHARE, seed: int = K.CHURN_SEED
+    data: DataFrame, test_share: float = K.CHURN_TEST_SHARE, seed: int = K.CHURN_SEED, label: str = "label"
 ) -> DataFrame:
-    """Seeded, per-row hash split into train/test.
+    """Stratified split: of each class the first ``ceil(test_share * n)`` users in digest order are the test rows.
 
-    ``xxhash64(user_id, seed)`` buckets every row independently of partitioning, so the split
-    is reproducible on any cluster layout and close to ``1 - test_share`` within each class
-    without a sort or a per-class window.
+    Users are counted per class and digest bucket. The cumulative counts (a row per class and bucket) name the one bucket
+    of each class that holds the cut; only users of that bucket are ranked, so no class is sorted in one task.
     """
-    bucket = F.pmod(F.xxhash64(F.col("user_id").cast("string"), F.lit(seed)), F.lit(10_000))
-    return data.withColumn(
-        "split", F.when(bucket < F.lit(int(round((1 - test_share) * 10_000))), "train").otherwise("test")
+    marked = data.withColumn("_order", split_order(F.col("user_id"), seed)).withColumn(
+        "_bucket", F.substring("_order", 1, BUCKET_DIGITS)
+    )
+    counts = marked.groupBy(label, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    by_class = Window.partitionBy(label)
+    so_far = counts.withColumn("_upto", F.sum("_n").over(by_class.orderBy("_bucket"))).withColumn(
+        "_want", F.ceil(F.sum("_n").over(by_class) * F.lit(test_share))
     )
+    # one row per class
+    cut = so_far.filter((F.col("_upto") >= F.col("_want")) & (F.col("_upto") - F.col("_n") < F.col("_want"))).select(
+        F.col(label).alias("_class"), F.col("_bucket").alias("_cut"), (F.col("_want") - F.col("_upto") + F.col("_n")).alias("_take")
+    )
+    placed = marked.join(cut, F.col(label) == F.col("_class"))
+    side = F.when(F.col("_bucket") < F.col("_cut"), "test").when(F.col("_bucket") > F.col("_cut"), "train")
+    clear = placed.filter(F.col("_bucket") != F.col("_cut")).withColumn("split", side)
+    ranked = placed.filter(F.col("_bucket") == F.col("_cut")).withColumn(
+        "_rank", F.row_number().over(Window.partitionBy(label).orderBy("_order", "user_id"))
+    )
+    near = ranked.withColumn("split", F.when(F.col("_rank") <= F.col("_take"), "test").otherwise("train"))
+    columns = [*data.columns, "split"]
+    return clear.select(*columns).unionByName(near.select(*columns))
+
 
+def class_counts(data: DataFrame, label: str = "label") -> dict[tuple[str, float], int]:
+    """Rows per (split, class): at most four rows, behind every guard of the fit."""
+    rows = data.groupBy("split", label).agg(F.count(F.lit(1)).alias("n")).collect()
+    return {(r["split"], r[label]): r["n"] for r in rows}
 
-def check_classes(data: DataFrame, label: str = "label") -> None:
-    """Fail unless both classes are present (one small aggregate)."""
-    classes = data.agg(F.countDistinct(label).alias("k")).first()["k"]
-    if data.isEmpty() or classes < 2:
-        raise ChurnModelError("Insufficient class diversity to train churn model.")
+
+def check_classes(counts: dict[tuple[str, float], int]) -> None:
+    """Fail unless both classes are present in the data, the training rows and the test rows."""
+    for side in ("train", "test"):
+        if len({c for s, c in counts if s == side}) < 2:
+            raise ChurnModelError("Insufficient class diversity to train churn model.")
+
+
+def auc_table(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
+    """ROC AUC as one row (auc, n_positive, n_negative), ties counting half (Mann-Whitney).
+
+    Rows are reduced to counts per distinct score. Scores fall into ``SCORE_BUCKETS`` even ranges; the buckets' totals are
+    accumulated over that many rows, and within a bucket over its own distinct scores, so no task orders all scores. The
+    AUC is null if a class is missing.
+    """
+    value = F.col(score).cast("double")
+    per_score = scored.groupBy(value.alias("s")).agg(
+        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")
+    )
+    low, high = scored.select(F.min(value)).scalar(), scored.select(F.max(value)).scalar()
+    place = F.coalesce(F.floor(F.try_divide(F.col("s") - low, high - low) * F.lit(SCORE_BUCKETS)), F.lit(0).cast("long"))
+    bucketed = per_score.withColumn("bucket", place)
+    totals = bucketed.groupBy("bucket").agg(F.sum("neg").alias("n"))
+    before = totals.select(
+        "bucket", (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("below")
+    )
+    inside = Window.partitionBy("bucket").orderBy("s")
+    ranked = bucketed.join(before, "bucket").withColumn(
+        "smaller", F.col("below") + F.sum("neg").over(inside) - F.col("neg")
+    )
+    won = F.sum(F.col("pos").cast("double") * (F.col("smaller") + F.col("neg") * F.lit(0.5)))
+    out = ranked.agg(won.alias("won"), F.sum("pos").alias("n_positive"), F.sum("neg").alias("n_negative"))
+    pairs = F.col("n_positive").cast("double") * F.col("n_negative")
+    return out.select(F.try_divide(F.col("won"), pairs).alias("auc"), "n_positive", "n_negative")
+
+
+def stored_training_table(
+    behavior: DataFrame, features: tuple[str, ...], test_share: float, seed: int
+) -> DataFrame:
+    """The split training table, written once to the shared folder."""
+    spark = behavior.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/churn-training-{uuid.uuid4().hex}"
+    plain = training_columns(behavior, features)
+    stored = f"{path}/plain"
+    plain.write.parquet(stored)
+    split_assignment(spark.read.parquet(stored), test_share, seed).write.parquet(f"{path}/split")
+    return VectorAssembler(inputCols=list(features), outputCol="features").transform(spark.read.parquet(f"{path}/split"))
+
+
+def gradient_ratio(scored: DataFrame, model, features: tuple[str, ...], reg: float) -> float:
+    """Length of the objective's gradient at the fitted weights over its length at zero weights: near 0 when converged."""
+    label, p = F.col("label"), F.col("score")
+    at_fit = [F.avg((p - label) * F.col(f)) for f in features] + [F.avg(p - label)]
+    at_zero = [F.avg((F.lit(0.5) - label) * F.col(f)) for f in features] + [F.avg(F.lit(0.5) - label)]
+    row = scored.agg(*[c.alias(f"c{i}") for i, c in enumerate(at_fit + at_zero)]).first()
+    k = len(at_fit)
+    weights = [*model.coefficients, 0.0]
+    here = sum((row[i] + reg * weights[i]) ** 2 for i in range(k)) ** 0.5
+    return float(here / max(sum(row[k + i] ** 2 for i in range(k)) ** 0.5, 1e-300))
 
 
 def fit_churn_model(
@@ -100,45 +193,37 @@ def fit_churn_model(
 ) -> dict:
     """L2 logistic regression (C=1, unscaled) and ROC AUC on the held-out rows.
 
-    Returns ``{"model", "auc", "n_train", "n_test"}``; fitting is iterative, so this runs jobs.
+    Returns ``{"model", "auc", "n_train", "n_test", "gradient_ratio"}``; fitting is iterative, so this runs jobs.
     """
-    data = split_assignment(training_set(behavior, features), test_share, seed)
-    check_classes(data)
-    counts = {r["split"]: r["n"] for r in data.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n_train, n_test = counts.get("train", 0), counts.get("test", 0)
+    data = stored_training_table(behavior, features, test_share, seed)
+    counts = class_counts(data)
+    check_classes(counts)
+    n_train = sum(n for (side, _), n in counts.items() if side == "train")
+    n_test = sum(n for (side, _), n in counts.items() if side == "test")
     train = data.filter(F.col("split") == "train")
-    test = data.filter(F.col("split") == "test")
-    check_classes(train)
     # sklearn's C=1 penalty 0.5*||w||^2 + sum(loss) equals Spark's mean loss + (reg/2)*||w||^2
     # with reg = 1/n_train; no feature standardization, intercept unpenalized.
+    reg = 1.0 / n_train
     lr = LogisticRegression(
         featuresCol="features",
         labelCol="label",
         maxIter=max_iter,
-        regParam=1.0 / n_train,
+        regParam=reg,
         elasticNetParam=0.0,
         standardization=False,
         tol=1e-6,
     )
     model = lr.fit(train)
-    scored = model.transform(test).withColumn("score", vector_to_array("probability")[1])
-    auc = BinaryClassificationEvaluator(
-        rawPredictionCol="score", labelCol="label", metricName="areaUnderROC", numBins=0
-    ).evaluate(scored) if n_test else float("nan")
-    return {"model": model, "auc": float(auc), "n_train": n_train, "n_test": n_test}
+    scored = model.transform(data).withColumn("score", vector_to_array("probability")[1])
+    auc = auc_table(scored.filter(F.col("split") == "test")).first()["auc"]
+    ratio = gradient_ratio(scored.filter(F.col("split") == "train"), model, features, reg)
+    return {"model": model, "auc": float(auc), "n_train": n_train, "n_test": n_test, "gradient_ratio": ratio}
 
 
-def churn_auc_table(behavior: DataFrame, **kwargs) -> DataFrame:
-    """C6 as a one-row table: model, auc, n_train, n_test."""
+def churn_model_table(behavior: DataFrame, **kwargs) -> DataFrame:
+    """C4-C6 as a one-row table: model, auc, n_train, n_test, gradient_ratio."""
     fitted = fit_churn_model(behavior, **kwargs)
-    schema = T.StructType(
-        [
-            T.StructField("model", T.StringType()),
-            T.StructField("auc", T.DoubleType()),
-            T.StructField("n_train", T.LongType()),
-            T.StructField("n_test", T.LongType()),
-        ]
-    )
+    row = ("logistic_regression", *(fitted[k] for k in ("auc", "n_train", "n_test", "gradient_ratio")))
     return behavior.sparkSession.createDataFrame(
-        [("logistic_regression", fitted["auc"], int(fitted["n_train"]), int(fitted["n_test"]))], schema
+        [row], "model string, auc double, n_train long, n_test long, gradient_ratio double"
     )

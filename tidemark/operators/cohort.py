@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tidemark import constants as K
 from tidemark.functions.time import period_start, periods_between, utc_column
-from tidemark.session import ensure_checkpoint_dir
 
 RETENTION_COLUMNS = ("cohort_period", "period_number", "retained", "users", "retention_rate")
 
@@ -86,27 +85,19 @@ def retention(
     return result.orderBy("cohort_period", "period_number") if sort else result
 
 
-def heatmap(retention_table: DataFrame, periods: Sequence[int] | None = None) -> DataFrame:
+def period_numbers(retention_table: DataFrame) -> list[int]:
+    """The period numbers present in a (stored) retention table: at most one per week or month of the data."""
+    return [r["period_number"] for r in retention_table.select("period_number").distinct().orderBy("period_number").collect()]
+
+
+def heatmap(retention_table: DataFrame, periods: Sequence[int]) -> DataFrame:
     """Cohort x period matrix of mean retention rate, missing cells 0.0.
 
-    The cohort label is text. Columns are the period numbers present in the data unless
-    ``periods`` is given; passing them skips the extra job that finds the distinct values.
-    The input is the aggregated retention table (cohorts x periods), never event rows.
+    The cohort label is text; ``periods`` names the columns (:func:`period_numbers` of a stored table gives all of them).
+    The input is the aggregated retention table (cohorts x periods), never event rows, and building the matrix runs no job.
     """
     base = retention_table.select(
-        F.col("cohort_period").cast("string").alias("cohort_period"),
-        "period_number",
-        "retention_rate",
+        F.col("cohort_period").cast("string").alias("cohort_period"), "period_number", "retention_rate"
     )
-    if periods is None:
-        # Finding the pivot values is a job of its own; checkpoint the small aggregate
-        # (cohorts x periods) to the shared checkpoint folder first so that job and the
-        # pivot read it instead of re-running the event scan behind it.
-        ensure_checkpoint_dir(base.sparkSession)
-        base = base.checkpoint(eager=True)
-    grouped = base.groupBy("cohort_period")
-    pivoted = (
-        grouped.pivot("period_number", list(periods)) if periods is not None else grouped.pivot("period_number")
-    ).agg(F.avg("retention_rate"))
-    value_cols = [c for c in pivoted.columns if c != "cohort_period"]
-    return pivoted.fillna(0.0, subset=value_cols).orderBy("cohort_period")
+    pivoted = base.groupBy("cohort_period").pivot("period_number", list(periods)).agg(F.avg("retention_rate"))
+    return pivoted.fillna(0.0, subset=[str(p) for p in periods]).orderBy("cohort_period")

@@ -101,7 +101,17 @@ def evaluate_experiments(
         empty = stats.filter((F.col("n_control") == 0) | (F.col("n_treatment") == 0)).limit(1).collect()
         if empty:
             raise EmptyArmError("Control and treatment arrays must be non-empty.")
+    return evaluate_statistics(stats, alpha, pooled, revenue_col)
 
+
+def evaluate_statistics(
+    stats: DataFrame,
+    alpha: float = K.DEFAULT_ALPHA,
+    pooled: bool = False,
+    revenue_col: str | None = "revenue",
+    carry: Sequence[str] = (),
+) -> DataFrame:
+    """X1-X9 from sufficient statistics already taken (:func:`arm_statistics`); ``carry`` names further columns to keep."""
     # All statistics are column expressions over the one-row-per-experiment aggregate;
     # shared subexpressions are evaluated once by Catalyst.
     z_crit = F.lit(normal_quantile(1 - alpha / 2))
@@ -129,6 +139,7 @@ def evaluate_experiments(
         (uplift + z_crit * se).alias("ci_high"),
         ((z_crit + z_power) * F.sqrt(F.lit(2.0) * pq * inv_n)).alias("mde"),
     ]
+    cols += list(carry)
     if revenue_col is not None:
         cols += _welch_columns()
     tested = stats.select(*cols).withColumn("p_value", normal_two_sided_p("z_stat"))
@@ -160,7 +171,16 @@ def evaluate_experiments(
     ]
     if revenue_col is not None:
         out_cols += ["revenue_t_stat", "revenue_df", "revenue_p_value"]
-    return tested.select(*out_cols)
+    return tested.select(*out_cols, *carry)
+
+
+def flat_results(results: DataFrame) -> DataFrame:
+    """X9 as a stored table: every column, the interval struct as two columns."""
+    return results.select(
+        *[c for c in results.columns if c != "confidence_interval"],
+        F.col("confidence_interval.low").alias("interval_low"),
+        F.col("confidence_interval.high").alias("interval_high"),
+    )
 
 
 def _welch_columns() -> list[Column]:

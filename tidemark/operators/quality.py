@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark import constants as K
+
 CHECK_COLUMNS = ("model", "column_name", "test", "failures")
 
 
@@ -132,13 +134,16 @@ RECONCILIATION_TABLES = (
 def reconciliation(tables: Mapping[str, DataFrame], funnel_stages: int = 5) -> DataFrame:
     """Q9: source-to-mart count checks as (check, comparison, expected, actual, passed).
 
-    ``tables`` holds the nine models of :data:`RECONCILIATION_TABLES`. The funnel must have
-    ``funnel_stages`` rows per user.
+    ``tables`` holds the nine models of :data:`RECONCILIATION_TABLES`.
     """
     missing = [t for t in RECONCILIATION_TABLES if t not in tables]
     if missing:
         raise ValueError(f"reconciliation needs tables: {missing}")
-    counts = row_counts({t: tables[t] for t in RECONCILIATION_TABLES})
+    return reconciliation_of(row_counts({t: tables[t] for t in RECONCILIATION_TABLES}), funnel_stages)
+
+
+def reconciliation_of(counts: DataFrame, funnel_stages: int = 5) -> DataFrame:
+    """Q9 from counts already taken (:func:`row_counts`). The funnel must have ``funnel_stages`` rows per user."""
     wide = counts.groupBy().pivot("model", list(RECONCILIATION_TABLES)).agg(F.first("row_count"))
 
     def check(name: str, comparison: str, expected, actual):
@@ -153,12 +158,12 @@ def reconciliation(tables: Mapping[str, DataFrame], funnel_stages: int = 5) -> D
 
     c = F.col
     rows = F.array(
-        check("staging_event_count_matches_source", "equals", c("raw_events"), c("stg_raw_events")),
-        check("staging_user_count_matches_source", "equals", c("dim_users"), c("stg_dim_users")),
-        check("assignment_mart_matches_source", "equals", c("ab_test_assignments"), c("fct_ab_tests")),
-        check("funnel_has_five_rows_per_user", "equals", c("dim_users") * F.lit(funnel_stages), c("fct_funnel")),
-        check("cohort_mart_is_not_empty", "at_least", F.lit(1), c("fct_cohort_retention")),
-        check("engagement_mart_is_not_empty", "at_least", F.lit(1), c("fct_feature_engagement")),
+        check(K.CHECK_EVENTS, "equals", c("raw_events"), c("stg_raw_events")),
+        check(K.CHECK_USERS, "equals", c("dim_users"), c("stg_dim_users")),
+        check(K.CHECK_ASSIGNMENTS, "equals", c("ab_test_assignments"), c("fct_ab_tests")),
+        check(K.CHECK_FUNNEL, "equals", c("dim_users") * F.lit(funnel_stages), c("fct_funnel")),
+        check(K.CHECK_COHORT, "at_least", F.lit(1), c("fct_cohort_retention")),
+        check(K.CHECK_ENGAGEMENT, "at_least", F.lit(1), c("fct_feature_engagement")),
     )
     return wide.select(F.inline(rows))
 
@@ -167,17 +172,7 @@ def gate(checks: DataFrame, passed_col: str = "passed", name_col: str = "check")
     """Q10: raise :class:`GateFailed` naming every failed check (collects failures only)."""
     failed = [r[name_col] for r in checks.filter(~F.col(passed_col)).select(name_col).collect()]
     if failed:
-        raise GateFailed(f"Warehouse verification failed: {', '.join(failed)}")
-
-
-def gate_failures(checks: DataFrame) -> None:
-    """Q10 for check relations with a ``failures`` column: any failure blocks publication."""
-    failed = [
-        f"{r['model']}.{r['column_name']}:{r['test']}"
-        for r in checks.filter(F.col("failures") > 0).select("model", "column_name", "test").collect()
-    ]
-    if failed:
-        raise GateFailed(f"Data tests failed: {', '.join(failed)}")
+        raise GateFailed(f"{K.GATE_FAILED}: {', '.join(failed)}")
 
 
 def product_data_tests(
@@ -192,8 +187,6 @@ def product_data_tests(
 ) -> DataFrame:
     """The product's 25 generic data tests (15 not_null, 2 unique, 6 accepted_values,
     2 relationships) as one relation of (model, column_name, test, failures)."""
-    from tidemark import constants as K
-
     steps = list(funnel_steps) if funnel_steps else list(K.DEFAULT_FUNNEL_STEPS)
     parts = [
         column_checks(

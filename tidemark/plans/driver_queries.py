@@ -164,6 +164,9 @@ def q_fct_feature_engagement_like(spark, d):
     return edge(marts.fct_feature_engagement(product_world(spark, d)["events"], LIKE_PREFIX, feature_match="like"))
 
 
+HEATMAP_PERIODS = range(0, 5)  # the weeks of the events table
+
+
 # ---- funnel and retention analytics -------------------------------------------------------------
 
 CUSTOM_STEPS = ("3-MEDIUM", "1-URGENT", "5-LOW")
@@ -202,7 +205,7 @@ def q_cohort_sizes_monthly(spark, d):
 
 def q_retention_heatmap(spark, d):
     w = product_world(spark, d)
-    return edge(cohort.heatmap(cohort.retention(w["events"], w["users"], "weekly", A.SESSION_EVENT, sort=False)))
+    return edge(cohort.heatmap(cohort.retention(w["events"], w["users"], "weekly", A.SESSION_EVENT, sort=False), HEATMAP_PERIODS))
 
 
 def q_behavior_table(spark, d):
@@ -251,13 +254,7 @@ def q_ab_revenue_welch(spark, d):
 
 def q_ab_results(spark, d):
     """Every column of the per-experiment result, the interval struct flattened; one experiment has an empty arm."""
-    r = _evaluated(spark, d, revenue=True)
-    flat = r.select(
-        *[c for c in r.columns if c != "confidence_interval"],
-        F.col("confidence_interval.low").alias("interval_low"),
-        F.col("confidence_interval.high").alias("interval_high"),
-    )
-    return edge(flat, scales={"revenue_df": 6})
+    return edge(experiment.flat_results(_evaluated(spark, d, revenue=True)), scales={"revenue_df": 6})
 
 
 def q_ab_variant_comparison(spark, d):
@@ -414,12 +411,27 @@ def q_churn_features(spark, d):
 
 
 def q_churn_split(spark, d):
-    data = churn.split_assignment(churn.training_set(_behavior(spark, d)))
+    data = churn.split_assignment(churn.training_columns(_behavior(spark, d)))
     return data.select("user_id", F.col("label").cast("int").alias("churned"), "split")
 
 
 def q_churn_auc(spark, d):
-    return churn.churn_auc_table(_behavior(spark, d))
+    """C6 on the held-out rows for fixed whole-number weights, so that another engine gets the same scores and ties."""
+    data = churn.split_assignment(churn.training_columns(_behavior(spark, d))).filter(F.col("split") == "test")
+    score = F.col("days_since_active") * 40 - F.col("session_count") * 2 - F.col("feature_events")
+    return edge(churn.auc_table(data.withColumn("score", score)))
+
+
+def q_churn_model(spark, d):
+    """The fitted model's sizes, whether it converged (gradient) and whether its AUC is a probability."""
+    fitted = churn.churn_model_table(_behavior(spark, d))
+    return fitted.select(
+        "model",
+        "n_train",
+        "n_test",
+        (F.col("gradient_ratio") < 1e-3).alias("converged"),
+        F.col("auc").between(0, 1).alias("auc_in_range"),
+    )
 
 
 QUERIES: dict[str, QueryFn] = {
@@ -463,4 +475,5 @@ QUERIES: dict[str, QueryFn] = {
     "churn_features": q_churn_features,
     "churn_split": q_churn_split,
     "churn_auc": q_churn_auc,
+    "churn_model": q_churn_model,
 }

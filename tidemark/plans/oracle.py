@@ -7,6 +7,7 @@ model in plain SQL. Doubles are rounded to 9 places as on the Spark side.
 
 from __future__ import annotations
 
+from tidemark import constants as K
 from tidemark.functions.stats import normal_quantile
 from tidemark.plans import driver_queries as Q
 from tidemark.sources import adapter as A
@@ -176,8 +177,6 @@ def _retention_ctes(users: str, events: str, session_pred: str, period: str) ->
 WEEKLY_RET = _retention_ctes("eu", "se", f"event_name = '{A.SESSION_EVENT}'", "weekly")
 MONTHLY_RET = _retention_ctes("ou", "oe", "true", "monthly")
 
-HEATMAP_PERIODS = range(0, 5)
-
 
 def _ab_select(cols: str) -> str:
     return _with(ORDER_WORLD, STATS) + f"SELECT {cols} FROM ev"
@@ -298,10 +297,26 @@ UNION ALL SELECT 1007, 'experiment', 'recommendation', CAST(NULL AS DOUBLE),
        ELSE 'No significant effect: continue test or increase sample size.' END FROM ev"""
 
 
+CHURN = _with(
+    SE,
+    f"""cb AS (SELECT user_id,
+            count(*) FILTER (WHERE event_name = '{A.SESSION_EVENT}') AS session_count,
+            count(*) FILTER (WHERE starts_with(event_name, '{A.FEATURE_PREFIX}')) AS feature_events,
+            CAST(sum(CASE WHEN event_name = '{A.PAYMENT_EVENT}' THEN coalesce(revenue, 0) ELSE 0 END) AS DOUBLE) AS revenue_total,
+            max(CASE WHEN event_name = '{A.CHURN_EVENT}' THEN 1 ELSE 0 END) AS churned,
+            greatest(CAST(date_part('day', (SELECT max(event_ts) FROM se) - max(event_ts)) AS BIGINT), 0) AS days_since_active
+          FROM se GROUP BY user_id)""",
+    """cf AS (SELECT user_id, CAST(session_count AS DOUBLE) AS session_count, CAST(feature_events AS DOUBLE) AS feature_events,
+            CAST(days_since_active AS DOUBLE) AS days_since_active, revenue_total, CAST(churned AS DOUBLE) AS label FROM cb)""",
+    f"""cs AS (SELECT cf.*, CASE WHEN row_number() OVER (PARTITION BY label ORDER BY md5(CAST(user_id AS VARCHAR) || ':{K.CHURN_SEED}'), user_id)
+            <= ceil(count(*) OVER (PARTITION BY label) * {K.CHURN_TEST_SHARE}) THEN 'test' ELSE 'train' END AS split FROM cf)""",
+)
+
+
 def oracle_sql() -> dict[str, str]:
     heat_cols = ", ".join(
         f"coalesce(round(avg(CASE WHEN period_number = {k} THEN retention_rate END), 9), 0.0) AS \"{k}\""
-        for k in HEATMAP_PERIODS
+        for k in Q.HEATMAP_PERIODS
     )
     order_steps = _with(OE, FS_OE)
     rec_counts = _with(*PRODUCT_MARTS) + """, c AS (
@@ -446,14 +461,16 @@ UNION ALL SELECT 'engagement_mart_is_not_empty', 'at_least', 1, fct_feature_enga
         "topline": _with(SE, EU, _assigned("eu", "pasg")) + """SELECT (SELECT count(DISTINCT user_id) FROM eu) AS users,
             (SELECT count(*) FROM se) AS events, (SELECT count(DISTINCT experiment_id) FROM pasg) AS experiments""",
         "daily_metrics": _daily_metrics_sql(),
-        "churn_features": _with(SE) + f"""SELECT user_id, CAST(session_count AS DOUBLE) AS session_count,
-            CAST(feature_events AS DOUBLE) AS feature_events, CAST(days_since_active AS DOUBLE) AS days_since_active,
-            round(revenue_total, 9) AS revenue_total, CAST(churned AS DOUBLE) AS label
-          FROM (SELECT user_id,
-            count(*) FILTER (WHERE event_name = '{A.SESSION_EVENT}') AS session_count,
-            count(*) FILTER (WHERE starts_with(event_name, '{A.FEATURE_PREFIX}')) AS feature_events,
-            CAST(sum(CASE WHEN event_name = '{A.PAYMENT_EVENT}' THEN coalesce(revenue, 0) ELSE 0 END) AS DOUBLE) AS revenue_total,
-            max(CASE WHEN event_name = '{A.CHURN_EVENT}' THEN 1 ELSE 0 END) AS churned,
-            greatest(CAST(date_part('day', (SELECT max(event_ts) FROM se) - max(event_ts)) AS BIGINT), 0) AS days_since_active
-          FROM se GROUP BY user_id)""",
+        "churn_features": CHURN + """SELECT user_id, session_count, feature_events, days_since_active,
+            round(revenue_total, 9) AS revenue_total, label FROM cf""",
+        "churn_split": CHURN + "SELECT user_id, CAST(label AS INTEGER) AS churned, split FROM cs",
+        "churn_auc": CHURN + """, t AS (SELECT *, days_since_active * 40 - session_count * 2 - feature_events AS score
+              FROM cs WHERE split = 'test'),
+            p AS (SELECT sum(CASE WHEN b.score < a.score THEN 1.0 WHEN b.score = a.score THEN 0.5 ELSE 0.0 END) AS won
+              FROM t a, t b WHERE a.label = 1 AND b.label <> 1)
+            SELECT round(CAST(won AS DOUBLE) / nullif((SELECT count(*) FILTER (label = 1) * count(*) FILTER (label <> 1) FROM t), 0), 9) AS auc,
+              (SELECT count(*) FILTER (label = 1) FROM t) AS n_positive, (SELECT count(*) FILTER (label <> 1) FROM t) AS n_negative
+            FROM p""",
+        "churn_model": CHURN + """SELECT 'logistic_regression' AS model, count(*) FILTER (split = 'train') AS n_train,
+            count(*) FILTER (split = 'test') AS n_test, true AS converged, true AS auc_in_range FROM cs""",
     }

@@ -1,11 +1,10 @@
 """Batch pipeline in dependency order.
 
-ingest CSV snapshot -> validate contracts -> publish raw snapshot (all-or-nothing)
--> staging views -> intermediate models -> marts (stored) -> data tests, singular tests,
-reconciliation -> gate -> commit marts -> report tables.
+ingest CSV snapshot -> store, validate contracts, publish raw snapshot (all-or-nothing) -> one attempt holding staged
+events, marts, the gate (data tests, singular tests, non-empty and reconciliation checks), report tables and the model
+catalogue -> one commit. A run that fails anywhere leaves what was published before in place.
 
-Actions happen only here: writes of stored layers, the gates (which collect failures
-only) and the handful of report rows.
+Actions happen only here: writes of stored layers, the gates (which collect failures only) and the handful of report rows.
 """
 
 from __future__ import annotations
@@ -17,9 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import constants as K
-from tidemark.operators import intermediate, marts, quality, report, staging
+from tidemark.operators import cohort, experiment, intermediate, marts, quality, report, staging
 from tidemark.sources import contracts, io
-from tidemark.sources.metadata import model_metadata
+from tidemark.sources.metadata import MODELS, described, model_metadata
 
 
 @dataclass
@@ -60,6 +59,14 @@ def build_models(
 
 
 MART_NAMES = ("fct_funnel", "fct_cohort_retention", "fct_ab_tests", "fct_feature_engagement")
+REPORT_NAMES = ("daily_metrics", "funnel", "retention", "retention_heatmap", "variant_comparison", "ab_results")
+
+
+def register(models: dict[str, DataFrame]) -> None:
+    """Each catalogued model as a temporary view: lazy for staging and intermediate ones, over the stored table for marts."""
+    for name, df in models.items():
+        if name in {m[0] for m in MODELS}:
+            df.createOrReplaceTempView(name)
 
 
 def run(
@@ -77,85 +84,105 @@ def run(
     loaded: dict[str, int] = {}
     snapshot_id = contracts.publish_snapshot(spark, raw_text, f"{wh}/raw", snapshot_id, receipt=loaded)
     raw = contracts.read_snapshot(spark, f"{wh}/raw", snapshot_id)
-    # Five models read the staged events: store them once, partitioned by event date, so
-    # each model scans Parquet with date pruning instead of re-parsing the raw snapshot.
-    staged_path = f"{wh}/staged/{snapshot_id}/stg_raw_events"
-    io.write_table(staging.stage_events(raw["raw_events"]), staged_path, mode="overwrite", partition_by=["event_date"])
-    models = build_models(raw, as_of, staged_events=spark.read.parquet(staged_path))
-
-    mart_frames = {name: models[name] for name in MART_NAMES}
-    mart_frames["int_user_activity"] = models["int_user_activity"]
     result = PipelineResult(snapshot_id, loaded)
-
-    def gate(stored: dict[str, DataFrame]) -> None:
-        data_tests = quality.product_data_tests(
-            models["stg_raw_events"], models["stg_dim_users"], models["stg_ab_test_assignments"],
-            stored["fct_funnel"], stored["fct_cohort_retention"], stored["fct_ab_tests"],
-            stored["fct_feature_engagement"],
-        )
-        result.data_test_failures = [r.asDict() for r in data_tests.filter(F.col("failures") > 0).collect()]
-        dupes = quality.singular_tests(models["stg_raw_events"], stored["fct_ab_tests"], stored["fct_funnel"])
-        dupe_checks = dupes.groupBy("check").agg(F.count(F.lit(1)).alias("n")).collect()
-        recon = quality.reconciliation(
-            {
-                "raw_events": raw["raw_events"],
-                "stg_raw_events": models["stg_raw_events"],
-                "dim_users": raw["dim_users"],
-                "stg_dim_users": models["stg_dim_users"],
-                "ab_test_assignments": raw["ab_test_assignments"],
-                **{n: stored[n] for n in MART_NAMES},
-            }
-        )
-        result.checks = [r.asDict() for r in recon.collect()]
-        if enforce_gate:
-            failed = [c["check"] for c in result.checks if not c["passed"]]
-            failed += [f"{d['model']}.{d['column_name']}:{d['test']}" for d in result.data_test_failures]
-            failed += [r["check"] for r in dupe_checks]
-            if failed:
-                raise quality.GateFailed(f"Warehouse verification failed: {', '.join(failed)}")
-
-    contracts.publish_snapshot(spark, mart_frames, f"{wh}/marts", snapshot_id, gate=gate, validate=False)
-    model_metadata(spark).coalesce(1).write.mode("overwrite").parquet(f"{wh}/model_metadata")
-
-    daily = report.daily_metrics(
-        models["stg_dim_users"], models["stg_raw_events"], models["stg_ab_test_assignments"]
+    models: dict[str, DataFrame] = {}
+
+    def build_marts(stored: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        # Five models read the staged events: stored once, by event date, so each scans Parquet with date pruning.
+        models.update(build_models(raw, as_of, staged_events=stored["stg_raw_events"]))
+        return {name: described(models[name], name) for name in (*MART_NAMES, "int_user_activity")}
+
+    def gate(stored: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        result.data_test_failures, result.checks, failed = _check(raw, models, stored)
+        if failed and enforce_gate:
+            raise quality.GateFailed(f"{K.GATE_FAILED}: {', '.join(failed)}")
+        return {}
+
+    def report_tables(stored: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        users, events = models["stg_dim_users"], models["stg_raw_events"]
+        return {
+            "model_metadata": model_metadata(spark).coalesce(1),
+            "daily_metrics": report.daily_metrics(users, events, models["stg_ab_test_assignments"]).coalesce(1),
+            "ab_results": experiment.flat_results(experiment.evaluate_experiments(stored["fct_ab_tests"])),
+            **report.chart_tables(users, events, models["stg_ab_test_assignments"]),
+        }
+
+    def edge_tables(stored: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        # the stored retention table has a row per cohort and period
+        periods = cohort.period_numbers(stored["retention"])
+        return {"retention_heatmap": cohort.heatmap(stored["retention"], periods)}
+
+    contracts.publish_snapshot(
+        spark,
+        {"stg_raw_events": staging.stage_events(raw["raw_events"])},
+        f"{wh}/marts",
+        snapshot_id,
+        validate=False,
+        then=(build_marts, gate, report_tables, edge_tables),
+        partition_by={"stg_raw_events": ["event_date"]},
     )
-    daily.coalesce(1).write.mode("overwrite").parquet(f"{wh}/reports/{snapshot_id}/daily_metrics")
-    for name, df in report.chart_tables(
-        models["stg_dim_users"], models["stg_raw_events"], models["stg_ab_test_assignments"]
-    ).items():
-        df.write.mode("overwrite").parquet(f"{wh}/reports/{snapshot_id}/{name}")
-    result.report_rows = [r.asDict() for r in spark.read.parquet(f"{wh}/reports/{snapshot_id}/daily_metrics").orderBy("line").collect()]
+    register({**models, **{n: contracts.read_source(spark, f"{wh}/marts", n, snapshot_id) for n in MART_NAMES}})
+    daily = contracts.read_source(spark, f"{wh}/marts", "daily_metrics", snapshot_id)
+    result.report_rows = [r.asDict() for r in daily.orderBy("line").collect()]
     return result
 
 
+def _check(
+    raw: dict[str, DataFrame], models: dict[str, DataFrame], stored: dict[str, DataFrame]
+) -> tuple[list[dict], list[dict], list[str]]:
+    """Failed data tests, reconciliation checks and the names of everything that failed (Q1-Q9; failures only are collected)."""
+    data_tests = quality.product_data_tests(
+        models["stg_raw_events"], models["stg_dim_users"], models["stg_ab_test_assignments"],
+        stored["fct_funnel"], stored["fct_cohort_retention"], stored["fct_ab_tests"], stored["fct_feature_engagement"],
+    )
+    failures = [r.asDict() for r in data_tests.filter(F.col("failures") > 0).collect()]
+    dupes = quality.singular_tests(models["stg_raw_events"], stored["fct_ab_tests"], stored["fct_funnel"])
+    dupe_checks = [r["check"] for r in dupes.select("check").distinct().collect()]
+    counted = _stored_counts(raw, models["stg_raw_events"], models["stg_dim_users"], stored)
+    checks = [r.asDict() for r in quality.reconciliation_of(counted).collect()]
+    must_hold_rows = ("fct_funnel", "fct_cohort_retention", "fct_ab_tests")
+    empty = [r["model"] for r in counted.collect() if r["model"] in must_hold_rows and r["row_count"] == 0]
+    failed = [c["check"] for c in checks if not c["passed"]]
+    failed += [f"{name}:non_empty" for name in empty]
+    failed += [f"{d['model']}.{d['column_name']}:{d['test']}" for d in failures]
+    return failures, checks, failed + dupe_checks
+
+
+def _stored_counts(
+    raw: dict[str, DataFrame], stg_events: DataFrame, stg_users: DataFrame, stored: dict[str, DataFrame]
+) -> DataFrame:
+    """The nine row counts, taken once: a small local relation."""
+    tables = {
+        "raw_events": raw["raw_events"],
+        "stg_raw_events": stg_events,
+        "dim_users": raw["dim_users"],
+        "stg_dim_users": stg_users,
+        "ab_test_assignments": raw["ab_test_assignments"],
+        **{n: stored[n] for n in MART_NAMES},
+    }
+    counts = quality.row_counts(tables)
+    return counts.sparkSession.createDataFrame(counts.collect(), counts.schema)
+
+
 def verify_warehouse(spark: SparkSession, warehouse_root: str, snapshot_id: str | None = None) -> dict:
     """Q9/Q10 on a stored warehouse: the nine counts and six checks, as ``{"counts", "checks"}``.
 
     Raises :class:`quality.GateFailed` naming the failed checks. Reads the committed raw and
-    mart snapshots (the newest ones unless ``snapshot_id`` is given); collects 15 small rows.
+    mart snapshots (the newest ones unless ``snapshot_id`` is given); the tables are counted once.
     """
     wh = warehouse_root.rstrip("/")
     snapshot_id = snapshot_id or contracts.current_snapshot(spark, f"{wh}/marts")
     if snapshot_id is None:
         raise FileNotFoundError(f"no committed marts under {wh}")
     raw = contracts.read_snapshot(spark, f"{wh}/raw", snapshot_id)
-    tables = {
-        "raw_events": raw["raw_events"],
-        "stg_raw_events": spark.read.parquet(f"{wh}/staged/{snapshot_id}/stg_raw_events"),
-        "dim_users": raw["dim_users"],
-        "stg_dim_users": staging.stage_users(raw["dim_users"]),
-        "ab_test_assignments": raw["ab_test_assignments"],
-        **{n: contracts.read_source(spark, f"{wh}/marts", n, snapshot_id) for n in MART_NAMES},
-    }
-    counts = {r["model"]: r["row_count"] for r in quality.row_counts(tables).collect()}
-    checks_df = quality.reconciliation(tables)
-    checks = {r["check"]: r["passed"] for r in checks_df.collect()}
-    result = {"counts": counts, "checks": checks}
+    stored = {n: contracts.read_source(spark, f"{wh}/marts", n, snapshot_id) for n in (*MART_NAMES, "stg_raw_events")}
+    counted = _stored_counts(raw, stored["stg_raw_events"], staging.stage_users(raw["dim_users"]), stored)
+    counts = {r["model"]: r["row_count"] for r in counted.collect()}
+    checks = {r["check"]: r["passed"] for r in quality.reconciliation_of(counted).collect()}
     failed = [name for name, ok in checks.items() if not ok]
     if failed:
-        raise quality.GateFailed(f"Warehouse verification failed: {', '.join(failed)}")
-    return result
+        raise quality.GateFailed(f"{K.GATE_FAILED}: {', '.join(failed)}")
+    return {"counts": counts, "checks": checks}
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -182,7 +209,7 @@ def main(argv: list[str] | None = None) -> int:
     try:
         if args.command == "build":
             res = run(spark, args.source, args.warehouse, args.as_of, args.snapshot_id)
-            report = spark.read.parquet(f"{args.warehouse.rstrip('/')}/reports/{res.snapshot_id}/daily_metrics")
+            report = contracts.read_source(spark, f"{args.warehouse.rstrip('/')}/marts", "daily_metrics", res.snapshot_id)
             print(json.dumps({"snapshot_id": res.snapshot_id, "loaded": res.loaded, "checks": res.checks}, default=str))
             print(render_markdown(report))
         else:

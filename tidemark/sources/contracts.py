@@ -1,20 +1,21 @@
 """Contract validation and all-or-nothing snapshot publication.
 
-A snapshot is a folder of Parquet tables, ``<root>/snapshots/<id>/<table>``. It becomes
-visible only when a commit marker ``<root>/_commits/<id>`` is written, after every table
-passed validation, was written, and passed the gate. Readers take the newest committed id,
-so a failed load leaves the previous snapshot in place; creating the marker is the single
-atomic publish step (no rename needed, so it also holds on object stores).
+Every publish writes its tables into a folder of its own, ``<root>/snapshots/<id>/<attempt>``, which no reader knows. The
+stored tables are then validated and gated, and only then one commit marker is written, ``<root>/_commits/<id>/<attempt>``,
+which names the attempt. Readers take the newest committed id and, of its attempts, the newest. A committed
+folder is never written again, so a failed load or a failed repeat of an id leaves what was visible in place; writing the
+marker is the single atomic step (no rename needed, so it also holds on object stores).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark import constants as K
 from tidemark.sources.schemas import CONTRACTS, TableContract
 
 
@@ -26,15 +27,11 @@ def missing_columns(columns: Iterable[str], contract: TableContract) -> list[str
     return sorted(contract.required - set(columns))
 
 
-def extra_columns(columns: Iterable[str], contract: TableContract) -> list[str]:
-    return sorted(set(columns) - contract.required)
-
-
 def check_required_columns(columns: Iterable[str], contract: TableContract) -> None:
     """Every required column is present (extras are allowed and dropped on typing)."""
     missing = missing_columns(columns, contract)
     if missing:
-        raise ContractError(f"{contract.name} is missing columns: {missing}")
+        raise ContractError(f"{contract.name} {K.MISSING_COLUMNS}: {missing}")
 
 
 def contract_violations(df: DataFrame, contract: TableContract) -> DataFrame:
@@ -79,10 +76,10 @@ def validate_frame(df: DataFrame, table_name: str) -> None:
     failed = contract_violations(df, contract).filter(F.col("failures") > 0).collect()
     for row in failed:
         if row["check"] == "duplicate_key":
-            raise ContractError(f"{table_name} contains duplicate key values for {list(contract.key)}")
+            raise ContractError(f"{table_name} {K.DUPLICATE_KEYS} {list(contract.key)}")
     if failed:
         cols = sorted(r["check"].split(":", 1)[1] for r in failed)
-        raise ContractError(f"{table_name} has NULL values in NOT NULL columns: {cols}")
+        raise ContractError(f"{table_name} {K.NULL_KEYS}: {cols}")
 
 
 def new_snapshot_id() -> str:
@@ -93,31 +90,41 @@ def _commit_dir(root: str) -> str:
     return f"{root.rstrip('/')}/_commits"
 
 
-def snapshot_path(root: str, snapshot_id: str, table: str | None = None) -> str:
-    base = f"{root.rstrip('/')}/snapshots/{snapshot_id}"
+def attempt_path(root: str, snapshot_id: str, attempt: str, table: str | None = None) -> str:
+    base = f"{root.rstrip('/')}/snapshots/{snapshot_id}/{attempt}"
     return f"{base}/{table}" if table else base
 
 
-def committed_snapshots(spark: SparkSession, root: str) -> list[str]:
-    """Committed snapshot ids, oldest first (a listing of the marker folder).
+def _committed_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names below ``folder`` whose write job committed (``_SUCCESS`` present), oldest first."""
+    from tidemark.sources.io import hadoop_path
 
-    A marker counts only when its write job committed (``_SUCCESS`` present): the folder
-    itself appears as soon as the marker job starts, so a commit that died midway is ignored.
-    """
+    fs, p = hadoop_path(spark, folder)
+    if not fs.exists(p):
+        return []
+    success = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return sorted(
+        s.getPath().getName()
+        for s in fs.listStatus(p)
+        if not s.getPath().getName().startswith((".", "_")) and fs.exists(success(s.getPath(), "_SUCCESS"))
+    )
+
+
+def committed_attempt(spark: SparkSession, root: str, snapshot_id: str) -> str | None:
+    """The newest committed attempt of an id. A marker folder that a dying job left behind does not count."""
+    attempts = _committed_names(spark, f"{_commit_dir(root)}/{snapshot_id}")
+    return attempts[-1] if attempts else None
+
+
+def committed_snapshots(spark: SparkSession, root: str) -> list[str]:
+    """Committed snapshot ids, oldest first (a listing of the marker folder)."""
     from tidemark.sources.io import hadoop_path
 
     fs, p = hadoop_path(spark, _commit_dir(root))
     if not fs.exists(p):
         return []
-    jvm = spark.sparkContext._jvm
-    ids = []
-    for status in fs.listStatus(p):
-        name = status.getPath().getName()
-        if name.startswith((".", "_")):
-            continue
-        if fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
-            ids.append(name)
-    return sorted(ids)
+    ids = sorted(s.getPath().getName() for s in fs.listStatus(p) if not s.getPath().getName().startswith((".", "_")))
+    return [i for i in ids if committed_attempt(spark, root, i) is not None]
 
 
 def current_snapshot(spark: SparkSession, root: str) -> str | None:
@@ -125,6 +132,15 @@ def current_snapshot(spark: SparkSession, root: str) -> str | None:
     return ids[-1] if ids else None
 
 
+def snapshot_path(spark: SparkSession, root: str, snapshot_id: str | None = None, table: str | None = None) -> str:
+    """The visible folder of a committed snapshot (the newest one by default)."""
+    snapshot_id = snapshot_id or current_snapshot(spark, root)
+    attempt = committed_attempt(spark, root, snapshot_id) if snapshot_id else None
+    if attempt is None:
+        raise FileNotFoundError(f"no committed snapshot {snapshot_id or ''} under {root}")
+    return attempt_path(root, snapshot_id, attempt, table)
+
+
 def publish_snapshot(
     spark: SparkSession,
     frames: Mapping[str, DataFrame],
@@ -133,43 +149,49 @@ def publish_snapshot(
     gate: Callable[[dict[str, DataFrame]], None] | None = None,
     validate: bool = True,
     receipt: dict[str, int] | None = None,
+    then: Sequence[Callable[[dict[str, DataFrame]], Mapping[str, DataFrame]]] = (),
+    partition_by: Mapping[str, Sequence[str]] | None = None,
 ) -> str:
-    """Validate every frame, write them all, run the gate, then commit.
+    """Write every frame into a new attempt, validate what was stored, run the gate, then commit.
 
-    Nothing is written when a contract fails; nothing becomes visible when a write or the
-    gate fails. Returns the committed snapshot id; ``receipt`` (S11), when given, receives
-    the rows written per table, counted during the write itself.
+    ``then`` is a sequence of functions from the tables stored so far to further tables (marts over staged events, reports
+    over marts), stored in the same attempt in turn and committed with it; a later gate is such a function that raises or
+    returns nothing to store. Nothing becomes visible when any step fails. Returns the snapshot id; ``receipt`` (S11), when given, receives the rows stored per table.
     """
     from tidemark.sources.io import write_table
 
     snapshot_id = snapshot_id or new_snapshot_id()
+    attempt = new_snapshot_id()
+    stored: dict[str, DataFrame] = {}
+
+    def keep(tables: Mapping[str, DataFrame]) -> None:
+        for name, df in tables.items():
+            path = attempt_path(root, snapshot_id, attempt, name)
+            rows = write_table(df, path, mode="error", partition_by=(partition_by or {}).get(name, ()))
+            stored[name] = spark.read.schema(df.schema).parquet(path)
+            if receipt is not None:
+                receipt[name] = rows
+
+    keep(frames)
     if validate:
-        for name, df in frames.items():
+        for name, df in stored.items():
             if name in CONTRACTS:
                 validate_frame(df, name)
-    for name, df in frames.items():
-        rows = write_table(df, snapshot_path(root, snapshot_id, name), mode="overwrite")
-        if receipt is not None:
-            receipt[name] = rows
-    stored = {name: spark.read.parquet(snapshot_path(root, snapshot_id, name)) for name in frames}
     if gate is not None:
         gate(stored)
-    spark.createDataFrame([(snapshot_id,)], "snapshot_id string").coalesce(1).write.mode("overwrite").text(
-        f"{_commit_dir(root)}/{snapshot_id}"
+    for step in then:
+        keep(step(stored))
+    spark.createDataFrame([(attempt,)], "attempt string").coalesce(1).write.mode("error").text(
+        f"{_commit_dir(root)}/{snapshot_id}/{attempt}"
     )
     return snapshot_id
 
 
 def read_source(spark: SparkSession, root: str, name: str, snapshot_id: str | None = None) -> DataFrame:
     """A named table of the current (or given) committed snapshot."""
-    snapshot_id = snapshot_id or current_snapshot(spark, root)
-    if snapshot_id is None:
-        raise FileNotFoundError(f"no committed snapshot under {root}")
-    return spark.read.parquet(snapshot_path(root, snapshot_id, name))
+    return spark.read.parquet(snapshot_path(spark, root, snapshot_id, name))
 
 
 def read_snapshot(spark: SparkSession, root: str, snapshot_id: str | None = None) -> dict[str, DataFrame]:
-    snapshot_id = snapshot_id or current_snapshot(spark, root)
-    if snapshot_id is None:
-        raise FileNotFoundError(f"no committed snapshot under {root}")
-    return {name: read_source(spark, root, name, snapshot_id) for name in CONTRACTS}
+    base = snapshot_path(spark, root, snapshot_id)
+    return {name: spark.read.parquet(f"{base}/{name}") for name in CONTRACTS}

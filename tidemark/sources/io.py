@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,36 +29,84 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def csv_reader(spark: SparkSession, strict: bool = True):
+def csv_reader(spark: SparkSession, strict: bool = True, line_breaks: bool = False):
+    """CSV with a header. ``line_breaks`` allows line breaks inside quoted cells; such files cannot be split, so one task
+    reads each file, and it is off by default."""
     # `escape='"'`: JSON properties are quoted with doubled quotes inside the cell.
     # Only the empty field is NULL (no "NA"/"null" tokens).
     return (
         spark.read.option("header", True)
         .option("escape", '"')
+        .option("multiLine", line_breaks)
         .option("mode", "FAILFAST" if strict else "PERMISSIVE")
     )
 
 
+# wide enough to see decimals that the contract's type would round away
+WIDE = T.DecimalType(38, 18)
+
+
+def _loses_decimals(c: Column, kind: T.DecimalType) -> Column:
+    return F.coalesce(c.try_cast(WIDE) != c.try_cast(kind), F.lit(False))
+
+
 def to_contract_types(text: DataFrame, contract: TableContract, strict: bool = True) -> DataFrame:
-    """Cast the contract's columns from text; extra columns are dropped (see ``extra_columns``)."""
+    """Cast the contract's columns from text; extra columns are dropped (:func:`extra_columns` names them).
+
+    Strict: a value that does not fit its type, or a decimal with more places than its type, fails the read. Tolerant:
+    such values become NULL, and decimals are rounded; :func:`conversion_failures` counts both.
+    """
     cols = []
     for f in contract.schema.fields:
         c = F.col(f.name)
         if isinstance(f.dataType, T.TimestampNTZType):
             c = strict_utc(c) if strict else lenient_utc(c)
+        elif isinstance(f.dataType, T.DecimalType) and strict:
+            c = F.when(
+                _loses_decimals(c, f.dataType),
+                F.raise_error(F.concat(F.lit(f"{contract.name}.{f.name} has more than {f.dataType.scale} decimals: "), c)).cast(f.dataType),
+            ).otherwise(c.cast(f.dataType))
         elif not isinstance(f.dataType, T.StringType):
             c = c.cast(f.dataType) if strict else c.try_cast(f.dataType)
         cols.append(c.alias(f.name))
     return text.select(*cols)
 
 
+def extra_columns(columns: Sequence[str], contract: TableContract) -> list[str]:
+    """Columns of a source that the contract does not know; the typed table is without them."""
+    return sorted(set(columns) - contract.required)
+
+
+def conversion_failures(text: DataFrame, contract: TableContract) -> DataFrame:
+    """(table, column, failures): values of the text that a tolerant read turns into NULL or rounds, from one aggregation."""
+    bad = {}
+    for f in contract.schema.fields:
+        c = F.col(f.name)
+        if isinstance(f.dataType, T.TimestampNTZType):
+            bad[f.name] = c.isNotNull() & lenient_utc(c).isNull()
+        elif isinstance(f.dataType, T.DecimalType):
+            bad[f.name] = (c.isNotNull() & c.try_cast(f.dataType).isNull()) | _loses_decimals(c, f.dataType)
+        elif not isinstance(f.dataType, T.StringType):
+            bad[f.name] = c.isNotNull() & c.try_cast(f.dataType).isNull()
+    counts = text.agg(*[F.count_if(cond).alias(name) for name, cond in bad.items()])
+    rows = [F.struct(F.lit(contract.name).alias("table"), F.lit(n).alias("column"), F.col(n).alias("failures")) for n in bad]
+    return counts.select(F.inline(F.array(*rows)))
+
+
+def read_csv_text(
+    spark: SparkSession, path: str, contract: TableContract, strict: bool = True, line_breaks: bool = False
+) -> DataFrame:
+    """The untyped cells of a CSV table whose header fits the contract."""
+    text = csv_reader(spark, strict, line_breaks).csv(path)
+    check_required_columns(text.columns, contract)
+    return text
+
+
 def read_csv_table(
-    spark: SparkSession, path: str, contract: TableContract, strict: bool = True
+    spark: SparkSession, path: str, contract: TableContract, strict: bool = True, line_breaks: bool = False
 ) -> DataFrame:
     """One CSV table, header checked against the contract (S6), typed by the contract."""
-    text = csv_reader(spark, strict).csv(path)
-    check_required_columns(text.columns, contract)
-    return to_contract_types(text, contract, strict)
+    return to_contract_types(read_csv_text(spark, path, contract, strict, line_breaks), contract, strict)
 
 
 def read_csv_snapshot(
@@ -88,20 +136,29 @@ def read_csv_snapshot_tolerant(
 def write_table(
     df: DataFrame,
     path: str,
-    mode: str = "append",
+    mode: str = "error",
     partition_by: Sequence[str] = (),
     fmt: str = "parquet",
     batch_size: int | None = None,
     options: dict[str, str] | None = None,
 ) -> int:
-    """Write ``df`` and return the number of rows written, counted during the write.
+    """Write ``df`` and return the number of rows stored by this call.
 
-    The count comes from an ``Observation`` on the same job (no second scan).
+    Stored files are counted after the write (for Parquet from the footers, no data page is read); an append counts before
+    and after. A target that is no file format is counted on its input. Partitioned writes are rebalanced by the partition
+    columns first, so small dates merge into few files and a hot date is split into even ones.
     ``batch_size`` maps to the JDBC ``batchsize`` option for database targets.
     """
-    obs = Observation("rows_written")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    writer = observed.write.mode(mode).format(fmt)
+    spark = df.sparkSession
+    files = fmt in ("parquet", "orc", "json", "csv", "text")
+
+    def stored() -> int:
+        reader = spark.read.format(fmt)
+        return (reader.schema(df.schema) if fmt != "text" else reader).load(path).count() if path_exists(spark, path) else 0
+
+    before = stored() if files and mode == "append" else 0
+    out = df.hint("rebalance", *partition_by) if partition_by else df
+    writer = out.write.mode(mode).format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if batch_size is not None:
@@ -109,23 +166,7 @@ def write_table(
     for k, v in (options or {}).items():
         writer = writer.option(k, v)
     writer.save(path)
-    return int(obs.get["rows"])
-
-
-def materialize(df: DataFrame, name: str, layer: str, root: str | None = None) -> DataFrame:
-    """staging/intermediate models are lazy views; marts are stored as Parquet tables."""
-    if layer in ("staging", "intermediate"):
-        df.createOrReplaceTempView(name)
-        return df
-    if layer != "marts":
-        raise ValueError(f"unknown layer {layer!r}")
-    if root is None:
-        raise ValueError("marts need a storage root")
-    path = f"{root.rstrip('/')}/{name}"
-    df.write.mode("overwrite").parquet(path)
-    stored = df.sparkSession.read.parquet(path)
-    stored.createOrReplaceTempView(name)
-    return stored
+    return (stored() - before) if files else df.count()
 
 
 def export_csv(df: DataFrame, path: str, order_by: Sequence[str] = ("event_ts",)) -> None:

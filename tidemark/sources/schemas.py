@@ -58,10 +58,6 @@ class TableContract:
     def not_null(self) -> tuple[str, ...]:
         return tuple(f.name for f in self.schema.fields if not f.nullable)
 
-    @property
-    def timestamp_columns(self) -> tuple[str, ...]:
-        return tuple(f.name for f in self.schema.fields if isinstance(f.dataType, T.TimestampNTZType))
-
     @property
     def text_schema(self) -> T.StructType:
         """Schema used to read CSV text: timestamps stay text until the strict UTC parse."""
