@@ -14,8 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions import fmt
+from tidemark.functions.time import lenient_utc, strict_utc
 from tidemark.operators import churn, cohort, experiment, funnel, intermediate, marts, quality, report, staging
 from tidemark.sources import adapter as A
+from tidemark.sources import contracts
+from tidemark.sources.schemas import TableContract
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -301,10 +305,77 @@ def q_dq_not_null(spark, d):
             quality.column_checks(t("events"), "events", not_null=["event_id", "user_id", "event_type", "ts"]),
             quality.column_checks(t("orders"), "orders", not_null=["o_orderkey", "o_custkey", "o_orderdate"]),
             quality.column_checks(t("customer"), "customer", not_null=["c_custkey", "c_mktsegment"]),
+            # customers without orders have no first order: this check fires
+            quality.column_checks(_customer_orders(spark, d), "customer_orders", not_null=["c_custkey", "first_order"]),
         ]
     )
 
 
+def _customer_orders(spark, d):
+    """Every customer with the first order date, missing for customers without orders."""
+    first = A.table(spark, d, "orders").groupBy("o_custkey").agg(F.min("o_orderdate").alias("first_order"))
+    customer = A.table(spark, d, "customer").select("c_custkey")
+    return customer.join(first, F.col("c_custkey") == F.col("o_custkey"), "left").select("c_custkey", "first_order")
+
+
+def q_contract_violations(spark, d):
+    """S7/S8 on whole tables: a key that repeats (order key of lines), a column with NULLs, and a table that holds."""
+    field = lambda n, kind, ok: T.StructField(n, kind, nullable=ok)
+    lines = TableContract(
+        "lineitem", T.StructType([field("l_orderkey", T.LongType(), False), field("l_shipdate", T.DateType(), False)]), ("l_orderkey",)
+    )
+    firsts = TableContract(
+        "customer_orders",
+        T.StructType([field("c_custkey", T.LongType(), False), field("first_order", T.TimestampType(), False)]),
+        ("c_custkey",),
+    )
+    events = TableContract(
+        "events", T.StructType([field("event_id", T.LongType(), False), field("ts", T.TimestampNTZType(), False)]), ("event_id",)
+    )
+    return _union(
+        [
+            contracts.contract_violations(A.table(spark, d, "lineitem"), lines),
+            contracts.contract_violations(_customer_orders(spark, d), firsts),
+            contracts.contract_violations(A.table(spark, d, "events"), events),
+        ]
+    )
+
+
+BAD_TEXT = "no time"
+
+
+def q_text_parsing(spark, d):
+    """Events as CSV text with an offset in their times, every ninth unreadable, read back tolerantly.
+
+    ``strict_ts`` is the strict parse of the readable ones.
+    """
+    e = A.table(spark, d, "events")
+    bad = F.col("event_id") % 9 == 0
+    text = F.when(bad, F.lit(BAD_TEXT)).otherwise(F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+05:30")))
+    line = F.to_csv(F.struct(F.col("event_id").cast("string"), text.alias("event_ts"), F.col("event_type")), {"escape": '"'})
+    cells = e.select(F.from_csv(line, "event_id string, event_ts string, event_name string", {"escape": '"'}).alias("c")).select("c.*")
+    return cells.select(
+        F.col("event_id").cast("long").alias("event_id"),
+        "event_name",
+        lenient_utc(F.col("event_ts")).alias("event_ts"),
+        F.when(F.col("event_ts") != BAD_TEXT, strict_utc(F.when(F.col("event_ts") != BAD_TEXT, F.col("event_ts")))).alias("strict_ts"),
+    )
+
+
+def q_display_formats(spark, d):
+    """ties and missing figures as text (quantities over powers of two give exact ties)."""
+    q = A.table(spark, d, "lineitem").select(F.col("l_quantity").cast("double").alias("quantity")).distinct()
+    share = F.nullif(F.col("quantity"), F.lit(7.0))
+    return q.select(
+        "quantity",
+        fmt.percent(share / 16, 1).alias("one_place"),
+        fmt.percent(-share / 32, 2).alias("two_places"),
+        fmt.fixed(share / 64, 4).alias("four_places"),
+        fmt.shown(fmt.percent(share / 3, 1)).alias("shown"),
+        fmt.thousands(F.col("quantity") * 12345).alias("thousands"),
+    )
+
+
 def q_dq_unique(spark, d):
     t = lambda n: A.table(spark, d, n)
     return _union(
@@ -343,6 +414,9 @@ def q_dq_relationships(spark, d):
             quality.relationship_check(t("orders"), "orders", "o_custkey", t("customer"), "c_custkey"),
             quality.relationship_check(t("lineitem"), "lineitem", "l_orderkey", t("orders"), "o_orderkey"),
             quality.relationship_check(t("customer"), "customer", "c_nationkey", t("nation"), "n_nationkey"),
+            # declared against the wrong parents: these fire
+            quality.relationship_check(t("customer"), "customer", "c_custkey", t("supplier"), "s_suppkey"),
+            quality.relationship_check(t("customer"), "customer", "c_custkey", t("orders"), "o_custkey"),
         ]
     )
 
@@ -469,6 +543,9 @@ QUERIES: dict[str, QueryFn] = {
     "dq_duplicate_grain": q_dq_duplicate_grain,
     "dq_non_empty": q_dq_non_empty,
     "dq_reconciliation": q_dq_reconciliation,
+    "contract_violations": q_contract_violations,
+    "text_parsing": q_text_parsing,
+    "display_formats": q_display_formats,
     "contract_duplicate_keys": q_contract_duplicate_keys,
     "topline": q_topline,
     "daily_metrics": q_daily_metrics,

@@ -297,6 +297,9 @@ UNION ALL SELECT 1007, 'experiment', 'recommendation', CAST(NULL AS DOUBLE),
        ELSE 'No significant effect: continue test or increase sample size.' END FROM ev"""
 
 
+CUSTOMER_ORDERS = """customer_orders AS (SELECT c_custkey, min(o_orderdate) AS first_order
+  FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY 1)"""
+
 CHURN = _with(
     SE,
     f"""cb AS (SELECT user_id,
@@ -415,10 +418,11 @@ def oracle_sql() -> dict[str, str]:
             CASE WHEN significant AND uplift > 0 THEN 'Ship treatment: statistically significant uplift detected.'
                  WHEN significant AND uplift < 0 THEN 'Do not ship: treatment significantly underperforms control.'
                  ELSE 'No significant effect: continue test or increase sample size.' END AS recommendation FROM ev""",
-        "dq_not_null": _checks_union(
+        "dq_not_null": _with(CUSTOMER_ORDERS) + _checks_union(
             [_nn("events", c) for c in ("event_id", "user_id", "event_type", "ts")]
             + [_nn("orders", c) for c in ("o_orderkey", "o_custkey", "o_orderdate")]
             + [_nn("customer", c) for c in ("c_custkey", "c_mktsegment")]
+            + [_nn("customer_orders", c) for c in ("c_custkey", "first_order")]
         ),
         "dq_unique": _checks_union(
             [_uq("events", "event_id"), _uq("orders", "o_orderkey"), _uq("customer", "c_custkey"), _uq("lineitem", "l_orderkey")]
@@ -438,6 +442,8 @@ def oracle_sql() -> dict[str, str]:
                 _rel("orders", "o_custkey", "customer", "c_custkey"),
                 _rel("lineitem", "l_orderkey", "orders", "o_orderkey"),
                 _rel("customer", "c_nationkey", "nation", "n_nationkey"),
+                _rel("customer", "c_custkey", "supplier", "s_suppkey"),
+                _rel("customer", "c_custkey", "orders", "o_custkey"),
             ]
         ),
         "dq_duplicate_grain": _with(*PRODUCT_MARTS, OU, _assigned("ou", "oasg")) + """
@@ -456,6 +462,25 @@ UNION ALL SELECT 'assignment_mart_matches_source', 'equals', ab_test_assignments
 UNION ALL SELECT 'funnel_has_five_rows_per_user', 'equals', dim_users * {n_stages}, fct_funnel, dim_users * {n_stages} = fct_funnel FROM c
 UNION ALL SELECT 'cohort_mart_is_not_empty', 'at_least', 1, fct_cohort_retention, fct_cohort_retention >= 1 FROM c
 UNION ALL SELECT 'engagement_mart_is_not_empty', 'at_least', 1, fct_feature_engagement, fct_feature_engagement >= 1 FROM c""",
+        "contract_violations": _with(CUSTOMER_ORDERS) + _checks_union(
+            [
+                f"""SELECT '{t}' AS "table", 'duplicate_key' AS "check", count(*) AS failures
+                    FROM (SELECT {k} FROM {t} GROUP BY 1 HAVING count(*) > 1)
+                    UNION ALL SELECT '{t}', 'not_null:{k}', count(*) FILTER ({k} IS NULL) FROM {t}
+                    UNION ALL SELECT '{t}', 'not_null:{c}', count(*) FILTER ({c} IS NULL) FROM {t}"""
+                for t, k, c in (
+                    ("lineitem", "l_orderkey", "l_shipdate"), ("customer_orders", "c_custkey", "first_order"), ("events", "event_id", "ts")
+                )
+            ]
+        ),
+        "text_parsing": """SELECT event_id, event_type AS event_name,
+            CASE WHEN event_id % 9 <> 0 THEN ts - INTERVAL 330 MINUTE END AS event_ts,
+            CASE WHEN event_id % 9 <> 0 THEN ts - INTERVAL 330 MINUTE END AS strict_ts FROM events""",
+        "display_formats": """SELECT quantity, printf('%.1f', share / 16 * 100) || '%' AS one_place,
+            printf('%.2f', -share / 32 * 100) || '%' AS two_places, printf('%.4f', share / 64) AS four_places,
+            coalesce(printf('%.1f', share / 3 * 100) || '%', 'n/a') AS shown,
+            format('{:,}', CAST(quantity * 12345 AS BIGINT)) AS thousands
+          FROM (SELECT DISTINCT CAST(l_quantity AS DOUBLE) AS quantity, nullif(CAST(l_quantity AS DOUBLE), 7.0) AS share FROM lineitem)""",
         "contract_duplicate_keys": """SELECT l_orderkey, l_linenumber, count(*) AS records FROM lineitem
             GROUP BY 1, 2 HAVING count(*) > 1""",
         "topline": _with(SE, EU, _assigned("eu", "pasg")) + """SELECT (SELECT count(DISTINCT user_id) FROM eu) AS users,
