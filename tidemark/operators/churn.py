@@ -142,8 +142,9 @@ def auc_table(scored: DataFrame, score: str = "score", label: str = "label") ->
     per_score = scored.groupBy(value.alias("s")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")
     )
-    low, high = scored.select(F.min(value)).scalar(), scored.select(F.max(value)).scalar()
-    place = F.coalesce(F.floor(F.try_divide(F.col("s") - low, high - low) * F.lit(SCORE_BUCKETS)), F.lit(0).cast("long"))
+    span = per_score.select(F.struct(F.min("s").alias("low"), F.max("s").alias("high"))).scalar()
+    share = F.try_divide(F.col("s") - span["low"], span["high"] - span["low"])
+    place = F.coalesce(F.floor(share * F.lit(SCORE_BUCKETS)), F.lit(0).cast("long"))
     bucketed = per_score.withColumn("bucket", place)
     totals = bucketed.groupBy("bucket").agg(F.sum("neg").alias("n"))
     before = totals.select(
