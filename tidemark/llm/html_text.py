@@ -61,23 +61,23 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
 
-def never_text(name: str, tag: str) -> bool:
-    """Whether an element is, by its name, role, class or id, no article text."""
+def never_text(name: str, tag: str) -> str:
+    """Why an element is, by its name, role, class or id, no article text; empty if it may be."""
     if name in NEVER:
-        return True
+        return name
     if name in ("body", "html", "article", "main") or len(tag) <= len(name) + 2:
-        return False
+        return ""
     for key, value in ATTRIBUTE.findall(tag):
         key, value = key.lower(), value.strip("\"'").lower()
         if key == "hidden" or (key == "aria-hidden" and value == "true"):
-            return True
+            return "hidden"
         if key == "role" and value in ROLES:
-            return True
+            return value
         if key == "style" and "display:none" in value.replace(" ", ""):
-            return True
-        if key in ("class", "id") and WORDS.intersection(re.split(r"[^a-z0-9]+", value)):
-            return True
-    return False
+            return "hidden"
+        if key in ("class", "id") and (words := WORDS.intersection(re.split(r"[^a-z0-9]+", value))):
+            return min(words)
+    return ""
 
 
 class Lines:
@@ -85,19 +85,18 @@ class Lines:
 
     def __init__(self) -> None:
         self.rows: list[tuple[str, bool, bool, int]] = []
-        self.open: list[tuple[str, bool]] = []  # element, whether it begins a stretch that is never text
+        self.open: list[tuple[str, str]] = []  # element, why it begins a stretch that is never text, if it does
         self.parts: list[str] = []
         self.linked = 0
 
     def state(self) -> tuple[bool, bool]:
         names = [n for n, _ in self.open]
         inside = "article" in names or "main" in names
-        never = any(off for _, off in self.open)
-        if never and inside:  # the headline in an article's own header is part of the article
-            off = [n for n, bad in self.open if bad]
-            if off == ["header"] and HEADINGS.intersection(names):
-                never = False
-        return inside, never
+        why = [off for _, off in self.open if off]
+        # the headline in an article's own header is part of the article
+        if inside and why == ["header"] and HEADINGS.intersection(names):
+            why = []
+        return inside, bool(why)
 
     def text(self, raw: str) -> None:
         self.parts.append(raw)
