@@ -92,27 +92,28 @@ class LineRuns:
     def merged(runs: DataFrame) -> DataFrame:
         return runs.groupBy(*HASH).agg(F.sum("n_docs").alias("n_docs"), F.max("max_id").alias("max_id"))
 
-    def add(self, run: DataFrame) -> None:
-        """Store ``run`` sorted by hash on level 0, then compact each level that is full into the next."""
-        self._put(0, run)
-        level = 0
-        while len(self.levels[level]) >= self.fanout:
+    def write(self, run: DataFrame, level: int = 0) -> DataFrame:
+        """Store ``run`` sorted by hash. Reading it back starts a new stage, whose joins can be split at a hot key."""
+        return store(run.sortWithinPartitions(*HASH), f"line-run-{level}")
+
+    def add(self, stored: DataFrame, level: int = 0) -> None:
+        """Put a stored run on its level, and compact the level into the next one when it is full."""
+        if len(self.levels) <= level:
+            self.levels.append([])
+        self.levels[level].append(stored)
+        if len(self.levels[level]) >= self.fanout:
             full, self.levels[level] = self.levels[level], []
             together = full[0]
             for r in full[1:]:
                 together = together.unionByName(r)
-            self._put(level + 1, self.merged(together))
-            level += 1
-
-    def _put(self, level: int, run: DataFrame) -> None:
-        while len(self.levels) <= level:
-            self.levels.append([])
-        self.levels[level].append(store(run.sortWithinPartitions(*HASH), f"line-run-{level}"))
+            self.add(self.write(self.merged(together), level + 1), level + 1)
 
 
 def batch_bounds(ids: DataFrame, n_batches: int) -> list[int]:
     """Ids that part the documents into about equal batches; any bounds give the same result."""
     at = [i / n_batches for i in range(1, n_batches)]
+    if not at:
+        return []
     return sorted({int(x) for x in ids.where(F.col("id") != NO_ID).approxQuantile("id", at, 0.01)})
 
 
@@ -140,15 +141,17 @@ def dedup_lines(
     for b in range(len(bounds) + 1):
         mine = entries.where(F.col("batch") == b).drop("batch")
         own = mine.groupBy(*HASH).agg(F.sum(F.col("first").cast("long")).alias("n_docs"), F.max("id").alias("max_id"))
+        own = runs.write(own)
         before = runs.all()
         if before is None:
             claimed = own.withColumn("claimed", F.lit(False))
         else:
-            own = store(own.sortWithinPartitions(*HASH), "line-own")
             seen = before.select(*HASH).distinct().withColumn("seen", F.lit(True))
             claimed = own.join(seen, HASH, "left").withColumn("claimed", F.col("seen").isNotNull()).drop("seen")
-        again = claimed.where(F.col("claimed") | (F.col("n_docs") > 1)).select(
-            *HASH, "claimed", F.col("max_id").alias("own_max")
+        # stored, so that the join with the lines has exchanges of its own and can be split at a hot key
+        again = store(
+            claimed.where(F.col("claimed") | (F.col("n_docs") > 1)).select(*HASH, "claimed", F.col("max_id").alias("own_max")),
+            "line-again",
         )
         candidates.append(
             store(
@@ -160,7 +163,7 @@ def dedup_lines(
         )
         runs.add(own)
 
-    everywhere = runs.merged(runs.all()).where(F.col("n_docs") >= min_docs).select(*HASH, "max_id")
+    everywhere = store(runs.merged(runs.all()).where(F.col("n_docs") >= min_docs).select(*HASH, "max_id"), "line-many")
     dropped = candidates[0]
     for c in candidates[1:]:
         dropped = dropped.unionByName(c)
