@@ -153,7 +153,7 @@ def forest(home: np.ndarray, queries: np.ndarray, point: int, max_bits: int) ->
         if lo == hi:
             continue
         near = home[lo:hi]
-        step = max(1, (1 << 20) // (hi - lo))  # a bounded table of distances at a time
+        step = max(1, (1 << 18) // (hi - lo))  # a bounded table of distances at a time
         for q in range(a, b, step):
             some = queries[q : min(q + step, b)]
             rows, cols = np.nonzero(np.bitwise_count(some[:, None] ^ near[None, :]) <= max_bits)
@@ -163,8 +163,8 @@ def forest(home: np.ndarray, queries: np.ndarray, point: int, max_bits: int) ->
                 continue
             while not np.array_equal(top := parent[parent], parent):
                 parent[:] = top
-            pairs = np.unique(np.stack((parent[x], parent[y])), axis=1)  # a dense group leaves few pairs of roots
-            for rx, ry in pairs.T.tolist():
+            pairs = np.unique(parent[x] * len(values) + parent[y])  # a dense group leaves few pairs of roots
+            for rx, ry in zip(*(a.tolist() for a in np.divmod(pairs, len(values))), strict=True):
                 if (rx := find(rx)) != (ry := find(ry)):
                     parent[max(rx, ry)] = min(rx, ry)
     roots = np.fromiter((find(i) for i in range(len(values))), np.int64, len(values))
