@@ -64,7 +64,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        if not sc.master.startswith("local"):
+        if sc.master.startswith("local-cluster") or not sc.master.startswith("local"):
             # a machine-local folder would not survive a lost executor on a cluster
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/object store) for this cluster")
         current = tempfile.mkdtemp(prefix="tidemark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
