@@ -30,7 +30,7 @@ LEAST = 60
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|</?[A-Za-z][^\s/>]*(?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?:>|\Z)",
+    r"|</?[A-Za-z][^\s/>]*(?:[^>=]|=\s*+(?:\"[^\"]*\"|'[^']*')?+)*+(?:>|\Z)",  # quotes count only after an equals sign
     re.S,
 )
 NAME = re.compile(r"</?([A-Za-z][^\s/>]*)")
