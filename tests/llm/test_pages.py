@@ -46,6 +46,23 @@ def test_pages_without_an_article_use_the_line_lengths():
     assert html_text.main_text("no markup at all") == "no markup at all"
 
 
+BODY = "".join(f"<p>Paragraph {i} of the story goes on for quite a while, as they all do.</p>" for i in range(8))
+
+
+def test_an_article_is_a_weight_and_not_the_verdict():
+    body = html_text.main_text(BODY)
+    card = "<article><h3>Another story</h3><p>Read this.</p></article>"
+    # the body lies outside the only article, a teaser
+    assert html_text.main_text(f"<div>{BODY}</div>{card}") == body
+    # links in an article are judged as elsewhere, but a linked headline goes with its text
+    links = "".join(f"<li><a href={i}>Read story number {i}</a></li>" for i in range(9))
+    assert html_text.main_text(f"<article><h1><a href=1>Title</a></h1>{BODY}<ul>{links}</ul></article>") == f"Title\n{body}"
+    # short lines pass inside an article, and not beside it
+    assert html_text.main_text(f"<p>By the way</p><article>{BODY}<p>The end.</p></article><p>Printed 3 May</p>") == f"{body}\nThe end."
+    # text cut off from the article counts by its own length
+    assert html_text.main_text(f"<article>{BODY}</article>{BODY}") == f"{body}\n{body}"
+
+
 @pytest.mark.parametrize(
     ("page", "text"),
     [

@@ -2,12 +2,16 @@
 
 Markup is stripped first: a page becomes lines, one per block element, and each line knows whether it lies in an article
 and whether it lies in something that is never article text (menus, headers, footers, sidebars, notices, adverts, forms,
-comments, scripts, styles; by element, role, class or id). Lines of the latter kind count no characters; neither do lines
-outside the article where a page marks one, nor lines that are mostly links where it does not. The sums of line lengths over
-sliding windows of ``WINDOW`` lines then show where text is: a surge point is a line at which the windows begin to hold
-text, a dive point the line after which they hold none, and all counted lines between surge and dive are kept, short
-ones and headings included. A page that marks no article must also reach ``LEAST`` characters in a window, so a lone caption
-or date outside any text does not count; if no window does, the largest one is kept.
+comments, scripts, styles; by element, role, class or id). Lines of the latter kind count no characters, and neither do
+lines that are mostly links. The sums of line lengths over sliding windows of ``WINDOW`` lines then show where text is: a
+surge point is a line at which the windows begin to hold text, a dive point the line after which they hold none, and all
+counted lines between surge and dive are kept, short ones and headings included. A window holds text if it reaches ``LEAST``
+characters, so a lone caption or date outside any text does not count; if no window does, the largest one is kept.
+
+An article (``<article>`` or ``<main>``) is a weight: its characters count ``ARTICLE`` times, provided that, so weighed, it
+holds as much as all lines outside it. A teaser card beside a body in plain elements does not, and is judged like any other
+line. Lines inside and outside are summed by themselves, so that a line beside the article does not pass by the article's text.
+A headline of an article that is a link counts nothing, but is kept where the windows hold text.
 
 Scale: one pass without a shuffle; rows are independent. Patterns are linear in the length of a page.
 
@@ -27,6 +31,7 @@ from pyspark.sql import functions as F
 
 WINDOW = 3
 LEAST = 60
+ARTICLE = 5
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -81,22 +86,23 @@ def never_text(name: str, tag: str) -> str:
 
 
 class Lines:
-    """Lines of a page: [text, in article, never text, characters in links]."""
+    """Lines of a page: [text, in article, never text, characters in links, heading]."""
 
     def __init__(self) -> None:
-        self.rows: list[tuple[str, bool, bool, int]] = []
+        self.rows: list[tuple[str, bool, bool, int, bool]] = []
         self.open: list[tuple[str, str]] = []  # element, why it begins a stretch that is never text, if it does
         self.parts: list[str] = []
         self.linked = 0
 
-    def state(self) -> tuple[bool, bool]:
+    def state(self) -> tuple[bool, bool, bool]:
         names = [n for n, _ in self.open]
+        heading = not HEADINGS.isdisjoint(names)
         inside = "article" in names or "main" in names
         why = [off for _, off in self.open if off]
         # the headline in an article's own header is part of the article
-        if inside and why == ["header"] and HEADINGS.intersection(names):
+        if inside and why == ["header"] and heading:
             why = []
-        return inside, bool(why)
+        return inside, bool(why), heading
 
     def text(self, raw: str) -> None:
         self.parts.append(raw)
@@ -106,7 +112,8 @@ class Lines:
     def end_line(self) -> None:
         line = " ".join(html.unescape("".join(self.parts)).split())
         if line:
-            self.rows.append((line, *self.state(), self.linked))
+            inside, never, heading = self.state()
+            self.rows.append((line, inside, never, self.linked, heading))
         self.parts, self.linked = [], 0
 
     def start(self, name: str, tag: str) -> None:
@@ -139,7 +146,7 @@ class Lines:
                 return  # a stray inline end tag does not close blocks
 
 
-def page_lines(page: str) -> list[tuple[str, bool, bool, int]]:
+def page_lines(page: str) -> list[tuple[str, bool, bool, int, bool]]:
     lines, at = Lines(), 0
     while True:
         match = TOKEN.search(page, at)
@@ -167,26 +174,30 @@ def page_lines(page: str) -> list[tuple[str, bool, bool, int]]:
 def main_text(page: str | None, window: int = WINDOW, least: int = LEAST) -> str:
     """The kept lines of one page, joined by line breaks."""
     rows = page_lines(page or "")
-    marked = any(inside and not never for _, inside, never, _ in rows)
-    sizes = []
-    for line, inside, never, linked in rows:
-        counts = not never and (inside if marked else 2 * linked <= len(line))
-        sizes.append(len(line) if counts else 0)
     n = len(rows)
-    # window i covers lines i to i + window - 1, from before the first line to the last one
-    sums = [sum(sizes[max(0, i) : i + window]) for i in range(1 - window, n)]
-    enough = 1 if marked else max(1, min(least, max(sums, default=0)))
+    sizes = [0 if never or 2 * linked > len(line) else len(line) for line, _, never, linked, _ in rows]
+    article = sum(size for size, row in zip(sizes, rows, strict=True) if row[1])
+    weight = ARTICLE if ARTICLE * article >= sum(sizes) - article else 1
+    sides = []
+    for side in (True, False):
+        mine = [(weight if side else 1) * size if row[1] == side else 0 for size, row in zip(sizes, rows, strict=True)]
+        # window i covers lines i to i + window - 1, from before the first line to the last one
+        sides.append((side, [sum(mine[max(0, i) : i + window]) for i in range(1 - window, n)]))
+    enough = max(1, min(least, max((max(sums, default=0) for _, sums in sides))))
     kept = [False] * n
-    at = 0
-    while at < len(sums):
-        if sums[at] < enough:
-            at += 1
-            continue
-        surge = at
-        while at < len(sums) and sums[at] >= enough:
-            at += 1
-        for line in range(max(0, surge + 1 - window), min(n, at)):
-            kept[line] = kept[line] or sizes[line] > 0
+    for side, sums in sides:
+        at = 0
+        while at < len(sums):
+            if sums[at] < enough:
+                at += 1
+                continue
+            surge = at
+            while at < len(sums) and sums[at] >= enough:
+                at += 1
+            for line in range(max(0, surge + 1 - window), min(n, at)):
+                _, inside, never, _, heading = rows[line]
+                if inside == side and (sizes[line] > 0 or (inside and heading and not never)):
+                    kept[line] = True
     return "\n".join(row[0] for row, keep in zip(rows, kept, strict=True) if keep)
 
 
