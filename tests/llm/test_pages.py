@@ -63,6 +63,27 @@ def test_an_article_is_a_weight_and_not_the_verdict():
     assert html_text.main_text(f"<article>{BODY}</article>{BODY}") == f"{body}\n{body}"
 
 
+def test_a_class_word_does_not_rule_out_what_holds_the_text():
+    body = html_text.main_text(BODY)
+    article, side = f"<article>{BODY}</article>", f"<div class=sidebar>{BODY[:200]}</div>"
+    for words in ("site no-sidebar", "has-sidebar", "with-comments", "share-enabled", "layout-sidebar-left", "widget"):
+        for inside in (article, f"<main>{BODY}</main>", BODY):
+            assert html_text.main_text(f"<div class='{words}'><div>{inside}</div>{side}</div>") == body
+            assert html_text.main_text(f"<div id='{words}'><nav>Menu</nav>{inside}</div><footer>{BODY}</footer>") == body
+    assert html_text.main_text(f"<article class='post tag-search'><div class=share-box>{BODY}</div></article>") == body
+
+
+def test_the_class_of_an_article_counts():
+    body = html_text.main_text(BODY)
+    comment = "<p>A reader writes a long comment about all of this, and then some more.</p>"
+    for own in ("class=comment", "id=comment-12", "class='related-story'", "hidden"):
+        assert html_text.main_text(f"<article class='post category-social'>{BODY}</article><article {own}>{comment}</article>") == body
+        assert html_text.main_text(f"<div>{BODY}</div><article {own}>{comment}</article>") == body
+    # elements that hold articles but not the page's are ruled out as before
+    assert html_text.main_text(f"<article>{BODY}</article><div class=comments><article>{comment * 3}</article></div>") == body
+    assert html_text.main_text(f"<div>{BODY}</div><div class=related><article>{comment}</article></div>") == body
+
+
 @pytest.mark.parametrize(
     ("page", "text"),
     [

@@ -8,6 +8,11 @@ surge point is a line at which the windows begin to hold text, a dive point the
 counted lines between surge and dive are kept, short ones and headings included. A window holds text if it reaches ``LEAST``
 characters, so a lone caption or date outside any text does not count; if no window does, the largest one is kept.
 
+Classes and ids are read word by word, except those that say what a page has (``no-sidebar``, ``with-comments``,
+``share-enabled``); of an ``<article>`` only the first word of each counts, as the others are often its topics. Such a word
+does not rule out an element that holds ``<main>`` or at least ``MOST`` of the text, of the page or, where one is heavy
+enough in the sense below, of the largest article that no word of its own rules out.
+
 An article (``<article>`` or ``<main>``) is a weight: its characters count ``ARTICLE`` times, provided that, so weighed, it
 holds as much as all lines outside it. A teaser card beside a body in plain elements does not, and is judged like any other
 line. Lines inside and outside are summed by themselves, so that a line beside the article does not pass by the article's text.
@@ -23,7 +28,9 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -32,6 +39,7 @@ from pyspark.sql import functions as F
 WINDOW = 3
 LEAST = 60
 ARTICLE = 5
+MOST = 0.8
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -61,88 +69,159 @@ WORDS = frozenset(
     "comment comments respond disqus reply replies share sharing social related recommended recommendations pagination "
     "pager toolbar skip tags copyright legal disclaimer form search".split()
 )
+# first and last words of classes that say what a page has, not what the element is
+HAS = frozenset("no not non has have with without".split())
+ABLE = frozenset("enabled disabled".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 # p and li close an open one of their own kind
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
 
-def never_text(name: str, tag: str) -> str:
-    """Why an element is, by its name, role, class or id, no article text; empty if it may be."""
+def words_of(value: str, first_only: bool) -> set[str]:
+    """The words of a class or id that say what an element is."""
+    found: set[str] = set()
+    for token in value.split():
+        parts = [x for x in re.split(r"[^a-z0-9]+", token) if x]
+        if parts and parts[0] not in HAS and parts[-1] not in ABLE:
+            found.update(parts[:1] if first_only else parts)
+    return found
+
+
+def never_text(name: str, tag: str) -> tuple[str, bool]:
+    """Why an element is no article text (empty if it may be), and whether only a word of its class or id says so."""
     if name in NEVER:
-        return name
-    if name in ("body", "html", "article", "main") or len(tag) <= len(name) + 2:
-        return ""
+        return name, False
+    if name in ("body", "html", "main") or len(tag) <= len(name) + 2:
+        return "", False
+    worded = ""
     for key, value in ATTRIBUTE.findall(tag):
         key, value = key.lower(), value.strip("\"'").lower()
         if key == "hidden" or (key == "aria-hidden" and value == "true"):
-            return "hidden"
+            return "hidden", False
         if key == "role" and value in ROLES:
-            return value
+            return value, False
         if key == "style" and "display:none" in value.replace(" ", ""):
-            return "hidden"
-        if key in ("class", "id") and (words := WORDS.intersection(re.split(r"[^a-z0-9]+", value))):
-            return min(words)
-    return ""
+            return "hidden", False
+        if not worded and key in ("class", "id"):
+            worded = min(WORDS & words_of(value, name == "article"), default="")
+    return worded, bool(worded)
+
+
+class Open(NamedTuple):
+    """An open element: why it begins a stretch that is never text, if it does; whether a class word says so; its number."""
+
+    name: str
+    why: str
+    worded: bool
+    number: int
+
+
+class Line(NamedTuple):
+    """A line: in an article, heading, ruled out whatever holds it, (class word, number) of elements around it, articles."""
+
+    text: str
+    inside: bool
+    heading: bool
+    off: list[str]
+    worded: list[tuple[str, int]]
+    articles: list[int]
+    linked: int
 
 
 class Lines:
-    """Lines of a page: [text, in article, never text, characters in links, heading]."""
+    """Lines of a page; rows are [text, in article, never text, characters in links, heading]."""
 
     def __init__(self) -> None:
-        self.rows: list[tuple[str, bool, bool, int, bool]] = []
-        self.open: list[tuple[str, str]] = []  # element, why it begins a stretch that is never text, if it does
+        self.found: list[Line] = []
+        self.open: list[Open] = []
         self.parts: list[str] = []
         self.linked = 0
+        self.number = 0
+        self.articles: set[int] = set()  # those that no word or attribute of their own rules out
+        self.keep: set[int] = set()  # worded elements that are not ruled out
+
+    def rows(self) -> list[tuple[str, bool, bool, int, bool]]:
+        self.judge()
+        rows = []
+        for line in self.found:
+            why = line.off + [word for word, number in line.worded if number not in self.keep]
+            # the headline in an article's own header is part of the article
+            never = bool(why) and not (line.inside and line.heading and why == ["header"])
+            rows.append((line.text, line.inside, never, line.linked, line.heading))
+        return rows
 
-    def state(self) -> tuple[bool, bool, bool]:
-        names = [n for n, _ in self.open]
-        heading = not HEADINGS.isdisjoint(names)
-        inside = "article" in names or "main" in names
-        why = [off for _, off in self.open if off]
-        # the headline in an article's own header is part of the article
-        if inside and why == ["header"] and heading:
-            why = []
-        return inside, bool(why), heading
+    def judge(self) -> None:
+        """Find the worded elements that hold most of the text of the article or the page."""
+        counted = [line for line in self.found if not line.off and 2 * line.linked <= len(line.text)]
+        total = sum(len(line.text) for line in counted)
+        sizes = Counter()
+        for line in counted:
+            for number in self.articles.intersection(line.articles):
+                sizes[number] += len(line.text)
+        for largest, size in sizes.most_common(1):
+            if ARTICLE * size >= total - size:
+                counted, total = [line for line in counted if largest in line.articles], size
+        held = Counter()
+        for line in counted:
+            for _, number in line.worded:
+                held[number] += len(line.text)
+        self.keep.update(number for number, size in held.items() if size >= MOST * total)
 
     def text(self, raw: str) -> None:
         self.parts.append(raw)
-        if any(n == "a" for n, _ in self.open):
+        if any(e.name == "a" for e in self.open):
             self.linked += len(raw.strip())
 
     def end_line(self) -> None:
         line = " ".join(html.unescape("".join(self.parts)).split())
         if line:
-            inside, never, heading = self.state()
-            self.rows.append((line, inside, never, self.linked, heading))
+            names = [e.name for e in self.open]
+            self.found.append(
+                Line(
+                    line,
+                    "article" in names or "main" in names,
+                    not HEADINGS.isdisjoint(names),
+                    [e.why for e in self.open if e.why and not e.worded],
+                    [(e.why, e.number) for e in self.open if e.worded],
+                    [e.number for e in self.open if e.name == "article"],
+                    self.linked,
+                )
+            )
         self.parts, self.linked = [], 0
 
     def start(self, name: str, tag: str) -> None:
         if name in BLOCKS:
             self.end_line()
         closed = CLOSES.get(name)
-        if closed and self.open and self.open[-1][0] in closed:
+        if closed and self.open and self.open[-1].name in closed:
             self.open.pop()
         elif name in BLOCKS and name not in ("li", "dd", "dt", "td", "th", "tr", "option"):
             # a block ends an open paragraph, whatever inline elements are open in it
             for i in range(len(self.open) - 1, -1, -1):
-                if self.open[i][0] == "p":
+                if self.open[i].name == "p":
                     del self.open[i:]
                     break
-                if self.open[i][0] in BLOCKS:
+                if self.open[i].name in BLOCKS:
                     break
         if name == "br" or name == "img":
             self.parts.append(" ")
         if name not in VOID:
-            self.open.append((name, never_text(name, tag)))
+            self.number += 1
+            why, worded = never_text(name, tag)
+            if name == "main":
+                self.keep.update(e.number for e in self.open if e.worded)
+            elif name == "article" and not why:
+                self.articles.add(self.number)
+            self.open.append(Open(name, why, worded, self.number))
 
     def end(self, name: str) -> None:
         if name in BLOCKS:
             self.end_line()
         for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == name:
+            if self.open[i].name == name:
                 del self.open[i:]
                 return
-            if name not in BLOCKS and self.open[i][0] in BLOCKS:
+            if name not in BLOCKS and self.open[i].name in BLOCKS:
                 return  # a stray inline end tag does not close blocks
 
 
@@ -168,7 +247,7 @@ def page_lines(page: str) -> list[tuple[str, bool, bool, int, bool]]:
             continue
         lines.start(name, tag)
     lines.end_line()
-    return lines.rows
+    return lines.rows()
 
 
 def main_text(page: str | None, window: int = WINDOW, least: int = LEAST) -> str:
