@@ -8,6 +8,7 @@ places (and decimals shown as doubles) so results compare exactly with the SQL o
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ from pyspark.sql import types as T
 from tidemark.functions import fmt
 from tidemark.functions.time import lenient_utc, strict_utc
 from tidemark.operators import churn, cohort, experiment, funnel, intermediate, marts, quality, report, staging
+from tidemark.session import ensure_checkpoint_dir
 from tidemark.sources import adapter as A
 from tidemark.sources import contracts
 from tidemark.sources.schemas import TableContract
@@ -168,7 +170,7 @@ def q_fct_feature_engagement_like(spark, d):
     return edge(marts.fct_feature_engagement(product_world(spark, d)["events"], LIKE_PREFIX, feature_match="like"))
 
 
-HEATMAP_PERIODS = range(0, 5)  # the weeks of the events table
+HEATMAP_PERIODS = range(0, 5)  # the weeks of the given events table, for the oracle's columns only
 
 
 # ---- funnel and retention analytics -------------------------------------------------------------
@@ -209,7 +211,11 @@ def q_cohort_sizes_monthly(spark, d):
 
 def q_retention_heatmap(spark, d):
     w = product_world(spark, d)
-    return edge(cohort.heatmap(cohort.retention(w["events"], w["users"], "weekly", A.SESSION_EVENT, sort=False), HEATMAP_PERIODS))
+    # the aggregated table, a row per cohort and week, names its own columns; stored, so that events are read once
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/retention-{uuid.uuid4().hex}"
+    cohort.retention(w["events"], w["users"], "weekly", A.SESSION_EVENT, sort=False).write.parquet(path)
+    stored = spark.read.parquet(path)
+    return edge(cohort.heatmap(stored, cohort.period_numbers(stored)))
 
 
 def q_behavior_table(spark, d):
