@@ -8,6 +8,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tidemark.llm import simhash
 
@@ -112,6 +113,48 @@ def test_dense_group_gives_a_forest_not_all_pairs():
     assert len(set(a.tolist())) == 1 and len(b) == len(dense) - 1
 
 
+def dense_ball(n):
+    """Distinct fingerprints of one template: few bits away from each other."""
+    rng = np.random.default_rng(5)
+    bits = np.uint64(1) << rng.integers(0, 64, (4 * n, 3), dtype=np.uint64)
+    return np.unique(np.bitwise_or.reduce(bits, axis=1))[:n]
+
+
+def test_groups_of_a_dense_ball_are_bounded_on_both_sides(spark):
+    values = dense_ball(1500)
+    reached = spark.createDataFrame([(0, True, int(v.view(np.int64)), 0) for v in values], "leaf int, home boolean, fp long, sub int")
+    groups = simhash.dealt_groups(reached, 100, 200).groupBy("leaf", "sub", "block", "piece")
+    sizes = groups.agg(F.count_if("home").alias("homes"), F.count_if(~F.col("home")).alias("queries")).collect()
+    assert max(r["homes"] for r in sizes) < 200 and max(r["queries"] for r in sizes) < 400
+    # every pair of rows meets
+    assert sum(r["homes"] * r["queries"] for r in sizes) == len(values) ** 2
+
+
+def test_leaves_grow_beyond_the_first_tree_and_lose_no_link(spark):
+    rng = np.random.default_rng(6)
+    centres = rng.integers(0, 2**64, 120, dtype=np.uint64)
+    near = centres[:, None] ^ (np.uint64(1) << rng.integers(0, 64, (120, 5), dtype=np.uint64))
+    values = np.unique(np.concatenate((dense_ball(300), centres, near.ravel(), rng.integers(0, 2**64, 400, dtype=np.uint64))))
+    fps = spark.createDataFrame([(int(v),) for v in values.view(np.int64)], "fp long")
+    # two leaves in the first tree
+    edges = simhash.links(fps, 2, 8, 64, len(values), piece_size=50).collect()
+    place = {int(v): i for i, v in enumerate(values.view(np.int64))}
+    parent = list(range(len(values)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for r in edges:
+        a, b = find(place[r["a"]]), find(place[r["b"]])
+        parent[max(a, b)] = min(a, b)
+    assert [find(i) for i in range(len(values))] == plain_components(values)
+    reached = spark.createDataFrame([(0, True, int(v)) for v in values.view(np.int64)], "leaf int, home boolean, fp long")
+    subs = simhash.split_leaves(reached, 2, 100, 2048, 300)
+    assert subs.where("home").count() == len(values) and subs.select("sub").distinct().count() > 4
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(1000, 1001), (7, 3)], "a long, b long")
     got = {r["node"]: r["root"] for r in simhash.components(edges).collect()}

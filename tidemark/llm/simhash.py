@@ -8,14 +8,16 @@
 3. Shards. A fingerprint's home is one leaf. As a query it also goes to every leaf that its ball of ``max_bits`` can
    reach: by the triangle inequality a branch inside radius r is out of reach if its distance d > r + max_bits, one
    outside if d + max_bits <= r. So each pair within ``max_bits`` meets in the home of either one: no link is lost, and the
-   sample decides only how even the shards are. Large shards are cut into blocks (by hash), every block facing all the
-   shard's queries in pieces.
-4. Links. Inside a shard, home rows are ordered by distance to the shard's vantage point, so a query faces only those
-   within ``max_bits`` of its own distance. A shard returns a spanning forest of what it found, not all pairs.
+   sample decides only how even the shards are. A leaf with over ``SPLIT`` times ``leaf_size`` home rows gets a second tree,
+   built in one task from a bounded sample of its own rows, so the number of leaves grows with the input. What a leaf then
+   holds is cut by hash: home rows into blocks, queries into pieces, and each pair of a block and a piece is a group of
+   its own, bounded on both sides however dense a ball of near copies is.
+4. Links. Inside a group, home rows are ordered by distance to one of them, so a query faces only those within ``max_bits``
+   of its own distance. A group returns a spanning forest of what it found, not all pairs.
 5. Components by alternating large-star and small-star rounds over the forests, each round written to the shared folder.
 
 Growth: a query visits about 1.45 times more leaves per level, so shuffled rows grow as N^1.5 of the distinct
-fingerprints (8 bytes each).
+fingerprints (8 bytes each). Where a ball is too dense to prune, each query meets all its home rows.
 
 Defined cases: null, empty and blank texts have fingerprint zero and are linked like any other. The smallest id of a
 component ignores null ids; it is null if all are. Repeated rows share a fingerprint. Extra columns pass through.
@@ -23,16 +25,18 @@ component ignores null ids; it is null if all are. Repeated rows share a fingerp
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import fresh_name, store
 
 SEED = 42
+SPLIT = 4
 
 
 def text_fingerprint(text: str | None, width: int = 3) -> int:
@@ -87,17 +91,17 @@ class VantageTree:
         self.radii: list[int] = []
         self.inner: list[int] = []
         self.outer: list[int] = []
-        self.leaf_points: list[int] = []
+        self.leaves = 0
         self._random = np.random.default_rng(seed)
         self.root = self._grow(np.unique(sample), leaves)
 
-    def _leaf(self, values: np.ndarray) -> int:
-        self.leaf_points.append(int(values[0]) if len(values) else 0)
-        return -len(self.leaf_points)
+    def _leaf(self) -> int:
+        self.leaves += 1
+        return -self.leaves
 
     def _grow(self, values: np.ndarray, leaves: int) -> int:
         if leaves <= 1 or len(values) < 2:
-            return self._leaf(values)
+            return self._leaf()
         point = values[self._random.integers(len(values))]
         d = distances(values, point)
         radius = int(np.sort(d)[(len(d) - 1) // 2])
@@ -112,6 +116,15 @@ class VantageTree:
         self.outer[node] = self._grow(values[d > radius], leaves - leaves // 2)
         return node
 
+    def dump(self) -> bytes:
+        return pickle.dumps((self.points, self.radii, self.inner, self.outer, self.root))
+
+    @classmethod
+    def load(cls, data: bytes) -> VantageTree:
+        tree = cls.__new__(cls)
+        tree.points, tree.radii, tree.inner, tree.outer, tree.root = pickle.loads(data)
+        return tree
+
     def visit(self, values: np.ndarray, reach: int) -> Iterator[tuple[int, np.ndarray]]:
         """(leaf, row numbers) for every leaf that a ball of ``reach`` around a value can touch; 0 gives homes."""
         stack = [(self.root, np.arange(len(values)))]
@@ -126,6 +139,14 @@ class VantageTree:
             stack.append((self.inner[node], rows[d <= self.radii[node] + reach]))
             stack.append((self.outer[node], rows[d + reach > self.radii[node]]))
 
+    def placed(self, values: np.ndarray, reach: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(leaf, row numbers, whether it is their home) for every leaf in reach."""
+        home = np.zeros(len(values), np.int32)
+        for k, rows in self.visit(values, 0):
+            home[rows] = k
+        for k, rows in self.visit(values, reach):
+            yield k, rows, home[rows] == k
+
 
 def forest(home: np.ndarray, queries: np.ndarray, point: int, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Star edges (root, member) of the components that home rows and queries form within ``max_bits``.
@@ -172,54 +193,102 @@ def forest(home: np.ndarray, queries: np.ndarray, point: int, max_bits: int) ->
     return values[roots[linked]], values[linked]
 
 
-def links(fps: DataFrame, max_bits: int, leaf_size: int, sample_size: int, n_distinct: int) -> DataFrame:
+def drawn(share: Column) -> Column:
+    """A share of the fingerprints, chosen by hash, so a lost task draws the same sample again."""
+    return F.pmod(F.xxhash64("fp"), F.lit(1_000_003)) < share * 1_000_003
+
+
+def split_leaves(reached: DataFrame, max_bits: int, leaf_size: int, sample_size: int, piece_size: int) -> DataFrame:
+    """``reached`` (leaf, home, fp) with a second number ``sub``: the leaf of a tree inside each large leaf, else 0."""
+    sizes = reached.groupBy("leaf").agg(F.count_if("home").alias("homes"), F.count("*").alias("queries"))
+    # a row per large leaf, at most sample_size / 32 of them
+    large = sizes.where(F.col("homes") > SPLIT * leaf_size).collect()
+    if not large:
+        return reached.withColumn("sub", F.lit(0))
+    most = max(2, sample_size // 32)
+    plan = F.broadcast(
+        reached.sparkSession.createDataFrame(
+            [(r["leaf"], min(most, -(-r["homes"] // leaf_size)), r["homes"], -(-r["queries"] // piece_size)) for r in large],
+            "leaf int, subs int, homes long, pieces int",
+        )
+    )
+
+    def grown(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        tree = VantageTree(pdf["fp"].to_numpy(np.int64).view(np.uint64), int(pdf["subs"].iloc[0]), seed=8)
+        return pd.DataFrame({"leaf": [key[0]], "tree": [tree.dump()]})
+
+    def dealt(rows: pd.DataFrame, trees: pd.DataFrame) -> pd.DataFrame:
+        out = [pd.DataFrame({"leaf": np.zeros(0, np.int32), "home": np.zeros(0, bool), "fp": np.zeros(0, np.int64), "sub": np.zeros(0, np.int32)})]
+        if len(rows):
+            values, at_home, leaf = rows["fp"].to_numpy(np.int64).view(np.uint64), rows["home"].to_numpy(bool), np.int32(rows["leaf"].iloc[0])
+            # a leaf whose sample is empty stays whole
+            tree = VantageTree.load(trees["tree"].iloc[0]) if len(trees) else VantageTree(values[:1], 1)
+            for k, some, home in tree.placed(values, max_bits):
+                out.append(pd.DataFrame({"leaf": leaf, "home": home & at_home[some], "fp": values[some].view(np.int64), "sub": np.int32(k)}))
+        return pd.concat(out)
+
+    sample = reached.where("home").join(plan, "leaf").where(drawn(32.0 * F.col("subs") / F.col("homes")))
+    trees = store(sample.groupBy("leaf").applyInPandas(grown, "leaf int, tree binary"), "simhash-trees")
+    rows = reached.join(plan, "leaf").withColumn("piece", F.pmod(F.xxhash64(F.lit("piece"), "fp"), F.col("pieces")))
+    each = trees.join(plan, "leaf").withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces").cast("long") - 1)))
+    parted = (
+        rows.select("leaf", "piece", "home", "fp")
+        .groupBy("leaf", "piece")
+        .cogroup(each.select("leaf", "piece", "tree").groupBy("leaf", "piece"))
+        .applyInPandas(dealt, "leaf int, home boolean, fp long, sub int")
+    )
+    whole = reached.join(plan, "leaf", "left_anti").withColumn("sub", F.lit(0))
+    return store(whole.unionByName(parted), "simhash-split")
+
+
+def dealt_groups(reached: DataFrame, leaf_size: int, piece_size: int) -> DataFrame:
+    """(leaf, sub, block, piece, home, fp): every block of a leaf's home rows with every piece of its queries."""
+    counts = reached.groupBy("leaf", "sub").agg(F.count_if("home").alias("homes"), F.count("*").alias("queries"))
+    # stored, so that the join has exchanges of its own and can be split at a large leaf
+    cuts = store(
+        counts.where("homes > 0").select(
+            "leaf",
+            "sub",
+            F.greatest(F.ceil(F.col("homes") / leaf_size), F.lit(1)).cast("long").alias("blocks"),
+            F.greatest(F.ceil(F.col("queries") / piece_size), F.lit(1)).cast("long").alias("pieces"),
+        ),
+        "simhash-cuts",
+    )
+    rows = reached.join(cuts, ["leaf", "sub"])
+    block, piece = F.pmod(F.xxhash64(F.lit("block"), "fp"), F.col("blocks")), F.pmod(F.xxhash64(F.lit("piece"), "fp"), F.col("pieces"))
+    all_of = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    # a row is a query of its piece in every block and, at home, a member of its block for every piece
+    asked = rows.withColumn("home", F.lit(False)).withColumn("piece", piece).withColumn("block", all_of("blocks"))
+    homes = rows.where("home").withColumn("block", block).withColumn("piece", all_of("pieces"))
+    columns = ["leaf", "sub", "block", "piece", "home", "fp"]
+    return homes.select(columns).unionByName(asked.select(columns))
+
+
+def links(
+    fps: DataFrame, max_bits: int, leaf_size: int, sample_size: int, n_distinct: int, piece_size: int = 65_536
+) -> DataFrame:
     """Star edges (a, b) between distinct fingerprints; their transitive closure is that of all pairs in reach."""
     leaves = max(1, min(sample_size // 32, -(-n_distinct // leaf_size)))
     share = min(1.0, 32 * leaves / max(1, n_distinct))
-    # chosen by hash, so a lost task draws the same sample again
-    drawn = fps.where(F.pmod(F.xxhash64("fp"), F.lit(1_000_003)) < F.lit(share * 1_000_003))
-    sample = np.array(sorted(r["fp"] for r in drawn.collect()), dtype=np.int64).view(np.uint64)
+    sample = np.array(sorted(r["fp"] for r in fps.where(drawn(F.lit(share))).collect()), dtype=np.int64).view(np.uint64)
     tree = VantageTree(sample, leaves)  # a few thousand nodes; travels with the tasks
 
-    def homes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             values = pdf["fp"].to_numpy(np.int64).view(np.uint64)
-            leaf = np.zeros(len(values), np.int32)
-            for k, rows in tree.visit(values, 0):
-                leaf[rows] = k
-            yield pd.DataFrame({"leaf": leaf, "fp": values.view(np.int64)})
-
-    placed = store(fps.mapInPandas(homes, "leaf int, fp long"), "simhash-homes")
-    # one row per leaf, at most sample_size / 32 of them
-    sizes = {r["leaf"]: r["n"] for r in placed.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
-    blocks = {k: max(1, round(n / leaf_size)) for k, n in sizes.items()}
-
-    def dealt(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Home rows to one block of their shard; query rows to every block of every shard in reach."""
-        for pdf in batches:
-            values, leaf = pdf["fp"].to_numpy(np.int64).view(np.uint64), pdf["leaf"].to_numpy()
-            cut = np.array([blocks[k] for k in leaf], np.uint64) if len(leaf) else np.zeros(0, np.uint64)
-            mixed = (values * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
-            yield pd.DataFrame(
-                {"leaf": leaf, "block": (mixed % np.maximum(cut, 1)).astype(np.int32), "home": True, "fp": values.view(np.int64)}
-            )
-            for k, rows in tree.visit(values, max_bits):
-                for block in range(blocks.get(k, 0)):
-                    yield pd.DataFrame(
-                        {"leaf": np.int32(k), "block": np.int32(block), "home": False, "fp": values[rows].view(np.int64)}
-                    )
+            for k, rows, home in tree.placed(values, max_bits):
+                yield pd.DataFrame({"leaf": np.int32(k), "home": home, "fp": values[rows].view(np.int64)})
 
     def joined(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         values, home = pdf["fp"].to_numpy(np.int64).view(np.uint64), pdf["home"].to_numpy(bool)
-        point = tree.leaf_points[int(key[0])]
+        point = int(values[home].min()) if home.any() else 0
         a, b = forest(values[home], values[~home], point, max_bits)
         return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    return (
-        placed.mapInPandas(dealt, "leaf int, block int, home boolean, fp long")
-        .groupBy("leaf", "block")
-        .applyInPandas(joined, "a long, b long")
-    )
+    reached = store(fps.mapInPandas(placed, "leaf int, home boolean, fp long"), "simhash-reached")
+    split = split_leaves(reached, max_bits, leaf_size, sample_size, piece_size)
+    groups = dealt_groups(split, leaf_size, piece_size).groupBy("leaf", "sub", "block", "piece")
+    return groups.applyInPandas(joined, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -263,13 +332,14 @@ def labelled(
     max_bits: int = 2,
     leaf_size: int = 2048,
     sample_size: int = 131_072,
+    piece_size: int = 65_536,
 ) -> DataFrame:
     """Per row of ``docs``: doc_id, th (hash of the text), fp, root (of the component) and component_id."""
     thin = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
     marked = store(with_fingerprints(thin, "text", "fp", width), "simhash-fingerprints")
     distinct = store(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
     n = distinct.count()
-    roots = components(links(distinct.select("fp"), max_bits, leaf_size, sample_size, n))
+    roots = components(links(distinct.select("fp"), max_bits, leaf_size, sample_size, n, piece_size))
     grouped = distinct.join(roots, F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("root", "fp"))
     smallest = grouped.groupBy("root").agg(F.min("first_id").alias("component_id"))
     labels = grouped.select("fp", "root").join(smallest, "root").select("fp", "root", "component_id")
