@@ -111,6 +111,17 @@ def test_line_dedup_matches_a_plain_version(spark, n_batches, fanout):
     assert sum(r["n_dropped"] for r in out) > 3000
 
 
+def test_places_of_repeated_rows_are_kept_once(spark, monkeypatch):
+    found = []
+    whole = line_dedup._without
+    monkeypatch.setattr(line_dedup, "_without", lambda docs, per_doc, *a: found.append(per_doc) or whole(docs, per_doc, *a))
+    text = "\n".join(f"the long line number {i} of a text" for i in range(5))
+    rows = [(1, text)] * 40 + [(None, text)] * 40 + [(2, text), (3, text)]
+    out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"] or 0, r["n_dropped"]) for r in out) == [(0, 5)] * 40 + [(1, 5)] * 40 + [(2, 5), (3, 0)]
+    assert {len(r["places"]) for r in found[0].collect()} == {5}
+
+
 def test_line_dedup_on_an_empty_table(spark):
     assert line_dedup.dedup_lines(spark.createDataFrame([], DOCS)).collect() == []
 

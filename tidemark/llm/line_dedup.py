@@ -171,7 +171,7 @@ def dedup_lines(
         dropped.join(everywhere, HASH)
         .where(F.col("id") < F.col("max_id"))
         .groupBy("id", "th")
-        .agg(F.collect_list("p").alias("places"))
+        .agg(F.collect_set("p").alias("places"))  # repeated rows share a key: bounded by the lines of one text
     )
     return _without(docs, per_doc, id_col, text_col)
 
