@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm import langid, packing
@@ -64,6 +65,19 @@ def test_prediction_ignores_everything_but_the_text(spark):
     assert len({(r["lang_pred"], r["score"]) for r in out.collect()}) == 1
 
 
+def test_repeated_ids_do_not_change_the_bound(spark, monkeypatch):
+    learned = []
+    monkeypatch.setattr(langid.ByteGru, "train", lambda self, x, y, steps: learned.append((self.langs, x, y)))
+    free = [r["id"] for r in spark.range(200).where(~langid.held_out(F.col("id"))).collect()]
+    rows = [(free[0], f"one id, text number {i}", "en") for i in range(3000)]  # all drawn or none by id alone
+    rows += [(free[1], "ein text, immer wieder", "de")] * 3000 + [(i, f"texte numero {i}", "fr") for i in free[2:]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    langid.train_model(docs, sample_per_lang=100)
+    langs, x, y = learned[0]
+    taken = {lang: len(np.unique(x[y == k], axis=0)) for k, lang in enumerate(langs)}
+    assert taken == {"de": 1, "en": 100, "fr": 100}
+
+
 def test_nothing_to_learn_from(spark):
     df = spark.createDataFrame([(1, "text", None)], "doc_id long, text string, lang string")
     assert [(r["lang_pred"], r["score"]) for r in langid.identify(df).collect()] == [("und", 0.0)]

@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
@@ -184,17 +184,22 @@ def train_model(
     usable = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(
         F.col("lang").isNotNull() & F.col("id").isNotNull() & ~held_out(F.col("id")) & (F.length("text") > 0)
     )
-    counts = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    # rows are drawn by a hash of id and text; rows that share both count once
+    usable = usable.withColumn("draw", F.xxhash64("id", "text"))
+    counts = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.approx_count_distinct("draw").alias("n")).collect()}
     if not counts:
         return None
     langs = sorted(counts)
+    # about twice the rows wanted, of which the first by hash are taken
     share = F.lit(0.0)
     for lang, n in counts.items():
-        share = F.when(F.col("lang") == lang, min(1.0, sample_per_lang / n)).otherwise(share)
+        share = F.when(F.col("lang") == lang, min(1.0, 2 * (sample_per_lang + 50) / n)).otherwise(share)
     place = 1 + F.pmod(F.xxhash64(F.lit("place"), "id"), F.greatest(F.length("text") - sample_chars, F.lit(0)) + 1)
-    drawn = usable.where(F.pmod(F.xxhash64("id"), F.lit(1_000_003)) < share * 1_000_003).select(
-        "id", "lang", F.substring(F.col("text"), place.cast("int"), F.lit(sample_chars)).alias("text")
+    near = usable.where(F.pmod(F.col("draw"), F.lit(1_000_003)) < share * 1_000_003).select(
+        "id", "lang", "draw", F.substring(F.col("text"), place.cast("int"), F.lit(sample_chars)).alias("text")
     )
+    by_hash = Window.partitionBy("lang").orderBy("draw", "id", "text")
+    drawn = near.distinct().withColumn("n", F.row_number().over(by_hash)).where(F.col("n") <= sample_per_lang)
     rows = sorted((r["lang"], r["id"], r["text"]) for r in drawn.collect())
     x, y = [], []
     for lang, _, text in rows:
