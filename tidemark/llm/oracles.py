@@ -76,4 +76,24 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM m
 """
 
-ORACLES: dict[str, str] = {"op3_url_filter": OP3, "op7_line_dedup": OP7, "op8_decontamination": OP8, "op10_quality_rules": OP10}
+OP13 = """
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+wins AS (SELECT r, doc_id, i, array_to_string(w[i : i + 19], ' ') AS g
+  FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM docs)),
+later AS (SELECT r, i FROM wins QUALIFY rank() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, i) > 1),
+gone AS (SELECT DISTINCT r, p FROM (SELECT r, unnest(range(i, i + 20)) AS p FROM later)),
+words AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM docs),
+kept AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS text
+  FROM words ANTI JOIN gone USING (r, p) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r)
+"""
+
+ORACLES: dict[str, str] = {
+    "op3_url_filter": OP3,
+    "op7_line_dedup": OP7,
+    "op8_decontamination": OP8,
+    "op10_quality_rules": OP10,
+    "op13_substring_dedup": OP13,
+}

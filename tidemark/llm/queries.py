@@ -11,7 +11,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, html_text, langid, line_dedup, packing, pii, quality_rules, simhash, url_rules, warc
+from tidemark.llm import (
+    decontaminate,
+    html_text,
+    langid,
+    line_dedup,
+    packing,
+    pii,
+    quality_rules,
+    simhash,
+    superkmer,
+    url_rules,
+    warc,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -92,6 +104,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = superkmer.dedup_windows(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_packing": op2_packing,
@@ -103,4 +120,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_pii": op9_pii,
     "op10_quality_rules": op10_quality_rules,
+    "op13_substring_dedup": op13_substring_dedup,
 }
