@@ -36,7 +36,7 @@ from tidemark.llm.common import fresh_name
 
 NO_ID = -(2**63)
 HOT_ENTRIES = 1 << 22
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 8 << 20
 # a run is cut after so many windows, so that no packed string grows with its document
 LONGEST_RUN = 4096
 TEXT_BYTES_PER_RUN = 50
@@ -159,7 +159,7 @@ def packed_rows(ids: np.ndarray, ths: np.ndarray, strings: list[bytes], window:
     """The chunk's rows (bucket, strings, places): places only, in a bucket below zero, where the chunk itself decides."""
     import zstandard
 
-    zip_ = zstandard.ZstdCompressor(level=3).compress
+    zip_ = zstandard.ZstdCompressor(level=6).compress
     words = Words(strings)
     at, n, route = cut_runs(words, window, gram, hot)
     if not len(at):
@@ -266,8 +266,8 @@ def dedup_windows(
     id_col: str = "doc_id",
     text_col: str = "text",
     window: int = 20,
-    gram: int = 4,
-    bucket_bytes: int = 2 << 20,
+    gram: int = 3,
+    bucket_bytes: int = 4 << 20,
 ) -> DataFrame:
     """``docs`` with ``text_col`` cut to its kept words, joined by one space, plus ``n_words`` (before) and ``n_removed``."""
     if not 1 <= gram <= window:
