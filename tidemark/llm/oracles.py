@@ -76,6 +76,37 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM m
 """
 
+# a CRC-32 bit by bit, as DuckDB has no built-in one: over the ids' decimal digits, taken from the right by shifts
+OP12 = """
+WITH RECURSIVE rows AS (SELECT conv_id, turn, length(coalesce(text, '')) AS size,
+    md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS id
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list({'id': id, 'size': size} ORDER BY turn NULLS FIRST, id, size) AS t FROM rows GROUP BY conv_id),
+crc(conv_id, c, i) AS (
+  SELECT conv_id, 4294967295::BIGINT, 0 FROM own
+  UNION ALL
+  SELECT conv_id, list_reduce(range(8), lambda x, b: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END,
+      xor(c, ascii(substr(conv_id::VARCHAR, i + 1, 1))::BIGINT)), i + 1
+  FROM crc WHERE i < length(conv_id::VARCHAR)),
+heads AS (SELECT conv_id, xor(c, 4294967295) % 6 AS h FROM crc WHERE i = length(conv_id::VARCHAR)),
+built AS (SELECT o.conv_id, coalesce(b.t[1 : h], []) || o.t[h + 1 :] AS t
+  FROM own o JOIN heads USING (conv_id) LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 100),
+steps AS (SELECT conv_id, d, len(t) AS n, array_to_string(list_transform(t[1 : d], lambda x: x.id), '') AS k,
+    CASE WHEN d > 0 THEN t[d].size ELSE 0 END AS size
+  FROM (SELECT conv_id, t, unnest(range(len(t) + 1)) AS d FROM built)),
+nodes AS (SELECT d, k, min(conv_id) AS conv_id, count(*) AS n_convs, max(n) = d AS leaf, (count(*) - 1) * any_value(size) AS saved,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends_sha256
+  FROM steps GROUP BY d, k),
+above AS (SELECT unnest(range(d + 1)) AS d, k, leaf, saved FROM nodes),
+trees AS (SELECT d, substr(k, 1, 32 * d) AS k, count(*) FILTER (leaf) AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+  FROM above GROUP BY 1, 2),
+children AS (SELECT d - 1 AS d, substr(k, 1, 32 * (d - 1)) AS k, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1, 2)
+SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+  saved_tokens, n.ends_sha256
+FROM nodes n JOIN trees USING (d, k) LEFT JOIN children USING (d, k)
+LEFT JOIN nodes p ON p.d = n.d - 1 AND p.k = substr(n.k, 1, 32 * (n.d - 1))
+"""
+
 OP13 = """
 WITH docs AS (SELECT row_number() OVER () AS r, doc_id,
     regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
@@ -95,5 +126,6 @@ ORACLES: dict[str, str] = {
     "op7_line_dedup": OP7,
     "op8_decontamination": OP8,
     "op10_quality_rules": OP10,
+    "op12_conversation_trie": OP12,
     "op13_substring_dedup": OP13,
 }

@@ -18,6 +18,7 @@ from tidemark.llm import (
     line_dedup,
     packing,
     pii,
+    prefix_trie,
     quality_rules,
     simhash,
     superkmer,
@@ -104,6 +105,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(_table(spark, sf_dir, "conversations"))
+
+
 def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = superkmer.dedup_windows(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
@@ -120,5 +125,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_pii": op9_pii,
     "op10_quality_rules": op10_quality_rules,
+    "op12_conversation_trie": op12_conversation_trie,
     "op13_substring_dedup": op13_substring_dedup,
 }
