@@ -23,6 +23,7 @@ CONTRACT = {
     8: "doc_id n_words n_hit n_items items_sha256 contaminated",
     9: "doc_id n_email n_ip n_card n_phone base_sha256 spans",
     10: "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
+    11: "item_id rank doc_id score",
     12: "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
     13: "doc_id n_words n_removed kept_sha256",
 }

@@ -76,6 +76,24 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM m
 """
 
+_TERMS = "'[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'"
+
+OP11 = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), {_UPPER}), {_TERMS}) AS t FROM documents),
+items AS (SELECT row_number() OVER () AS i, item_id,
+    regexp_extract_all(translate(coalesce(text, ''), {_UPPER}), {_TERMS}) AS t FROM benchmark),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM docs) GROUP BY ALL),
+total AS (SELECT count(*) AS big_n, sum(len(t))::BIGINT AS big_l FROM docs WHERE len(t) > 0),
+w AS (SELECT term, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, total GROUP BY term, big_n),
+m AS (SELECT r, doc_id, 75 + (25 * len(t) * big_n) // big_l AS m FROM docs, total WHERE len(t) > 0),
+q AS (SELECT i, item_id, term, count(*) AS c FROM (SELECT i, item_id, unnest(t) AS term FROM items) GROUP BY ALL),
+scores AS (SELECT i, item_id, r, doc_id, sum(c * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM q JOIN w USING (term) JOIN tf USING (term) JOIN m USING (r) GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 20
+"""
+
 # a CRC-32 bit by bit, as DuckDB has no built-in one: over the ids' decimal digits, taken from the right by shifts
 OP12 = """
 WITH RECURSIVE rows AS (SELECT conv_id, turn, length(coalesce(text, '')) AS size,
@@ -126,6 +144,7 @@ ORACLES: dict[str, str] = {
     "op7_line_dedup": OP7,
     "op8_decontamination": OP8,
     "op10_quality_rules": OP10,
+    "op11_ranked_search": OP11,
     "op12_conversation_trie": OP12,
     "op13_substring_dedup": OP13,
 }

@@ -16,6 +16,7 @@ from tidemark.llm import (
     html_text,
     langid,
     line_dedup,
+    max_sketch,
     packing,
     pii,
     prefix_trie,
@@ -105,6 +106,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return max_sketch.rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.conversation_trie(_table(spark, sf_dir, "conversations"))
 
@@ -125,6 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_pii": op9_pii,
     "op10_quality_rules": op10_quality_rules,
+    "op11_ranked_search": op11_ranked_search,
     "op12_conversation_trie": op12_conversation_trie,
     "op13_substring_dedup": op13_substring_dedup,
 }
