@@ -44,7 +44,7 @@ BLOCK_TERMS = 1 << 13
 BLOCKS_PER_PASS = 32
 VOCABULARY_BROADCAST_BYTES = 8 << 20
 CHUNK_BYTES = 4 << 20
-CHUNK_DOCS = 512
+CHUNK_DOCS = 256
 # lower-case A-Z; a space for all ASCII that is no letter or digit
 TABLE = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 
