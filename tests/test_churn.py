@@ -1,10 +1,20 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.churn import ChurnModelError, auc_table, behavior_table, fit_churn_model, split_assignment, training_set
+from tidemark.operators.churn import (
+    ChurnModelError,
+    auc_table,
+    behavior_table,
+    fit_churn_model,
+    fit_logistic,
+    score_ranges,
+    split_assignment,
+    training_set,
+)
 from tidemark.plans.driver_queries import _behavior
 
 from .conftest import SMOKE_DIR
@@ -52,9 +62,59 @@ def test_training_set_drops_incomplete_rows(spark):
     assert sorted(r["user_id"] for r in training_set(behavior).collect()) == ["kim", "max"]
 
 
+def test_one_outlier_does_not_fill_a_range(spark):
+    scores = spark.range(20_000).select((F.col("id") / 20_000).alias("s"), F.lit(1).alias("one"))
+    scores = scores.unionByName(spark.createDataFrame([(1e12, 1), (-1e15, 1)], "s double, one int")).select("s")
+    sizes = score_ranges(scores, 8).groupBy("range").count().collect()
+    assert len(sizes) == 64 and max(r["count"] for r in sizes) <= 2 * 20_002 / 64
+
+
+def test_auc_with_outliers_and_dense_stretches(spark):
+    rng = random.Random(9)
+    rows = [(float(rng.random() < 0.4), rng.choice([rng.gauss(0, 1e-9), rng.gauss(5, 1), 1e300, -1e200])) for _ in range(900)]
+    pos, neg = [s for y, s in rows if y == 1], [s for y, s in rows if y == 0]
+    want = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
+    for side in (2, 8, 64):
+        assert auc_table(spark.createDataFrame(rows, "label double, score double"), side=side).first()["auc"] == pytest.approx(want, abs=1e-12)
+
+
+def plain_fit(x, y, penalty=1.0):
+    """Newton's method on dense arrays."""
+    x = np.column_stack([x, np.ones(len(x))])
+    ridge = np.diag([penalty] * (x.shape[1] - 1) + [0.0])
+    w = np.zeros(x.shape[1])
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-x @ w))
+        w = w - np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + ridge, x.T @ (p - y) + ridge @ w)
+    return w
+
+
+def test_fit_equals_a_plain_fit(spark):
+    rng = np.random.default_rng(2)
+    x = np.column_stack([rng.normal(size=400), rng.poisson(30, 400), rng.exponential(2000, 400)])
+    y = (rng.random(400) < 1 / (1 + np.exp(-(x[:, 0] - 0.05 * x[:, 1] + 0.001 * x[:, 2])))).astype(float)
+    data = spark.createDataFrame([(*map(float, r), float(t)) for r, t in zip(x, y, strict=True)], "a double, b double, c double, label double")
+    model = fit_logistic(data.repartition(5), ("a", "b", "c"))
+    assert np.allclose([*model.coefficients, model.intercept], plain_fit(x, y), rtol=1e-6, atol=1e-9) and model.gradient < 1e-8
+    p = data.select(model.probability().alias("p")).agg(F.avg("p")).first()[0]
+    assert p == pytest.approx(y.mean(), abs=1e-9)  # the intercept is free
+
+
+def test_separable_classes_keep_finite_weights(spark):
+    data = spark.createDataFrame([(float(i), float(i >= 5)) for i in range(10)], "a double, label double")
+    model = fit_logistic(data, ("a",))
+    assert np.allclose([*model.coefficients, model.intercept], plain_fit(np.arange(10.0)[:, None], np.arange(10) >= 5), rtol=1e-6)
+
+
 def test_model_on_driver_tables(spark):
     d = SMOKE_DIR.replace("sf0.001", "sf0.01")
     fitted = fit_churn_model(_behavior(spark, d))
-    assert 0.0 <= fitted["auc"] <= 1.0
-    assert fitted["n_train"] + fitted["n_test"] == 150
-    assert fitted["gradient_ratio"] < 1e-3
+    rows = fitted["scores"].collect()
+    features = fitted["model"].features
+    train = [r for r in rows if r["split"] == "train"]
+    w = plain_fit(np.array([[r[f] for f in features] for r in train]), np.array([r["label"] for r in train]))
+    assert np.allclose([*fitted["model"].coefficients, fitted["model"].intercept], w, rtol=1e-6, atol=1e-9)
+    test = [r for r in rows if r["split"] == "test"]
+    pos, neg = ([r["churn_probability"] for r in test if r["label"] == y] for y in (1, 0))
+    assert fitted["auc"] == pytest.approx(sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg)), abs=1e-12)
+    assert fitted["n_train"] + fitted["n_test"] == len(rows) == 150

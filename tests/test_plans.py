@@ -29,9 +29,9 @@ def test_no_python_on_event_rows(spark, name):
     assert "ArrowEvalPython" not in p and "BatchEvalPython" not in p
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"churn_model"}))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_node_in_any_registered_query(spark, name):
-    # both statistics tails are JVM expressions; churn_model is a fitted model's one-row result
+    # both statistics tails are JVM expressions
     p = plan(QUERIES[name](spark, SMOKE_DIR))
     assert "ArrowEvalPython" not in p and "BatchEvalPython" not in p
 

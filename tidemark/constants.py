@@ -56,7 +56,6 @@ RECOMMEND_CONTINUE = "No significant effect: continue test or increase sample si
 CHURN_FEATURES = ("session_count", "feature_events", "days_since_active", "revenue_total")
 CHURN_TEST_SHARE = 0.25
 CHURN_SEED = 42
-CHURN_MAX_ITER = 200
 
 # --- fixed values: texts of checks and errors ---
 GATE_FAILED = "Warehouse verification failed"

@@ -1,17 +1,20 @@
-"""Behaviour table and churn model (N8, C1-C6) on Spark ML.
+"""Behaviour table and churn model.
 
 The training table (one row per user, with its side of the split) is stored once in the shared folder; counts, fit, scores
-and AUC all read that copy.
+and AUC all read that copy. The logistic regression is fitted by Newton steps on gradient and curvature sums: one
+aggregation over the training rows a step, and a handful of steps, so any engine that sums the same terms gets the same
+coefficients. The driver only solves a system of a few unknowns.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.ml.classification import LogisticRegression
+import numpy as np
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -79,7 +82,8 @@ def training_set(behavior: DataFrame, features: tuple[str, ...] = K.CHURN_FEATUR
 
 # hex digits of the order number that make a split bucket: 65,536 buckets
 BUCKET_DIGITS = 4
-SCORE_BUCKETS = 4096
+# ranges of about equal numbers of scores: RANGE_SIDE squared
+RANGE_SIDE = 64
 
 
 def split_order(user: Column, seed: int) -> Column:
@@ -131,27 +135,44 @@ def check_classes(counts: dict[tuple[str, float], int]) -> None:
             raise ChurnModelError("Insufficient class diversity to train churn model.")
 
 
-def auc_table(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
+def score_ranges(per_score: DataFrame, side: int = RANGE_SIDE) -> DataFrame:
+    """``per_score`` with the ``range`` of its score ``s``: of about ``side`` squared ranges with equal numbers of rows.
+
+    Splitters come from a quantile sketch (one aggregation, mergeable), so an outlier or a dense stretch moves them and not
+    the load. A score is placed by counting splitters in two rounds, first every ``side``-th one.
+    """
+    n = side * side
+    shares = F.expr("array(" + ", ".join(f"{i / n!r}D" for i in range(1, n)) + ")")
+    splitters = per_score.select(F.percentile_approx("s", shares, F.lit(10 * n))).scalar()
+    every = F.sequence(F.lit(side), F.lit(n - side), F.lit(side))
+    split = per_score.withColumn("_split", splitters)
+    split = split.withColumn("_coarse", F.transform(every, lambda i: F.get("_split", i - 1)))
+
+    def below(values: Column) -> Column:
+        return F.size(F.filter(values, lambda q: q < F.col("s")))
+
+    placed = split.withColumn("_part", F.coalesce(below(F.col("_coarse")), F.lit(0)))
+    fine = F.slice("_split", F.col("_part") * side + 1, F.lit(side - 1))
+    return placed.withColumn("range", F.col("_part") * side + below(fine)).drop("_split", "_coarse", "_part")
+
+
+def auc_table(scored: DataFrame, score: str = "score", label: str = "label", side: int = RANGE_SIDE) -> DataFrame:
     """ROC AUC as one row (auc, n_positive, n_negative), ties counting half (Mann-Whitney).
 
-    Rows are reduced to counts per distinct score. Scores fall into ``SCORE_BUCKETS`` even ranges; the buckets' totals are
-    accumulated over that many rows, and within a bucket over its own distinct scores, so no task orders all scores. The
-    AUC is null if a class is missing.
+    Rows are reduced to counts per distinct score. Scores fall into ranges of about equal numbers of them
+    (:func:`score_ranges`); each range's negatives are summed, the sums are accumulated over the ranges (a few thousand
+    rows), and a score adds those of its own range below it. No task orders more than a range. The AUC is null if a class
+    is missing.
     """
     value = F.col(score).cast("double")
     per_score = scored.groupBy(value.alias("s")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")
     )
-    span = per_score.select(F.struct(F.min("s").alias("low"), F.max("s").alias("high"))).scalar()
-    share = F.try_divide(F.col("s") - span["low"], span["high"] - span["low"])
-    place = F.coalesce(F.floor(share * F.lit(SCORE_BUCKETS)), F.lit(0).cast("long"))
-    bucketed = per_score.withColumn("bucket", place)
-    totals = bucketed.groupBy("bucket").agg(F.sum("neg").alias("n"))
-    before = totals.select(
-        "bucket", (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("below")
-    )
-    inside = Window.partitionBy("bucket").orderBy("s")
-    ranked = bucketed.join(before, "bucket").withColumn(
+    ranged = score_ranges(per_score, side)
+    totals = ranged.groupBy("range").agg(F.sum("neg").alias("n"))
+    before = totals.select("range", (F.sum("n").over(Window.orderBy("range")) - F.col("n")).alias("below"))
+    inside = Window.partitionBy("range").orderBy("s")
+    ranked = ranged.join(before, "range").withColumn(
         "smaller", F.col("below") + F.sum("neg").over(inside) - F.col("neg")
     )
     won = F.sum(F.col("pos").cast("double") * (F.col("smaller") + F.col("neg") * F.lit(0.5)))
@@ -161,7 +182,10 @@ def auc_table(scored: DataFrame, score: str = "score", label: str = "label") ->
 
 
 def stored_training_table(
-    behavior: DataFrame, features: tuple[str, ...], test_share: float, seed: int
+    behavior: DataFrame,
+    features: tuple[str, ...] = K.CHURN_FEATURES,
+    test_share: float = K.CHURN_TEST_SHARE,
+    seed: int = K.CHURN_SEED,
 ) -> DataFrame:
     """The split training table, written once to the shared folder."""
     spark = behavior.sparkSession
@@ -170,19 +194,90 @@ def stored_training_table(
     stored = f"{path}/plain"
     plain.write.parquet(stored)
     split_assignment(spark.read.parquet(stored), test_share, seed).write.parquet(f"{path}/split")
-    return VectorAssembler(inputCols=list(features), outputCol="features").transform(spark.read.parquet(f"{path}/split"))
-
+    return spark.read.parquet(f"{path}/split")
+
+
+@dataclass(frozen=True)
+class LogisticModel:
+    """Weights of an unscaled logistic regression with an intercept."""
+
+    features: tuple[str, ...]
+    coefficients: tuple[float, ...]
+    intercept: float
+    steps: int
+    gradient: float  # its length at the end over that at zero weights
+
+    def margin(self) -> Column:
+        out = F.lit(self.intercept)
+        for f, w in zip(self.features, self.coefficients, strict=True):
+            out = out + F.col(f) * F.lit(w)
+        return out
+
+    def probability(self) -> Column:
+        """The probability of class 1."""
+        return _sigmoid(self.margin())
+
+
+def _sigmoid(z: Column) -> Column:
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
+
+
+def _sums(train: DataFrame, features: Sequence[str], weights: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Loss, gradient and curvature sums at ``weights`` (the intercept last): one aggregation of k(k+3)/2 + 1 sums."""
+    x = [F.col(f) for f in features] + [F.lit(1.0)]
+    k = len(x)
+    margin = F.lit(float(weights[-1]))
+    for c, w in zip(x[:-1], weights, strict=False):
+        margin = margin + c * F.lit(float(w))
+    rows = train.select("label", *features, margin.alias("_z")).withColumn("_p", _sigmoid(F.col("_z")))
+    z, p, label = F.col("_z"), F.col("_p"), F.col("label")
+    loss = F.greatest(z, F.lit(0.0)) + F.log1p(F.exp(-F.abs(z))) - label * z
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    terms = [loss, *[(p - label) * c for c in x], *[p * (F.lit(1.0) - p) * x[i] * x[j] for i, j in pairs]]
+    row = rows.agg(*[F.sum(t).alias(f"t{n}") for n, t in enumerate(terms)]).first()
+    curvature = np.zeros((k, k))
+    for n, (i, j) in enumerate(pairs):
+        curvature[i, j] = curvature[j, i] = row[1 + k + n]
+    return float(row[0]), np.array(row[1 : 1 + k], float), curvature
+
+
+def fit_logistic(
+    train: DataFrame,
+    features: tuple[str, ...] = K.CHURN_FEATURES,
+    penalty: float = 1.0,
+    max_steps: int = 50,
+    tolerance: float = 1e-10,
+) -> LogisticModel:
+    """C4: weights that minimise the summed log loss plus ``penalty / 2`` times the squared weights (intercept free).
 
-def gradient_ratio(scored: DataFrame, model, features: tuple[str, ...], reg: float) -> float:
-    """Length of the objective's gradient at the fitted weights over its length at zero weights: near 0 when converged."""
-    label, p = F.col("label"), F.col("score")
-    at_fit = [F.avg((p - label) * F.col(f)) for f in features] + [F.avg(p - label)]
-    at_zero = [F.avg((F.lit(0.5) - label) * F.col(f)) for f in features] + [F.avg(F.lit(0.5) - label)]
-    row = scored.agg(*[c.alias(f"c{i}") for i, c in enumerate(at_fit + at_zero)]).first()
-    k = len(at_fit)
-    weights = [*model.coefficients, 0.0]
-    here = sum((row[i] + reg * weights[i]) ** 2 for i in range(k)) ** 0.5
-    return float(here / max(sum(row[k + i] ** 2 for i in range(k)) ** 0.5, 1e-300))
+    A Newton step that does not lower the objective is halved until it does. ``train`` has the features and ``label``.
+    """
+    k = len(features) + 1
+    ridge = np.array([penalty] * (k - 1) + [0.0])
+
+    def at(weights: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        loss, gradient, curvature = _sums(train, features, weights)
+        return loss + 0.5 * float(ridge @ weights**2), gradient + ridge * weights, curvature + np.diag(ridge)
+
+    weights = np.zeros(k)
+    value, gradient, curvature = at(weights)
+    first, steps = max(float(np.linalg.norm(gradient)), 1e-300), 0
+    while steps < max_steps and np.linalg.norm(gradient) > tolerance * first:
+        scale = 1 / np.sqrt(np.maximum(np.diag(curvature), 1e-300))  # features differ by orders of magnitude
+        step = scale * np.linalg.lstsq(curvature * np.outer(scale, scale), scale * gradient, rcond=None)[0]
+        share = 1.0
+        while True:
+            steps += 1
+            trial = at(weights - share * step)
+            if trial[0] <= value + 1e-12 * abs(value) or share < 1e-6:
+                break
+            share /= 2
+        if trial[0] >= value and np.linalg.norm(trial[1]) >= np.linalg.norm(gradient):
+            break  # rounding: no nearer
+        weights, (value, gradient, curvature) = weights - share * step, trial
+    return LogisticModel(
+        tuple(features), tuple(map(float, weights[:-1])), float(weights[-1]), steps, float(np.linalg.norm(gradient)) / first
+    )
 
 
 def fit_churn_model(
@@ -190,41 +285,27 @@ def fit_churn_model(
     features: tuple[str, ...] = K.CHURN_FEATURES,
     test_share: float = K.CHURN_TEST_SHARE,
     seed: int = K.CHURN_SEED,
-    max_iter: int = K.CHURN_MAX_ITER,
+    max_steps: int = 50,
 ) -> dict:
-    """L2 logistic regression (C=1, unscaled) and ROC AUC on the held-out rows.
+    """L2 logistic regression (C=1, unscaled), scores of all rows and ROC AUC on the held-out ones.
 
-    Returns ``{"model", "auc", "n_train", "n_test", "gradient_ratio"}``; fitting is iterative, so this runs jobs.
+    Returns ``{"model", "scores", "auc", "n_train", "n_test"}``; ``scores`` is the stored training table with
+    ``churn_probability``. Fitting is iterative, so this runs jobs.
     """
     data = stored_training_table(behavior, features, test_share, seed)
     counts = class_counts(data)
     check_classes(counts)
-    n_train = sum(n for (side, _), n in counts.items() if side == "train")
-    n_test = sum(n for (side, _), n in counts.items() if side == "test")
-    train = data.filter(F.col("split") == "train")
-    # sklearn's C=1 penalty 0.5*||w||^2 + sum(loss) equals Spark's mean loss + (reg/2)*||w||^2
-    # with reg = 1/n_train; no feature standardization, intercept unpenalized.
-    reg = 1.0 / n_train
-    lr = LogisticRegression(
-        featuresCol="features",
-        labelCol="label",
-        maxIter=max_iter,
-        regParam=reg,
-        elasticNetParam=0.0,
-        standardization=False,
-        tol=1e-6,
-    )
-    model = lr.fit(train)
-    scored = model.transform(data).withColumn("score", vector_to_array("probability")[1])
-    auc = auc_table(scored.filter(F.col("split") == "test")).first()["auc"]
-    ratio = gradient_ratio(scored.filter(F.col("split") == "train"), model, features, reg)
-    return {"model": model, "auc": float(auc), "n_train": n_train, "n_test": n_test, "gradient_ratio": ratio}
+    n = {side: sum(v for (s, _), v in counts.items() if s == side) for side in ("train", "test")}
+    model = fit_logistic(data.filter(F.col("split") == "train"), features, max_steps=max_steps)
+    scores = data.withColumn("churn_probability", model.probability())
+    auc = auc_table(scores.filter(F.col("split") == "test"), "churn_probability").first()["auc"]
+    return {"model": model, "scores": scores, "auc": float(auc), "n_train": n["train"], "n_test": n["test"]}
 
 
 def churn_model_table(behavior: DataFrame, **kwargs) -> DataFrame:
-    """C4-C6 as a one-row table: model, auc, n_train, n_test, gradient_ratio."""
+    """C4-C6 as a one-row table: model, n_train, n_test, auc, a coefficient per feature, intercept."""
     fitted = fit_churn_model(behavior, **kwargs)
-    row = ("logistic_regression", *(fitted[k] for k in ("auc", "n_train", "n_test", "gradient_ratio")))
-    return behavior.sparkSession.createDataFrame(
-        [row], "model string, auc double, n_train long, n_test long, gradient_ratio double"
-    )
+    model = fitted["model"]
+    row = ("logistic_regression", fitted["n_train"], fitted["n_test"], fitted["auc"], *model.coefficients, model.intercept)
+    weights = ", ".join(f"{f} double" for f in (*model.features, "intercept"))
+    return behavior.sparkSession.createDataFrame([row], f"model string, n_train long, n_test long, auc double, {weights}")

@@ -36,12 +36,17 @@ def fct_cohort_retention(
     Sessions are reduced to distinct (user, week) pairs before the join, so the join carries
     at most one row per user and active week however many sessions a user has.
     """
-    signups = users.select("user_id", week_start("signup_ts").alias("cohort_week"))
     activity = (
         events.filter(F.col("event_name") == session_event)
         .select("user_id", week_start("event_ts").alias("active_week"))
         .distinct()
     )
+    return cohort_retention_of(users, activity)
+
+
+def cohort_retention_of(users: DataFrame, activity: DataFrame) -> DataFrame:
+    """M4 from distinct (user_id, active_week) pairs."""
+    signups = users.select("user_id", week_start("signup_ts").alias("cohort_week"))
     cohort_activity = (
         signups.join(activity, "user_id")
         .filter(F.col("active_week") >= F.col("cohort_week"))
@@ -87,7 +92,11 @@ def fct_ab_tests(
     ``user_id`` is reused by the join. The conversion is not required to follow
     ``assigned_ts`` (same meaning as the SQL model).
     """
-    conversion = user_conversion(events, conversion_events, payment_event)
+    return ab_tests_of(assignments, user_conversion(events, conversion_events, payment_event))
+
+
+def ab_tests_of(assignments: DataFrame, conversion: DataFrame) -> DataFrame:
+    """M5 from one row per user with ``converted`` and ``revenue``."""
     joined = assignments.join(conversion, "user_id", "left")
     return joined.select(
         "experiment_id",

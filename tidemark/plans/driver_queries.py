@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from tidemark.functions import fmt
 from tidemark.functions.time import lenient_utc, strict_utc
 from tidemark.operators import churn, cohort, experiment, funnel, intermediate, marts, quality, report, staging
+from tidemark.plans import incremental
 from tidemark.session import ensure_checkpoint_dir
 from tidemark.sources import adapter as A
 from tidemark.sources import contracts
@@ -504,21 +505,71 @@ def q_churn_split(spark, d):
 
 def q_churn_auc(spark, d):
     """C6 on the held-out rows for fixed whole-number weights, so that another engine gets the same scores and ties."""
-    data = churn.split_assignment(churn.training_columns(_behavior(spark, d))).filter(F.col("split") == "test")
+    data = churn.stored_training_table(_behavior(spark, d)).filter(F.col("split") == "test")
     score = F.col("days_since_active") * 40 - F.col("session_count") * 2 - F.col("feature_events")
     return edge(churn.auc_table(data.withColumn("score", score)))
 
 
 def q_churn_model(spark, d):
-    """The fitted model's sizes, whether it converged (gradient) and whether its AUC is a probability."""
-    fitted = churn.churn_model_table(_behavior(spark, d))
-    return fitted.select(
-        "model",
-        "n_train",
-        "n_test",
-        (F.col("gradient_ratio") < 1e-3).alias("converged"),
-        F.col("auc").between(0, 1).alias("auc_in_range"),
+    """The fitted coefficients and the AUC of the held-out rows."""
+    return edge(churn.churn_model_table(_behavior(spark, d)), 6)
+
+
+def q_churn_scores(spark, d):
+    """Every user's churn probability."""
+    scores = churn.fit_churn_model(_behavior(spark, d))["scores"]
+    out = scores.select("user_id", F.col("label").cast("int").alias("churned"), "split", "churn_probability")
+    return edge(out, 6)
+
+
+# ---- incremental build -------------------------------------------------------------------------------
+
+
+def _scratch(spark, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _incremental_models(spark, d):
+    """The product world, added in three batches: half of all events, the other half (late for every date), the first again."""
+    w, root = product_world(spark, d), _scratch(spark, "incremental")
+    rules = incremental.Rules(
+        A.SESSION_EVENT, A.FEATURE_PREFIX, A.PAYMENT_EVENT, A.CHURN_EVENT, A.FUNNEL_STEPS, A.PRODUCT_CONVERSION_EVENTS
     )
+    even = F.col("event_id") % 2 == 0
+    for batch in (w["events"].filter(even), w["events"].filter(~even), w["events"].filter(even)):
+        incremental.add_events(spark, root, batch, rules)
+    return incremental.models(spark, root, w["users"], w["assignments"], A.AS_OF, rules)
+
+
+def q_incremental_marts(spark, d):
+    """Every model of the incremental build in one relation (mart, user_id, key, moment, n, amount)."""
+    m = _incremental_models(spark, d)
+    none = F.lit(None)
+
+    def rows(mart, key, user=none, at=none, n=none, amount=none):
+        return m[mart].select(
+            F.lit(mart).alias("mart"),
+            user.cast("long").alias("user_id"),
+            key.cast("string").alias("key"),
+            at.cast("timestamp_ntz").alias("moment"),
+            n.cast("long").alias("n"),
+            F.round(amount.cast("double"), 9).alias("amount"),
+        )
+
+    c = F.col
+    text = lambda *cols: F.concat_ws(":", *[c(x).cast("string") for x in cols])
+    activity = text("session_count", "feature_events", "churned_flag", "days_since_active")
+    parts = [
+        rows("int_user_activity", activity, c("user_id"), c("last_event_ts"), c("session_count"), c("revenue_total")),
+        rows("fct_funnel", c("stage"), c("user_id"), c("converted_at"), c("dropped").cast("int")),
+        rows("fct_cohort_retention", text("cohort_week", "period_number"), n=c("retained_users")),
+        rows("fct_ab_tests", text("experiment_id", "variant"), c("user_id"), c("assigned_ts"), c("converted"), c("revenue")),
+        rows("fct_feature_engagement", text("feature_event", "week_start"), c("user_id"), n=c("usage_count")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 QUERIES: dict[str, QueryFn] = {
@@ -567,4 +618,6 @@ QUERIES: dict[str, QueryFn] = {
     "churn_split": q_churn_split,
     "churn_auc": q_churn_auc,
     "churn_model": q_churn_model,
+    "churn_scores": q_churn_scores,
+    "incremental_marts": q_incremental_marts,
 }

@@ -316,6 +316,40 @@ CHURN = _with(
 )
 
 
+def _newton_sql(steps: int = 14) -> str:
+    """The logistic fit as a chain of CTEs: one aggregation and one 5 x 5 elimination per Newton step."""
+    x = [*K.CHURN_FEATURES, "1.0"]
+    k = len(x)
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    out = ["tr AS MATERIALIZED (SELECT * FROM cs WHERE split = 'train')", "n0 AS (SELECT " + ", ".join(f"0.0::DOUBLE AS w{i}" for i in range(k)) + ")"]
+    for s in range(steps):
+        z = " + ".join(f"w{i} * {x[i]}" for i in range(k))
+        sums = [f"sum((p - label) * {x[i]}) + {'any_value(w%d)' % i if i < k - 1 else '0'} AS g{i}" for i in range(k)]
+        sums += [f"sum(p * (1 - p) * {x[i]} * {x[j]}) + {1 if i == j < k - 1 else 0} AS a{i}{j}" for i, j in pairs]
+        out.append(
+            f"s{s} AS MATERIALIZED (SELECT {', '.join(f'any_value(w{i}) AS w{i}' for i in range(k))}, {', '.join(sums)}"
+            f" FROM (SELECT *, 1 / (1 + exp(-({z}))) AS p FROM tr, n{s}))"
+        )
+        last = f"s{s}"
+        for c in range(k - 1):  # the matrix is symmetric: only its upper part is kept
+            cols = [f"w{i}" for i in range(k)]
+            for i in range(k):
+                cols.append(f"g{i} - a{c}{i} / a{c}{c} * g{c} AS g{i}" if i > c else f"g{i}")
+            for i, j in pairs:
+                cols.append(f"a{i}{j} - a{c}{i} / a{c}{c} * a{c}{j} AS a{i}{j}" if i > c else f"a{i}{j}")
+            out.append(f"e{s}_{c} AS MATERIALIZED (SELECT {', '.join(cols)} FROM {last})")
+            last = f"e{s}_{c}"
+        solved = last
+        for i in reversed(range(k)):
+            rest = "".join(f" - a{i}{j} * d{j}" for j in range(i + 1, k))
+            solved = f"(SELECT *, (g{i}{rest}) / a{i}{i} AS d{i} FROM {solved})"
+        out.append(f"n{s + 1} AS MATERIALIZED (SELECT {', '.join(f'w{i} - d{i} AS w{i}' for i in range(k))} FROM {solved})")
+    z = " + ".join(f"w{i} * {x[i]}" for i in range(k))
+    out.append(f"scored AS MATERIALIZED (SELECT cs.*, 1 / (1 + exp(-({z}))) AS score FROM cs, n{steps})")
+    out.append(f"fit AS (SELECT * FROM n{steps})")
+    return ",\n".join(out)
+
+
 def oracle_sql() -> dict[str, str]:
     heat_cols = ", ".join(
         f"coalesce(round(avg(CASE WHEN period_number = {k} THEN retention_rate END), 9), 0.0) AS \"{k}\""
@@ -497,6 +531,25 @@ UNION ALL SELECT 'engagement_mart_is_not_empty', 'at_least', 1, fct_feature_enga
             SELECT round(CAST(won AS DOUBLE) / nullif((SELECT count(*) FILTER (label = 1) * count(*) FILTER (label <> 1) FROM t), 0), 9) AS auc,
               (SELECT count(*) FILTER (label = 1) FROM t) AS n_positive, (SELECT count(*) FILTER (label <> 1) FROM t) AS n_negative
             FROM p""",
-        "churn_model": CHURN + """SELECT 'logistic_regression' AS model, count(*) FILTER (split = 'train') AS n_train,
-            count(*) FILTER (split = 'test') AS n_test, true AS converged, true AS auc_in_range FROM cs""",
+        "churn_scores": CHURN + ", " + _newton_sql() + """SELECT user_id, CAST(label AS INTEGER) AS churned, split,
+            round(score, 6) AS churn_probability FROM scored""",
+        "churn_model": CHURN + ", " + _newton_sql() + f""", t AS (SELECT * FROM scored WHERE split = 'test'),
+            p AS (SELECT sum(CASE WHEN b.score < a.score THEN 1.0 WHEN b.score = a.score THEN 0.5 ELSE 0.0 END) AS won
+              FROM t a, t b WHERE a.label = 1 AND b.label <> 1)
+            SELECT 'logistic_regression' AS model, (SELECT count(*) FROM tr) AS n_train, (SELECT count(*) FROM t) AS n_test,
+              round(CAST(won AS DOUBLE) / (SELECT count(*) FILTER (label = 1) * count(*) FILTER (label <> 1) FROM t), 6) AS auc,
+              {", ".join(f"round(w{i}, 6) AS {f}" for i, f in enumerate((*K.CHURN_FEATURES, "intercept")))} FROM p, fit""",
+        "incremental_marts": _with(*PRODUCT_MARTS) + f""", act AS (SELECT user_id,
+              count(*) FILTER (WHERE event_name = '{A.SESSION_EVENT}') AS s,
+              count(*) FILTER (WHERE starts_with(event_name, '{A.FEATURE_PREFIX}')) AS f, max(event_ts) AS moment,
+              max(CASE WHEN event_name = '{A.CHURN_EVENT}' THEN 1 ELSE 0 END) AS c,
+              CAST(date_part('day', {_ts(A.AS_OF)} - max(event_ts)) AS BIGINT) AS d,
+              CAST(sum(CASE WHEN event_name = '{A.PAYMENT_EVENT}' THEN revenue ELSE 0 END) AS DOUBLE) AS r,
+              max(CASE WHEN event_name IN {_in(A.PRODUCT_CONVERSION_EVENTS)} THEN 1 ELSE 0 END) AS conv FROM se GROUP BY 1)
+            SELECT 'int_user_activity' AS mart, user_id, concat_ws(':', s, f, c, d) AS key, moment, s AS n, round(r, 9) AS amount FROM act
+            UNION ALL SELECT 'fct_funnel', user_id, stage, converted_at, CAST(dropped AS BIGINT), NULL FROM fct_funnel
+            UNION ALL SELECT 'fct_cohort_retention', NULL, concat_ws(':', cohort_week, period_number), NULL, retained_users, NULL FROM fct_cohort
+            UNION ALL SELECT 'fct_ab_tests', p.user_id, concat_ws(':', experiment_id, variant), assigned_ts, coalesce(conv, 0),
+              round(coalesce(r, 0), 9) FROM pasg p LEFT JOIN act ON act.user_id = p.user_id
+            UNION ALL SELECT 'fct_feature_engagement', user_id, concat_ws(':', feature_event, week_start), NULL, usage_count, NULL FROM fct_eng""",
     }
