@@ -17,12 +17,24 @@ from pyspark.sql import types as T
 
 from tidemark.functions import fmt
 from tidemark.functions.time import lenient_utc, strict_utc
-from tidemark.operators import churn, cohort, experiment, funnel, intermediate, marts, quality, report, staging
+from tidemark.operators import (
+    bitmaps,
+    churn,
+    cohort,
+    experiment,
+    funnel,
+    intermediate,
+    marts,
+    position,
+    quality,
+    report,
+    staging,
+)
 from tidemark.plans import incremental
 from tidemark.session import ensure_checkpoint_dir
 from tidemark.sources import adapter as A
-from tidemark.sources import contracts
-from tidemark.sources.schemas import TableContract
+from tidemark.sources import bucketed, contracts, quarantine
+from tidemark.sources.schemas import CONTRACTS, TableContract
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -572,6 +584,69 @@ def q_incremental_marts(spark, d):
     return out
 
 
+# ---- positions and bitmaps ---------------------------------------------------------------------------
+
+
+def q_event_positions(spark, d):
+    """Every event's place in time, ties by id."""
+    return position.global_position(A.table(spark, d, "events").select("event_id", "ts"), ["ts", "event_id"])
+
+
+def _bitmap_retention(spark, world, period, session_event):
+    numbers_at, days_at, cohorts_at = (_scratch(spark, n) for n in ("numbers", "days", "cohorts"))
+    bitmaps.number_users(world["users"]).write.parquet(numbers_at)
+    numbers = spark.read.parquet(numbers_at)
+    bitmaps.daily_bitmaps(world["events"], numbers, session_event).write.parquet(days_at)
+    bitmaps.cohort_bitmaps(numbers, period).write.parquet(cohorts_at)
+    return edge(bitmaps.retention_of(spark.read.parquet(days_at), spark.read.parquet(cohorts_at), period))
+
+
+def q_retention_weekly_bitmaps(spark, d):
+    """N4 from stored daily bitmaps."""
+    return _bitmap_retention(spark, product_world(spark, d), "weekly", A.SESSION_EVENT)
+
+
+def q_retention_monthly_bitmaps(spark, d):
+    return _bitmap_retention(spark, order_world(spark, d), "monthly", None)
+
+
+def bucketed_orders(spark, d):
+    """The order world's assignments and events, stored in buckets by user."""
+    w, root = order_world(spark, d), _scratch(spark, "bucketed")
+    n = bucketed.bucket_count(bucketed.column_bytes(w["events"].select("event_id", "user_id", "event_name", "event_ts", "revenue")))
+    events = w["events"].select("event_id", "user_id", "event_name", "event_ts", "revenue")
+    bucketed.save_model(events, root, "order_events", ["user_id"], n)
+    bucketed.save_model(w["assignments"], root, "order_assignments", ["user_id"], n)
+    return bucketed.open_models(spark, root)
+
+
+def q_fct_ab_tests_bucketed(spark, d):
+    """M5 over stored buckets: neither the conversion aggregate nor its join needs an exchange."""
+    m = bucketed_orders(spark, d)
+    return edge(marts.fct_ab_tests(m["order_assignments"], m["order_events"], A.ORDER_CONVERSION_EVENTS, A.ORDER_PAYMENT_EVENT))
+
+
+# ---- quarantine ----------------------------------------------------------------------------------------
+
+
+def q_quarantine(spark, d):
+    """S3: CSV lines with planted faults; every line is either accepted or rejected with its reasons."""
+    e, i = A.table(spark, d, "events"), F.col("event_id")
+    none = F.lit(None).cast("string")
+    text = e.select(
+        i.cast("string").alias("event_id"),
+        F.when(i % 13 == 0, none).otherwise(F.col("user_id").cast("string")).alias("user_id"),
+        F.col("event_type").alias("event_name"),
+        F.when(i % 11 == 0, F.lit("yesterday")).otherwise(F.col("ts").cast("string")).alias("event_ts"),
+        *[none.alias(c) for c in ("session_id", "experiment_id", "variant")],
+        F.when(i % 7 == 0, F.lit("12 USD")).otherwise(F.lit("1.25")).alias("revenue"),
+        F.col("props").alias("properties"),
+    )
+    accepted, rejected = quarantine.split_rows(text, CONTRACTS["raw_events"])
+    bad = rejected.select(F.get_json_object("record", "$.event_id").cast("long").alias("event_id"), F.array_join("reasons", ",").alias("reasons"))
+    return accepted.select(F.col("event_id").cast("long").alias("event_id"), F.lit("").alias("reasons")).unionByName(bad)
+
+
 QUERIES: dict[str, QueryFn] = {
     "stg_events": q_stg_events,
     "stg_users": q_stg_users,
@@ -620,4 +695,9 @@ QUERIES: dict[str, QueryFn] = {
     "churn_model": q_churn_model,
     "churn_scores": q_churn_scores,
     "incremental_marts": q_incremental_marts,
+    "fct_ab_tests_bucketed": q_fct_ab_tests_bucketed,
+    "quarantine": q_quarantine,
+    "event_positions": q_event_positions,
+    "retention_weekly_bitmaps": q_retention_weekly_bitmaps,
+    "retention_monthly_bitmaps": q_retention_monthly_bitmaps,
 }

@@ -392,8 +392,12 @@ def oracle_sql() -> dict[str, str]:
         "biggest_dropoff": _funnel_sql(A.ORDER_FUNNEL_STEPS) + """SELECT step, round(dropoff_from_previous, 9) AS dropoff,
             round(conversion_from_previous, 9) AS conversion FROM f WHERE step_index > 0
             ORDER BY dropoff_from_previous DESC, step_index ASC LIMIT 1""",
+        "retention_weekly_bitmaps": _with(SE, EU, *WEEKLY_RET) + """SELECT cohort_period, period_number, retained, users,
+            round(retention_rate, 9) AS retention_rate FROM ret""",
         "retention_weekly": _with(SE, EU, *WEEKLY_RET) + """SELECT cohort_period, period_number, retained, users,
             round(retention_rate, 9) AS retention_rate FROM ret""",
+        "retention_monthly_bitmaps": _with(OU, OE, *MONTHLY_RET) + """SELECT cohort_period, period_number, retained, users,
+            round(retention_rate, 9) AS retention_rate FROM ret""",
         "retention_monthly": _with(OU, OE, *MONTHLY_RET) + """SELECT cohort_period, period_number, retained, users,
             round(retention_rate, 9) AS retention_rate FROM ret""",
         "cohort_sizes_monthly": _with(OU) + """SELECT CAST(date_trunc('month', signup_ts) AS DATE) AS cohort_period,
@@ -539,6 +543,11 @@ UNION ALL SELECT 'engagement_mart_is_not_empty', 'at_least', 1, fct_feature_enga
             SELECT 'logistic_regression' AS model, (SELECT count(*) FROM tr) AS n_train, (SELECT count(*) FROM t) AS n_test,
               round(CAST(won AS DOUBLE) / (SELECT count(*) FILTER (label = 1) * count(*) FILTER (label <> 1) FROM t), 6) AS auc,
               {", ".join(f"round(w{i}, 6) AS {f}" for i, f in enumerate((*K.CHURN_FEATURES, "intercept")))} FROM p, fit""",
+        "event_positions": "SELECT event_id, ts, row_number() OVER (ORDER BY ts, event_id) AS position FROM events",
+        "fct_ab_tests_bucketed": _with(ORDER_WORLD) + """SELECT experiment_id, user_id, variant, converted,
+            round(CAST(revenue AS DOUBLE), 9) AS revenue, assigned_ts FROM ab""",
+        "quarantine": """SELECT event_id, concat_ws(',', CASE WHEN event_id % 13 = 0 THEN 'user_id' END,
+            CASE WHEN event_id % 11 = 0 THEN 'event_ts' END, CASE WHEN event_id % 7 = 0 THEN 'revenue' END) AS reasons FROM events""",
         "incremental_marts": _with(*PRODUCT_MARTS) + f""", act AS (SELECT user_id,
               count(*) FILTER (WHERE event_name = '{A.SESSION_EVENT}') AS s,
               count(*) FILTER (WHERE starts_with(event_name, '{A.FEATURE_PREFIX}')) AS f, max(event_ts) AS moment,
