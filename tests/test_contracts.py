@@ -1,4 +1,5 @@
 import os
+from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -185,13 +186,54 @@ def test_partitioned_write_merges_small_dates_and_splits_a_hot_one(spark, scratc
     assert sum(files.values()) < 64
 
 
-def test_unfinished_commit_marker_is_ignored(spark, scratch_dir):
+def test_unfinished_commit_is_ignored(spark, scratch_dir):
     wh = os.path.join(scratch_dir, "wh")
-    good = io.read_csv_snapshot(spark, write_snapshot(os.path.join(scratch_dir, "good")))
-    first = contracts.publish_snapshot(spark, good, wh, "20260501T000000Z")
-    # a commit job that died midway leaves its folder behind without _SUCCESS
-    os.makedirs(os.path.join(wh, "_commits", "20260505T000000Z", "later", "_temporary"))
-    assert contracts.current_snapshot(spark, wh) == first
+    contracts.publish_snapshot(spark, {"t": spark.range(2)}, wh, "one", validate=False)
+    # a publisher that died before its rename leaves a draft
+    with open(os.path.join(wh, "_commits", ".20260505T000000Z"), "w") as fh:
+        fh.write("two\t2026")
+    assert contracts.current_snapshot(spark, wh) == "one"
+
+
+def test_of_two_publishers_of_an_id_one_wins(spark, scratch_dir):
+    wh = os.path.join(scratch_dir, "wh")
+    publish = lambda n, i, gate=None: contracts.publish_snapshot(spark, {"t": spark.range(n)}, wh, i, gate, validate=False)
+    with pytest.raises(ContractError, match="day was published by another run"):
+        publish(3, "day", gate=lambda stored: publish(5, "day"))
+    assert contracts.read_source(spark, wh, "t", "day").count() == 5
+    with pytest.raises(ContractError):
+        publish(3, "day", gate=lambda stored: publish(6, "day"))
+    assert contracts.read_source(spark, wh, "t", "day").count() == 6
+    publish(7, "other", gate=lambda stored: publish(8, "day"))  # another id is no conflict
+    assert [i for _, i, _ in contracts.commit_log(spark, wh)] == ["day", "day", "day", "other"]
+
+
+def test_a_taken_number_is_not_written_again(spark, scratch_dir):
+    assert contracts._add_commit(spark, scratch_dir, 1, "a", "x")
+    assert not contracts._add_commit(spark, scratch_dir, 1, "b", "y")
+    assert contracts.commit_log(spark, scratch_dir) == [(1, "a", "x")]
+    assert contracts.commit(spark, scratch_dir, "b", "y", None) == 2
+
+
+def test_the_current_snapshot_follows_commits_not_names(spark, scratch_dir):
+    for i in ("2026-07-26", "20260725T000000Z", "2026-07-25"):
+        contracts.publish_snapshot(spark, {"t": spark.range(1)}, scratch_dir, i, validate=False)
+        assert contracts.current_snapshot(spark, scratch_dir) == i
+    contracts.publish_snapshot(spark, {"t": spark.range(1)}, scratch_dir, "2026-07-26", validate=False)
+    assert contracts.committed_snapshots(spark, scratch_dir) == ["20260725T000000Z", "2026-07-25", "2026-07-26"]
+
+
+def test_only_dead_attempts_are_removed(spark, scratch_dir):
+    publish = lambda n, gate=None: contracts.publish_snapshot(spark, {"t": spark.range(n)}, scratch_dir, "day", gate, validate=False)
+    publish(2)
+    held = contracts.read_source(spark, scratch_dir, "t")
+    publish(3)
+    with pytest.raises(GateFailed):
+        publish(4, _blocked)
+    assert contracts.remove_dead_attempts(spark, scratch_dir, timedelta(hours=1)) == []  # it could still be running
+    assert len(contracts.remove_dead_attempts(spark, scratch_dir, timedelta(0))) == 1
+    assert held.count() == 2 and contracts.read_source(spark, scratch_dir, "t").count() == 3
+    assert contracts.remove_dead_attempts(spark, os.path.join(scratch_dir, "none"), timedelta(0)) == []
 
 
 def test_model_metadata_and_descriptions(spark, sample):

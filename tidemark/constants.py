@@ -60,6 +60,7 @@ CHURN_SEED = 42
 # --- fixed values: texts of checks and errors ---
 GATE_FAILED = "Warehouse verification failed"
 MISSING_COLUMNS = "is missing columns"
+PUBLISHED_ELSEWHERE = "was published by another run meanwhile"
 DUPLICATE_KEYS = "contains duplicate key values for"
 NULL_KEYS = "has NULL values in NOT NULL columns"
 NO_DROPOFF = "Not enough data for drop-off analysis"

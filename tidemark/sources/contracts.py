@@ -1,16 +1,20 @@
 """Contract validation and all-or-nothing snapshot publication.
 
 Every publish writes its tables into a folder of its own, ``<root>/snapshots/<id>/<attempt>``, which no reader knows. The
-stored tables are then validated and gated, and only then one commit marker is written, ``<root>/_commits/<id>/<attempt>``,
-which names the attempt. Readers take the newest committed id and, of its attempts, the newest. A committed
-folder is never written again, so a failed load or a failed repeat of an id leaves what was visible in place; writing the
-marker is the single atomic step (no rename needed, so it also holds on object stores).
+stored tables are then validated and gated, and only then one commit is added to the log ``<root>/_commits``: a file named
+by the next number that says id and attempt. The file is made by renaming a finished one to a name that must be free, so of
+two publishers that take the same number one has to look again, and no reader sees half a commit. A publisher whose id was
+committed by another run since it began fails and changes nothing. Readers follow the log: the current snapshot is the last
+one committed, and an id's tables are those of its last commit. Committed folders are never written again;
+:func:`remove_dead_attempts` deletes those that no commit names. (The rename is atomic on HDFS and local disks; an object
+store needs a committer with conditional puts for concurrent publishers.)
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,8 +86,11 @@ def validate_frame(df: DataFrame, table_name: str) -> None:
         raise ContractError(f"{table_name} {K.NULL_KEYS}: {cols}")
 
 
+ATTEMPT_TIME = "%Y%m%dT%H%M%S%fZ"
+
+
 def new_snapshot_id() -> str:
-    return datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%fZ")
+    return datetime.now(timezone.utc).strftime(ATTEMPT_TIME)
 
 
 def _commit_dir(root: str) -> str:
@@ -95,36 +102,80 @@ def attempt_path(root: str, snapshot_id: str, attempt: str, table: str | None =
     return f"{base}/{table}" if table else base
 
 
-def _committed_names(spark: SparkSession, folder: str) -> list[str]:
-    """Names below ``folder`` whose write job committed (``_SUCCESS`` present), oldest first."""
+def commit_log(spark: SparkSession, root: str) -> list[tuple[int, str, str]]:
+    """(number, snapshot id, attempt) of every commit, in order."""
     from tidemark.sources.io import hadoop_path
 
-    fs, p = hadoop_path(spark, folder)
+    fs, p = hadoop_path(spark, _commit_dir(root))
     if not fs.exists(p):
         return []
-    success = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    return sorted(
-        s.getPath().getName()
-        for s in fs.listStatus(p)
-        if not s.getPath().getName().startswith((".", "_")) and fs.exists(success(s.getPath(), "_SUCCESS"))
-    )
+    out = []
+    for status in fs.listStatus(p):
+        if status.getPath().getName().isdigit():
+            text = _read_text(spark, fs, status.getPath())
+            out.append((int(status.getPath().getName()), *text.rstrip("\n").split("\t")))
+    return sorted(out)
+
+
+def _read_text(spark: SparkSession, fs, path) -> str:
+    stream = fs.open(path)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.hadoop.io.IOUtils.readFullyToByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
+def _add_commit(spark: SparkSession, root: str, number: int, snapshot_id: str, attempt: str) -> bool:
+    """Write commit ``number`` unless it exists already."""
+    from py4j.protocol import Py4JJavaError
+
+    from tidemark.sources.io import hadoop_path
+
+    jvm = spark.sparkContext._jvm
+    fs, folder = hadoop_path(spark, _commit_dir(root))
+    fs.mkdirs(folder)
+    draft = jvm.org.apache.hadoop.fs.Path(folder, f".{attempt}")
+    stream = fs.create(draft, True)
+    stream.write(f"{snapshot_id}\t{attempt}\n".encode())
+    stream.close()
+    place = jvm.org.apache.hadoop.fs.Path(folder, f"{number:012d}")
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(folder.toUri(), fs.getConf())
+    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    try:
+        context.rename(context.makeQualified(draft), context.makeQualified(place), spark.sparkContext._gateway.new_array(kind, 0))
+    except Py4JJavaError as exc:
+        if "FileAlreadyExistsException" not in exc.java_exception.getClass().getName():
+            raise
+        fs.delete(draft, False)
+        return False
+    return True
+
+
+def commit(spark: SparkSession, root: str, snapshot_id: str, attempt: str, seen: int | None) -> int:
+    """Commit an attempt; ``seen`` is the number of the id's commit that the publisher started from."""
+    while True:
+        log = commit_log(spark, root)
+        if _last_of(log, snapshot_id) != seen:
+            raise ContractError(f"snapshot {snapshot_id} {K.PUBLISHED_ELSEWHERE}")
+        number = log[-1][0] + 1 if log else 1
+        if _add_commit(spark, root, number, snapshot_id, attempt):
+            return number
+
+
+def _last_of(log: list[tuple[int, str, str]], snapshot_id: str) -> int | None:
+    return max((n for n, i, _ in log if i == snapshot_id), default=None)
 
 
 def committed_attempt(spark: SparkSession, root: str, snapshot_id: str) -> str | None:
-    """The newest committed attempt of an id. A marker folder that a dying job left behind does not count."""
-    attempts = _committed_names(spark, f"{_commit_dir(root)}/{snapshot_id}")
+    """The attempt of an id's last commit."""
+    attempts = [a for _, i, a in commit_log(spark, root) if i == snapshot_id]
     return attempts[-1] if attempts else None
 
 
 def committed_snapshots(spark: SparkSession, root: str) -> list[str]:
-    """Committed snapshot ids, oldest first (a listing of the marker folder)."""
-    from tidemark.sources.io import hadoop_path
-
-    fs, p = hadoop_path(spark, _commit_dir(root))
-    if not fs.exists(p):
-        return []
-    ids = sorted(s.getPath().getName() for s in fs.listStatus(p) if not s.getPath().getName().startswith((".", "_")))
-    return [i for i in ids if committed_attempt(spark, root, i) is not None]
+    """Committed snapshot ids in the order of their last commits."""
+    last = {i: n for n, i, _ in commit_log(spark, root)}
+    return sorted(last, key=last.get)
 
 
 def current_snapshot(spark: SparkSession, root: str) -> str | None:
@@ -132,6 +183,23 @@ def current_snapshot(spark: SparkSession, root: str) -> str | None:
     return ids[-1] if ids else None
 
 
+def remove_dead_attempts(spark: SparkSession, root: str, older_than: timedelta) -> list[str]:
+    """Delete the attempts that no commit names and that began longer ago than ``older_than`` (longer than any run takes)."""
+    from tidemark.sources.io import hadoop_path
+
+    named = {(i, a) for _, i, a in commit_log(spark, root)}
+    limit = (datetime.now(timezone.utc) - older_than).strftime(ATTEMPT_TIME)
+    fs, top = hadoop_path(spark, f"{root.rstrip('/')}/snapshots")
+    gone = []
+    for snapshot in fs.listStatus(top) if fs.exists(top) else ():
+        for attempt in fs.listStatus(snapshot.getPath()):
+            key = (snapshot.getPath().getName(), attempt.getPath().getName())
+            if key not in named and key[1] < limit:
+                fs.delete(attempt.getPath(), True)
+                gone.append("/".join(key))
+    return sorted(gone)
+
+
 def snapshot_path(spark: SparkSession, root: str, snapshot_id: str | None = None, table: str | None = None) -> str:
     """The visible folder of a committed snapshot (the newest one by default)."""
     snapshot_id = snapshot_id or current_snapshot(spark, root)
@@ -161,7 +229,8 @@ def publish_snapshot(
     from tidemark.sources.io import write_table
 
     snapshot_id = snapshot_id or new_snapshot_id()
-    attempt = new_snapshot_id()
+    attempt = f"{new_snapshot_id()}-{uuid.uuid4().hex[:8]}"
+    seen = _last_of(commit_log(spark, root), snapshot_id)
     stored: dict[str, DataFrame] = {}
 
     def keep(tables: Mapping[str, DataFrame]) -> None:
@@ -181,9 +250,7 @@ def publish_snapshot(
         gate(stored)
     for step in then:
         keep(step(stored))
-    spark.createDataFrame([(attempt,)], "attempt string").coalesce(1).write.mode("error").text(
-        f"{_commit_dir(root)}/{snapshot_id}/{attempt}"
-    )
+    commit(spark, root, snapshot_id, attempt, seen)
     return snapshot_id
 
 
