@@ -143,3 +143,11 @@ def test_buckets_are_folders_of_one_length(spark, scratch_dir):
     packing.write_buckets(packing.pack(df, TOKENIZER), f"{scratch_dir}/out")
     stored = spark.read.parquet(f"{scratch_dir}/out")
     assert {(r["length"], len(r["tokens"])) for r in stored.collect()} == {(4, 4), (1, 1), (2, 2)}
+
+
+def test_thousands_of_labels_are_bounded(spark):
+    rows = [(i, f"text number {i} of the label", f"l{i % 2000:04d}" if i % 3 else "common") for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train_model(docs, steps=1, max_langs=5)
+    assert "common" in model.langs and len(model.langs) == 5
+    assert len(langid.train_model(docs, steps=1, sample_per_lang=2, max_langs=1500).langs) == 1500

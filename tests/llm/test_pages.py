@@ -9,6 +9,7 @@ import hashlib
 import html
 import random
 import re
+import time
 
 import pytest
 
@@ -99,6 +100,41 @@ def test_odd_pages(page, text):
 def test_long_pages_take_linear_time():
     for part in ("<", "<a ", "<p>x", "</p>", "<!--", "&amp;", "<div class='x", "a" * 50 + " "):
         html_text.main_text("<article>" + part * 40_000)
+    started = time.process_time()
+    for part in ("<div>x ", "<div class=ad>x ", "<i><div><b>", "<form><p>x", "<article>x", "<a href=1>x", "<ul><li>x"):
+        html_text.main_text("<i><div>" + part * 40_000 + "</i>" * 40_000)
+    assert time.process_time() - started < 60  # minutes each where every line walks the open elements
+
+
+def test_windows_keep_what_lies_between_lines_of_text():
+    body = html_text.main_text(BODY)
+    for short in ("<p>oh</p>" * 8, "<ol>" + "<li>0</li>" * 9 + "</ol>", "<p>- Yes.</p><p>- No.</p>" * 20):
+        lines = re.findall(r"<(?:p|li)>(.*?)</", short)
+        assert html_text.main_text(f"<article>{BODY}{short}{BODY}</article>").split("\n") == [*body.split("\n"), *lines, *body.split("\n")]
+        assert html_text.main_text(f"<article>{BODY}{short}</article>") == "\n".join([body, *lines])
+    link = "<p><a href=1>See the full report</a></p><ul><li><a href=2>A source</a></li><li><a href=3>Another source</a></li></ul>"
+    assert html_text.main_text(f"<article>{BODY}{link}{BODY}</article>") == f"{body}\nSee the full report\nA source\nAnother source\n{body}"
+
+
+def test_the_windows_decide_pages_without_helpful_classes():
+    body = html_text.main_text(BODY)
+    menu = "".join(f"<div><a href={i}>Topic {i}</a></div>" for i in range(12))
+    more = "".join(f"<div><a href={i}>Another story with a long headline, number {i}</a></div>" for i in range(6))
+    plain = f"<body><div>{menu}</div><div>Today</div>{menu}<div><h1>Title</h1>{BODY}</div>{menu}{more}<div>Printed 3 May</div></body>"
+    assert html_text.main_text(plain) == f"Title\n{body}"
+    assert html_text.main_text(plain.replace("<body>", "<body><form id=f>").replace("</body>", "</form></body>")) == f"Title\n{body}"
+
+
+def test_forms_classes_of_text_and_own_headers():
+    body = html_text.main_text(BODY)
+    assert html_text.main_text(f"<form><article>{BODY}</article></form>") == body
+    assert html_text.main_text(f"<article>{BODY}<form><label>Your name</label><p>We write to you.</p></form></article>") == body
+    for words in ("legal", "notice", "social comment"):
+        assert html_text.main_text(f"<article>{BODY}<p class='{words}'>Middle.</p>{BODY}</article>") == f"{body}\nMiddle.\n{body}"
+    assert html_text.main_text(f"<article>{BODY}<div class=side-by-side>Middle.</div>{BODY}</article>") == f"{body}\nMiddle.\n{body}"
+    assert html_text.main_text(f"<article>{BODY}<div class=ad-box>Buy.</div>{BODY}</article>") == f"{body}\n{body}"
+    head = "<header><h1>Title</h1><p>What it is about.</p><ul><li>Share</li></ul></header>"
+    assert html_text.main_text(f"<article>{head}{BODY}</article>") == f"Title\nWhat it is about.\n{body}"
 
 
 def test_whole_smoke_pages(spark):
@@ -116,6 +152,8 @@ def test_extract_keeps_other_columns_and_handles_empty_tables(spark):
     size = len(html_text.main_text(PAGE))
     assert sorted((r["page_id"] or 0, len(r["text"])) for r in out.collect()) == [(0, size), (1, 0), (1, 0)]
     assert html_text.extract(df.limit(0)).collect() == []
+    clash = spark.createDataFrame([(1, "<p>x</p>", "t")], "page_id long, html string, Text string")
+    assert html_text.extract(clash).collect() == [(1, "x")]
 
 
 def plain_verdict(url, rules, default="allow"):
@@ -142,7 +180,7 @@ def test_rules_match_a_plain_version(spark, broadcast_rows):
     for rules in (URL_RULES, more, []):
         table = spark.createDataFrame(rules, "host string, path string, verdict string")
         rows = [(i, u, "k", "v") for i, u in enumerate(URLS)] + [(0, None, "k", "v")]
-        pages = spark.createDataFrame(rows, "page_id long, url string, key_host string, rule string")
+        pages = spark.createDataFrame(rows, "page_id long, url string, _h string, _p string")
         out = url_rules.judge(pages, table, broadcast_rows=broadcast_rows).collect()
         got = sorted(((r["page_id"], r["host"], r["path"], r["rule"], r["verdict"]) for r in out), key=str)
         assert got == sorted(((i, *plain_verdict(u, rules)) for i, u, *_ in rows), key=str)

@@ -179,23 +179,28 @@ def train_model(
     sample_per_lang: int = 1000,
     sample_chars: int = 512,
     steps: int = 400,
+    max_langs: int = 200,
 ) -> ByteGru | None:
-    """Learn from a bounded sample of the labelled rows that are not held out; None if there are none."""
+    """Learn from a bounded sample of the labelled rows that are not held out; None if there are none.
+
+    Of more than ``max_langs`` labels the commonest are learned, equally common ones in alphabetical order.
+    """
     usable = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(
         F.col("lang").isNotNull() & F.col("id").isNotNull() & ~held_out(F.col("id")) & (F.length("text") > 0)
     )
     # rows are drawn by a hash of id and text; rows that share both count once
     usable = usable.withColumn("draw", F.xxhash64("id", "text"))
-    counts = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.approx_count_distinct("draw").alias("n")).collect()}
+    common = usable.groupBy("lang").agg(F.approx_count_distinct("draw").alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs)
+    counts = {r["lang"]: r["n"] for r in common.collect()}
     if not counts:
         return None
     langs = sorted(counts)
     # about twice the rows wanted, of which the first by hash are taken
-    share = F.lit(0.0)
-    for lang, n in counts.items():
-        share = F.when(F.col("lang") == lang, min(1.0, 2 * (sample_per_lang + 50) / n)).otherwise(share)
+    shares = [(lang, min(1.0, 2 * (sample_per_lang + 50) / n)) for lang, n in counts.items()]
+    table = docs.sparkSession.createDataFrame(shares, "lang string, share double")
     place = 1 + F.pmod(F.xxhash64(F.lit("place"), "id"), F.greatest(F.length("text") - sample_chars, F.lit(0)) + 1)
-    near = usable.where(F.pmod(F.col("draw"), F.lit(1_000_003)) < share * 1_000_003).select(
+    shared = usable.join(F.broadcast(table), "lang")  # at most max_langs rows
+    near = shared.where(F.pmod(F.col("draw"), F.lit(1_000_003)) < F.col("share") * 1_000_003).select(
         "id", "lang", "draw", F.substring(F.col("text"), place.cast("int"), F.lit(sample_chars)).alias("text")
     )
     by_hash = Window.partitionBy("lang").orderBy("draw", "id", "text")

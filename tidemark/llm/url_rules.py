@@ -6,11 +6,12 @@ match counts only where the full digests agree. Of the rules that fit, the longe
 longer host, then the larger rule text.
 
 Scale: distinct (host, path) pairs are judged once each and joined back, so a hot URL is expanded once; a rule table of at
-most ``broadcast_rows`` rows is broadcast (it is counted first), a larger one is joined by shuffle. Hosts are only cut into
+most ``broadcast_rows`` rows and BROADCAST_BYTES of text is broadcast (it is counted first), a larger one is joined by shuffle. Hosts are only cut into
 as many labels as the rules have, so an odd host with thousands of dots stays cheap.
 
 Defined cases: a null URL, or one without ``://``, has an empty host and path and fits no rule (no rule has an empty
-host). Repeated pages are judged each. Unmatched URLs get ``default`` (allow). An empty rule table allows everything.
+host). Repeated pages are judged each. Unmatched URLs get ``default`` (allow). An empty rule table allows everything. Other
+columns pass through; those called host, path, rule or verdict (case ignored) are replaced.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import ascii_lower, fresh_name, let
 
 PREFIX_HEX = 8
+BROADCAST_BYTES = 16 << 20
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -65,15 +67,16 @@ def judge(
         F.size(F.split("host", r"\.", -1)).alias("labels"),
         F.length("path").alias("path_length"),
     ).where(F.col("rule_host") != "")
-    shape = table.agg(F.max("labels").alias("labels"), F.count("*").alias("n")).first()
+    size = F.sum(F.octet_length("rule") + F.octet_length("rule_host")).alias("size")
+    shape = table.agg(F.max("labels").alias("labels"), F.count("*").alias("n"), size).first()
     lengths = sorted(r["path_length"] for r in table.select("path_length").distinct().collect())
     table = table.withColumn("digest", F.sha2("rule", 256)).withColumn("short", F.substring("digest", 1, PREFIX_HEX))
     table = table.select("short", "digest", "rule", "rule_host", "rule_verdict")
-    if shape["n"] <= broadcast_rows:
+    if shape["n"] <= broadcast_rows and (shape["size"] or 0) <= BROADCAST_BYTES:
         table = F.broadcast(table)
 
     host, path = url_parts(F.col(url_col))
-    names = [fresh_name(pages.columns, n) for n in ("key_host", "key_path", "key_judged")]
+    names = [fresh_name(pages.columns, n) for n in ("key_host", "key_path", "key_judged", "best_host", "best_path")]
     keyed = pages.withColumns({names[0]: host, names[1]: path})
     keys = keyed.select(F.col(names[0]).alias("h"), F.col(names[1]).alias("p")).distinct()
     spread = keys.select("h", "p", F.explode(F.array_distinct(expressions(F.col("h"), F.col("p"), shape["labels"] or 1, lengths or [0]))).alias("e"))
@@ -84,8 +87,8 @@ def judge(
     )
     best = fitting.groupBy("h", "p").agg(F.max(order).alias(names[2]))
     judged = keyed.join(
-        best.select(F.col("h").alias("_h"), F.col("p").alias("_p"), names[2]),
-        (F.col(names[0]) == F.col("_h")) & (F.col(names[1]) == F.col("_p")),
+        best.select(F.col("h").alias(names[3]), F.col("p").alias(names[4]), names[2]),
+        (F.col(names[0]) == F.col(names[3])) & (F.col(names[1]) == F.col(names[4])),
         "left",
     )
     return judged.withColumns(
@@ -95,4 +98,4 @@ def judge(
             "rule": F.col(f"{names[2]}.what.rule"),
             "verdict": F.coalesce(F.col(f"{names[2]}.what.rule_verdict"), F.lit(default)),
         }
-    ).drop(*names, "_h", "_p")
+    ).drop(*names)
