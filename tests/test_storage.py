@@ -61,6 +61,15 @@ def test_bitmaps_of_several_blocks(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) != []
 
 
+def test_bounds_come_from_footers(spark):
+    from tidemark.sources.io import footer_bounds
+
+    out = footer_bounds(spark, f"{SMOKE_DIR}/lineitem.parquet", ["l_orderkey"])
+    assert "PushedAggregation: [COUNT(*), MIN(l_orderkey), MAX(l_orderkey)]" in plan(out)
+    lineitem = spark.read.parquet(f"{SMOKE_DIR}/lineitem.parquet")
+    assert out.first() == lineitem.agg(F.count("*"), F.min("l_orderkey"), F.max("l_orderkey")).first()
+
+
 def exchanges(p: str) -> list[str]:
     return re.findall(r"Exchange (\w+)", p)
 

@@ -33,7 +33,7 @@ from tidemark.operators import (
 from tidemark.plans import incremental
 from tidemark.session import ensure_checkpoint_dir
 from tidemark.sources import adapter as A
-from tidemark.sources import bucketed, contracts, quarantine
+from tidemark.sources import bucketed, contracts, io, quarantine
 from tidemark.sources.schemas import CONTRACTS, TableContract
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -183,9 +183,6 @@ def q_fct_feature_engagement_like(spark, d):
     return edge(marts.fct_feature_engagement(product_world(spark, d)["events"], LIKE_PREFIX, feature_match="like"))
 
 
-HEATMAP_PERIODS = range(0, 5)  # the weeks of the given events table, for the oracle's columns only
-
-
 # ---- funnel and retention analytics -------------------------------------------------------------
 
 CUSTOM_STEPS = ("3-MEDIUM", "1-URGENT", "5-LOW")
@@ -626,6 +623,52 @@ def q_fct_ab_tests_bucketed(spark, d):
     return edge(marts.fct_ab_tests(m["order_assignments"], m["order_events"], A.ORDER_CONVERSION_EVENTS, A.ORDER_PAYMENT_EVENT))
 
 
+# ---- round trips ---------------------------------------------------------------------------------------
+
+BOUNDED = (("events", "event_id"), ("orders", "o_orderkey"), ("lineitem", "l_orderkey"), ("customer", "c_custkey"))
+
+
+def q_table_bounds(spark, d):
+    """Counts and key ranges of whole tables from Parquet footers; no data page is read."""
+    rows = [(t, *io.footer_bounds(spark, f"{d.rstrip('/')}/{t}.parquet", [k]).first()) for t, k in BOUNDED]
+    return spark.createDataFrame(rows, "name string, n_rows long, least long, greatest long")
+
+
+def _raw_events(spark, d):
+    """The product's raw events with text ids and exact revenue, as a file would hold them."""
+    raw = product_world(spark, d)["raw_events"]
+    ids = {c: F.col(c).cast("string") for c in ("event_id", "user_id")}
+    return raw.withColumns({**ids, "revenue": F.coalesce("revenue", F.lit(0)).cast("decimal(20,6)")})
+
+
+def q_csv_round_trip(spark, d):
+    """Events exported in order of time, read again under the contract."""
+    path = _scratch(spark, "csv")
+    io.export_csv(_raw_events(spark, d), path, ("event_ts", "event_id"))
+    out = io.read_csv_table(spark, path, CONTRACTS["raw_events"])
+    ids = [F.col(c).cast("long").alias(c) for c in ("event_id", "user_id")]
+    return edge(out.select(*ids, "event_name", "event_ts", "revenue", "properties"))
+
+
+def q_snapshot_round_trip(spark, d):
+    """The raw tables validated and published, counted by the receipt and read from the commit."""
+    w, root, receipt = product_world(spark, d), _scratch(spark, "snapshot"), {}
+    frames = {"raw_events": _raw_events(spark, d), "dim_users": w["raw_users"], "ab_test_assignments": w["raw_assignments"]}
+    contracts.publish_snapshot(spark, frames, root, receipt=receipt)
+    out = None
+    for name, key in (("raw_events", "event_id"), ("dim_users", "user_id"), ("ab_test_assignments", "user_id")):
+        stored = contracts.read_source(spark, root, name)
+        row = stored.agg(
+            F.lit(name).alias("name"),
+            F.lit(receipt[name]).cast("long").alias("receipt"),
+            F.count("*").alias("stored"),
+            F.sum(F.col(key).cast("long")).alias("key_sum"),
+            F.count_if(F.col(key).isNull()).alias("nulls"),
+        )
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 # ---- quarantine ----------------------------------------------------------------------------------------
 
 
@@ -697,6 +740,9 @@ QUERIES: dict[str, QueryFn] = {
     "incremental_marts": q_incremental_marts,
     "fct_ab_tests_bucketed": q_fct_ab_tests_bucketed,
     "quarantine": q_quarantine,
+    "table_bounds": q_table_bounds,
+    "csv_round_trip": q_csv_round_trip,
+    "snapshot_round_trip": q_snapshot_round_trip,
     "event_positions": q_event_positions,
     "retention_weekly_bitmaps": q_retention_weekly_bitmaps,
     "retention_monthly_bitmaps": q_retention_monthly_bitmaps,

@@ -351,10 +351,6 @@ def _newton_sql(steps: int = 14) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    heat_cols = ", ".join(
-        f"coalesce(round(avg(CASE WHEN period_number = {k} THEN retention_rate END), 9), 0.0) AS \"{k}\""
-        for k in Q.HEATMAP_PERIODS
-    )
     order_steps = _with(OE, FS_OE)
     rec_counts = _with(*PRODUCT_MARTS) + """, c AS (
   SELECT (SELECT count(*) FROM events) AS raw_events, (SELECT count(*) FROM se) AS stg_raw_events,
@@ -402,8 +398,10 @@ def oracle_sql() -> dict[str, str]:
             round(retention_rate, 9) AS retention_rate FROM ret""",
         "cohort_sizes_monthly": _with(OU) + """SELECT CAST(date_trunc('month', signup_ts) AS DATE) AS cohort_period,
             count(DISTINCT user_id) AS users FROM ou WHERE user_id IS NOT NULL AND signup_ts IS NOT NULL GROUP BY 1""",
-        "retention_heatmap": _with(SE, EU, *WEEKLY_RET) + f"""SELECT CAST(cohort_period AS VARCHAR) AS cohort_period,
-            {heat_cols} FROM ret GROUP BY 1""",
+        "retention_heatmap": _with(SE, EU, *WEEKLY_RET) + """, cells AS (
+              SELECT CAST(cohort_period AS VARCHAR) AS cohort_period, period_number, retention_rate FROM ret)
+            SELECT cohort_period, coalesce(round(COLUMNS(* EXCLUDE (cohort_period)), 9), 0.0)
+            FROM (PIVOT cells ON period_number USING avg(retention_rate) GROUP BY cohort_period)""",
         "behavior_table": _with(SE) + f"""SELECT user_id,
             count(*) FILTER (WHERE event_name = '{A.SESSION_EVENT}') AS session_count,
             count(*) FILTER (WHERE starts_with(event_name, '{A.FEATURE_PREFIX}')) AS feature_events,
@@ -546,6 +544,15 @@ UNION ALL SELECT 'engagement_mart_is_not_empty', 'at_least', 1, fct_feature_enga
         "event_positions": "SELECT event_id, ts, row_number() OVER (ORDER BY ts, event_id) AS position FROM events",
         "fct_ab_tests_bucketed": _with(ORDER_WORLD) + """SELECT experiment_id, user_id, variant, converted,
             round(CAST(revenue AS DOUBLE), 9) AS revenue, assigned_ts FROM ab""",
+        "table_bounds": " UNION ALL ".join(
+            f"SELECT '{t}' AS name, count(*) AS n_rows, min({k}) AS least, max({k}) AS greatest FROM {t}" for t, k in Q.BOUNDED
+        ),
+        "csv_round_trip": _with(SE) + """SELECT event_id, user_id, event_name, event_ts, round(CAST(revenue AS DOUBLE), 9) AS revenue,
+            nullif(properties, '') AS properties FROM se""",
+        "snapshot_round_trip": _with(SE, EU, _assigned("eu", "pasg")) + """SELECT 'raw_events' AS name, count(*) AS receipt,
+              count(*) AS stored, CAST(sum(event_id) AS BIGINT) AS key_sum, count(*) - count(event_id) AS nulls FROM se
+            UNION ALL SELECT 'dim_users', count(*), count(*), CAST(sum(user_id) AS BIGINT), count(*) - count(user_id) FROM eu
+            UNION ALL SELECT 'ab_test_assignments', count(*), count(*), CAST(sum(user_id) AS BIGINT), count(*) - count(user_id) FROM pasg""",
         "quarantine": """SELECT event_id, concat_ws(',', CASE WHEN event_id % 13 = 0 THEN 'user_id' END,
             CASE WHEN event_id % 11 = 0 THEN 'event_ts' END, CASE WHEN event_id % 7 = 0 THEN 'revenue' END) AS reasons FROM events""",
         "incremental_marts": _with(*PRODUCT_MARTS) + f""", act AS (SELECT user_id,

@@ -169,7 +169,22 @@ def write_table(
     return (stored() - before) if files else df.count()
 
 
+def footer_bounds(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """Row count, and smallest and largest value of whole-number or date columns, of a Parquet table: one row.
+
+    The aggregates are pushed into the scan, which answers them from the files' footers, so no data page is read however
+    large the table is. The relation belongs to a session of its own, where the scan that can do this is on.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    bounds = [a for c in columns for a in (F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}"))]
+    return own.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows"), *bounds)
+
+
 def export_csv(df: DataFrame, path: str, order_by: Sequence[str] = ("event_ts",)) -> None:
     """CSV export with header, optionally globally ordered (range-partitioned sort)."""
     out = df.orderBy(*order_by) if order_by else df
-    out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    # the writer's own formats cut times to milliseconds
+    times = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    out.write.mode("overwrite").option("header", True).option("escape", '"').options(**times).csv(path)
