@@ -85,6 +85,21 @@ def test_rebuilding_a_day_replaces_it_whole(spark, scratch_dir, source):
     assert contracts.read_source(spark, f"{wh}/marts", "fct_funnel", "20260601T000000Z").count() == 15
 
 
+def test_increments_equal_a_whole_build(spark, scratch_dir, source):
+    wh, one = os.path.join(scratch_dir, "steps"), os.path.join(scratch_dir, "once")
+    lines = events_csv().splitlines()
+    days = [lines[1:6], [*lines[6:], "w99,nobody,signup,not a time,,,,,{}", "cut,off"], lines[4:9]]
+    for k, day in enumerate(days):
+        src = write_snapshot(os.path.join(scratch_dir, f"day{k}"), USERS_CSV, "\n".join([lines[0], *day]) + "\n", ASSIGN_CSV)
+        res = pipeline.run_increment(spark, src, wh, snapshot_id=f"day-{k}", enforce_gate=k > 0)
+    assert contracts.read_source(spark, f"{wh}/increments", "raw_events_rejected", "day-1").count() == 2
+    assert res.rejected == {"dim_users": 0, "raw_events": 0, "ab_test_assignments": 0} and res.churn_auc is None
+    pipeline.run(spark, source, one)
+    for name in (*pipeline.MART_NAMES, *pipeline.REPORT_NAMES, "int_user_activity", "user_behavior"):
+        a, b = (contracts.read_source(spark, f"{root}/marts", name) for root in (wh, one))
+        assert sorted(map(str, a.select(*sorted(a.columns)).collect())) == sorted(map(str, b.select(*sorted(b.columns)).collect())), name
+
+
 def test_model_fit_after_a_load_in_the_same_session(spark, scratch_dir, source):
     from tidemark.operators.churn import fit_churn_model
 

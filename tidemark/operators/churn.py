@@ -15,7 +15,7 @@ from datetime import datetime
 
 import numpy as np
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark import constants as K
@@ -302,10 +302,14 @@ def fit_churn_model(
     return {"model": model, "scores": scores, "auc": float(auc), "n_train": n["train"], "n_test": n["test"]}
 
 
-def churn_model_table(behavior: DataFrame, **kwargs) -> DataFrame:
-    """C4-C6 as a one-row table: model, n_train, n_test, auc, a coefficient per feature, intercept."""
-    fitted = fit_churn_model(behavior, **kwargs)
+def model_row(spark: SparkSession, fitted: dict) -> DataFrame:
+    """A fit as one row: model, n_train, n_test, auc, a coefficient per feature, intercept."""
     model = fitted["model"]
     row = ("logistic_regression", fitted["n_train"], fitted["n_test"], fitted["auc"], *model.coefficients, model.intercept)
     weights = ", ".join(f"{f} double" for f in (*model.features, "intercept"))
-    return behavior.sparkSession.createDataFrame([row], f"model string, n_train long, n_test long, auc double, {weights}")
+    return spark.createDataFrame([row], f"model string, n_train long, n_test long, auc double, {weights}")
+
+
+def churn_model_table(behavior: DataFrame, **kwargs) -> DataFrame:
+    """C4-C6 as a one-row table."""
+    return model_row(behavior.sparkSession, fit_churn_model(behavior, **kwargs))

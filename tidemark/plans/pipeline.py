@@ -16,9 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import constants as K
-from tidemark.operators import cohort, experiment, intermediate, marts, quality, report, staging
-from tidemark.sources import contracts, io
+from tidemark.operators import churn, cohort, experiment, intermediate, marts, quality, report, staging
+from tidemark.plans import incremental
+from tidemark.sources import contracts, io, quarantine
 from tidemark.sources.metadata import MODELS, described, model_metadata
+from tidemark.sources.schemas import CONTRACTS
 
 
 @dataclass
@@ -28,6 +30,8 @@ class PipelineResult:
     checks: list[dict] = field(default_factory=list)
     data_test_failures: list[dict] = field(default_factory=list)
     report_rows: list[dict] = field(default_factory=list)
+    rejected: dict[str, int] = field(default_factory=dict)
+    churn_auc: float | None = None  # None where the data have too few churned or too few active users
 
 
 def build_models(
@@ -90,7 +94,67 @@ def run(
     def build_marts(stored: dict[str, DataFrame]) -> dict[str, DataFrame]:
         # Five models read the staged events: stored once, by event date, so each scans Parquet with date pruning.
         models.update(build_models(raw, as_of, staged_events=stored["stg_raw_events"]))
-        return {name: described(models[name], name) for name in (*MART_NAMES, "int_user_activity")}
+        return _described(models)
+
+    contracts.publish_snapshot(
+        spark,
+        {"stg_raw_events": staging.stage_events(raw["raw_events"])},
+        f"{wh}/marts",
+        snapshot_id,
+        validate=False,
+        then=(build_marts, *_later_steps(spark, raw, models, result, as_of, enforce_gate)),
+        partition_by={"stg_raw_events": ["event_date"]},
+    )
+    return _finish(spark, wh, models, result)
+
+
+def run_increment(
+    spark: SparkSession,
+    source_root: str,
+    warehouse_root: str,
+    as_of: str | datetime | None = K.DEFAULT_AS_OF,
+    snapshot_id: str | None = None,
+    enforce_gate: bool = True,
+) -> PipelineResult:
+    """The daily build from new events only: ``raw_events.csv`` holds a day, late events or a repeat, the other two tables
+    are whole.
+
+    Rows that break the contract are published beside the accepted ones as ``<table>_rejected``. Accepted events are merged
+    into the state under ``<warehouse_root>/state`` (only their dates are rewritten) and all marts are built from the state,
+    gated and committed as in :func:`run`. A run that fails in the gate publishes no marts; adding its events again, with
+    or without corrections, is safe.
+    """
+    wh = warehouse_root.rstrip("/")
+    tables: dict[str, DataFrame] = {}
+    for name, contract in CONTRACTS.items():
+        accepted, rejected = quarantine.read_csv_split(spark, f"{source_root.rstrip('/')}/{name}.csv", contract)
+        tables.update({name: accepted, f"{name}_rejected": rejected})
+    receipt: dict[str, int] = {}
+    snapshot_id = contracts.publish_snapshot(spark, tables, f"{wh}/increments", snapshot_id, receipt=receipt)
+    raw = contracts.read_snapshot(spark, f"{wh}/increments", snapshot_id)
+    result = PipelineResult(snapshot_id, {n: receipt[n] for n in CONTRACTS})
+    result.rejected = {n: receipt[f"{n}_rejected"] for n in CONTRACTS}
+    incremental.add_events(spark, f"{wh}/state", staging.stage_events(raw["raw_events"]))
+    users, assignments = staging.stage_users(raw["dim_users"]), staging.stage_assignments(raw["ab_test_assignments"])
+    models = incremental.models(spark, f"{wh}/state", users, assignments, as_of)
+    whole = {**raw, "raw_events": models["stg_raw_events"]}
+    contracts.publish_snapshot(
+        spark,
+        _described(models),
+        f"{wh}/marts",
+        snapshot_id,
+        validate=False,
+        then=_later_steps(spark, whole, models, result, as_of, enforce_gate),
+    )
+    return _finish(spark, wh, models, result)
+
+
+def _described(models: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return {name: described(models[name], name) for name in (*MART_NAMES, "int_user_activity")}
+
+
+def _later_steps(spark: SparkSession, raw: dict, models: dict, result: PipelineResult, as_of, enforce_gate: bool) -> tuple:
+    """Gate, report tables, churn and the heatmap, each from the tables stored before it."""
 
     def gate(stored: dict[str, DataFrame]) -> dict[str, DataFrame]:
         result.data_test_failures, result.checks, failed = _check(raw, models, stored)
@@ -104,25 +168,29 @@ def run(
             "model_metadata": model_metadata(spark).coalesce(1),
             "daily_metrics": report.daily_metrics(users, events, models["stg_ab_test_assignments"]).coalesce(1),
             "ab_results": experiment.flat_results(experiment.evaluate_experiments(stored["fct_ab_tests"])),
+            "user_behavior": churn.behavior_table(events, as_of),
             **report.chart_tables(users, events, models["stg_ab_test_assignments"]),
         }
 
+    def churn_tables(stored: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        try:
+            fitted = churn.fit_churn_model(stored["user_behavior"])
+        except churn.ChurnModelError:
+            return {}
+        result.churn_auc = fitted["auc"]
+        return {"churn_scores": fitted["scores"], "churn_model": churn.model_row(spark, fitted).coalesce(1)}
+
     def edge_tables(stored: dict[str, DataFrame]) -> dict[str, DataFrame]:
         # the stored retention table has a row per cohort and period
         periods = cohort.period_numbers(stored["retention"])
         return {"retention_heatmap": cohort.heatmap(stored["retention"], periods)}
 
-    contracts.publish_snapshot(
-        spark,
-        {"stg_raw_events": staging.stage_events(raw["raw_events"])},
-        f"{wh}/marts",
-        snapshot_id,
-        validate=False,
-        then=(build_marts, gate, report_tables, edge_tables),
-        partition_by={"stg_raw_events": ["event_date"]},
-    )
-    register({**models, **{n: contracts.read_source(spark, f"{wh}/marts", n, snapshot_id) for n in MART_NAMES}})
-    daily = contracts.read_source(spark, f"{wh}/marts", "daily_metrics", snapshot_id)
+    return gate, report_tables, churn_tables, edge_tables
+
+
+def _finish(spark: SparkSession, wh: str, models: dict[str, DataFrame], result: PipelineResult) -> PipelineResult:
+    register({**models, **{n: contracts.read_source(spark, f"{wh}/marts", n, result.snapshot_id) for n in MART_NAMES}})
+    daily = contracts.read_source(spark, f"{wh}/marts", "daily_metrics", result.snapshot_id)
     result.report_rows = [r.asDict() for r in daily.orderBy("line").collect()]
     return result
 
@@ -200,6 +268,11 @@ def main(argv: list[str] | None = None) -> int:
     build.add_argument("warehouse", help="warehouse root (shared storage)")
     build.add_argument("--as-of", default=K.DEFAULT_AS_OF)
     build.add_argument("--snapshot-id")
+    add = sub.add_parser("add", help="the same from new events only, merged into the stored state")
+    add.add_argument("source", help="folder with raw_events.csv (new or late events) and the other two tables whole")
+    add.add_argument("warehouse", help="warehouse root (shared storage)")
+    add.add_argument("--as-of", default=K.DEFAULT_AS_OF)
+    add.add_argument("--snapshot-id")
     verify = sub.add_parser("verify", help="reconcile source and mart counts of a stored warehouse")
     verify.add_argument("warehouse")
     verify.add_argument("--snapshot-id")
@@ -207,10 +280,12 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = build_session()
     try:
-        if args.command == "build":
-            res = run(spark, args.source, args.warehouse, args.as_of, args.snapshot_id)
+        if args.command in ("build", "add"):
+            step = run if args.command == "build" else run_increment
+            res = step(spark, args.source, args.warehouse, args.as_of, args.snapshot_id)
             report = contracts.read_source(spark, f"{args.warehouse.rstrip('/')}/marts", "daily_metrics", res.snapshot_id)
-            print(json.dumps({"snapshot_id": res.snapshot_id, "loaded": res.loaded, "checks": res.checks}, default=str))
+            done = {"snapshot_id": res.snapshot_id, "loaded": res.loaded, "rejected": res.rejected, "checks": res.checks}
+            print(json.dumps(done, default=str))
             print(render_markdown(report))
         else:
             print(json.dumps(verify_warehouse(spark, args.warehouse, args.snapshot_id), indent=2, sort_keys=True))
