@@ -89,6 +89,53 @@ def test_queries_rows(spark):
     assert sorted(map(str, again)) == sorted(map(str, out))
 
 
+def test_near_misses_are_candidates_and_learn_to_be_no_spans(spark):
+    texts = ["see 300.1.2.3 and 1.2.3.999", "order 4111111111111112", "+12 34 call", "by @someone here", "joe@localhost", "version 1.2.3.4000"]
+    for text in texts:
+        assert pii.base_spans(text) == [] and pii.extra_spans(text, []) != []
+        assert all("n" in pii.votes(text, *span, False) for span in pii.extra_spans(text, []))
+    rng = random.Random(7)
+    rows = []
+    for i in range(400):
+        good = [f"mail u{i}@site{i}.org", f"tel +1 212 555 0{i:03d}", "visa card 4111111111111111", f"host ip 10.{i % 200}.3.{i % 250}"]
+        bad = [f"by @user{i} ", f"order {4111111111110000 + 10 * i + (i % 9) + 1}", f"+{i} {i}", f"version 1.{i % 90}.3.{300 + i}"]
+        rows.append((i, ", ".join(rng.sample(good, 2) + rng.sample(bad, 2)) + "."))
+    rows += [(1000, "contact: joe [at] mail [dot] example [dot] com"), (1001, "order 1234.5678.9012.3456"), (1002, "call me (212) 555-0187")]
+    out = {r["doc_id"]: r for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows[:400]:
+        want = plain(text)
+        assert out[i]["spans"] == ",".join(f"{k}:{a}:{b}" for a, b, k in want)  # no near miss is taken
+    assert out[1000]["spans"].startswith("email:9:") and out[1001]["spans"] == "" and out[1002]["spans"].startswith("phone:8:")
+
+
+def plain_estimate(counts, rounds=50, prior=2.0):
+    """The same estimation, written out candidate by candidate for one kind."""
+    from math import exp, log, prod
+
+    pseudo = {True: dict(zip("yn-", (0.5, 0.1, 0.4), strict=True)), False: dict(zip("yn-", (0.2, 0.4, 0.4), strict=True))}
+    p = {v: 1 / (1 + exp(-(v.count("y") - 2 * v.count("n") - 1))) for v in counts}
+    total = sum(counts.values())
+    for _ in range(rounds):
+        share = {t: {v: (p[v] if t else 1 - p[v]) * n for v, n in counts.items()} for t in (True, False)}
+        common = min(0.99, max(0.01, (sum(share[True].values()) + prior) / (total + 2 * prior)))
+        rates = {}
+        for t in (True, False):
+            for k in range(5):
+                told = {c: prior * pseudo[t][c] + sum(s for v, s in share[t].items() if v[k] == c) for c in "yn-"}
+                rates[t, k] = {c: x / sum(told.values()) for c, x in told.items()}
+        odds = {v: log(common / (1 - common)) + log(prod(rates[True, k][v[k]] / rates[False, k][v[k]] for k in range(5))) for v in counts}
+        p = {v: 1 / (1 + exp(-x)) for v, x in odds.items()}
+    return p
+
+
+def test_estimation_equals_a_plain_version():
+    rng = random.Random(21)
+    counts = {"".join(rng.choices("yn-", k=5)): rng.randint(1, 300) for _ in range(40)}
+    got = pii.estimate({("card", v): float(n) for v, n in counts.items()})
+    want = plain_estimate(counts)
+    assert all(abs(got["card", v] - want[v]) < 1e-9 for v in counts)
+
+
 def test_empty_table(spark):
     assert pii.find(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 

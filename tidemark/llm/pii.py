@@ -1,15 +1,18 @@
 """Personal data by weak supervision: labelers vote on candidate spans, expectation-maximisation weighs the labelers, and a
 classifier trained on the weighed votes decides.
 
-1. One pass over the whole texts finds candidates. Base candidates follow fixed patterns and always count. Extra ones are
-   looser: spelled-out e-mail addresses, national phone numbers, IPv6 addresses, card numbers parted by dots or slashes.
-2. Five labelers vote yes, no or nothing on each candidate: strict pattern, gazetteer (domain endings, card issuer
-   prefixes, reserved address blocks, area codes), cue words before it, its borders, and a checksum or length rule.
+1. One pass over the whole texts finds candidates of both classes. Base candidates follow fixed patterns and always count.
+   Extra ones are looser (spelled-out e-mail addresses, national phone numbers, IPv6 addresses, card numbers parted by dots
+   or slashes) or near misses: what begins like a base span and fails its rule (digits without a checksum, quads above 255,
+   too few or many digits, an ``@`` without a domain). Near misses teach the labelers' rates for what is no personal data.
+2. Five labelers vote yes, no or nothing on each candidate: strict pattern (no for a near miss), gazetteer (domain endings,
+   card issuer prefixes, reserved address blocks, area codes), words before it that speak for or against it, its borders,
+   and a checksum or length rule.
 3. Candidates are counted by kind, votes and shape: a bounded table, whatever the corpus. On it, expectation-maximisation
    finds per kind how often each labeler is right (both classes, three outcomes) and how common true spans are.
 4. A logistic classifier over votes, kind and shape learns from those probabilities, weighted by the counts.
-5. An extra candidate becomes a span if the classifier gives it at least ``accept`` and at least two labelers say yes and
-   none no. Base spans are never dropped.
+5. An extra candidate becomes a span if the classifier gives it at least ``accept``; no other rule follows. Base spans are
+   never dropped.
 
 Scale: texts are read once, by tasks that need no shuffle; what they find is stored (spans only, no text), and counting
 pre-aggregates before its shuffle. Patterns are linear in the length of a text, also on long runs of one character.
@@ -58,7 +61,15 @@ CUES = {
     "card": re.compile(r"card|visa|amex|karte|carte|tarjeta|payment", re.I),
     "phone": re.compile(r"tel|phone|call|fax|mobile|m[oó]vil|handy|fon\b", re.I),
 }
+# words before a number that say it is something else
+AGAINST = {
+    "email": re.compile(r"\bby @?$|\bvia @?$|twitter|handle", re.I),
+    "ip": re.compile(r"version|release|section|chapter|§|\bv\.? ?$", re.I),
+    "card": re.compile(r"order|invoice|isbn|serial|tracking|\bid\b|article|bestell|rechnung", re.I),
+    "phone": re.compile(r"order|invoice|isbn|serial|tracking|\bid\b|bestell|rechnung", re.I),
+}
 CUE_WIDTH = 32
+HANDLE = re.compile(r"@[A-Za-z0-9-]{2,}")
 
 
 def luhn(digits: str) -> bool:
@@ -108,9 +119,26 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(out, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
-def extra_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
-    """Looser candidates that overlap neither base spans nor each other, leftmost first."""
+def near_misses(text: str) -> list[tuple[int, int, str]]:
+    """What begins like a base span and fails its rule; may overlap base spans."""
     found = []
+    if "@" in text:
+        for m in HANDLE.finditer(text):
+            start = m.start()
+            while start > max(0, m.start() - 64) and text[start - 1] in LOCAL:
+                start -= 1
+            found.append((start, m.end(), "email"))
+    if DIGIT.search(text):
+        found += [(m.start(), m.end(), "ip") for m in IP.finditer(text)]
+        found += [(m.start(), m.end(), "card") for m in CARD.finditer(text) if 12 <= len(digits_of(m[0])) <= 20]
+        if "+" in text:
+            found += [(m.start(), m.end(), "phone") for m in PHONE.finditer(text)]
+    return found
+
+
+def extra_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """Looser candidates and near misses that overlap neither base spans nor each other, leftmost first."""
+    found = near_misses(text)
     if "at]" in text or "at)" in text or "AT]" in text or "AT)" in text:
         found += [(m.start(), m.end(), "email") for m in SPELLED.finditer(text)]
     if DIGIT.search(text):
@@ -134,22 +162,27 @@ def votes(text: str, start: int, end: int, kind: str, is_base: bool) -> str:
     """One letter per labeler: y, n or - (no opinion)."""
     span = text[start:end]
     d = digits_of(span)
-    pattern = "y" if is_base else "-"
+    strict = {"email": HANDLE, "ip": IP, "card": CARD, "phone": PHONE}[kind]
+    # a near miss has a base span's form and not its rule; a looser candidate has another form
+    missed = strict.search(span) if kind == "email" else strict.fullmatch(span)
+    pattern = "y" if is_base else "n" if missed else "-"
     if kind == "email":
         last = re.split(r"[.\])(\[ ]+", span.rstrip(".-"))[-1].lower()
         gazetteer = "y" if last in DOMAIN_ENDINGS else "-"
-        check = "y" if len(span) <= 254 else "n"
+        check = "y" if len(span) <= 254 and re.search(r"[.\])]", span.split("@")[-1]) else "n"
     elif kind == "ip":
         first = span.split(".")[0].lstrip("0") or "0"
-        gazetteer = "-" if ":" in span else "n" if first in ("0", "127", "255") else "y"
-        check = "y"
+        gazetteer = "-" if ":" in span else "n" if first in ("0", "127", "255") or len(first) > 3 or int(first) > 255 else "y"
+        quad = span.split(".")
+        check = "y" if ":" in span or all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in quad) else "n"
     elif kind == "card":
         gazetteer = "y" if d.startswith(CARD_PREFIXES) else "-"
-        check = "y" if luhn(d) and len(set(d)) > 1 else "n"
+        check = "y" if 14 <= len(d) <= 19 and luhn(d) and len(set(d)) > 1 else "n"
     else:
         gazetteer = "y" if span[0] == "+" and span[1] != "0" else "-"
         check = "y" if 10 <= len(d) <= 15 and len(set(d)) > 2 else "n"
-    context = "y" if CUES[kind].search(text, max(0, start - CUE_WIDTH), start) else "-"
+    lead = text[max(0, start - CUE_WIDTH) : start]
+    context = "y" if CUES[kind].search(lead) else "n" if AGAINST[kind].search(lead) else "-"
     before, after = text[start - 1 : start], text[end : end + 1]
     border = "n" if before.isalnum() or after.isalnum() else "y"
     return pattern + gazetteer + context + border + check
@@ -255,7 +288,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", accept
         w = train_classifier(by_shape, estimate(by_votes))
         for kind, vote, form in sorted(by_shape):
             score = 1 / (1 + math.exp(-float(features(kind, vote, form) @ w)))
-            if score >= accept and vote.count("y") >= 2 and "n" not in vote:
+            if score >= accept:
                 yes.append(f"{kind}/{vote}/{form}")
     wanted = F.array(*[F.lit(x) for x in yes]).cast("array<string>")
     is_base = F.filter("found", lambda c: c["base"])
