@@ -1,7 +1,7 @@
 """Benchmark: time every registered query on the driver's tables.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (timed runs per query, default 3; one warm-up run precedes them).
+BENCH_RUNS (timed runs per query, default 1; one warm-up run precedes them).
 Each run executes the full plan with a ``noop`` sink (no collect). Prints ONE JSON line:
 {"metric": ..., "value": total of per-query medians, "unit": "sec", "queries": {...}, "sf": ...}
 """
@@ -25,7 +25,7 @@ from tidemark.session import build_session  # noqa: E402
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     scratch = tempfile.mkdtemp(prefix="tidemark-bench-")
     spark = build_session(
