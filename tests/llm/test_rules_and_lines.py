@@ -8,6 +8,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import line_dedup, quality_rules
 from tidemark.llm.quality_rules import STOP_WORDS, SYMBOLS
@@ -134,3 +135,34 @@ def test_runs_are_compacted_level_by_level(spark):
     assert [len(level) for level in runs.levels] == [0, 0, 1]
     merged = {(r["h1"], r["h2"]): (r["n_docs"], r["max_id"]) for r in runs.levels[2][0].collect()}
     assert merged[1, 1] == (4, 3) and merged[3, 5] == (1, 3)
+
+
+def test_runs_are_joined_and_compacted_without_shuffle_or_sort(spark):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with line_dedup.stored_order(spark):
+            runs = line_dedup.LineRuns(3)
+            stored = []
+            for b in range(3):
+                keys = [(h, h % 5, 1 + b, 100 - b) for h in range(b, 400, b + 1)]
+                run = spark.createDataFrame(keys, "h1 long, h2 long, n_docs long, max_id long")
+                stored.append(runs.write(run.groupBy("h1", "h2").agg(F.sum("n_docs").alias("n_docs"), F.max("max_id").alias("max_id"))))
+            runs.levels = [stored[:2]]
+            claims, merged = runs.claims(stored[2]), runs.merged(*stored[:2])
+            plans = [df._jdf.queryExecution().executedPlan().toString() for df in (claims, merged)]
+            assert plans[0].count("SortMergeJoin") == 2 and plans[1].count("SortMergeJoin") == 1
+            assert not any(re.search(r"Exchange|\bSort ", plan) for plan in plans)
+            held = [{h for h in range(b, 400, b + 1)} for b in range(3)]
+            assert {r["h1"] for r in claims.collect() if r["claimed"]} == held[2] & (held[0] | held[1])
+            for df, n in ((merged, 2), (runs.compacted(stored, 1), 3)):
+                want = defaultdict(list)
+                for b in range(n):
+                    for h in held[b]:
+                        want[h].append(b)
+                got = {(r["h1"], r["n_docs"], r["max_id"]) for r in df.collect()}
+                assert got == {(h, sum(1 + b for b in bs), max(100 - b for b in bs)) for h, bs in want.items()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    runs.forget(spark)
+    assert not {t.name for t in spark.catalog.listTables()} & set(runs.tables)

@@ -4,7 +4,8 @@ Documents are taken in batches, the largest ids first. A batch reduces its lines
 with the runs of the batches before it, and so learns which of its keys are new (the anti-join) and which an earlier
 batch, with larger ids, has already claimed. It then adds its own keys as a new sorted run. When ``fanout`` runs of a
 level have gathered they are merged into one run of the next level, so a batch never meets more than ``fanout`` runs of
-any level. A line is a candidate for dropping if its key was claimed before, or by a larger id of its own batch; when
+any level. A run is a table bucketed and sorted by hash, one file a bucket, so the anti-join and the compaction walk
+runs side by side: stored runs are neither shuffled nor sorted again. A line is a candidate for dropping if its key was claimed before, or by a larger id of its own batch; when
 all batches are in, the candidates whose key is in at least ``min_docs`` documents are dropped.
 
 Scale: lines travel as two 64-bit hashes, never as text. Every count is pre-aggregated before its shuffle, so a line
@@ -19,10 +20,14 @@ rows that tie for the largest id holding a key all keep it. A row without an id
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACES, ascii_lower, fresh_name, let, store
+from tidemark.llm.common import SPACES, ascii_lower, fresh_name, let, shared_path, store
 
 HASH = ["h1", "h2"]
 NO_ID = -(2**63)
@@ -72,29 +77,66 @@ def line_entries(docs: DataFrame, min_chars: int) -> DataFrame:
     )
 
 
+@contextmanager
+def stored_order(spark: SparkSession) -> Iterator[None]:
+    """Within, a scan of a bucketed table with one file a bucket counts as sorted, so merge joins need no sort."""
+    key = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 class LineRuns:
     """Levelled sorted runs of (key hash, documents, largest id), oldest level last."""
 
     def __init__(self, fanout: int):
         self.fanout = fanout
         self.levels: list[list[DataFrame]] = []
+        self.tables: list[str] = []
+
+    def all(self) -> list[DataFrame]:
+        return [r for level in self.levels for r in level]
+
+    @staticmethod
+    def merged(run: DataFrame, other: DataFrame) -> DataFrame:
+        """A full outer merge join of two runs: equal hashes become one row."""
+        other = other.select(*HASH, F.col("n_docs").alias("more_docs"), F.col("max_id").alias("other_id"))
+        return run.join(other, HASH, "full").select(
+            *HASH,
+            (F.coalesce("n_docs", F.lit(0)) + F.coalesce("more_docs", F.lit(0))).alias("n_docs"),
+            F.greatest("max_id", "other_id").alias("max_id"),
+        )
 
-    def all(self) -> DataFrame | None:
-        runs = [r for level in self.levels for r in level]
-        if not runs:
-            return None
+    def compacted(self, runs: list[DataFrame], level: int) -> DataFrame:
+        """One stored run of several, two at a time, each result stored: a join's own result has no buckets to go on with."""
         out = runs[0]
         for r in runs[1:]:
-            out = out.unionByName(r)
+            out = self.write(self.merged(out, r), level)
         return out
 
-    @staticmethod
-    def merged(runs: DataFrame) -> DataFrame:
-        return runs.groupBy(*HASH).agg(F.sum("n_docs").alias("n_docs"), F.max("max_id").alias("max_id"))
+    def claims(self, own: DataFrame) -> DataFrame:
+        """``own`` and whether any run holds the key: a merge join with each run, which has a key at most once."""
+        seen = F.lit(False)
+        for i, r in enumerate(self.all()):
+            own = own.join(r.select(*HASH, F.lit(True).alias(f"seen_{i}")), HASH, "left")
+            seen = seen | F.col(f"seen_{i}").isNotNull()
+        return own.select(*HASH, "n_docs", "max_id", seen.alias("claimed"))
 
     def write(self, run: DataFrame, level: int = 0) -> DataFrame:
-        """Store ``run`` sorted by hash. Reading it back starts a new stage, whose joins can be split at a hot key."""
-        return store(run.sortWithinPartitions(*HASH), f"line-run-{level}")
+        """Store ``run``, which has each hash once, as a table bucketed and sorted by hash.
+
+        The table is as wide as the session's shuffles, whose tasks hold whole buckets: each bucket becomes one file.
+        """
+        spark = run.sparkSession
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        table = f"line_run_{uuid.uuid4().hex}"
+        writer = run.write.format("parquet").option("path", shared_path(spark, f"line-run-{level}"))
+        writer.bucketBy(buckets, *HASH).sortBy(*HASH).saveAsTable(table)
+        self.tables.append(table)
+        return spark.table(table)
 
     def add(self, stored: DataFrame, level: int = 0) -> None:
         """Put a stored run on its level, and compact the level into the next one when it is full."""
@@ -103,10 +145,12 @@ class LineRuns:
         self.levels[level].append(stored)
         if len(self.levels[level]) >= self.fanout:
             full, self.levels[level] = self.levels[level], []
-            together = full[0]
-            for r in full[1:]:
-                together = together.unionByName(r)
-            self.add(self.write(self.merged(together), level + 1), level + 1)
+            self.add(self.compacted(full, level + 1), level + 1)
+
+    def forget(self, spark: SparkSession) -> None:
+        """Take the runs out of the catalogue; their files stay in the shared folder like those of other stored tables."""
+        for table in self.tables:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
 def batch_bounds(ids: DataFrame, n_batches: int) -> list[int]:
@@ -138,32 +182,29 @@ def dedup_lines(
 
     runs = LineRuns(fanout)
     candidates: list[DataFrame] = []
-    for b in range(len(bounds) + 1):
-        mine = entries.where(F.col("batch") == b).drop("batch")
-        own = mine.groupBy(*HASH).agg(F.sum(F.col("first").cast("long")).alias("n_docs"), F.max("id").alias("max_id"))
-        own = runs.write(own)
-        before = runs.all()
-        if before is None:
-            claimed = own.withColumn("claimed", F.lit(False))
-        else:
-            seen = before.select(*HASH).distinct().withColumn("seen", F.lit(True))
-            claimed = own.join(seen, HASH, "left").withColumn("claimed", F.col("seen").isNotNull()).drop("seen")
-        # stored, so that the join with the lines has exchanges of its own and can be split at a hot key
-        again = store(
-            claimed.where(F.col("claimed") | (F.col("n_docs") > 1)).select(*HASH, "claimed", F.col("max_id").alias("own_max")),
-            "line-again",
-        )
-        candidates.append(
-            store(
-                mine.join(again, HASH)
-                .where(F.col("claimed") | (F.col("id") < F.col("own_max")))
-                .select("id", "th", "p", *HASH),
-                "line-candidates",
+    with stored_order(docs.sparkSession):
+        for b in range(len(bounds) + 1):
+            mine = entries.where(F.col("batch") == b).drop("batch")
+            own = mine.groupBy(*HASH).agg(
+                F.sum(F.col("first").cast("long")).alias("n_docs"), F.max("id").alias("max_id")
             )
-        )
-        runs.add(own)
+            own = runs.write(own)
+            again = runs.claims(own).where(F.col("claimed") | (F.col("n_docs") > 1))
+            # stored, so that the join with the lines has exchanges of its own and can be split at a hot key
+            again = store(again.select(*HASH, "claimed", F.col("max_id").alias("own_max")), "line-again")
+            candidates.append(
+                store(
+                    mine.join(again, HASH)
+                    .where(F.col("claimed") | (F.col("id") < F.col("own_max")))
+                    .select("id", "th", "p", *HASH),
+                    "line-candidates",
+                )
+            )
+            runs.add(own)
+        many = runs.compacted(runs.all(), len(runs.levels)).where(F.col("n_docs") >= min_docs)
+        everywhere = store(many.select(*HASH, "max_id"), "line-many")
+    runs.forget(docs.sparkSession)
 
-    everywhere = store(runs.merged(runs.all()).where(F.col("n_docs") >= min_docs).select(*HASH, "max_id"), "line-many")
     dropped = candidates[0]
     for c in candidates[1:]:
         dropped = dropped.unionByName(c)
