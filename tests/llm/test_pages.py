@@ -6,6 +6,7 @@ import base64
 import glob
 import gzip
 import hashlib
+import io
 import html
 import random
 import re
@@ -222,11 +223,11 @@ def test_archives_are_plain_warc_files(spark, scratch_dir):
     pages = spark.createDataFrame([(1, "http://a.org/", "x"), (2, "http://a.org/", "x")], "page_id long, url string, html string")
     warc.write_archives(pages.coalesce(1), f"{scratch_dir}/w")
     data = b"".join(gzip.open(f).read() for f in glob.glob(f"{scratch_dir}/w/*.gz"))
-    found = list(warc.parse_records(data))
+    found = list(warc.parse_records(io.BytesIO(data)))
     assert {h["WARC-Record-ID"]: h["WARC-Type"] for h, *_ in found} == {"<urn:page:1>": "response", "<urn:page:2>": "revisit"}
     assert all(data[at : at + 8] == b"WARC/1.1" for *_, at, _ in found)
     with pytest.raises(ValueError):
-        list(warc.parse_records(data[:-7]))
+        list(warc.parse_records(io.BytesIO(data[:-7])))
 
 
 def test_empty_table_gives_an_empty_index(spark, scratch_dir):
@@ -240,3 +241,35 @@ def test_loser_tree_merges_like_sorting():
         runs = [sorted((rng.randint(0, 9), run, n) for n in range(rng.randint(0, 12))) for run in range(k)]
         merged = list(warc.LoserTree([iter(r) for r in runs], lambda row: row[:1]))
         assert merged == sorted((x for r in runs for x in r), key=lambda row: (row[0], row[1]))
+
+
+def test_large_pages_get_small_archives(spark, scratch_dir):
+    rows = [(i, f"http://h{i % 5}.org/", f"{i % 30} " * (20_000 if i % 10 == 0 else 5)) for i in range(120)] + [(500, "http://z.org", "z" * 900_000)] * 2
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    warc.write_archives(pages, f"{scratch_dir}/w", records_per_file=50, archive_bytes=200_000)
+    sizes = []
+    for f in glob.glob(f"{scratch_dir}/w/*.gz"):
+        with gzip.open(f) as data:
+            sizes.append([len(block) for _, block, *_ in warc.parse_records(data)])
+    assert sum(map(len, sizes)) == 122 and all(len(x) == 1 or sum(x) < 200_000 + 1000 * len(x) for x in sizes)
+    runs = warc.store(warc.read_runs(spark, f"{scratch_dir}/w"), "warc-runs-test")
+    assert runs.count() == 122 and runs.where("page_id = 500").select("record_type").distinct().count() == 1
+    kinds = {r["page_id"]: (r["record_type"], r["refers_to"]) for r in runs.where("page_id < 500").collect()}
+    first = {text: min(i for i, _, t in rows if t == text) for _, _, text in rows}
+    assert kinds == {i: ("response", None) if first[t] == i else ("revisit", first[t]) for i, _, t in rows if i < 500}
+
+
+def test_ranges_merge_stored_runs_into_one_order(spark):
+    rng = random.Random(21)
+    rows = []
+    for run in "abcdefg":
+        for n in range(rng.randint(1, 400)):
+            page = rng.choice([None, rng.randint(0, 50)])
+            key = rng.choice(["hot)/", "hot)/", f"k{rng.randint(0, 9)})/"])
+            rows.append((page, key, f"2024-0{rng.randint(1, 3)}", 1, "D", "response", None, f"{run}{n % 3}.gz", n, 9, run))
+    runs = warc.store(spark.createDataFrame(rows, warc.RUN_COLUMNS), "warc-runs-test")
+    out = warc.merged_index(runs, 5).collect()
+    got = [tuple(r)[:11] for r in sorted(out, key=lambda r: (r["index_range"], r["index_place"]))]
+    assert got == sorted(rows, key=warc.order_of)
+    assert len({r["index_range"] for r in out if r["url_key"] == "hot)/"}) > 1
+    assert warc.merged_index(runs.where("false"), 5).collect() == []

@@ -3,16 +3,22 @@
 Writing. Each page is one WARC/1.1 record. Of the pages with equal payloads that with the smallest id is the response and
 carries the payload; the others are revisits that refer to it and carry headers only. Records are built by Spark
 expressions and written by Spark's own text writer, whose line separator is the blank line that ends a record, so the
-archives are committed files on whatever store the folder is in, and a lost executor's files are written again.
-
-Reading. Archives are read back whole, one file at a time, and parsed by Content-Length; the payload digest and length of
-every response are computed again from its bytes and must equal its headers.
-
-Index. Each archive's captures are sorted by URL key (host labels reversed, then path), time and id and stored as one run.
-The runs are parted by ranges of that order, and each range merges its share of all runs with a loser tree, so ranges one
-after the other give the global order. A hot URL's history may span ranges, as time and id are part of the order.
-
-Defined cases: null html is an empty payload. Null URL: no target header, empty key. Rows that tie for the smallest id of
+archives are committed files on whatever store the folder is in, and a lost executor's files are written again. Pages are
+written by classes of payload size, with fewer records to a file in the larger ones, so an archive's bytes are bounded (by
+``ARCHIVE_BYTES`` and headers, or by one record); equal payloads have equal sizes, so no revisit refers to another class.
+
+Reading. Archives are unpacked and parsed record by record, by Content-Length; the payload digest and length of every
+response are computed again from its bytes and must equal its headers.
+
+Index. The captures of each archive are sorted by URL key (host labels reversed, then path), time and id; a reading task
+merges its archives with a loser tree into one sorted run, stored in the shared folder. The stored runs are parted by ranges
+of that order, as many as their rows ask for, and each range merges its stretches of all runs with a loser tree whose
+cursors walk them in place, so ranges one after the other give the global order. The shuffle keeps a run's stretch sorted
+by Spark's own (spilling) sort; no task sorts in Python beyond one archive. A hot URL's history may span ranges, as time, id
+and place in the archives are part of the order, so no range grows with it.
+
+Defined cases: columns other than page_id, url and html are not read. Pages of any length are records of their own
+archive above ``ARCHIVE_BYTES``. Null html is an empty payload. Null URL: no target header, empty key. Rows that tie for the smallest id of
 a payload are all responses; rows without an id are responses only if no equal payload has an id. Line breaks in
 a URL are percent-encoded. An empty table writes no records and gives an empty index.
 """
@@ -24,8 +30,11 @@ import gzip
 import hashlib
 import io
 from collections.abc import Iterator
+from itertools import islice
+from typing import BinaryIO
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,8 +46,11 @@ CAPTURE_START = 1_700_000_000
 YEAR = 31_536_000
 RUN_COLUMNS = (
     "page_id long, url_key string, captured string, payload_bytes long, payload_digest string, record_type string, "
-    "refers_to long, archive string, archive_offset long, record_bytes long"
+    "refers_to long, archive string, archive_offset long, record_bytes long, run string"
 )
+ARCHIVE_BYTES = 128 << 20
+ROWS_PER_RANGE = 1 << 17
+ROWS_PER_BATCH = 1 << 13
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -93,16 +105,26 @@ def records(pages: DataFrame) -> DataFrame:
     return joined.select(F.concat(head, F.lit(RECORD_END), http, F.when(revisit, "").otherwise(F.col("html"))).alias("record"))
 
 
-def write_archives(pages: DataFrame, path: str, records_per_file: int = 1000) -> None:
-    """Write gzip WARC files of at most ``records_per_file`` records below ``path``."""
-    (
-        records(pages)
-        .write.option("lineSep", RECORD_END)
-        .option("compression", "gzip")
-        .option("zlib.compress.level", "BEST_SPEED")
-        .option("maxRecordsPerFile", records_per_file)
-        .text(path)
-    )
+def size_class(payload: Column, records_per_file: int, archive_bytes: int) -> Column:
+    """Half as many records to a file in each next class; 0 where ``records_per_file`` of the size fit into an archive."""
+    share = F.octet_length(payload) * F.lit(float(records_per_file)) / F.lit(float(archive_bytes))
+    return F.when(share > 1, F.ceil(F.log2(share))).otherwise(0).cast("int")
+
+
+def write_archives(pages: DataFrame, path: str, records_per_file: int = 1000, archive_bytes: int = ARCHIVE_BYTES) -> None:
+    """Write gzip WARC files below ``path``, of at most ``records_per_file`` records and about ``archive_bytes`` bytes."""
+    size = size_class(F.coalesce("html", F.lit("")), records_per_file, archive_bytes)
+    classes = [r[0] for r in pages.select(size.alias("c")).distinct().collect()]  # a few dozen at most
+    for c in sorted(classes) or [0]:
+        (
+            records(pages.where(size == c))
+            .write.mode("append")
+            .option("lineSep", RECORD_END)
+            .option("compression", "gzip")
+            .option("zlib.compress.level", "BEST_SPEED")
+            .option("maxRecordsPerFile", max(1, records_per_file >> c))
+            .text(path)
+        )
 
 
 def url_key(url: str | None) -> str:
@@ -114,22 +136,26 @@ def url_key(url: str | None) -> str:
     return ",".join(reversed(rest[:cut].lower().split("."))) + ")" + rest[cut:]
 
 
-def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes, int, int]]:
-    """(headers, block, offset, record length) of every record of an unpacked archive."""
+def parse_records(archive: BinaryIO) -> Iterator[tuple[dict[str, str], bytes, int, int]]:
+    """(headers, block, offset, record length) of every record of an unpacked archive, one record at a time."""
     at = 0
-    while at < len(data):
-        stop = data.index(b"\r\n\r\n", at)
-        lines = data[at:stop].decode("utf-8").split(EOL)
-        if not lines[0].startswith("WARC/1."):
+    while first := archive.readline():
+        if not first.startswith(b"WARC/1."):
             raise ValueError(f"no record at byte {at}")
-        headers = dict(line.split(": ", 1) for line in lines[1:])
+        read, headers = len(first), {}
+        while (line := archive.readline()) != b"\r\n":
+            if not line.endswith(b"\r\n"):
+                raise ValueError(f"record at byte {at} is cut short")
+            read += len(line)
+            name, value = line[:-2].decode("utf-8").split(": ", 1)
+            headers[name] = value
         size = int(headers["Content-Length"])
-        block = data[stop + 4 : stop + 4 + size]
-        end = stop + 4 + size
-        if len(block) != size or data[end : end + 4] != b"\r\n\r\n":
+        block = archive.read(size)
+        if len(block) != size or archive.read(4) != b"\r\n\r\n":
             raise ValueError(f"record at byte {at} is cut short")
-        yield headers, block, at, end + 4 - at
-        at = end + 4
+        length = read + 2 + size + 4
+        yield headers, block, at, length
+        at += length
 
 
 def _page(name: str | None) -> int | None:
@@ -163,25 +189,6 @@ def order_of(row: tuple) -> tuple:
     return (row[1], row[2], row[0] is not None, row[0] or 0, row[7], row[8])
 
 
-def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    """The captures of every archive below ``path``, each archive's sorted as one run."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [c.split()[0] for c in RUN_COLUMNS.split(", ")]
-        for pdf in batches:
-            for file, content in zip(pdf["path"], pdf["content"], strict=True):
-                data = gzip.GzipFile(fileobj=io.BytesIO(content)).read()
-                short = file.rsplit("/", 1)[-1]
-                rows = [(*capture(h, b), short, at, n) for h, b, at, n in parse_records(data)]
-                out = pd.DataFrame(sorted(rows, key=order_of), columns=names)
-                for c in ("page_id", "refers_to"):
-                    out[c] = out[c].astype("Int64")
-                yield out
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("path", "content")
-    return files.mapInPandas(run, RUN_COLUMNS)
-
-
 class LoserTree:
     """Merge of k sorted iterators: a node keeps the loser of its match, the winner plays on, so a step is log2 k matches."""
 
@@ -219,30 +226,65 @@ class LoserTree:
             self._play(winner)
 
 
-def merged_index(runs: DataFrame, ranges: int | None = None) -> DataFrame:
-    """All captures in global order: ``index_range`` counts the ranges, ``index_place`` the captures within."""
-    n = ranges or int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = runs.repartitionByRange(n, "url_key", "captured", "page_id", "archive", "archive_offset")
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """The captures of every archive below ``path`` as sorted runs, one for each reading task, named by its first archive."""
+    names = [c.split()[0] for c in RUN_COLUMNS.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shares: dict[str, list[tuple]] = {}
-        names: list[str] = []
+        archives = []
         for pdf in batches:
-            names = list(pdf.columns)
-            table = pdf.astype(object).where(pdf.notna(), None)
-            for row in table.itertuples(index=False, name=None):
-                row = (None if row[0] is None else int(row[0]), *row[1:6], None if row[6] is None else int(row[6]), *row[7:])
-                shares.setdefault(row[7], []).append(row)
-        if not names:
+            for file, content in zip(pdf["path"], pdf["content"], strict=True):
+                short = file.rsplit("/", 1)[-1]
+                with gzip.GzipFile(fileobj=io.BytesIO(content)) as data:
+                    rows = [(*capture(h, b), short, at, n) for h, b, at, n in parse_records(data)]
+                archives.append((short, sorted(rows, key=order_of)))
+        name = min((short for short, _ in archives), default="")
+        merged = iter(LoserTree([iter(rows) for _, rows in archives], order_of))
+        while rows := list(islice(merged, ROWS_PER_BATCH)):
+            out = pd.DataFrame([(*row, name) for row in rows], columns=names)
+            for c in ("page_id", "refers_to"):
+                out[c] = out[c].astype("Int64")
+            yield out
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("path", "content")
+    return files.mapInPandas(run, RUN_COLUMNS)
+
+
+def stretches(table: pa.Table) -> list[Iterator[tuple]]:
+    """A cursor for each run's rows of a table ordered by run: (URL key, time, id or none first, place, row number)."""
+    keys = [table.column(c).to_pylist() for c in ("url_key", "captured", "page_id", "archive", "archive_offset")]
+    run = table.column("run").to_pylist()
+    starts = [i for i in range(len(run)) if i == 0 or run[i] != run[i - 1]]
+
+    def cursor(start: int, stop: int) -> Iterator[tuple]:
+        for i in range(start, stop):
+            key, captured, page, archive, offset = (k[i] for k in keys)
+            yield key, captured, page is not None, page or 0, archive, offset, i
+
+    return [cursor(a, b) for a, b in zip(starts, [*starts[1:], len(run)], strict=True)]
+
+
+def merged_index(runs: DataFrame, ranges: int | None = None) -> DataFrame:
+    """All captures in global order: ``index_range`` counts the ranges, ``index_place`` the captures within.
+
+    ``runs`` is stored: its rows are counted to choose the number of ranges, each of about ``ROWS_PER_RANGE`` at most.
+    """
+    spark = runs.sparkSession
+    n = ranges or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-runs.count() // ROWS_PER_RANGE))
+    order = ["url_key", "captured", "page_id", "archive", "archive_offset"]
+    ranged = runs.repartitionByRange(n, *order).sortWithinPartitions("run", *order)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(got) if (got := list(batches)) else None
+        if table is None or not table.num_rows:
             return
-        cursors = [iter(sorted(rows, key=order_of)) for _, rows in sorted(shares.items())]
-        out = pd.DataFrame(LoserTree(cursors, order_of), columns=names)
-        for c in ("page_id", "refers_to"):
-            out[c] = out[c].astype("Int64")
-        out["index_place"] = range(len(out))
-        yield out
-
-    merged = ranged.mapInPandas(run, RUN_COLUMNS + ", index_place long")
+        place, rows = 0, iter(LoserTree(stretches(table), lambda row: row[:-1]))
+        while taken := [row[-1] for row in islice(rows, ROWS_PER_BATCH)]:
+            out = table.take(taken).append_column("index_place", pa.array(range(place, place + len(taken)), pa.int64()))
+            yield from out.combine_chunks().to_batches()
+            place += len(taken)
+
+    merged = ranged.mapInArrow(merge, RUN_COLUMNS + ", index_place long")
     return merged.withColumn("index_range", F.spark_partition_id())
 
 
