@@ -88,3 +88,21 @@ def test_plan_has_no_python(spark):
     docs, items = fixture()
     df = decontaminate.contamination(spark.createDataFrame([(*d, "x", 1, 2) for d in docs], DOCS), spark.createDataFrame(items, ITEMS))
     assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_equal_items_and_shared_prompts_are_one_benchmark_row(spark):
+    prompt = " ".join(f"p{i}" for i in range(40))
+    items = [(k, prompt, 1) for k in range(60)] + [(100 + k, f"{prompt} tail{k} " * 2, 1) for k in range(5)]
+    marks = decontaminate.benchmark_fingerprints(
+        spark.createDataFrame(items, ITEMS).select("item_id", decontaminate.item_words(decontaminate.F.col("text")).alias("w")), 10, 5, []
+    )
+    rows = marks.collect()
+    alone = decontaminate.benchmark_fingerprints(
+        spark.createDataFrame(items[:1], ITEMS).select("item_id", decontaminate.item_words(decontaminate.F.col("text")).alias("w")), 10, 5, []
+    ).count()
+    assert sum("0" in r["items"] for r in rows) == alone  # sixty equal items have no more rows than one
+    assert max(len(r["items"]) for r in rows) == 65  # the inner windows of the prompt are shared by all
+    docs = [(k, f"x {prompt} y", "x", 1, 2) for k in range(20)]
+    out = decontaminate.contamination(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)).collect()
+    want = {p[0]: p[1:4] for p in plain([d[:2] for d in docs], items)}
+    assert {r["doc_id"]: (r["n_words"], r["n_hit"], tuple(r["item_ids"])) for r in out} == want

@@ -10,8 +10,10 @@ A fingerprint is one long: 36 bits of the gram's hash above 28 bits for its plac
 so picking the smallest keeps the place as well. Hash clashes cost a comparison and never a wrong result.
 
 Scale: documents are read twice and shuffled once, by document, to meet their hits. Fingerprints are not shuffled while
-the benchmark's stay below ``broadcast_rows`` (they are counted first); beyond it both sides are shuffled by
-fingerprint in a plain equi-join, which adaptive execution can split where a passage is very common.
+the benchmark's stay below ``broadcast_rows`` rows and BROADCAST_BYTES of words and ids (both are summed first); beyond
+it both sides are shuffled by fingerprint in a plain equi-join, which adaptive execution can split where a passage is
+very common. Items that share a fingerprint and all words around it are one benchmark row with a list of items, so
+equal items and shared prompts meet a document once.
 
 Defined cases: null and blank texts have no words, hit nothing and are kept; such items match nothing. Repeated rows
 are judged each on its own. Items with a null id mark words but are not listed. An empty benchmark leaves every document
@@ -27,6 +29,7 @@ from tidemark.llm.common import ascii_lower, find_words, fresh_name, let
 
 ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 PLACE_BITS = 28
+BROADCAST_BYTES = 64 << 20
 
 
 def item_words(text: Column) -> Column:
@@ -61,9 +64,9 @@ def _place(fp: Column) -> Column:
 
 
 def benchmark_fingerprints(items: DataFrame, span: int, k: int, sizes: list[int]) -> DataFrame:
-    """Per fingerprint of an item: gram size, hash, item id, and the words that any span around the gram can touch.
+    """Per fingerprint: gram size, hash, the words that any span around the gram can touch, and the items holding them.
 
-    ``items`` has ``item_id`` and ``w``. ``back`` is the gram's place among those words.
+    ``items`` has ``item_id`` and ``w``. ``back`` is the gram's place among those words. Null ids are not listed.
     """
     window = span - k + 1
     long_items = items.where(F.size("w") >= span).select(
@@ -77,17 +80,18 @@ def benchmark_fingerprints(items: DataFrame, span: int, k: int, sizes: list[int]
             )
         )
     start = F.greatest(_place(F.col("fp")) - (span - k), F.lit(0))
-    return out.select(
+    places = out.select(
         "size",
         _hash(F.col("fp")).alias("h"),
-        "item_id",
+        F.col("item_id").cast("string").alias("item_id"),
         (_place(F.col("fp")) - start).alias("back"),
         F.slice("w", start + 1, _place(F.col("fp")) + span - start).alias("around"),
     )
+    return places.groupBy("size", "h", "back", "around").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
 
 
 def _verified(words: Column, hits: Column, span: int) -> Column:
-    """Occurrences (start, length, item) of whole item windows in ``words``, extended from the hits."""
+    """Occurrences (start, length, items) of whole item windows in ``words``, extended from the hits."""
 
     def around(hit: Column) -> Column:
         length = F.when(hit["size"] == 0, F.lit(span)).otherwise(hit["size"])
@@ -100,7 +104,7 @@ def _verified(words: Column, hits: Column, span: int) -> Column:
                         F.slice(words, F.greatest(hit["start"] + s, F.lit(0)) + 1, length)
                         == F.slice(hit["around"], s + 1, length)
                     ),
-                    F.struct((hit["start"] + s).alias("start"), length.alias("n"), hit["item_id"].alias("item_id")),
+                    F.struct((hit["start"] + s).alias("start"), length.alias("n"), hit["items"].alias("items")),
                 ),
             ),
             lambda x: x.isNotNull(),
@@ -123,7 +127,9 @@ def contamination(
     short = items.where((F.size("w") > 0) & (F.size("w") < span)).select(F.size("w").alias("n")).distinct()
     sizes = sorted(r["n"] for r in short.collect())  # at most span - 1 rows
     marks = benchmark_fingerprints(items, span, k, sizes)
-    if marks.count() <= broadcast_rows:
+    held = F.octet_length(F.concat_ws(" ", "around", "items"))
+    shape = marks.agg(F.count("*").alias("n"), F.sum(held).alias("size")).first()
+    if shape["n"] <= broadcast_rows and (shape["size"] or 0) <= BROADCAST_BYTES:
         marks = F.broadcast(marks)
 
     thin = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), item_words(F.col(text_col)).alias("w"))
@@ -134,7 +140,7 @@ def contamination(
     found = found.select("id", "th", "size", _hash(F.col("fp")).alias("h"), _place(F.col("fp")).alias("p"))
     hits = (
         found.join(marks, ["size", "h"])
-        .select("id", "th", F.struct((F.col("p") - F.col("back")).alias("start"), "size", "item_id", "around").alias("hit"))
+        .select("id", "th", F.struct((F.col("p") - F.col("back")).alias("start"), "size", "items", "around").alias("hit"))
         .groupBy("id", "th")
         .agg(F.collect_set("hit").alias("hits"))
     )
@@ -144,7 +150,7 @@ def contamination(
     joined = docs.join(
         right, F.col(id_col).eqNullSafe(F.col(names[0])) & (F.xxhash64(F.col(text_col)) == F.col(names[1])), "left"
     )
-    occurrence = "array<struct<start:int,n:int,item_id:string>>"
+    occurrence = "array<struct<start:int,n:int,items:array<string>>>"
 
     def judged(w: Column) -> Column:
         spans = F.when(F.col(names[2]).isNull(), F.array().cast(occurrence)).otherwise(
@@ -156,12 +162,12 @@ def contamination(
     out = joined.withColumn(j, let(item_words(F.col(text_col)), judged))
     spans = F.col(f"{j}.spans")
     covered = F.flatten(F.transform(spans, lambda s: F.sequence(s["start"], s["start"] + s["n"] - 1)))
-    ids = F.transform(spans, lambda s: s["item_id"])
+    ids = F.flatten(F.transform(spans, lambda s: s["items"]))
     return out.withColumns(
         {
             "n_words": F.col(f"{j}.n_words"),
             "n_hit": F.size(F.array_distinct(covered)).cast("long"),
-            "item_ids": F.sort_array(F.array_distinct(F.filter(ids, lambda x: x.isNotNull()))),
+            "item_ids": F.sort_array(F.array_distinct(ids)),
             "hit_spans": F.array_distinct(F.transform(spans, lambda s: F.struct(s["start"], (s["start"] + s["n"]).alias("end")))),
             "contaminated": F.size(spans) > 0,
         }
