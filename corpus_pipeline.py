@@ -1,12 +1,14 @@
 """Corpus pipeline: language ID, line dedup, SimHash near-dedup, benchmark decontamination, packing.
 
 Each stage takes ``(spark, docs, sf_dir)``, works on every row its predecessor kept and returns a DataFrame. All but the
-last return the columns of ``documents``. ``run`` writes each stage's rows as Parquet in the shared folder and rereads
+last return the columns of ``documents``, further ones included whatever their names. ``run`` writes each stage's rows as Parquet in the shared folder and rereads
 them as the next one's input, so a lost executor never reaches back beyond one stage.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,30 +20,37 @@ from tidemark.llm.common import store
 MIN_LANGUAGE_SCORE = 0.4
 
 
+def _applied(docs: DataFrame, needed: list[str], operator: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The rows ``operator`` keeps, with the columns of ``docs``. It sees those it needs under their own names and the
+    others under numbered ones, so a column called like one of its results passes unchanged."""
+    names = [c if c.lower() in needed else f"carried_{i}" for i, c in enumerate(docs.columns)]
+    return operator(docs.toDF(*names)).select(names).toDF(*docs.columns)
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents whose language is recognised."""
-    judged = langid.identify(docs)
-    kept = judged.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE))
-    return kept.select(docs.columns)
+    known = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)
+    return _applied(docs, ["doc_id", "text", "lang"], lambda d: langid.identify(d).where(known))
 
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut repeated lines out of the texts; a document may be left with an empty text."""
-    out = line_dedup.dedup_lines(docs)
+    out = _applied(docs, ["doc_id", "text"], line_dedup.dedup_lines)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(docs.columns)
+    return out
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near-duplicates."""
-    return simhash.keep_one_of_each(docs).select(docs.columns)
+    return _applied(docs, ["doc_id", "text"], simhash.keep_one_of_each)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that hold a benchmark passage."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontaminate.contamination(docs, benchmark).where(~F.col("contaminated")).select(docs.columns)
+    clean = lambda d: decontaminate.contamination(d, benchmark).where(~F.col("contaminated"))
+    return _applied(docs, ["doc_id", "text"], clean)
 
 
 def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -78,9 +78,18 @@ def test_stages_on_an_empty_table(spark):
 
 
 def test_extra_columns_and_repeated_rows_pass(spark):
-    rows = [(i % 3, "the same long line of words in every document\nand one of its own", "x", 1, "z") for i in range(6)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, hits string, th int, fp string")
-    for _, stage in C.STAGES[1:4]:
-        docs = C.store(stage(spark, docs, SMOKE), "extra")
-        assert docs.columns == ["doc_id", "text", "hits", "th", "fp"]
-    assert docs.count() >= 1
+    """Every stage, with columns named like those that the operators make, in other letter case too."""
+    line = "the same long line of words in every document and of the whole table\nand one of its own"
+    rows = [(i % 3, line, "en", "x", 1, "z", 0.5, "q", True) for i in range(6)] + [(None, None, None, None, None, None, None, None, None)]
+    names = ["doc_id", "text", "lang", "hits", "th", "fp", "Score", "LANG_PRED", "contaminated"]
+    kinds = "long string string string int string double string boolean".split()
+    docs = spark.createDataFrame(rows, ", ".join(f"{n} {k}" for n, k in zip(names, kinds, strict=True)))
+    before = docs
+    for name, stage in C.STAGES:
+        docs = C.store(stage(spark, before, SMOKE), f"extra-{name}")
+        if name == "packing":
+            assert sum(r["length"] for r in docs.select("length").collect()) >= 1
+        else:
+            assert docs.columns == names and docs.count() >= 1
+            assert {tuple(r)[2:] for r in docs.collect()} <= {tuple(r)[2:] for r in before.collect()}
+            before = docs
