@@ -110,12 +110,26 @@ def test_cached_ids_equal_the_tokenizers():
             assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
-def test_full_memory_still_gives_the_ids(monkeypatch):
-    monkeypatch.setattr(packing, "CACHE", 3)
-    plain, coder = Tokenizer.from_file(TOKENIZER), packing.ChunkTokenizer(TOKENIZER)
-    for text in ["one two", "three four five", "one two three"]:
+def test_full_memory_still_gives_the_ids():
+    plain, coder = Tokenizer.from_file(TOKENIZER), packing.ChunkTokenizer(TOKENIZER, cache=4)
+    for text in ["one two", "three four five", "one two three", "one six", "one two"]:
         assert coder.ids([text])[0].tolist() == plain.encode(text, add_special_tokens=False).ids
-    assert len(coder.known) <= 3
+        assert len(coder.young) <= 2 and len(coder.old) <= 2
+
+
+def test_chunks_in_use_outlive_rare_ones():
+    coder = packing.ChunkTokenizer(TOKENIZER, cache=20)
+    for i in range(50):
+        coder.ids([f"common {chr(97 + i % 26)}{chr(97 + i // 26)}x"])
+        assert b"common" in coder.young or b"common" in coder.old
+
+
+def test_letters_that_are_no_chain_of_their_own_take_a_call_each():
+    """A tokenizer whose chains do not match the chunks still gives its own ids."""
+    plain, coder = Tokenizer.from_file(TOKENIZER), packing.ChunkTokenizer(TOKENIZER)
+    coder.ends[:] = False
+    text = "some plain words\u00e9 and more"
+    assert coder.ids([text])[0].tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
 def test_pieces_rebuild_every_document(spark):

@@ -7,8 +7,9 @@ documents and, as every length is a power of two, none is padded. Equal lengths
 
 Tokens: white space and a boundary between an ASCII letter or digit and ASCII punctuation (not the apostrophe, which can
 begin a contraction) always part tokens in this vocabulary, and A-Z are lower-cased by it, so chunks between these
-boundaries are tokenized once per worker and remembered (at most ``CACHE`` chunks). Chunks unknown to the memory go
-through the tokenizer together; a text that may hold a special token's name goes through it whole.
+boundaries are tokenized once per worker and remembered: two generations of at most ``CACHE`` / 2 chunks, of which the
+older is forgotten when the younger is full, so chunks in use stay known however many rare ones pass. Chunks unknown to
+the memory go through the tokenizer together; a text that may hold a special token's name goes through it whole.
 
 One pass, no shuffle: rows are independent, so skew does not matter and a lost task is simply run again. Sequence ids are
 unique longs (task number and row), the same again when a task is repeated over the same input.
@@ -19,7 +20,7 @@ their own. Columns other than id and text are not carried.
 
 from __future__ import annotations
 
-import re
+import string
 import sys
 import types
 import zlib
@@ -31,9 +32,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 END_ID = 1
-CACHE = 300_000
-BOUNDARY = re.compile(rb"(?<=[a-z0-9])(?=[!-&(-/:-@\[-`{-~])")
-LETTERS = re.compile(rb"[a-z]+\Z")
+CACHE = 500_000
+JOINED = 4096  # chunks of letters in one call of the tokenizer
+
+
+def _table(members: str) -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[list(members.encode("ascii"))] = True
+    return out
+
+
+BEFORE = _table(string.ascii_lowercase + string.digits)
+AFTER = _table(string.punctuation.replace("'", ""))
 
 
 def piece_lengths(n: int, longest: int) -> list[int]:
@@ -44,14 +54,23 @@ def piece_lengths(n: int, longest: int) -> list[int]:
     return out
 
 
+def chunks_of(low: bytes) -> list[bytes]:
+    """The chunks of a lower-cased text: cut at white space and between a letter or digit and punctuation."""
+    signs = np.frombuffer(low, np.uint8)
+    cuts = np.flatnonzero(BEFORE[signs[:-1]] & AFTER[signs[1:]]) + 1
+    return (np.insert(signs, cuts, ord(" ")).tobytes() if len(cuts) else low).split()
+
+
 class ChunkTokenizer:
     """The ids of texts by a tokenizer file, remembering the ids of chunks."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache: int = CACHE):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self.generation = max(cache // 2, 1)
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)  # ids that end a token chain
         for token, i in self.tokenizer.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
@@ -64,38 +83,57 @@ class ChunkTokenizer:
             held.__dict__[path] = cls(path)
         return held.__dict__[path]
 
+    def _batch(self, texts: list[bytes]) -> list[np.ndarray]:
+        encoded = self.tokenizer.encode_batch_fast([t.decode("utf-8") for t in texts], add_special_tokens=False)
+        return [np.array(e.ids, "<u4") for e in encoded]
+
     def _encode(self, chunks: list[bytes]) -> dict[bytes, bytes]:
-        """Chunks of plain letters are one token chain each and share one call; others take a call each."""
-        plain = [c for c in chunks if LETTERS.match(c)]
-        other = [c for c in chunks if not LETTERS.match(c)]
+        """Chunks of letters share calls as long as each is one token chain; others take a call each."""
+        letters, alone = [], []
+        for c in chunks:
+            (letters if c.isalpha() or c.decode("utf-8").isalpha() else alone).append(c)
         out: dict[bytes, bytes] = {}
-        for at in range(0, len(plain), 4096):
-            some = plain[at : at + 4096]
-            ids = np.array(self.tokenizer.encode(b" ".join(some).decode(), add_special_tokens=False).ids, "<u4")
+        for at in range(0, len(letters), JOINED):
+            some = letters[at : at + JOINED]
+            (ids,) = self._batch([b" ".join(some)])
             stops = np.flatnonzero(self.ends[ids]) + 1
-            assert len(stops) == len(some)
-            for c, a, b in zip(some, [0, *stops[:-1].tolist()], stops.tolist(), strict=True):
-                out[c] = ids[a:b].tobytes()
-        encoded = self.tokenizer.encode_batch([c.decode("utf-8") for c in other], add_special_tokens=False)
-        for c, e in zip(other, encoded, strict=True):
-            out[c] = np.array(e.ids, "<u4").tobytes()
+            if len(stops) != len(some) or stops[-1] != len(ids):  # some chunk is not one chain
+                alone += some
+                continue
+            packed, last = ids.tobytes(), 0
+            for c, stop in zip(some, (4 * stops).tolist(), strict=True):
+                out[c] = packed[last:stop]
+                last = stop
+        out.update(zip(alone, (ids.tobytes() for ids in self._batch(alone)), strict=True))
         return out
 
+    def _remember(self, new: dict[bytes, bytes]) -> None:
+        if len(self.young) + len(new) > self.generation:
+            self.old, self.young = self.young, {}
+        if len(new) <= self.generation:
+            self.young.update(new)
+
+    def _found(self, chunks: list[bytes]) -> list[bytes]:
+        found = list(map(self.young.get, chunks))
+        if None in found:
+            holes = [i for i, v in enumerate(found) if v is None]
+            missing = {chunks[i] for i in holes}
+            new = {c: self.old[c] for c in missing if c in self.old}
+            new.update(self._encode([c for c in missing if c not in new]))
+            for i in holes:
+                found[i] = new[chunks[i]]
+            self._remember(new)
+        return found
+
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         cut: list[list[bytes] | None] = []
         chunks: list[bytes] = []
         for text in texts:
             low = text.encode("utf-8").lower()
-            mine = None if b"<|" in low else BOUNDARY.sub(b" ", low).split()
+            mine = None if b"<|" in low else chunks_of(low)
             cut.append(mine)
             chunks += mine or ()
-        found = list(map(self.known.get, chunks))
-        missing = list({c for c, v in zip(chunks, found, strict=True) if v is None}) if None in found else []
-        if missing:
-            new = self._encode(missing)
-            if len(self.known) + len(new) <= CACHE:
-                self.known.update(new)
-            found = [new[c] if v is None else v for c, v in zip(chunks, found, strict=True)]
+        found = self._found(chunks)
         out, at = [], 0
         for text, mine in zip(texts, cut, strict=True):
             if mine is None:
