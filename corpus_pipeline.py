@@ -18,6 +18,16 @@ from tidemark.llm.common import store
 
 # a document is rejected if it has no letters or no language reaches this mean probability
 MIN_LANGUAGE_SCORE = 0.4
+# of texts, sent to a Python worker at a time; a batch is held several times over: as Arrow in the JVM and the worker, as
+# text, as UTF-8 and as the worker's results
+BATCH_BYTES = 2 << 20
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """From now on the session's Python workers get batches of ``BATCH_BYTES``, or one row if that is longer, instead
+    of 10,000 rows: what was once touched for a batch stays with an executor. A session setting, as the rows are only
+    computed after the stage has returned; no result depends on it."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def _applied(docs: DataFrame, needed: list[str], operator: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -29,6 +39,7 @@ def _applied(docs: DataFrame, needed: list[str], operator: Callable[[DataFrame],
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents whose language is recognised."""
+    _small_batches(spark)
     known = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)
     return _applied(docs, ["doc_id", "text", "lang"], lambda d: langid.identify(d).where(known))
 
@@ -43,6 +54,7 @@ def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near-duplicates."""
+    _small_batches(spark)
     return _applied(docs, ["doc_id", "text"], simhash.keep_one_of_each)
 
 
@@ -55,6 +67,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of power-of-two length with their token ids."""
+    _small_batches(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

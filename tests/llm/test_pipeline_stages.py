@@ -93,3 +93,32 @@ def test_extra_columns_and_repeated_rows_pass(spark):
             assert docs.columns == names and docs.count() >= 1
             assert {tuple(r)[2:] for r in docs.collect()} <= {tuple(r)[2:] for r in before.collect()}
             before = docs
+
+
+def test_python_stages_take_texts_in_small_batches(spark, monkeypatch):
+    """Executor memory must not follow the rows of a batch: 1,500 texts of 8,000 characters in one partition."""
+    key, most = "spark.sql.execution.arrow.maxBytesPerBatch", 2 * (2 << 20)
+    docs = spark.range(0, 1500, 1, 1).selectExpr(
+        "id AS doc_id", "repeat('x', 8000) AS text", "'en' AS lang", "'s' AS source", "8000L AS n_chars"
+    )
+
+    class Model:
+        langs = ["en"]
+
+        def document_probabilities(self, texts):
+            import numpy as np
+
+            assert sum(map(len, texts)) <= most
+            return np.ones((len(texts), 1))
+
+    def longest(batches):
+        for pdf in batches:
+            yield pdf.assign(n=pdf["text"].str.len().sum())[["n"]].head(1)
+
+    spark.conf.unset(key)
+    monkeypatch.setattr(C.langid, "train_model", lambda *_, **__: Model())
+    assert C.language_id(spark, docs, SMOKE).count() == 1500
+    for name in ("language_id", "simhash_near_dedup", "packing"):
+        spark.conf.unset(key)
+        dict(C.STAGES)[name](spark, docs.limit(3), SMOKE)
+        assert max(r["n"] for r in docs.mapInPandas(longest, "n long").collect()) <= most
